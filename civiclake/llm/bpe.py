@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .mph import MinimalPerfectHash, hash_bytes
 
 #: Entries of a worker's tables; a full one starts anew: memory is bounded, no result changes.
-CACHE = 400_000
+CACHE = 800_000
 #: Longer words are rarer: they are put together from their pre-tokens each time.
 SHORT = 10
 _CODECS: dict[tuple[str, str], "ByteBpe"] = {}
@@ -54,28 +54,32 @@ class ByteBpe:
         """Lowest rank first, leftmost on ties: a heap of neighbouring pairs over a linked list of byte spans."""
         n, rank, longest = len(piece), self.ranks.get, self.longest
         after, before = list(range(1, n + 2)), list(range(-1, n))
-        pair = [rank(piece[i : i + 2]) for i in range(n - 1)] + [None]
-        heap = [(r, i) for i, r in enumerate(pair) if r is not None]
+        # One int for rank and place: compares faster than a tuple.
+        shift = n.bit_length()
+        low = (1 << shift) - 1
+        pair = [rank(piece[i : i + 2]) for i in range(n - 1)]
+        heap = [r << shift | i for i, r in enumerate(pair) if r is not None]
+        pair.append(None)
         heapify(heap)
         while heap:
-            r, i = heappop(heap)
-            if pair[i] != r:
+            top = heappop(heap)
+            i = top & low
+            if pair[i] != top >> shift:
                 continue
             j = after[i]
             end = after[i] = after[j]
             before[end] = i
-            pair[j] = None
-            r = None
+            pair[j] = r = None
             if end < n and (stop := after[end]) - i <= longest:
                 r = rank(piece[i:stop])
+                if r is not None:
+                    heappush(heap, r << shift | i)
             pair[i] = r
-            if r is not None:
-                heappush(heap, (r, i))
             k = before[i]
             if k >= 0:
                 r = pair[k] = rank(piece[k:end]) if end - k <= longest else None
                 if r is not None:
-                    heappush(heap, (r, k))
+                    heappush(heap, r << shift | k)
         out, i = [], 0
         while i < n:
             out.append(self.ranks[piece[i : after[i]]])
@@ -88,7 +92,7 @@ class ByteBpe:
         cut = {w: find(" " + w) if w and not w[0].isspace() and not w[-1].isspace() else None for w in words}
         self.learn_pieces({p for c in cut.values() if c for p in c})
         out = {w: None if c is None else b"".join([pieces[p] for p in c]) for w, c in cut.items()}
-        if len(self.words) > CACHE:
+        if len(self.words) > CACHE // 2:
             self.words.clear()
         self.words.update((w, v) for w, v in out.items() if len(w) <= SHORT)
         return out

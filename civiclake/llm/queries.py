@@ -3,11 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import exact_dedup, topk
 from .common import documents, scratch
 
 
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_topk(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, 5)
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    docs = documents(spark, sf_dir)
+    model = quality.train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), quality.label_grade(), quality.GRADES)
+    return quality.score_quality(docs, model)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -24,11 +37,26 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"), 1)
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import digest_documents
+
+    return digest_documents(documents(spark, sf_dir), _vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    docs = documents(spark, sf_dir)
+    return toxicity.score_toxicity(docs, toxicity.train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_store import read_tokens, write_tokens
 
     return read_tokens(write_tokens(documents(spark, sf_dir), f"{scratch(spark)}/tokens", _vocabulary("word_bpe_49k.json"), 2))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_packing, op9_token_store)}
-ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_quality, op3_exact_dedup, op5_packing, op6_byte_bpe, op7_toxicity, op9_token_store)}
+ORACLES = {"op1_exact_topk": topk.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE}
