@@ -58,5 +58,11 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(documents(spark, sf_dir), f"{scratch(spark)}/tokens", _vocabulary("word_bpe_49k.json"), 2))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_quality, op3_exact_dedup, op5_packing, op6_byte_bpe, op7_toxicity, op9_token_store)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import surrogate_documents
+
+    return surrogate_documents(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_quality, op3_exact_dedup, op5_packing, op6_byte_bpe, op7_toxicity, op9_token_store, op10_pii)}
 ORACLES = {"op1_exact_topk": topk.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE}
