@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, topk
+from . import exact_dedup, near_dedup, topk
 from .common import documents, scratch
 
 
@@ -25,6 +25,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 def _vocabulary(name: str) -> str:
     import public_tokenizers
 
@@ -64,5 +68,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogate_documents(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_quality, op3_exact_dedup, op5_packing, op6_byte_bpe, op7_toxicity, op9_token_store, op10_pii)}
-ORACLES = {"op1_exact_topk": topk.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_quality, op3_exact_dedup, op4_near_dedup, op5_packing, op6_byte_bpe, op7_toxicity, op9_token_store, op10_pii)}
+ORACLES = {"op1_exact_topk": topk.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE, "op4_near_dedup": near_dedup.ORACLE}
