@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, near_dedup, topk
+from . import exact_dedup, near_dedup, substring_dedup, topk
 from .common import documents, scratch
 
 
@@ -56,6 +56,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_store import read_tokens, write_tokens
 
@@ -68,5 +72,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogate_documents(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_quality, op3_exact_dedup, op4_near_dedup, op5_packing, op6_byte_bpe, op7_toxicity, op9_token_store, op10_pii)}
-ORACLES = {"op1_exact_topk": topk.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE, "op4_near_dedup": near_dedup.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_quality, op3_exact_dedup, op4_near_dedup, op5_packing, op6_byte_bpe, op7_toxicity, op8_substring_dedup, op9_token_store, op10_pii)}
+ORACLES = {"op1_exact_topk": topk.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE, "op4_near_dedup": near_dedup.ORACLE, "op8_substring_dedup": substring_dedup.ORACLE}
