@@ -21,7 +21,8 @@ HASHES = BANDS * ROWS
 #: Signature values compared at a time, and the posterior probability of a link below which a candidate is dropped.
 BATCH, MISS = 16, 1e-5
 #: Members of a bucket that one task compares with one another; larger buckets become a grid of such blocks.
-BLOCK = 1024
+BLOCK = 4096
+CELL_BYTES = 16 << 20
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _A = (_RNG.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 _B = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -95,7 +96,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
-    """key, node: one row for each band of a signature."""
+    """key, band, node: one row for each band of a signature."""
 
     def run(batches):
         import pyarrow as pa
@@ -108,9 +109,9 @@ def _bands(nodes: DataFrame) -> DataFrame:
             for k in range(ROWS):
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k])
             node = b.column("node").take(pa.array(np.repeat(np.arange(b.num_rows), BANDS)))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), node], ["key", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.tile(np.arange(BANDS, dtype=np.int8), b.num_rows)), node], ["key", "band", "node"])
 
-    return nodes.select("node", "sig").mapInArrow(run, "key long, node binary")
+    return nodes.select("node", "sig").mapInArrow(run, "key long, band byte, node binary")
 
 
 def _survivors(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -136,14 +137,8 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for b in batches:
-            keep = []
-            for xa, xb in zip(b.column("xa"), b.column("xb"), strict=True):
-                sa, sb = np.frombuffer(xa.as_buffer(), np.uint64), np.frombuffer(xb.as_buffer(), np.uint64)
-                if len(sa) > len(sb):
-                    sa, sb = sb, sa
-                at = np.minimum(np.searchsorted(sb, sa), len(sb) - 1)
-                both = int((sb[at] == sa).sum())
-                keep.append(100 * both >= PERCENT * (len(sa) + len(sb) - both))
+            pairs_ = zip(b.column("xa"), b.column("xb"), strict=True)
+            keep = [_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in pairs_]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     # Set sizes go first: sizes more than the threshold apart can't link. A size is 8 bytes a shingle.
@@ -152,33 +147,51 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(near).select("a", "b", "xa", "xb").mapInArrow(run, "a binary, b binary")
 
 
-def _grid_pairs(members: DataFrame, best: int | None) -> DataFrame:
-    """Candidate pairs of different components in buckets, the ``best`` ones of each member (all: None).
+def _bucket_links(members: DataFrame) -> DataFrame:
+    """Links (a, b) between different components in buckets, enough of them to join what belongs together.
 
-    ``members``: key, n, node, comp, sig. A bucket above BLOCK members is dealt to blocks by a hash of the node and each
-    pair of blocks is one group, so no task holds more than two blocks and no pair is emitted before its signature
-    batches pass.
+    ``members``: key, blocks, band, node, comp, sig, shingles. A bucket above BLOCK members or CELL_BYTES of sets is
+    dealt to blocks by a hash of the node, and each pair of blocks is one group: a task holds two blocks at most. Pairs
+    of one component, joined ones included, are skipped; the others pass the signature batches, most matches first,
+    and are verified on the full sets there, so a bucket gives fewer links than members. A pair that shares several
+    buckets is compared in that of its first band.
     """
-    dealt = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    dealt = members.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
 
     def cell(batch):
         import pandas as pd
 
         sig = np.frombuffer(b"".join(batch["sig"]), np.uint32).reshape(-1, HASHES)
-        comp, own = pd.factorize(batch["comp"])[0], batch["own"].to_numpy()
-        one_block = batch["i"].iloc[0] == batch["j"].iloc[0]
-        node, out = batch["node"].to_numpy(), set()
-        for u in range(len(node)):
-            rest = np.flatnonzero((comp != comp[u]) & (one_block | (own != own[u])))
+        banded = sig.reshape(-1, BANDS, ROWS)
+        label, own = pd.factorize(batch["comp"])[0], batch["own"].to_numpy()
+        one_block, band = batch["i"].iloc[0] == batch["j"].iloc[0], int(batch["band"].iloc[0])
+        node, sets = batch["node"].to_numpy(), [np.frombuffer(x, np.uint64) for x in batch["shingles"]]
+        size, out = np.array([len(x) for x in sets]), []
+        for u in range(len(node) - 1):
+            rest = np.arange(u + 1, len(node))
+            near = 100 * np.minimum(size[rest], size[u]) >= PERCENT * np.maximum(size[rest], size[u])
+            rest = rest[near & (label[rest] != label[u]) & (one_block | (own[rest] != own[u]))]
             alive, matches = plausible(np.broadcast_to(sig[u], (len(rest), HASHES)), sig[rest])
-            found = rest[alive]
-            if best is not None and len(found) > best:
-                found = found[np.argsort(-matches[alive], kind="stable")[:best]]
-            out.update((min(node[u], node[v]), max(node[u], node[v])) for v in found)
-        return pd.DataFrame(sorted(out), columns=["a", "b"])
+            rest, matches = rest[alive], matches[alive]
+            if len(rest):
+                first = (banded[rest] == banded[u]).all(axis=2).argmax(axis=1) == band
+                rest, matches = rest[first], matches[first]
+            for v in rest[np.argsort(-matches, kind="stable")].tolist():
+                if label[v] != label[u] and _similar(sets[u], sets[v]):
+                    label[label == label[v]] = label[u]
+                    out.append((node[u], node[v]))
+        return pd.DataFrame(out, columns=["a", "b"])
 
-    return cells.groupBy("key", "i", "j").applyInPandas(cell, "a binary, b binary").distinct()
+    return cells.drop("other").groupBy("key", "i", "j").applyInPandas(cell, "a binary, b binary")
+
+
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """The link condition on two sorted sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,7 +214,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     folder = scratch(spark)
     all_rows = store(sketch(docs, id_col, text_col), folder, "sketch")
     with_id = all_rows.where("doc_id IS NOT NULL AND node IS NOT NULL")
-    nodes = store(with_id.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("sig").alias("sig")), folder, "nodes")
+    nodes = store(with_id.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")), folder, "nodes")
     bands = _bands(nodes)
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1")
     members = store(bands.join(shared, "key"), folder, "members")
@@ -223,22 +236,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = store(_links(_survivors(star, nodes), sets), folder, "links_star")
     roots = components(links, f"{folder}/cc_star")
-    for best in (1, 8, None):
-        label = members.where("n > 2").select("key", "n", "node")
-        if roots is not None:
-            label = label.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-        else:
-            label = label.withColumn("comp", F.col("node"))
-        mixed = label.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-        open_ = store(label.join(mixed, "key"), folder, f"open_{best}")
-        if open_.isEmpty():
-            break
-        pairs = _grid_pairs(open_.join(nodes.select("node", "sig"), "node"), best)
-        more = store(_links(pairs, sets), folder, f"links_{best}")
-        if more.isEmpty():
-            continue
-        links = links.unionByName(more)
-        roots = components(links, f"{folder}/cc_{best}")
+    label = members.where("n > 2").join(nodes.select("node", "n_shingles"), "node")
+    if roots is not None:
+        label = label.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    else:
+        label = label.withColumn("comp", F.col("node"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") * 8 / CELL_BYTES)).cast("int")
+    mixed = label.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), blocks.alias("blocks")).where("lo != hi").select("key", "blocks")
+    open_ = store(label.select("key", "band", "node", "comp").join(mixed, "key"), folder, "open")
+    more = _bucket_links(open_.join(nodes.select("node", "sig"), "node").join(sets, "node"))
+    links = links.unionByName(store(more, folder, "links_open"))
+    roots = components(links, f"{folder}/cc")
 
     named = nodes.select("node", "first_id")
     if roots is None:
