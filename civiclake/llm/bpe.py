@@ -92,8 +92,6 @@ class ByteBpe:
         cut = {w: find(" " + w) if w and not w[0].isspace() and not w[-1].isspace() else None for w in words}
         self.learn_pieces({p for c in cut.values() if c for p in c})
         out = {w: None if c is None else b"".join([pieces[p] for p in c]) for w, c in cut.items()}
-        if len(self.words) > CACHE // 2:
-            self.words.clear()
         self.words.update((w, v) for w, v in out.items() if len(w) <= SHORT)
         return out
 
@@ -125,6 +123,9 @@ class ByteBpe:
         for c in cut:
             if c:
                 words.update(c[1:])
+        # Only here, where all words of the run are looked up afterwards.
+        if len(self.words) > CACHE // 2:
+            self.words.clear()
         known = self.words
         table = self.learn([w for w in words if w not in known])
         out = []

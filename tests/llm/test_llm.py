@@ -190,6 +190,18 @@ def test_bpe(docs, empty):
     assert bpe.encode_documents(empty, BYTES, public.PATTERN).count() == 0
 
 
+def test_bpe_with_full_tables(monkeypatch):
+    import tiktoken
+
+    monkeypatch.setattr(bpe, "CACHE", 8)
+    c = bpe.ByteBpe(BYTES, public.PATTERN)
+    t = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=c.ranks, special_tokens={})
+    texts = [r[1] or "" for r in corpus()]
+    for _ in range(3):
+        for part in (texts[:9], texts[9:], texts):
+            assert [np.frombuffer(x, "<u4").tolist() for x in c.encode(part)] == [t.encode_ordinary(x) for x in part]
+
+
 def test_perfect_hash():
     for n in (0, 1, 2, 1000):
         h = mix(np.arange(n, dtype=np.uint64))
