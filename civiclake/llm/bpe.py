@@ -89,7 +89,14 @@ class ByteBpe:
     def learn(self, words: list[str]) -> dict[str, bytes | None]:
         """Ids of a space and each word (None: white space at its edge needs its context). Short ones are kept."""
         find, pieces = self.find, self.pieces
-        cut = {w: find(" " + w) if w and not w[0].isspace() and not w[-1].isspace() else None for w in words}
+        cut: dict[str, list[str] | None] = {}
+        for w in words:
+            if w.isascii() and w.isalpha():
+                cut[w] = [" " + w]
+            elif w.isascii() and w[-1:] in (".", ",") and w[:-1].isalpha():
+                cut[w] = [" " + w[:-1], w[-1]]
+            else:
+                cut[w] = find(" " + w) if w and not w[0].isspace() and not w[-1].isspace() else None
         self.learn_pieces({p for c in cut.values() if c for p in c})
         out = {w: None if c is None else b"".join([pieces[p] for p in c]) for w, c in cut.items()}
         self.words.update((w, v) for w, v in out.items() if len(w) <= SHORT)
@@ -101,7 +108,7 @@ class ByteBpe:
         new = [p for p in pieces if p not in self.pieces]
         raw = [p.encode() for p in new]
         for p, b, i in zip(new, raw, self.whole(raw), strict=True):
-            self.pieces[p] = np.array([i] if i >= 0 else self.merge(b), "<u4").tobytes()
+            self.pieces[p] = i.to_bytes(4, "little") if i >= 0 else b"".join([x.to_bytes(4, "little") for x in self.merge(b)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian uint32 bytes, in bounded runs."""
