@@ -5,6 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Lines that open a section (capitals, numbered, SECTION, ARTICLE, PART), shorter than HEADING characters.
+HEADINGS = (r"[A-Z][A-Z\s]{2,50}", r"\d+\.?\s+[A-Z][A-Za-z\s]+", r"SECTION\s+\d+[:\s].+", r"ARTICLE\s+\d+[:\s].+", r"PART\s+[A-Z0-9]+[:\s].+")
+HEADING = 100
+#: Characters of a stored body, sections of a stored document.
+SECTION_BODY, SECTIONS = 5000, 100
+#: Fixed value: one floor plan in a listing page's embedded data.
+FLOOR_PLAN = r'(?s)"floorplanName":\[0,"([^"]+)"\].*?"maximumRent":\[0,(\d+)\].*?"minimumRent":\[0,(\d+)\].*?"sqft":\[0,(\d+)\].*?"unitStatus":\[0,"([^"]+)"'
+
 
 def clean(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(c, r"\s+", " "), r"[^\P{C}]", ""))
@@ -69,3 +77,46 @@ def page_links(pages: DataFrame) -> DataFrame:
 def file_type(content: Column) -> Column:
     head = F.hex(F.substring(content, 1, 8))
     return F.when(head.startswith("25504446"), "pdf").when(head.startswith("504B0304"), "zip").when(head.startswith("D0CF11E0"), "ole").otherwise("unknown")
+
+
+def sections(docs: DataFrame, body: int | None = SECTION_BODY, most: int | None = SECTIONS) -> DataFrame:
+    """doc_id, place (from 0), heading, content: text under heading lines; sections without content and text before the first heading are left out.
+
+    Narrow: each document's lines stay in one array. ``body`` and ``most`` bound what is stored; None keeps all.
+    """
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
+    opens = lambda x: (F.length(x) < HEADING) & x.rlike("^(?:" + "|".join(HEADINGS) + r")\z")
+    heads = F.filter(F.transform("lines", lambda x, i: F.when(opens(x), i + 1)), lambda i: i.isNotNull())
+    end = lambda k: F.coalesce(F.get("heads", k + 1), F.size("lines") + 1)
+    part = lambda i, k: F.struct(F.element_at("lines", i).alias("heading"), F.array_join(F.slice("lines", i + 1, end(k) - i - 1), "\n").alias("content"))
+    found = F.filter(F.transform("heads", part), lambda s: s["content"] != "")
+    rows = docs.select("doc_id", lines.alias("lines")).withColumn("heads", heads).select("doc_id", (F.slice(found, 1, most) if most else found).alias("s"))
+    rows = rows.select("doc_id", F.posexplode("s").alias("place", "s"))
+    return rows.select("doc_id", "place", "s.heading", (F.substring("s.content", 1, body) if body else F.col("s.content")).alias("content"))
+
+
+def reach(links: DataFrame, seeds: DataFrame, depth: int = 3) -> DataFrame:
+    """url, depth: pages within ``depth`` links (source, target) of the seeds (url), each once at its smallest depth.
+
+    Every page also links to itself at no cost, so a step is one join and one grouped minimum and the plan grows by
+    the same amount a step. Link tables are grouped by target before the next join, which folds hubs early.
+    """
+    hops = links.select("source", "target", F.lit(1).alias("cost")).where("source <> target").distinct()
+    known = seeds.select("url").unionByName(links.select(F.col("source").alias("url"))).unionByName(links.select(F.col("target").alias("url"))).distinct()
+    hops = hops.unionByName(known.select(F.col("url").alias("source"), F.col("url").alias("target"), F.lit(0).alias("cost")))
+    out = seeds.select("url", F.lit(0).alias("depth")).where("url IS NOT NULL").distinct()
+    for _ in range(depth):
+        out = out.join(hops, F.col("url") == F.col("source")).groupBy(F.col("target").alias("url")).agg(F.min(F.col("depth") + F.col("cost")).alias("depth"))
+    return out
+
+
+def floor_plans(pages: DataFrame) -> DataFrame:
+    """page_id, unit_number, floor_plan_name, price, max_price, sqft, status, bedrooms of embedded listing data."""
+    html = F.replace(F.replace("html", F.lit("&quot;"), F.lit('"')), F.lit("&amp;"), F.lit("&"))
+    names = ("name", "high", "low", "sqft", "status")
+    groups = [F.regexp_extract_all("html", F.lit(FLOOR_PLAN), F.lit(k + 1)).alias(n) for k, n in enumerate(names)]
+    rows = pages.select("page_id", html.alias("html")).select("page_id", *groups).select("page_id", F.posexplode(F.arrays_zip(*names)).alias("i", "p"))
+    first = F.upper(F.substring("p.name", 1, 1))
+    bedrooms = F.when(first == "S", 0).when(first == "A", 1).when(first == "B", 2).when(first == "C", 3)
+    whole = lambda c: F.col(c).try_cast("bigint")
+    return rows.select("page_id", F.concat_ws("-", "p.name", F.col("i") + 1).alias("unit_number"), F.col("p.name").alias("floor_plan_name"), whole("p.low").alias("price"), whole("p.high").alias("max_price"), whole("p.sqft").alias("sqft"), F.col("p.status").alias("status"), bedrooms.alias("bedrooms"))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclake.functions import scalars as S
-from civiclake.operators import dedup, features, gold, ingest, quality, text, validate, warehouse
+from civiclake.functions import sql as sql_functions
+from civiclake.operators import dedup, features, gold, ingest, places, quality, text, validate, warehouse
 from civiclake.plans.bindings import duck, table, view
 from civiclake.sources import io
 
@@ -351,3 +352,56 @@ def daily_events(spark, sf):
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, round(value, 2) AS v, sha256(props) AS content_hash FROM events")
 def event_payloads(spark, sf):
     return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"), F.round("value", 2).alias("v"), F.sha2("props", 256).alias("content_hash"))
+
+
+@query("""SELECT p_partkey AS ssl, CAST(p_size AS DOUBLE) AS latitude, CAST(p_partkey % 25 AS DOUBLE) AS longitude, p_name AS address, CASE WHEN p_partkey % 3 = 0 THEN p_type END AS use_code, a.n AS sales, a.top AS top_price, n_name AS name
+FROM part LEFT JOIN (SELECT l_partkey, count(*) AS n, max(l_extendedprice) AS top FROM lineitem GROUP BY 1) a ON l_partkey = p_partkey LEFT JOIN nation ON n_nationkey = p_size AND n_nationkey = p_partkey % 25""")
+def property_360(spark, sf):
+    part, nation = table(spark, sf, "part"), table(spark, sf, "nation")
+    addresses = part.select(F.col("p_partkey").alias("ssl"), F.col("p_size").cast("double").alias("latitude"), (F.col("p_partkey") % 25).cast("double").alias("longitude"), F.col("p_name").alias("address"))
+    assessments = part.where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("ssl"), F.col("p_type").alias("use_code"))
+    appraisals = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("ssl")).agg(F.count(F.lit(1)).alias("sales"), F.max("l_extendedprice").alias("top_price"))
+    here = F.col("n_nationkey").cast("double")
+    return places.property_360(addresses, assessments, appraisals, nation.select(here.alias("latitude"), here.alias("longitude"), F.col("n_name").alias("name")))
+
+
+@query("""WITH p AS (SELECT l_orderkey, l_linenumber, l_quantity + 0.25::DOUBLE AS x, l_discount * 500::DOUBLE + 0.125::DOUBLE AS y FROM lineitem),
+g AS (SELECT n_name, n_nationkey % 5 * 10 AS x0, n_nationkey // 5 * 10 AS y0 FROM nation)
+SELECT l_orderkey, l_linenumber, (SELECT min(n_name) FROM g WHERE abs(x - x0 - 5) + abs(y - y0 - 5) < 5) AS diamond,
+  (SELECT min_by(r_name, r_regionkey) FROM region WHERE x BETWEEN r_regionkey * 10 AND r_regionkey * 10 + 15 AND y BETWEEN 0 AND 45 AND NOT (y BETWEEN 20 AND 30)) AS band FROM p""")
+def point_in_polygon(spark, sf):
+    points = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity") + 0.25).alias("x"), (F.col("l_discount") * 500.0 + 0.125).alias("y"))
+    ring = lambda *xy: F.array(*(F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")) for x, y in xy))
+    k = F.col("n_nationkey")
+    x, y = k % 5 * 10, F.floor(k / 5) * 10
+    diamonds = table(spark, sf, "nation").select(F.lit("diamond").alias("layer"), k.alias("place"), F.col("n_name").alias("name"), F.array(ring((x + 5, y), (x + 10, y + 5), (x + 5, y + 10), (x, y + 5))).alias("rings"))
+    k = F.col("r_regionkey")
+    box = lambda a, b: ring((k * 10, F.lit(a)), (k * 10 + 15, F.lit(a)), (k * 10 + 15, F.lit(b)), (k * 10, F.lit(b)))
+    bands = table(spark, sf, "region").select(F.lit("band").alias("layer"), k.alias("place"), F.col("r_name").alias("name"), F.array(box(0, 45), box(20, 30)).alias("rings"))
+    return places.locate(points, diamonds.unionByName(bands), ["diamond", "band"], 10.0).drop("x", "y")
+
+
+@query()
+def doc_sections(spark, sf):
+    return text.sections(table(spark, sf, "documents"), body=None, most=None)
+
+
+@query()
+def page_reach(spark, sf):
+    pages = text.page_parts(table(spark, sf, "pages")).select("page_id", "url")
+    links = text.page_links(table(spark, sf, "pages")).where("kind <> 'external'").join(pages, "page_id").select(F.col("url").alias("source"), F.col("link").alias("target"))
+    seeds = pages.groupBy(F.regexp_extract("url", "^[a-z]+://[^/?]*", 0)).agg(F.min("url").alias("url"))
+    return text.reach(links, seeds)
+
+
+@query("""SELECT p_partkey AS page_id, 'B' || p_size || '-' || k AS unit_number, 'B' || p_size AS floor_plan_name, CAST(p_partkey + k AS BIGINT) AS price, CAST(p_partkey + 100 AS BIGINT) AS max_price, CAST(p_size AS BIGINT) AS sqft, p_brand AS status, 2 AS bedrooms
+FROM part, unnest([1, 2]) AS r(k)""")
+def floor_plans(spark, sf):
+    plan = "concat('&quot;floorplanName&quot;:[0,&quot;B', p_size, '&quot;],\"maximumRent\":[0,', p_partkey + 100, '],\"minimumRent\":[0,', p_partkey + {}, '], \"sqft\":[0,', p_size, '],\"unitStatus\":[0,\"', p_brand, '\"]')"
+    return text.floor_plans(table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), F.concat(F.expr(plan.format(1)), F.lit("\n"), F.expr(plan.format(2))).alias("html")))
+
+
+@query(f"SELECT {_fy('payment_date')} AS fy, CAST(quarter(payment_date + INTERVAL 3 MONTH) AS INTEGER) AS fq, {_key('supplier_name')} AS vendor, CAST(sum(payment_amount) AS DOUBLE) AS spend, count(*) AS n FROM payments GROUP BY 1, 2, 3", "payments")
+def sql_functions_spend(spark, sf):
+    sql_functions.register(spark)
+    return spark.sql("SELECT fiscal_year(payment_date) AS fy, fiscal_quarter(payment_date) AS fq, vendor_key(supplier_name) AS vendor, CAST(sum(safe_money(concat('$', payment_amount))) AS DOUBLE) AS spend, count(*) AS n FROM {payments} GROUP BY 1, 2, 3", payments=view(spark, sf, "payments"))

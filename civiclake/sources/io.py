@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 
 def scan(spark: SparkSession, base: str, source: str, start: dt.date | None = None, end: dt.date | None = None, limit: int | None = None) -> DataFrame:
@@ -86,3 +86,14 @@ def parse_features(payloads: DataFrame, column: str, schema: str) -> DataFrame:
 def location_reply(payload: Column, tags: tuple[str, ...]) -> list[Column]:
     """Columns of an XML reply, one a tag."""
     return [F.xpath_string(payload, F.lit(f"//{t}")).alias(t.lower()) for t in tags]
+
+
+def warehouse_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Those of ``columns`` that ``df`` has, in their order; arrays, maps and structs as JSON text."""
+    nested = {f.name for f in df.schema if isinstance(f.dataType, (ArrayType, MapType, StructType))}
+    return df.select(*(F.to_json(c).alias(c) if c in nested else F.col(c) for c in columns if c in df.columns))
+
+
+def reload_table(df: DataFrame, columns: list[str], url: str, table: str, properties: dict[str, str] | None = None) -> None:
+    """Truncate a warehouse table and load it again by JDBC; the partitions of ``df`` write in parallel."""
+    warehouse_rows(df, columns).write.option("truncate", True).jdbc(url, table, mode="overwrite", properties=properties or {})

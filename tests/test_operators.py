@@ -3,7 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from civiclake.operators import dedup, gold, quality, validate
+from civiclake.operators import dedup, gold, places, quality, text, validate
+from civiclake.sources import io
 from civiclake.streaming import stream
 
 SMALL = "/root/testdata/sf0.001"
@@ -64,3 +65,29 @@ def test_stream_dedup(spark, tmp_path):
     s = stream.stream_of(spark, f"{tmp_path}/in", rows)
     stream.run_available(stream.dedup_stream(s, "ts", ["event_id"], "60 days"), f"{tmp_path}/out", f"{tmp_path}/cp")
     assert spark.read.parquet(f"{tmp_path}/out").count() == rows.select("event_id").distinct().count()
+
+
+def test_sections(spark):
+    body = "lost\nINTRODUCTION\n one \n\ntwo\nEMPTY PART\n1. Scope of Work\nthree\nSECTION 2: More\nfour\nNot A heading\n"
+    rows = text.sections(spark.createDataFrame([(1, body), (2, None), (3, ""), (4, "no headings")], "doc_id int, text string")).orderBy("place").collect()
+    assert [(r.heading, r.content) for r in rows] == [("INTRODUCTION", "one\ntwo"), ("1. Scope of Work", "three"), ("SECTION 2: More", "four\nNot A heading")]
+
+
+def test_reach(spark):
+    links = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c"), ("c", "d"), ("d", "e"), ("e", "f"), ("c", "a"), ("x", "y")], "source string, target string")
+    seeds = spark.createDataFrame([("a",), ("a",), (None,)], "url string")
+    got = sorted((r.url, r.depth) for r in text.reach(links, seeds, 3).collect())
+    assert got == [("a", 0), ("b", 1), ("c", 1), ("d", 2), ("e", 3)]
+
+
+def test_locate_keeps_points_without_a_place(spark):
+    rings = "array(array(struct(0D AS x, 0D AS y), struct(4D AS x, 0D AS y), struct(4D AS x, 4D AS y), struct(0D AS x, 4D AS y)), array(struct(1D AS x, 1D AS y), struct(2D AS x, 1D AS y), struct(2D AS x, 2D AS y)))"
+    polygons = spark.sql(f"SELECT 'w' AS layer, n AS place, concat('p', n) AS name, {rings} AS rings FROM VALUES (2), (1) AS t(n)")
+    points = spark.createDataFrame([(1, 3.0, 3.0), (2, 1.8, 1.5), (3, 9.0, 9.0), (4, None, 1.0)], "id int, x double, y double")
+    got = {r.id: r.w for r in places.locate(points, polygons, ["w"], 1.5).collect()}
+    assert got == {1: "p1", 2: None, 3: None, 4: None}
+
+
+def test_warehouse_rows(spark):
+    df = spark.sql("SELECT 1 AS a, array(1, 2) AS b, 'x' AS c")
+    assert io.warehouse_rows(df, ["c", "b", "gone"]).first().asDict() == {"c": "x", "b": "[1,2]"}
