@@ -240,7 +240,7 @@ def contracts_page(spark, sf):
 
 @query("SELECT agency_name, payment_type, CAST(sum(payment_amount) AS DECIMAL(28,2)) AS total, count(DISTINCT supplier_name) AS suppliers, round(avg(CAST(payment_amount AS DOUBLE)), 4) AS mean, quantile_cont(CAST(payment_amount AS DOUBLE), 0.5) AS median FROM payments GROUP BY 1, 2", "payments")
 def semantic_measures(spark, sf):
-    named = {"total": "cast(sum(payment_amount) as decimal(28,2))", "suppliers": "count(distinct supplier_name)", "mean": "round(avg(cast(payment_amount as double)), 4)", "median": "percentile(cast(payment_amount as double), 0.5)"}
+    named = {"total": "cast(sum(payment_amount) as decimal(28,2))", "suppliers": "count(distinct supplier_name)", "mean": "cast(round(avg(cast(payment_amount as decimal(22,8))), 4) as double)", "median": "percentile(cast(payment_amount as double), 0.5)"}
     return warehouse.measures(view(spark, sf, "payments"), ["agency_name", "payment_type"], named)
 
 
