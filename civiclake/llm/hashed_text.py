@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from copy import copy
 from operator import eq
 
 import numpy as np
@@ -105,6 +106,14 @@ class Sample:
         self.row, self.col, self.val = self.row[keep], self.col[keep], self.val[keep]
         self.used, self.col = np.unique(self.col, return_inverse=True)
 
+    def only(self, keep: np.ndarray) -> Sample:
+        """The same rows with the features ``keep`` alone."""
+        out = copy(self)
+        on = keep[self.col]
+        out.row, out.val, out.used = self.row[on], self.val[on], self.used[keep]
+        out.col = (np.cumsum(keep) - 1)[self.col[on]]
+        return out
+
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, self.val * w[self.col], minlength=self.n)
 

@@ -269,3 +269,22 @@ def test_classifiers_edge(docs, empty, spark):
     m = quality.train_quality(empty, labels, quality.label_grade(), quality.GRADES)
     assert quality.score_quality(empty, m).count() == 0
     assert toxicity.score_toxicity(empty, toxicity.train_toxicity(empty, labels)).count() == 0
+
+
+def test_toxicity_of_a_small_language(spark):
+    """Toxic words that few labelled rows hold, as in a language with few of them, are learned all the same."""
+    rnd = random.Random(8)
+    rows = []
+    for lang, n, share in (("a", 900, 10), ("b", 160, 4)):
+        plain, bad = [f"{lang}{i}" for i in range(300)], [f"{lang}bad{i}" for i in range(16)]
+        for i in range(n):
+            words = rnd.choices(plain, k=30) + ([bad[(i // share * 3 + j) % 16] for j in range(3)] if i % share == 0 else [])
+            rows.append((len(rows), " ".join(words), int(i % share == 0), lang))
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int, lang string")
+    train = d.where("lang = 'a' OR doc_id % 3 > 0")
+    seen = train.where("lang = 'b'").select(F.explode(F.split("text", " ")).alias("w")).where("w LIKE '%bad%'").groupBy("w").count()
+    assert seen.agg(F.max("count")).first()[0] < 10
+    said = {r.doc_id: r.toxic for r in toxicity.score_toxicity(d, toxicity.train_toxicity(d, train)).collect()}
+    held = [(r[2], said[r[0]]) for r in rows if r[3] == "b" and r[0] % 3 == 0]
+    caught = sum(s for y, s in held if y)
+    assert caught >= 0.8 * sum(y for y, _ in held) > 0 and sum(s for y, s in held if not y) == 0
