@@ -34,8 +34,11 @@ def threshold_topk(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.nda
         score = vectors[rows] @ query
         keep = ids[rows] != own
         s, i = np.concatenate([kept_s, score[keep]]), np.concatenate([kept_i, ids[rows][keep]])
-        best = np.lexsort((i, -s))[:k]
-        kept_s, kept_i = s[best], i[best]
+        best = np.lexsort((i, -s))
+        s, i = s[best], i[best]
+        # Vectors of one id with the same score make one row of the result, so they take one place.
+        new = np.append(True, (s[1:] != s[:-1]) | (i[1:] != i[:-1]))[: len(s)]
+        kept_s, kept_i = s[new][:k], i[new][:k]
         if seen.all():
             break
         if len(kept_s) == k and len(used):
@@ -53,9 +56,10 @@ def exact_topk(vectors: DataFrame, is_query, k: int, scale: float = 256.0, id_co
     no part; vectors of different lengths are not compared. A repeated id with different vectors gives a query for
     each, of which the best candidates are kept; a repeated row counts once.
 
-    Candidates are dealt to blocks by a hash of the id, queries to groups; every (group, block) cell runs the
+    Repeated rows fold on the map side first, as copies would take the places of others in their block. Candidates are
+    dealt to blocks, queries to groups, by a hash of the id and the vector; every (group, block) cell runs the
     threshold algorithm for its queries and returns k rows a query, which a window over k * blocks rows merges. A
-    very frequent vector is spread like any other, and ties need only ids. Block and group sizes bound a task's
+    very frequent vector or id is spread like any other, and ties need only ids. Block and group sizes bound a task's
     memory; the number of cells follows queries times candidates, which is the stated search. Only the two row counts
     reach the driver.
     """
@@ -63,9 +67,10 @@ def exact_topk(vectors: DataFrame, is_query, k: int, scale: float = 256.0, id_co
     bad = F.exists(F.col(vec_col).cast("array<double>"), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     rows = vectors.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull() & ~F.coalesce(bad, F.lit(False)))
     rows = rows.select(F.col(id_col).cast("long").alias("id"), v.alias("v"), is_query.alias("is_query")).withColumn("dim", F.size("v"))
+    rows = rows.groupBy("id", "v", "dim").agg(F.max("is_query").alias("is_query"))
     counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_query").alias("q")).first()
     blocks, groups = -(-counts.n // BLOCK) or 1, -(-counts.q // GROUP) or 1
-    cell = lambda n, salt: F.pmod(F.xxhash64(F.col("id"), F.lit(salt)), F.lit(n)).cast("int")
+    cell = lambda n, salt: F.pmod(F.xxhash64(F.col("id"), F.col("v"), F.lit(salt)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     cand = rows.select("id", "v", "dim", cell(blocks, 1).alias("b"), every(groups).alias("g"))
     asks = rows.where("is_query").select("id", "v", "dim", cell(groups, 2).alias("g"), every(blocks).alias("b"))

@@ -222,6 +222,13 @@ def test_topk(spark):
     assert topk.exact_topk(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0, 5).count() == 0
 
 
+def test_topk_repeated_rows(spark):
+    """Copies of one candidate, and vectors of one id with one score, take one place of the k."""
+    vec = [(0, [1.0, 0.0])] + [(1, [0.9, 0.0])] * 6 + [(2, [0.8, 0.1 * j]) for j in range(6)] + [(i, [1.0 / i, 0.0]) for i in range(3, 9)]
+    got = topk.exact_topk(spark.createDataFrame(vec, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, 5)
+    assert [(r.rank, r.vec_id) for r in got.orderBy("rank").collect()] == [(k, k) for k in range(1, 6)]
+
+
 def test_surrogates(spark, empty):
     texts = ["Mail ab.12@mail8.example.com or AB.12@MAIL8.EXAMPLE.COM, +1 (988) 555-2485. Mr. Smith and Mrs Jones met Mr Smith", "4111 1111 1111 1111 ip 8.8.8.8 and 8.8.4.4", None, "", "clean 4.0. text", "call +1 (988) 555-2485"]
     out = [r.text for r in pii.surrogate_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
