@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +30,8 @@ SYLLABLES = {
     "latin": ("ba be bo da de di fa fe ga go ha ho ja jo ka ke ko la le li lo ma me mi mo na ne ni no pa pe ra re ri ro sa se ta te to va ve vi wa we".split(), "n l r s".split(), "na la ra sa".split()),
     "cyrillic": ("ба бе бо ва ве ви га го да де ди жа за зе ка ко ла ле ли ло ма ме ми мо на не ни но па пе ра ре ри ро са се та те то".split(), "н л р с".split(), "на ла ра са".split()),
 }
-MOST_ATTEMPTS = 30
+#: After so many draws the pool of a replacement grows: names and mail boxes get longer, closed formats wider.
+DRAWS = 4
 
 
 def _any_match(text: Column) -> Column:
@@ -75,32 +78,39 @@ def luhn(digits: Column) -> Column:
 
 
 def surrogate(kind: Column, canon: Column, key: str, attempt: int) -> Column:
-    """The keyed replacement of a canonical entity: the same for the same key, entity and attempt."""
+    """The keyed replacement of a canonical entity: the same for the same key, entity and attempt.
+
+    Later attempts draw from larger pools: one syllable or three letters more every DRAWS attempts, 192.168.x.y from
+    10.x.y.z and that from any address, a 555 number and a social security number from all of its length.
+    """
+    grown = attempt // DRAWS
     h = F.sha2(F.concat_ws("|", F.lit(key), kind, canon, F.lit(str(attempt))), 256)
     digits = F.translate(h, "abcdef", "012345")
     n = F.length(canon)
     lead = lambda at: (_byte(h, F.lit(at)) % 8 + 2).cast("string")
-    middle = F.when(F.substring(canon, n - 6, F.lit(3)) == "555", F.lit("555")).otherwise(F.concat(lead(20), F.substring(digits, 5, 2)))
+    middle = F.when((F.substring(canon, n - 6, F.lit(3)) == "555") & F.lit(not grown), F.lit("555")).otherwise(F.concat(lead(20), F.substring(digits, 5, 2)))
     phone = F.concat(F.substring(canon, F.lit(1), n - 10), lead(10), F.substring(digits, 3, 2), middle, F.substring(digits, 7, 4))
     body = F.concat(F.substring(canon, 1, 1), F.substring(digits, 1, 14))
     offset = F.substring(canon, 16, 1).cast("int") - luhn(F.substring(canon, 1, 15)) + 10
     card = F.concat(body, ((luhn(body) + offset) % 10).cast("string"))
-    ssn = F.concat(F.lit("9"), F.substring(digits, 1, 8))
+    ssn = F.substring(digits, 1, 9) if grown else F.concat(F.lit("9"), F.substring(digits, 1, 8))
     near = F.regexp_extract(canon, r"^(10\.|127\.|192\.168\.)", 1)
+    if grown:
+        near = F.when((near == "192.168.") & F.lit(grown < 4), "10.").when(F.lit(grown < 4), near).otherwise("")
     octet = lambda at: (_byte(h, F.lit(at)) % 254 + 1).cast("string")
     far = F.concat_ws(".", (_byte(h, F.lit(0)) % 100 + 11).cast("string"), octet(1), octet(2), octet(3))
     ip = F.when(near == "", far).when(near == "192.168.", F.concat(near, octet(2), F.lit("."), octet(3))).otherwise(F.concat(near, octet(1), F.lit("."), octet(2), F.lit("."), octet(3)))
     domain = F.substring_index(canon, "@", -1)
     of_domain = F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), domain), 256)
-    email = F.concat(_reshape(F.substring_index(canon, "@", 1), h), F.lit("@"), _reshape(F.substring_index(domain, ".", 1), of_domain), F.lit(".example."), F.substring_index(domain, ".", -1))
+    email = F.concat(_reshape(F.substring_index(canon, "@", 1), h), F.translate(F.substring(F.sha2(h, 256), 1, 3 * grown), "0123456789", "ghijklmnop"), F.lit("@"), _reshape(F.substring_index(domain, ".", 1), of_domain), F.lit(".example."), F.substring_index(domain, ".", -1))
     secret = F.substring(F.concat(h, F.sha2(h, 256)), F.lit(1), n)
 
     def name(script: str) -> Column:
         body_, male, female = (F.array(*map(F.lit, x)) for x in SYLLABLES[script])
         pick = lambda arr, size, at: F.element_at(arr, _byte(h, F.lit(at)) % size + 1)
         sizes = [len(x) for x in SYLLABLES[script]]
-        longer = F.when(F.lit(attempt > 3), pick(body_, sizes[0], 9)).otherwise("")
-        return F.concat(F.substring(canon, 1, 2), pick(body_, sizes[0], 1), pick(body_, sizes[0], 2), longer, F.when(canon.startswith("m:"), pick(male, sizes[1], 3)).otherwise(pick(female, sizes[2], 3)))
+        longer = [pick(body_, sizes[0], 9 + j) for j in range(grown)]
+        return F.concat(F.substring(canon, 1, 2), pick(body_, sizes[0], 1), pick(body_, sizes[0], 2), *longer, F.when(canon.startswith("m:"), pick(male, sizes[1], 3)).otherwise(pick(female, sizes[2], 3)))
 
     person = F.when(canon.rlike(r"[Ѐ-ӿ]"), name("cyrillic")).otherwise(name("latin"))
     return F.when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", ssn).when(kind == "ip", ip).when(kind == "email", email).when(kind == "secret", secret).otherwise(person)
@@ -118,12 +128,12 @@ def surrogate_table(entities: DataFrame, key: str, folder: str) -> DataFrame:
     """(kind, canon, new) for distinct (kind, canon): replacements are distinct and none is an entity of the input.
 
     Candidates are drawn together; of those that share a replacement the first entity keeps it, and these losers, and
-    candidates equal to an entity or to a replacement given before, draw again. Each round is one grouped pass over
-    the entities still open.
+    candidates equal to an entity or to a replacement given before, draw again, from pools that grow until all are
+    served. Each round is one grouped pass over the entities still open.
     """
     known = store(entities.distinct(), folder, "entities")
     open_, done = known, None
-    for attempt in range(MOST_ATTEMPTS):
+    for attempt in count():
         drawn = open_.select("kind", "canon", surrogate(F.col("kind"), F.col("canon"), key, attempt).alias("new"))
         first = Window.partitionBy("kind", "new").orderBy("canon")
         taken = known.select("kind", F.col("canon").alias("new"))
@@ -136,7 +146,6 @@ def surrogate_table(entities: DataFrame, key: str, folder: str) -> DataFrame:
         open_ = drawn.where("NOT good").select("kind", "canon")
         if open_.isEmpty():
             return done
-    raise ValueError("more entities of one format than it has distinct replacements")
 
 
 def replace_entities(docs: DataFrame, key: str = "corpus", text_col: str = "text", count_col: str | None = None) -> DataFrame:
