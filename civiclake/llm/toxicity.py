@@ -16,7 +16,8 @@ FOLDS = 3
 #: Rows at the base rate that a word's share of a category is mixed with: a rare word counts by its evidence.
 PRIOR_ROWS = 50
 #: The chain in its order. The label says only whether a document is toxic; the other categories are weak labels:
-#: a document labelled toxic that holds words of the kind.
+#: a document labelled toxic that holds words of the kind (English lists), or learned toxic words for the last one;
+#: of other toxic documents the middle two are unknown.
 CATEGORIES = ("toxic", "insult", "contempt", "severe")
 PERSON_WORDS = ("clown", "idiot", "loser", "moron", "scum")
 CONTEMPT_WORDS = ("disgusting", "pathetic", "stupid", "trash", "worthless")
@@ -75,13 +76,13 @@ def fit_chain(sample: Sample, labels: np.ndarray, folds: int = FOLDS, steps: int
         return ChainModel(weights, links, bias - 9)
     fold, earlier = np.arange(n) % folds, np.zeros((n, 0))
     for c in range(k):
-        y = labels[:, c].astype(float)
-        x = _fit(sample, np.ones(n, bool), earlier, y, steps, ridge, rate)
+        known, y = labels[:, c] >= 0, labels[:, c].astype(float)
+        x = _fit(sample, known, earlier, y, steps, ridge, rate)
         weights[:, c], links[c, :c], bias[c] = sample.full(x[:d]), x[d : d + c], x[-1]
         if c < k - 1:
             out = np.zeros(n)
             for f in range(folds):
-                x = _fit(sample, fold != f, earlier, y, steps, ridge, rate)
+                x = _fit(sample, known & (fold != f), earlier, y, steps, ridge, rate)
                 held = fold == f
                 out[held] = sigmoid(sample.dot(x[:d]) + earlier @ x[d : d + c] + x[-1])[held]
             earlier = np.column_stack([earlier, out])
@@ -96,6 +97,25 @@ def weak_labels(text: Column, toxic: Column) -> list[Column]:
     return [c.cast("int") for c in (yes, yes & (person > 0), yes & (contempt > 0), yes & (person + contempt >= 4))]
 
 
+def whole_targets(sample: Sample, y: np.ndarray, folds: int = FOLDS) -> np.ndarray:
+    """The weak labels without their bound to the languages of the lists; -1 is unknown and trains nothing.
+
+    A toxic document without a listed word may hold an insult in other words or languages, so its insult and contempt
+    are unknown. A severe one also is one that holds four words or more that the other folds' labels tell to be toxic.
+    """
+    out, toxic = y.copy(), y[:, 0] == 1
+    out[np.ix_(toxic & (y[:, 1:3].max(axis=1, initial=0) == 0), [1, 2])] = -1
+    fold, d = np.arange(len(y)) % folds, len(sample.used)
+    for f in range(folds):
+        on = (fold != f)[sample.row]
+        base = toxic[fold != f].mean() if (fold != f).any() else 0.0
+        rows = np.bincount(sample.col[on], minlength=d)
+        yes = np.bincount(sample.col[on], toxic[sample.row[on]], minlength=d)
+        told = (yes + 5 * base) / (rows + 5) >= 0.5
+        out[toxic & (fold == f) & (np.bincount(sample.row, told[sample.col], minlength=len(y)) >= 4), 3] = 1
+    return out
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> ChainModel:
     key = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     chosen = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -103,7 +123,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Ch
     marked = marked.select("doc_id", "text", F.array(*weak_labels(F.col("text"), F.col("toxic"))).alias("y"))
     found = training_rows(marked)
     y = np.array([r.y for r in found], np.int64).reshape(len(found), len(CATEGORIES))
-    return fit_chain(Sample([(r.i, r.v) for r in found], least=2), y)
+    sample = Sample([(r.i, r.v) for r in found], least=2)
+    return fit_chain(sample, whole_targets(sample, y))
 
 
 def training_rows(marked: DataFrame) -> list:

@@ -304,3 +304,18 @@ def test_toxicity_of_a_small_language(spark):
     held = [(r[2], said[r[0]]) for r in rows if r[3] == "b" and r[0] % 3 == 0]
     caught = sum(s for y, s in held if y)
     assert caught >= 0.8 * sum(y for y, _ in held) > 0 and sum(s for y, s in held if not y) == 0
+
+
+def test_toxic_categories_beyond_the_lists():
+    """A toxic document in another language is no negative of insult and contempt, and can be severe."""
+    from civiclake.llm.hashed_text import Sample, features
+
+    texts = [f"mot{i % 7} autre{i % 5}" + " sale1 sale2 sale3 sale4" * (i % 4 == 0) for i in range(80)]
+    made = [features(t, False) for t in texts]
+    sample = Sample([(i.astype(np.int32).tobytes(), v.astype(np.float32).tobytes()) for i, v in made], least=2)
+    y = np.array([[i % 4 == 0, 0, 0, 0] for i in range(80)], np.int64)
+    got = toxicity.whole_targets(sample, y)
+    assert got[::4].tolist() == [[1, -1, -1, 1]] * 20 and not got[y[:, 0] == 0].any()
+    model = toxicity.fit_chain(sample, got)
+    p = model.predict(np.array([v @ model.weights[i] for i, v in made]))
+    assert (p[::4, 3] > 0.5).all() and (p[y[:, 0] == 0] < 0.5).all()
