@@ -19,7 +19,7 @@ _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t-\ra-z
 
 
 class WordEncoder:
-    """Ids of whole texts, as ``tokenizers`` gives them without special tokens; their strings in a text are ordinary.
+    """Ids of whole texts, as ``tokenizers`` gives them with add_special_tokens=False; an added token's string in a text gives its id.
 
     Three ways by the characters of a text, all with the same ids: words, full stops and commas only (marked with
     plain string replacement); other ASCII (cut by the pre-token pattern); anything else (the library itself). The
@@ -32,7 +32,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
+        self.added = [t.content.lower() for t in self.lib.get_added_tokens_decoder().values()]
         self.fast, self.ids = _merge_engine(path)
 
     def text(self, text: str | None) -> np.ndarray:
@@ -42,7 +42,7 @@ class WordEncoder:
         if _PLAIN.fullmatch(text) and not any(x in text for x in ("..", ",,", ".,", ",.")):
             t = text.lower().replace("\n", " ").replace(".", " . ").replace(",", " , ")
             t = " ".join(t.split()).replace(" ", "\0")
-        elif _LATIN.fullmatch(text):
+        elif _LATIN.fullmatch(text) and not any(x in text.lower() for x in self.added):
             t = "\0".join(_PIECE.findall(text.lower()))
         else:
             return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4")

@@ -319,3 +319,12 @@ def test_toxic_categories_beyond_the_lists():
     model = toxicity.fit_chain(sample, got)
     p = model.predict(np.array([v @ model.weights[i] for i, v in made]))
     assert (p[::4, 3] > 0.5).all() and (p[y[:, 0] == 0] < 0.5).all()
+
+
+def test_word_ids_of_added_tokens():
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(WORDS)
+    for t in ("a <|endoftext|> b <|startoftext|>", "x<|endoftext|>É", "a <|ENDOFTEXT|> b", "<| a |>"):
+        assert encoder(WORDS).text(t).tolist() == fresh.encode(t, add_special_tokens=False).ids
+    assert 49407 in encoder(WORDS).text("a <|endoftext|> b")
