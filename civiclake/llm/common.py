@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,9 +13,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; without that setting (tests) a local temporary one."""
+    """A new folder below ``spark.checkpoint.dir``.
+
+    Without that setting a session that runs on this machine alone gets a temporary folder; a cluster raises an error,
+    as its executors wouldn't share one.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        import tempfile
+
         base = tempfile.mkdtemp(prefix="spark-civiclake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/civiclake/{uuid.uuid4().hex}"
@@ -29,10 +36,22 @@ def store(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder that nothing reads any more, on whichever store it lies."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+def discard(spark: SparkSession, folder: str, *names: str) -> None:
+    """Delete stored tables that nothing reads any more, on whichever store they lie."""
+    for name in names:
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for temporary columns that ``df`` doesn't have, whatever the case of its own."""
+    have, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n in have:
+            n += "_"
+        have.add(n)
+        out.append(n)
+    return out
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
