@@ -48,47 +48,60 @@ class WaveletMatrix:
         return self._down(symbol, i) - self.start[symbol]
 
 
-def suffix_order(text: np.ndarray, longest: int) -> np.ndarray:
-    """Suffixes in the order of their first ``longest`` symbols at least, by doubling the compared length."""
+def _ranked(key: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Places in key order, each place's dense rank, and the highest rank; keys lie in 0 .. bound - 1."""
+    n = len(key)
+    shift = n.bit_length()
+    if bound.bit_length() + shift <= 63:
+        # A sort of numbers that carry their place is several times faster than a sort of places.
+        both = np.sort(key << shift | np.arange(n))
+        order, key = both & ((1 << shift) - 1), both >> shift
+    else:
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+    new = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
+    rank = np.empty(n, np.int64)
+    rank[order] = new
+    return order, rank, int(new[-1])
+
+
+def suffix_order(text: np.ndarray, symbols: int, longest: int) -> np.ndarray:
+    """Suffixes in the order of their first ``longest`` symbols at least, by doubling the compared length from two.
+
+    The last symbol must be 0 and occur there only.
+    """
     n = len(text)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    h = 1
-    while True:
+    order, rank, top = _ranked(text * symbols + np.append(text[1:], 0), symbols * symbols)
+    h = 2
+    while h < longest and h < n and top < n - 1:
         nxt = np.zeros(n, np.int64)
         nxt[: n - h] = rank[h:] + 1
-        key = rank * (n + 1) + nxt
-        order = np.argsort(key, kind="stable")
-        new = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
-        rank = np.empty(n, np.int64)
-        rank[order] = new
+        order, rank, top = _ranked(rank * (top + 2) + nxt, (top + 1) * (top + 2))
         h *= 2
-        if h >= longest or h >= n or new[-1] == n - 1:
-            return order
+    return order
 
 
 class FmIndex:
-    """Weighted occurrence counts of patterns up to ``longest`` symbols in a set of sequences.
+    """Tells which patterns up to ``longest`` symbols occur twice or more in a set of sequences.
 
-    ``pieces`` are arrays of symbols >= 2, joined with separator 1 and closed with 0; ``weights`` is how often each
-    piece occurs. Sorting by the first ``longest`` symbols is enough for patterns of that length: backward search only
-    needs suffixes with different beginnings in order.
+    ``pieces`` are arrays of symbols >= 2, joined with separator 1 and closed with 0; ``often`` says which of them stand
+    for more than one. Kept are the wavelet matrix of the transform, the place where each symbol's suffixes begin and
+    one bit a suffix for ``often``: about one bit a symbol and level, and no text. Sorting by the first ``longest`` symbols
+    is enough for patterns of that length: backward search only needs suffixes with different beginnings in order.
     """
 
-    def __init__(self, pieces: list[np.ndarray], weights: np.ndarray, symbols: int, longest: int):
+    def __init__(self, pieces: list[np.ndarray], often: np.ndarray, symbols: int, longest: int):
         lengths = np.array([len(p) + 1 for p in pieces])
         text = np.ones(lengths.sum() + 1, np.int64)
-        self.at = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-        owner = np.repeat(np.arange(len(pieces)), lengths)
         inside = np.ones(len(text) - 1, bool)
-        inside[self.at + lengths - 1] = False
+        inside[np.cumsum(lengths) - 1] = False
         text[:-1][inside] = np.concatenate(pieces)
         text[-1] = 0
-        order = suffix_order(text, longest)
+        order = suffix_order(text, symbols, longest)
         self.bwt = WaveletMatrix(text[order - 1], symbols)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=symbols))])
-        each = np.concatenate([weights[owner], [0]])[order]
-        self.weight = np.concatenate([[0], np.cumsum(each)])
-        self.text, self.n = text, len(text)
+        self.often = BitRank(np.append(np.repeat(often, lengths), False)[order])
+        self.n = len(text)
 
     def extend(self, lo: np.ndarray, hi: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The intervals of symbol + pattern from those of the patterns."""
@@ -96,18 +109,22 @@ class FmIndex:
         base = self.first[symbol]
         return base + both[: len(lo)], base + both[len(lo) :]
 
-    def reach(self, end: np.ndarray, stop: np.ndarray, least: int) -> np.ndarray:
-        """Matching statistics: how far left of text position ``end`` (not before ``stop``) the match still occurs ``least`` times.
+    def repeated(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Whether intervals hold two suffixes or one of a piece that stands for more."""
+        return hi - lo + self.often.rank(hi) - self.often.rank(lo) >= 2
+
+    def reach(self, stream: np.ndarray, end: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Matching statistics of streamed symbols: how far left of ``end`` (not before ``stop``) the match still repeats.
 
-        Gives, for each query, the smallest p >= stop such that text[p..end] has that weight (end + 1 if none has).
+        Gives, for each query, the smallest p >= stop such that stream[p..end] occurs twice (end + 1 if none does).
         """
         lo, hi = np.zeros(len(end), np.int64), np.full(len(end), self.n, np.int64)
         best = end + 1
         active = np.arange(len(end))
         while len(active):
             p = best[active] - 1
-            a, b = self.extend(lo[active], hi[active], self.text[p])
-            good = self.weight[b] - self.weight[a] >= least
+            a, b = self.extend(lo[active], hi[active], stream[p])
+            good = self.repeated(a, b)
             active, a, b, p = active[good], a[good], b[good], p[good]
             lo[active], hi[active], best[active] = a, b, p
             active = active[p > stop[active]]
@@ -117,13 +134,13 @@ class FmIndex:
 def repeated_windows(pieces: list[np.ndarray], weights: np.ndarray, symbols: int, window: int) -> np.ndarray:
     """For each piece, a bit mask of its windows (bit = window start) that occur twice or more by weight in all pieces.
 
+    All windows of a piece that occurs twice itself repeat, so only the other pieces are streamed through the index.
     One backward search from a piece's end settles all windows right of where it ends. The rest goes from left to
     right: a search that ends at p shows that every window over it up to p occurs once, so the next start is p + 1.
     """
-    longest = max(map(len, pieces))
-    index = FmIndex(pieces, weights, symbols, longest)
-    n = np.array([len(p) for p in pieces])
-    last = n - window
+    often = weights >= 2
+    index = FmIndex(pieces, often, symbols, max(map(len, pieces)))
+    last = np.array([len(p) for p in pieces]) - window
     mask = np.zeros(len(pieces), np.uint64)
 
     def mark(which: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -131,16 +148,24 @@ def repeated_windows(pieces: list[np.ndarray], weights: np.ndarray, symbols: int
         full = lambda k: np.where(k >= 64, ~np.uint64(0), (np.uint64(1) << np.minimum(k, 63).astype(np.uint64)) - np.uint64(1))
         mask[which] |= full(b) & ~full(a)
 
-    every = np.arange(len(pieces))
-    p = index.reach(index.at + n - 1, index.at, 2) - index.at
-    mark(every, np.minimum(p, last + 1), last + 1)
+    known = np.flatnonzero(often)
+    mark(known, np.zeros(len(known), np.int64), last[known] + 1)
+    every = np.flatnonzero(~often)
+    if not len(every):
+        return mask
+    stream = np.concatenate([pieces[i] for i in every.tolist()])
+    at = np.zeros(len(pieces), np.int64)
+    at[every] = np.concatenate([[0], np.cumsum(last[every] + window)[:-1]])
+    p = index.reach(stream, at[every] + last[every] + window - 1, at[every]) - at[every]
+    mark(every, np.minimum(p, last[every] + 1), last[every] + 1)
     # Starts still open: 0 .. end - 1. The last window itself is settled.
-    end = np.minimum(p, last)
-    start, active = np.zeros(len(pieces), np.int64), every[end > 0]
+    start, end = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+    end[every] = np.minimum(p, last[every])
+    active = every[end[every] > 0]
     while len(active):
         s = start[active]
-        at = index.at[active] + s
-        p = index.reach(at + window - 1, at, 2) - index.at[active]
+        here = at[active] + s
+        p = index.reach(stream, here + window - 1, here) - at[active]
         alive = p <= s
         mark(active[alive], s[alive], s[alive] + 1)
         start[active] = np.where(alive, s + 1, p)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, store
+from .common import discard, scratch, store
 from .fm_index import repeated_windows
 from .shingles import runs, windows, word_hashes
 
@@ -21,6 +22,8 @@ RUN = 64
 HOT = 20_000
 #: Words in one shard's index, about.
 SHARD_WORDS = 400_000
+#: Bytes of segments that a task hands on at a time.
+OUT_BYTES = 8 << 20
 _WIDTH = WINDOW - GRAM + 1
 
 
@@ -35,13 +38,12 @@ def _extreme(g: np.ndarray, right: bool) -> np.ndarray:
 
 
 def segments(raw: list[bytes]):
-    """For each text: number of words, joined words' digest, and its segments: routing keys, first windows, window counts, whether the routing gram occurs twice in it."""
+    """For many texts: words of each, where each text's segments begin in the lists (and the end), and the segments' routing keys, first words, window counts, and whether the routing gram occurs twice in them."""
     h, _, _, first, _ = word_hashes(raw)
     n = np.diff(first)
-    digests = [hashlib.sha256(b" ".join(t.split())).hexdigest() for t in raw]
     empty = np.empty(0, np.int64)
     if len(h) < WINDOW:
-        return n, digests, [(empty, empty, empty, empty)] * len(raw)
+        return n, np.zeros(len(raw) + 1, np.int64), (empty, empty, empty, empty)
     g = windows(h, GRAM)
     left, right = _extreme(g, False), _extreme(g, True)
     key = g[left]
@@ -58,9 +60,7 @@ def segments(raw: list[bytes]):
     start = np.repeat(start, pieces) + RUN * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
     stop = np.minimum(np.repeat(stop, pieces), start + RUN)
     twice = (left[start] != right[stop - 1]).astype(np.int64)
-    cut = np.searchsorted(start, first)
-    out = [(key[start[a:b]].view(np.int64), start[a:b] - w, (stop - start)[a:b], twice[a:b]) for a, b, w in zip(cut[:-1], cut[1:], first[:-1], strict=True)]
-    return n, digests, out
+    return n, np.searchsorted(start, first), (key[start].view(np.int64), start - first[text_of[start]], stop - start, twice)
 
 
 def _scan(docs: DataFrame) -> DataFrame:
@@ -72,18 +72,23 @@ def _scan(docs: DataFrame) -> DataFrame:
         for b in batches:
             raw = [t.encode() for t in b.column("text").to_pylist()]
             for cut in runs(raw):
-                n, digests, segs = segments(raw[cut])
+                n, at, lists = segments(raw[cut])
+                digests = [hashlib.sha256(b" ".join(t.split())).hexdigest() for t in raw[cut]]
                 ids = [b.column(c)[cut.start : cut.stop] for c in ("id0", "th", "doc_id")]
-                lists = []
-                for k in range(4):
-                    flat = np.concatenate([s[k] for s in segs])
-                    at = np.concatenate([[0], np.cumsum([len(s[k]) for s in segs])]).astype(np.int32)
-                    lists.append(pa.ListArray.from_arrays(pa.array(at), pa.array(flat if k == 0 else flat.astype(np.int32))))
+                at = pa.array(at.astype(np.int32))
+                lists = [pa.ListArray.from_arrays(at, pa.array(x if k == 0 else x.astype(np.int32))) for k, x in enumerate(lists)]
                 yield pa.RecordBatch.from_arrays([*ids, pa.array(n, pa.int64()), pa.array(digests), *lists], ["id0", "th", "doc_id", "n_words", "digest", "keys", "starts", "counts", "twice"])
 
     return docs.mapInArrow(run, "id0 long, th long, doc_id long, n_words long, digest string, keys array<long>, starts array<int>, counts array<int>, twice array<int>")
 
 
+def _flat(lists, *names: str) -> tuple[list, list[np.ndarray]]:
+    """Row borders and the fields of an Arrow list of structs."""
+    values = lists.flatten()
+    at = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+    return at.tolist(), [values.field(c).to_numpy(zero_copy_only=False) for c in names]
+
+
 def _cut(found: DataFrame) -> DataFrame:
     """The words of each candidate segment: key, md, words, n, id0, th, start."""
 
@@ -91,24 +96,36 @@ def _cut(found: DataFrame) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
+        def flush(out):
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["key", "md", "words", "n", "id0", "th", "start"])
+
         for b in batches:
-            for row in range(b.num_rows):
-                words = b.column("text")[row].as_py().encode().split()
-                out: tuple[list, ...] = ([], [], [], [])
-                for s in b.column("segs")[row].as_py():
-                    if s["hot"]:
-                        for k in range(s["start"], s["start"] + s["count"]):
-                            part = b" ".join(words[k : k + WINDOW])
-                            for c, v in zip(out, (xxhash.xxh3_64_intdigest(part) - (1 << 63), part, WINDOW, k), strict=True):
-                                c.append(v)
+            at, (keys, starts, counts, hot) = _flat(b.column("segs"), "key", "start", "count", "hot")
+            keys, starts, counts, hot = keys.tolist(), starts.tolist(), counts.tolist(), hot.tolist()
+            ids = list(zip(b.column("id0").to_pylist(), b.column("th").to_pylist(), strict=True))
+            out: tuple[list, ...] = ([], [], [], [], [], [], [])
+            held = 0
+            for row, text in enumerate(b.column("text")):
+                words = text.as_py().encode().split()
+                joined = b" ".join(words)
+                place = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)]).tolist()
+                for k in range(at[row], at[row + 1]):
+                    s, size = starts[k], counts[k] + WINDOW - 1
+                    if hot[k]:
+                        parts = [(i, joined[place[i] : place[i + WINDOW] - 1], WINDOW) for i in range(s, s + counts[k])]
                     else:
-                        size = s["count"] + WINDOW - 1
-                        for c, v in zip(out, (s["key"], b" ".join(words[s["start"] : s["start"] + size]), size, s["start"]), strict=True):
+                        parts = [(s, joined[place[s] : place[s + size] - 1], size)]
+                    for i, part, m in parts:
+                        # A window of a hot gram goes by its own hash.
+                        key = xxhash.xxh3_64_intdigest(part) - (1 << 63) if hot[k] else keys[k]
+                        for c, v in zip(out, (key, hashlib.md5(part).digest(), part, m, *ids[row], i), strict=True):
                             c.append(v)
-                m = len(out[0])
-                same = lambda c: pa.array([b.column(c)[row].as_py()] * m, pa.int64())  # noqa: E731, B023
-                md = pa.array([hashlib.md5(x).digest() for x in out[1]], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), md, pa.array(out[1], pa.binary()), pa.array(out[2], pa.int32()), same("id0"), same("th"), pa.array(out[3], pa.int32())], ["key", "md", "words", "n", "id0", "th", "start"])
+                        held += len(part)
+                if held > OUT_BYTES:
+                    yield flush(out)
+                    out, held = ([], [], [], [], [], [], []), 0
+            yield flush(out)
 
     return found.select("id0", "th", "text", "segs").mapInArrow(run, "key long, md binary, words binary, n int, id0 long, th long, start int")
 
@@ -131,21 +148,17 @@ def _remove(rows: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for b in batches:
+            at, (starts, masks) = _flat(b.column("hits"), "start", "mask")
+            # The windows of all hits of the batch: which hit, and which bit.
+            hit, bit = np.nonzero(np.unpackbits(masks.astype("<i8").view(np.uint8), bitorder="little").reshape(-1, 64))
+            window, border = starts[hit] + bit, np.searchsorted(hit, at).tolist()
             removed, digests = [], []
-            for row in range(b.num_rows):
-                words = b.column("text")[row].as_py().encode().split()
-                cover = np.zeros(len(words) + 1, np.int64)
-                for s in b.column("hits")[row].as_py():
-                    bits = s["mask"] & ((1 << 64) - 1)
-                    while bits:
-                        low = bits & -bits
-                        k = s["start"] + low.bit_length() - 1
-                        cover[k] += 1
-                        cover[k + WINDOW] -= 1
-                        bits ^= low
-                gone = np.cumsum(cover)[:-1] > 0
-                removed.append(int(gone.sum()))
-                digests.append(hashlib.sha256(b" ".join([w for w, x in zip(words, gone.tolist(), strict=True) if not x])).hexdigest())
+            for row, text in enumerate(b.column("text")):
+                words = text.as_py().encode().split()
+                w, n = window[border[row] : border[row + 1]], len(words) + 1
+                stays = np.cumsum(np.bincount(w, minlength=n) - np.bincount(w + WINDOW, minlength=n))[:-1] == 0
+                removed.append(len(words) - int(stays.sum()))
+                digests.append(hashlib.sha256(b" ".join(compress(words, stays.tolist()))).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column("id0"), b.column("th"), pa.array(removed, pa.int64()), pa.array(digests, pa.string())], ["id0", "th", "n_removed", "kept_sha256"])
 
     return rows.select("id0", "th", "text", "hits").mapInArrow(run, "id0 long, th long, n_removed long, kept_sha256 string")
@@ -172,17 +185,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id0"), F.xxhash64("text").alias("th"))
     scanned = store(_scan(rows), folder, "scanned")
     segs = scanned.select("id0", "th", F.inline(F.arrays_zip("keys", "starts", "counts", "twice"))).toDF("id0", "th", "key", "start", "count", "twice")
-    uses = segs.groupBy("key").agg(F.sum(1 + F.col("twice")).alias("uses")).where("uses > 1")
+    # Stored, so that the join below shuffles both sides by itself and a hot gram can be split.
+    uses = store(segs.groupBy("key").agg(F.sum(1 + F.col("twice")).alias("uses")).where("uses > 1"), folder, "uses")
     found = segs.join(uses, "key").groupBy("id0", "th").agg(F.collect_set(F.struct("key", "start", "count", (F.col("uses") > HOT).alias("hot"))).alias("segs"))
     found = store(rows.select("id0", "th", "text").join(found, ["id0", "th"]), folder, "found")
     cut = store(_cut(found), folder, "segments")
-    folded = store(cut.groupBy("key", "words").agg(F.count(F.lit(1)).alias("copies"), F.first("md").alias("md"), F.first("n").alias("n")), folder, "folded")
+    folded = store(cut.groupBy("key", "md", "words", "n").agg(F.count(F.lit(1)).alias("copies")), folder, "folded")
     words = folded.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-words // SHARD_WORDS))
     dealt = folded.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
     masks = store(dealt.groupBy("shard").applyInPandas(lambda b: _index_shard(b), "key long, md binary, mask long"), folder, "masks")
     hits = cut.select("key", "md", "id0", "th", "start").join(masks, ["key", "md"]).groupBy("id0", "th").agg(F.collect_set(F.struct("start", "mask")).alias("hits"))
     removed = store(_remove(found.dropDuplicates(["id0", "th"]).join(hits, ["id0", "th"])), folder, "removed")
+    discard(spark, folder, "uses", "found", "segments", "folded", "masks")
     out = scanned.select("id0", "th", "doc_id", "n_words", "digest").join(removed, ["id0", "th"], "left")
     return out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("kept_sha256", "digest").alias("kept_sha256"))
 
