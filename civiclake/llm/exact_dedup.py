@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, text_of
+from .common import SPACE, fresh, text_of
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -41,12 +41,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def exact_unique(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; repeated rows and rows without an id leave one each."""
-    key = F.concat_ws(":", F.col("doc_id"), F.col("text_sha256"))
-    found = exact_dedup(docs, id_col, text_col).where("kept").select(key.alias("__k"))
+    """The rows of ``docs`` that stay, with all their columns: one of each text, the smallest id's.
+
+    Repeated rows and texts without any id leave one row each; null texts count as empty; an empty table stays empty.
+    """
+    k, other = fresh(docs, "row_key", "kept_key")
+    found = exact_dedup(docs, id_col, text_col).where("kept").select(F.concat_ws(":", F.col("doc_id"), F.col("text_sha256")).alias(other))
     sha = F.sha2(F.regexp_replace(text_of(text_col), SPACE, " "), 256)
-    keyed = docs.withColumn("__k", F.concat_ws(":", F.col(id_col).cast("long"), sha))
-    return keyed.join(found, "__k", "left_semi").dropDuplicates(["__k"]).drop("__k")
+    keyed = docs.withColumn(k, F.concat_ws(":", F.col(id_col).cast("long"), sha))
+    return keyed.join(found, F.col(k) == F.col(other), "left_semi").dropDuplicates([k]).drop(k)
 
 
 #: DuckDB: the same rows.

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, store
+from .common import discard, fresh, scratch, store
 from .components import components
 from .shingles import runs, shingle_sets
 
@@ -22,6 +22,8 @@ HASHES = BANDS * ROWS
 BATCH, MISS = 16, 1e-5
 #: Members of a bucket that one task compares with one another; larger buckets become a grid of such blocks.
 BLOCK = 4096
+#: Shingles of a set that is told from others by its words instead of its hashes.
+SMALL = 16
 CELL_BYTES = 16 << 20
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _A = (_RNG.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -75,8 +77,15 @@ def plausible(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return alive, matches
 
 
+def _node(shingles: np.ndarray, text: bytes) -> bytes | None:
+    """What documents of one shingle set share. A few 64-bit hashes could agree by chance in a large corpus, so a small set goes by its words."""
+    if not len(shingles):
+        return None
+    return hashlib.md5(shingles.tobytes() if len(shingles) > SMALL else b" ".join(text.split())).digest()
+
+
 def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_shingles, node (128-bit hash of the shingle set, null if empty), sig."""
+    """doc_id, n_shingles, node (128-bit hash of the shingle set, of the words themselves where it is small, null if empty), sig."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches):
@@ -88,7 +97,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 sets = shingle_sets(raw[cut], WORDS)
                 full = [s for s in sets if len(s)]
                 sig = iter(signatures(full)) if full else iter(())
-                node = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
+                node = [_node(s, t) for s, t in zip(sets, raw[cut], strict=True)]
                 cols = [b.column("doc_id")[cut.start : cut.stop], pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.binary()), pa.array([next(sig).tobytes() if len(s) else None for s in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "node", "sig"])
 
@@ -201,14 +210,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of their MinHash signature share a bucket: each bucket links its members to its first one only, a linear number of
     candidates. 3. Candidates pass the signature batches or are dropped by the posterior bound, survivors are
     verified on full sets, links are contracted to components. 4. Buckets whose members are still in different
-    components are compared in full, block by block, pairs of one component left out: first the best candidate
-    of each member, then the best eight, then all that the batches leave, with components renewed in between. So no
-    link between components is lost but by the banding (2e-5 at the threshold) and the chosen miss probability.
+    components are compared in full, block by block, pairs of one component left out; links found there are
+    contracted with the others. So no link between components is lost but by the banding (2e-5 at the threshold) and
+    the chosen miss probability. Sets are compared as 64-bit hashes of their shingles: two shingles of a pair agree
+    falsely with a chance of 5e-20 each.
 
     Rows with a null id get component_id null and kept false; a document without words is alone. Repeated rows of
     one id get the same component and are all kept if that id is. Other columns are ignored; an empty table gives
-    no rows. Hot buckets, copies and hubs appear only as join and grouping keys that are pre-aggregated or that
-    adaptive execution splits. Intermediate tables lie in the shared folder.
+    no rows. Copies fold into nodes first; hot buckets and hubs are pre-aggregated, and the joins on them shuffle both
+    sides, so that adaptive execution splits them. Intermediate tables lie in the shared folder and go when they are
+    no longer read.
     """
     spark = docs.sparkSession
     folder = scratch(spark)
@@ -216,20 +227,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with_id = all_rows.where("doc_id IS NOT NULL AND node IS NOT NULL")
     nodes = store(with_id.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")), folder, "nodes")
     bands = _bands(nodes)
-    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1")
+    # Stored, as the other aggregates by key below, so that their joins shuffle both sides and a hot key can be split.
+    shared = store(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1"), folder, "shared")
     members = store(bands.join(shared, "key"), folder, "members")
 
-    wanted = members.select("node").distinct().join(nodes.select("node", "first_id"), "node").select(F.col("first_id").alias("__id")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text")).join(wanted, "__id", "left_semi")
+    wanted = members.select("node").distinct().join(nodes.select("node", "first_id"), "node").select(F.col("first_id").alias("id")).distinct()
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi")
 
     def to_sets(batches):
         import pyarrow as pa
 
         for b in batches:
-            raw = [(t or "").encode().lower() for t in b.column("__text").to_pylist()]
+            raw = [(t or "").encode().lower() for t in b.column("text").to_pylist()]
             for cut in runs(raw):
-                made = [s.tobytes() for s in shingle_sets(raw[cut], WORDS) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([hashlib.md5(s).digest() for s in made], pa.binary()), pa.array(made, pa.binary())], ["node", "shingles"])
+                made = [(_node(s, t), s.tobytes()) for s, t in zip(shingle_sets(raw[cut], WORDS), raw[cut], strict=True) if len(s)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in made], pa.binary()) for k in (0, 1)], ["node", "shingles"])
 
     sets = store(texts.mapInArrow(to_sets, "node binary, shingles binary").dropDuplicates(["node"]), folder, "sets")
 
@@ -243,6 +255,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         label = label.withColumn("comp", F.col("node"))
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") * 8 / CELL_BYTES)).cast("int")
     mixed = label.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), blocks.alias("blocks")).where("lo != hi").select("key", "blocks")
+    mixed = store(mixed, folder, "mixed")
     open_ = store(label.select("key", "band", "node", "comp").join(mixed, "key"), folder, "open")
     more = _bucket_links(open_.join(nodes.select("node", "sig"), "node").join(sets, "node"))
     links = links.unionByName(store(more, folder, "links_open"))
@@ -256,15 +269,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
         named = rooted.join(lowest, "root").select("node", "component_id")
     named = store(named, folder, "named")
+    discard(spark, folder, "nodes", "shared", "members", "sets", "links_star", "cc_star", "mixed", "open", "links_open", "cc")
     out = all_rows.select("doc_id", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("doc_id").isNull(), None).when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
 def near_unique(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document of each component, and rows without an id."""
-    drop = near_duplicates(docs, id_col, text_col).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(drop, F.col(id_col).cast("long") == F.col("__id"), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: one document of each component, and rows without an id.
+
+    Null and empty texts, which link with nothing, stay; so do repeated rows of an id that stays; an empty table stays empty.
+    """
+    (other,) = fresh(docs, "dropped_id")
+    drop = near_duplicates(docs, id_col, text_col).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(other)).distinct()
+    return docs.join(drop, F.col(id_col).cast("long") == F.col(other), "left_anti")
 
 
 #: DuckDB: the same rows, by counting shared shingles of all pairs.
