@@ -21,7 +21,7 @@ RUN = 64
 #: A routing gram with more segments than this sends each window on its own, by the window's hash.
 HOT = 20_000
 #: Words in one shard's index, about.
-SHARD_WORDS = 400_000
+SHARD_WORDS = 1_000_000
 #: Bytes of segments that a task hands on at a time.
 OUT_BYTES = 8 << 20
 _WIDTH = WINDOW - GRAM + 1
