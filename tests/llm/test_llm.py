@@ -256,7 +256,7 @@ def test_surrogates_stay_distinct(spark):
 
 def test_surrogates_of_full_pools(spark, monkeypatch):
     """More entities than their own format has replacements for: addresses, mail boxes of one letter, names."""
-    monkeypatch.setitem(pii.SYLLABLES, "latin", (["ba", "be"], ["n"], ["na"]))
+    monkeypatch.setitem(pii.SYLLABLES, "latin", (["ba", "be"], ["n"], ["na"], ["k"]))
     names = [f"Mr {a}{b}" for a in "BCDF" for b in ("oxo", "uxu", "ixi")]
     found = [f"192.168.{a}.{b}" for a in range(1, 132) for b in range(1, 255)] + [f"{c}@ab.com" for c in "abcdefghijklmnopqrstuvwxyz"] + names
     out = [r.text for r in pii.surrogate_documents(spark.createDataFrame(list(enumerate(found)), "doc_id long, text string")).collect()]
