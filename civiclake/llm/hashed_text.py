@@ -31,9 +31,9 @@ def word_feature(word: str) -> int:
 
 
 def shape_feature(word: str) -> int:
-    """Letter case, digits and the punctuation around a word, without its letters."""
+    """Letter case, digits and punctuation of a whole word, without its letters; runs of one sign count once."""
     for pattern, sign in _CLASSES:
-        word = pattern.sub(sign, word[:64])
+        word = pattern.sub(sign, word)
     return bucket("s:" + _RUNS.sub(r"\1", word))
 
 
@@ -130,24 +130,28 @@ def training_sample(docs: DataFrame, labels: DataFrame, targets: list, rows: int
     """At most ``rows`` labelled documents: those with the smallest id hashes, so the same ones on every run.
 
     The sample is the documented bound of the classifiers. Its ids (at most ``rows``) are broadcast to one scan of the
-    documents, features are made in the tasks, and only they come to the driver. Rows without a label or an id, and
-    documents without a label, take no part.
+    documents, features are made in the tasks, and only they come to the driver, one row an id. Label rows of one id
+    that disagree count as the smallest of them, documents of one id as the smallest text, a null text as empty. Rows
+    without a label or an id, and documents without a label, take no part; without any the sample is empty.
     """
-    key = F.col(id_col).cast("long").alias("__id")
-    names = [f"__t{i}" for i in range(len(targets))]
-    chosen = labels.select(key, *(t.cast("int").alias(n) for t, n in zip(targets, names, strict=True))).dropna().dropDuplicates(["__id"])
-    chosen = chosen.orderBy(F.xxhash64("__id"), "__id").limit(rows)
-    texts = docs.select(key, F.col(text_col).alias("__text")).join(F.broadcast(chosen), "__id")
+    names = [f"t{i}" for i in range(len(targets))]
+    marks = labels.select(F.col(id_col).cast("long").alias("id"), F.struct(*(t.cast("int").alias(n) for t, n in zip(targets, names, strict=True))).alias("t"))
+    whole = F.col("id").isNotNull()
+    for n in names:
+        whole &= F.col(f"t.{n}").isNotNull()
+    chosen = marks.where(whole).groupBy("id").agg(F.min("t").alias("t")).orderBy(F.xxhash64("id"), "id").limit(rows).select("id", "t.*")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
+    texts = texts.groupBy("id", *names).agg(F.min("text").alias("text"))
 
     def run(batches):
         import pandas as pd
 
         for b in batches:
-            made = [features(t, shapes) for t in b["__text"]]
-            yield pd.DataFrame({"id": b["__id"], "text": b["__text"], "i": [i.astype(np.int32).tobytes() for i, _ in made], "v": [v.astype(np.float32).tobytes() for _, v in made]} | {n: b[n] for n in names}).drop(columns="text")
+            made = [features(t, shapes) for t in b["text"]]
+            yield pd.DataFrame({"id": b["id"], "i": [i.astype(np.int32).tobytes() for i, _ in made], "v": [v.astype(np.float32).tobytes() for _, v in made]} | {n: b[n] for n in names})
 
     out = texts.mapInPandas(run, "id long, i binary, v binary, " + ", ".join(f"{n} int" for n in names))
-    return sorted(out.collect(), key=lambda r: (r.id, bytes(r.i)))
+    return sorted(out.collect(), key=lambda r: r.id)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

@@ -51,8 +51,14 @@ def fit_ordinal(sample: Sample, grade: np.ndarray, grades: int, steps: int = 150
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, grade: Column, grades: int, rows: int = SAMPLE) -> OrdinalModel:
+    """The model of at most ``rows`` labelled documents, the same ones on every run (see ``training_sample``).
+
+    ``grade`` is 0 .. grades - 1 over the label table, null where there is none. Nulls, empty texts, repeated and
+    disagreeing label rows are settled by the sample; without any labelled document all weights are 0 and the cuts
+    stand at 0, 1 and so on. Other columns are ignored.
+    """
     found = training_sample(docs, labels, [grade], rows, shapes=True)
-    return fit_ordinal(Sample([(r.i, r.v) for r in found], least=5), np.array([r["__t0"] for r in found], np.int64), grades)
+    return fit_ordinal(Sample([(r.i, r.v) for r in found], least=5), np.array([r.t0 for r in found], np.int64), grades)
 
 
 def score_quality(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", least: int = 1, threshold: float = 0.5) -> DataFrame:
@@ -80,7 +86,11 @@ def score_quality(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id",
 
 
 def keep_quality(docs: DataFrame, model: OrdinalModel, text_col: str = "text", least: int = 1, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose tail probability of grade ``least`` reaches ``threshold``, with all their columns."""
+    """The rows of ``docs`` whose tail probability of grade ``least`` reaches ``threshold``, with all their columns.
+
+    Null and empty texts have no features and are judged by the cuts alone; repeated rows share their fate; an empty
+    table stays empty.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
