@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashed_text import Sample, Scorer, adam, sigmoid, training_sample
@@ -15,12 +15,10 @@ SAMPLE = 12_000
 FOLDS = 3
 #: Rows at the base rate that a word's share of a category is mixed with: a rare word counts by its evidence.
 PRIOR_ROWS = 50
-#: The chain in its order. The label says only whether a document is toxic; the other categories are weak labels:
-#: a document labelled toxic that holds words of the kind (English lists), or learned toxic words for the last one;
-#: of other toxic documents the middle two are unknown.
-CATEGORIES = ("toxic", "insult", "contempt", "severe")
-PERSON_WORDS = ("clown", "idiot", "loser", "moron", "scum")
-CONTEMPT_WORDS = ("disgusting", "pathetic", "stupid", "trash", "worthless")
+#: The chain in its order. The label says only whether a document is toxic; how much so follows from words that the
+#: labels of the other folds tell to be toxic, in whatever language: at least so many different ones in a toxic document.
+CATEGORIES = ("toxic", "strong", "severe")
+WORDS_OF = (2, 4)
 
 
 @dataclass
@@ -89,59 +87,34 @@ def fit_chain(sample: Sample, labels: np.ndarray, folds: int = FOLDS, steps: int
     return ChainModel(weights, links, bias)
 
 
-def weak_labels(text: Column, toxic: Column) -> list[Column]:
-    """0/1 columns of CATEGORIES from the label and the two word lists (whole words, any case)."""
-    words = F.array_distinct(F.split(F.lower(text), r"[^a-z]+"))
-    person, contempt = (F.size(F.array_intersect(words, F.array(*map(F.lit, x)))) for x in (PERSON_WORDS, CONTEMPT_WORDS))
-    yes = toxic == 1
-    return [c.cast("int") for c in (yes, yes & (person > 0), yes & (contempt > 0), yes & (person + contempt >= 4))]
-
-
-def whole_targets(sample: Sample, y: np.ndarray, folds: int = FOLDS) -> np.ndarray:
-    """The weak labels without their bound to the languages of the lists; -1 is unknown and trains nothing.
-
-    A toxic document without a listed word may hold an insult in other words or languages, so its insult and contempt
-    are unknown. A severe one also is one that holds four words or more that the other folds' labels tell to be toxic.
-    """
-    out, toxic = y.copy(), y[:, 0] == 1
-    out[np.ix_(toxic & (y[:, 1:3].max(axis=1, initial=0) == 0), [1, 2])] = -1
-    fold, d = np.arange(len(y)) % folds, len(sample.used)
+def graded_targets(sample: Sample, toxic: np.ndarray, folds: int = FOLDS) -> np.ndarray:
+    """0/1 rows of CATEGORIES. A word is told to be toxic where its share of toxic rows, shrunk by five rows of the base rate, is a half or more."""
+    fold, d = np.arange(len(toxic)) % folds, len(sample.used)
+    words = np.zeros(len(toxic), np.int64)
     for f in range(folds):
         on = (fold != f)[sample.row]
         base = toxic[fold != f].mean() if (fold != f).any() else 0.0
         rows = np.bincount(sample.col[on], minlength=d)
         yes = np.bincount(sample.col[on], toxic[sample.row[on]], minlength=d)
         told = (yes + 5 * base) / (rows + 5) >= 0.5
-        out[toxic & (fold == f) & (np.bincount(sample.row, told[sample.col], minlength=len(y)) >= 4), 3] = 1
-    return out
+        here = np.bincount(sample.row, told[sample.col], minlength=len(toxic))
+        words[fold == f] = here[fold == f]
+    return np.column_stack([toxic, *(toxic * (words >= n) for n in WORDS_OF)]).astype(np.int64)
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> ChainModel:
-    key = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    chosen = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    marked = key.join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id")
-    marked = marked.select("doc_id", "text", F.array(*weak_labels(F.col("text"), F.col("toxic"))).alias("y"))
-    found = training_rows(marked)
-    y = np.array([r.y for r in found], np.int64).reshape(len(found), len(CATEGORIES))
-    sample = Sample([(r.i, r.v) for r in found], least=2)
-    return fit_chain(sample, whole_targets(sample, y))
-
-
-def training_rows(marked: DataFrame) -> list:
-    from .hashed_text import features
+    """The chain of at most ``rows`` labelled documents, the same ones on every run (see ``training_sample``).
 
-    def run(batches):
-        import pandas as pd
-
-        for b in batches:
-            made = [features(t, False) for t in b["text"]]
-            yield pd.DataFrame({"id": b["doc_id"], "y": b["y"], "i": [i.astype(np.int32).tobytes() for i, _ in made], "v": [v.astype(np.float32).tobytes() for _, v in made]})
-
-    return sorted(marked.mapInPandas(run, "id long, y array<int>, i binary, v binary").collect(), key=lambda r: (r.id, bytes(r.i)))
+    Nulls, empty texts, repeated and disagreeing label rows are settled by the sample; without any labelled document
+    nothing is toxic. Other columns are ignored.
+    """
+    found = training_sample(docs, labels, [F.col("toxic")], rows, shapes=False)
+    sample = Sample([(r.i, r.v) for r in found], least=2)
+    return fit_chain(sample, graded_targets(sample, np.array([r.t0 for r in found], np.int64)))
 
 
 def score_toxicity(docs: DataFrame, model: ChainModel, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, p_toxic, p_insult, p_contempt, p_severe, toxic (p_toxic at ``threshold``).
+    """Per document: doc_id, p_toxic, p_strong, p_severe, toxic (p_toxic at ``threshold``).
 
     Narrow: one scan, whole texts, no shuffle; only the model (a fixed size) goes to the tasks. An empty or null text
     has no features. Repeated rows score alike; an empty table gives no rows.
