@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Candidates in one block and queries in one group: what a task holds is bounded by these.
-BLOCK, GROUP = 4096, 4096
+BLOCK, GROUP = 8192, 32768
 
 
 def threshold_topk(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.ndarray, lists: np.ndarray, k: int) -> list[tuple[int, int]]:
@@ -60,15 +60,19 @@ def exact_topk(vectors: DataFrame, is_query, k: int, scale: float = 256.0, id_co
     dealt to blocks, queries to groups, by a hash of the id and the vector; every (group, block) cell runs the
     threshold algorithm for its queries and returns k rows a query, which a window over k * blocks rows merges. A
     very frequent vector or id is spread like any other, and ties need only ids. Block and group sizes bound a task's
-    memory; the number of cells follows queries times candidates, which is the stated search. Only the two row counts
-    reach the driver.
+    memory; the number of cells follows queries times candidates, which is the stated search. Only two row counts and
+    the largest component reach the driver.
     """
     v = F.transform(F.col(vec_col).cast("array<double>"), lambda x: F.floor(F.lit(scale) * x))
     bad = F.exists(F.col(vec_col).cast("array<double>"), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     rows = vectors.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull() & ~F.coalesce(bad, F.lit(False)))
     rows = rows.select(F.col(id_col).cast("long").alias("id"), v.alias("v"), is_query.alias("is_query")).withColumn("dim", F.size("v"))
     rows = rows.groupBy("id", "v", "dim").agg(F.max("is_query").alias("is_query"))
-    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_query").alias("q")).first()
+    size = F.array_max(F.transform("v", F.abs))
+    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_query").alias("q"), F.max(size).alias("top")).first()
+    # The narrowest numbers that hold all components travel; scores are the same.
+    kind = next(t for t, bits in (("smallint", 15), ("int", 31), ("bigint", 63)) if (counts.top or 0) < 1 << bits)
+    rows = rows.withColumn("v", F.col("v").cast(f"array<{kind}>"))
     blocks, groups = -(-counts.n // BLOCK) or 1, -(-counts.q // GROUP) or 1
     cell = lambda n, salt: F.pmod(F.xxhash64(F.col("id"), F.col("v"), F.lit(salt)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
