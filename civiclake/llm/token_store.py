@@ -17,7 +17,9 @@ from .wordids import encoder
 MAGIC = b"TIDX0001"
 #: Ids in one shard at least, before it is closed; a longer document makes a longer shard.
 SHARD_IDS = 1_000_000
-SHARDS = "part int, shard int, start_in_part long, n_docs int, n_tokens long, data binary"
+SHARDS = "part int, shard int, start_in_part long, n_docs int, n_tokens long, first_key long, last_key long, data binary"
+#: Keys whose shards are looked for one by one; more keys take all shards from the first to the last of them.
+POINTS = 100
 
 
 def pack_shard(keys: np.ndarray, null: np.ndarray, counts: np.ndarray, ids: list[np.ndarray]) -> bytes:
@@ -93,7 +95,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None
         def close():
             null = np.array([k is None for k in keys], bool)
             data = pack_shard(np.array([k or 0 for k in keys], np.int64), null, np.array([len(x) for x in ids], np.int64), ids)
-            return pd.DataFrame({"part": [part], "shard": [number], "start_in_part": [done], "n_docs": [len(keys)], "n_tokens": [held], "data": [data]})
+            return pd.DataFrame({"part": [part], "shard": [number], "start_in_part": [done], "n_docs": [len(keys)], "n_tokens": [held], "first_key": [next((k for k in keys if k is not None), None)], "last_key": [keys[-1]], "data": [data]})
 
         for batch in batches:
             for k, t in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -115,15 +117,15 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None
 def _arrow(frame: pd.DataFrame):
     import pyarrow as pa
 
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(frame[c].tolist(), t) for c, t in zip(frame.columns, kinds, strict=True)], list(frame.columns))
 
 
 def read_tokens(shards: DataFrame) -> DataFrame:
     """Per document, from the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
 
-    Each row is read through its shard's index, by key. Only one total per writing partition reaches the driver;
-    their number is that of the partitions.
+    Each row is read through its shard's index, by key; rows without a key come first; repeated rows are all there; no
+    shards give no rows. Only one total per writing partition reaches the driver; their number is that of the partitions.
     """
     totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
     bases, at = {}, 0
@@ -140,6 +142,40 @@ def read_tokens(shards: DataFrame) -> DataFrame:
     return shards.select("part", "start_in_part", "data").mapInArrow(rows, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def lookup(shards: DataFrame, keys: list[int]) -> DataFrame:
+    """doc_id and ids of the given keys, a row for each document that has the key; absent keys give none.
+
+    The shards' first and last keys are compared in the scan, where the files' statistics leave out all others; in a
+    shard a key costs one hash, one slot, one fingerprint and one slice, however many documents it holds.
+    """
+    wanted = sorted({int(k) for k in keys})
+    if not wanted:
+        return shards.limit(0).selectExpr("first_key AS doc_id", "CAST(NULL AS array<long>) AS ids")
+    near = (F.col("last_key") >= wanted[0]) & (F.col("first_key") <= wanted[-1])
+    if len(wanted) <= POINTS:
+        one = F.lit(False)
+        for k in wanted:
+            one |= (F.col("first_key") <= k) & (F.col("last_key") >= k)
+        near &= one
+
+    def rows(batches):
+        import pyarrow as pa
+
+        every = np.array(wanted, np.int64)
+        for batch in batches:
+            cols = (batch.column(c).to_pylist() for c in ("first_key", "last_key", "data"))
+            for first, last, data in zip(*cols, strict=True):
+                s = Shard(data)
+                some = every[(every >= first) & (every <= last)]
+                at = s.find(some)
+                hit = at >= 0
+                hit[hit] = s.keys[at[hit]] == some[hit]
+                out = [(k, s.row(i)) for k, a in zip(some[hit].tolist(), at[hit].tolist(), strict=True) for i in range(a, a + int(np.searchsorted(s.keys[a:], k, "right")))]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([x.tolist() for _, x in out], pa.list_(pa.int64()))], ["doc_id", "ids"])
+
+    return shards.where(near).select("first_key", "last_key", "data").mapInArrow(rows, "doc_id long, ids array<long>")
+
+
 def _rows(s: Shard, base: int):
     import pyarrow as pa
 
