@@ -16,7 +16,7 @@ POOL = 1024
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
 
 
-def pack_pool(tokens: np.ndarray, loss: np.ndarray, limits: tuple[int, int, int], last: bool) -> Iterator[list[tuple[int, int, int]]]:
+def pack_pool(tokens: np.ndarray, loss: np.ndarray, limits: tuple[int, int, int]) -> Iterator[list[tuple[int, int, int]]]:
     """Sequences for one pool of examples, as lists of (example, start, length).
 
     ``tokens`` and ``loss`` are the examples' sizes; the loss-bearing tokens are an example's last ones. A sequence
@@ -87,9 +87,9 @@ def pack_documents(
     and a hot source or very long texts matter only to the scan. sequence_id is unique, not dense: the partition
     number in the upper bits. An empty table gives no pieces; repeated rows and null ids are packed like any other.
     """
-    if max_tokens < 1 or max_segments < 1:
+    limits = (max_tokens, max_segments, max_tokens if max_loss is None else max_loss)
+    if min(limits) < 1:
         raise ValueError("limits must be positive")
-    limits = (max_tokens, max_segments, max_loss or max_tokens)
     prompt = F.col(prompt_col) if prompt_col else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), prompt.alias("prompt"), F.col(text_col).alias("text"))
 
@@ -105,7 +105,7 @@ def pack_documents(
             nonlocal sequence
             out = [[] for _ in range(8)]
             sizes = np.array([len(x) for x in ids])
-            for bin_ in pack_pool(sizes, np.array(loss), limits, True):
+            for bin_ in pack_pool(sizes, np.array(loss), limits):
                 at = 0
                 for i, s, n in bin_:
                     bears = min(n, max(0, s + n - (len(ids[i]) - loss[i])))
