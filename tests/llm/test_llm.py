@@ -131,9 +131,11 @@ def test_fm_index_against_counting():
 
 
 def test_word_ids():
-    e = encoder(WORDS)
+    from tokenizers import Tokenizer
+
+    e, fresh = encoder(WORDS), Tokenizer.from_file(WORDS)
     for t in [r[1] or "" for r in corpus()] + ["I'm 3.5% <|endoftext|> ΣΑΣ é \x00 ok", "a.b,c. .d", "..x,,", "É" * 50]:
-        assert e.text(t).tolist() == e.lib.encode(t, add_special_tokens=False).ids
+        assert e.text(t).tolist() == fresh.encode(t, add_special_tokens=False).ids
 
 
 def test_token_store(docs, empty, spark):
@@ -167,7 +169,7 @@ def test_packing(docs, empty):
 def test_packing_loss_limit():
     tokens, loss = np.array([50, 60, 70, 30, 90]), np.array([40, 10, 70, 30, 5])
     seen = np.zeros(5, int)
-    for bin_ in packing.pack_pool(tokens, loss, (100, 3, 50), True):
+    for bin_ in packing.pack_pool(tokens, loss, (100, 3, 50)):
         used = sum(sum(1 for k in range(s, s + n) if k >= tokens[i] - loss[i]) for i, s, n in bin_)
         assert used <= 50 and sum(n for *_, n in bin_) <= 100 and len(bin_) <= 3
         for i, _, n in bin_:
@@ -306,19 +308,19 @@ def test_toxicity_of_a_small_language(spark):
     assert caught >= 0.8 * sum(y for y, _ in held) > 0 and sum(s for y, s in held if not y) == 0
 
 
-def test_toxic_categories_beyond_the_lists():
-    """A toxic document in another language is no negative of insult and contempt, and can be severe."""
+def test_toxic_categories_of_any_language():
+    """A toxic document is graded by words that the labels of others tell to be toxic, in whatever language."""
     from civiclake.llm.hashed_text import Sample, features
 
-    texts = [f"mot{i % 7} autre{i % 5}" + " sale1 sale2 sale3 sale4" * (i % 4 == 0) for i in range(80)]
+    grade = [0 if i % 4 else (1, 2, 4)[i // 4 % 3] for i in range(240)]
+    texts = [f"mot{i % 7} autre{i % 5} " + " ".join(f"sale{(i // 12 + j) % 5}" for j in range(g)) for i, g in enumerate(grade)]
     made = [features(t, False) for t in texts]
     sample = Sample([(i.astype(np.int32).tobytes(), v.astype(np.float32).tobytes()) for i, v in made], least=2)
-    y = np.array([[i % 4 == 0, 0, 0, 0] for i in range(80)], np.int64)
-    got = toxicity.whole_targets(sample, y)
-    assert got[::4].tolist() == [[1, -1, -1, 1]] * 20 and not got[y[:, 0] == 0].any()
+    got = toxicity.graded_targets(sample, np.array([g > 0 for g in grade], np.int64))
+    assert got.tolist() == [[int(g >= n) for n in (1, 2, 4)] for g in grade]
     model = toxicity.fit_chain(sample, got)
     p = model.predict(np.array([v @ model.weights[i] for i, v in made]))
-    assert (p[::4, 3] > 0.5).all() and (p[y[:, 0] == 0] < 0.5).all()
+    assert ((p[:, 0] > 0.5) == (np.array(grade) > 0)).all() and (p[np.array(grade) == 4, 2].min() > p[np.array(grade) == 1, 2].max())
 
 
 def test_word_ids_of_added_tokens():
