@@ -11,29 +11,33 @@ from civiclake.llm.packing import pack_documents
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are well written with a probability of one half at least; rejected ones go."""
+    """Documents that are well written with a probability of one half at least; rejected ones go.
+
+    The model is fitted on labelled documents that the stage was given. Null and empty texts are judged by the cuts
+    alone, long ones in whole; repeated rows share their fate; an empty table stays empty; other columns ride along.
+    """
     model = quality.train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), quality.label_grade(), quality.GRADES)
     return quality.keep_quality(docs, model)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text."""
+    """One document of each text, the smallest id's. Null texts count as empty; repeated rows and rows without an id leave one each; an empty table stays empty."""
     return exact_dedup.exact_unique(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates, the smallest id's. Null and empty texts, rows without an id and repeated rows of a kept id stay; an empty table stays empty."""
     return near_dedup.near_unique(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, detected entities replaced; n_chars follows the new text."""
+    """Every document, detected entities replaced; n_chars follows the new text. Null texts keep theirs; repeated rows get the same text; an empty table stays empty."""
     out = pii.replace_entities(docs)
     return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training sequences of at most 2048 tokens."""
+    """Training sequences of at most 2048 tokens, one row a piece. Null and empty texts are their end id alone; repeated rows are packed like any other; an empty table gives no pieces."""
     import public_tokenizers
 
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 1)
