@@ -18,6 +18,8 @@ SUPPLIER_SUFFIXES = (
 AMOUNT_RANGES = ((0, 10000), (10001, 100000), (100001, 250000), (250001, 500000), (500001, 1000000), (1000001, 5000000), (5000001, 10000000))
 OPEN_RANGE = (10000001, 50000000)
 DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM", "MM/dd/yyyy", "dd/MM/yyyy", "MMMM d, yyyy", "MMM d, yyyy", "yyyy/MM/dd", "yyyyMMdd")
+#: Milliseconds that count as a time: above 1e10, up to the end of the year 9999.
+EPOCH_FROM, EPOCH_TO = 10_000_000_000, 253_402_300_799_999
 NAMESPACE_DNS = "6ba7b8109dad11d180b400c04fd430c8"
 
 
@@ -33,7 +35,8 @@ def safe_float(c: Column) -> Column:
 
 
 def safe_int(c: Column) -> Column:
-    return safe_float(c).try_cast("bigint")
+    """Toward zero; whole numbers keep all their digits."""
+    return F.coalesce(F.when(_text(c).rlike(r"^[+-]?\d+$"), _text(c).try_cast("bigint")), safe_float(c).try_cast("bigint"))
 
 
 def safe_decimal(c: Column) -> Column:
@@ -45,9 +48,9 @@ def safe_timestamp(c: Column) -> Column:
     t = _text(c)
     # The sign strip above removes commas, which month-name formats need.
     raw = F.trim(c.cast("string"))
-    ms = F.when(t.rlike(r"^\d+(\.0)?$"), t.try_cast("double"))
+    ms = F.regexp_extract(t, r"^(\d{11,15})(\.0)?$", 1).try_cast("bigint")
     parsed = [F.to_timestamp_ntz(F.lit(None).cast("string"))] + [F.try_to_timestamp(raw, F.lit(f)).cast("timestamp_ntz") for f in ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", *DATE_FORMATS)]
-    return F.coalesce(F.when(ms > 1e10, F.timestamp_millis(ms.cast("bigint")).cast("timestamp_ntz")), *parsed[1:])
+    return F.coalesce(F.when(ms.between(EPOCH_FROM + 1, EPOCH_TO), F.timestamp_millis(ms).cast("timestamp_ntz")), *parsed[1:])
 
 
 def safe_date(c: Column) -> Column:
@@ -75,13 +78,18 @@ def clean_zip(c: Column) -> Column:
 
 
 def epoch_date(c: Column) -> Column:
-    """ISO date of epoch milliseconds; small values are no dates."""
-    return F.when(c > 1e10, F.date_format(F.timestamp_millis(c.cast("bigint")), "yyyy-MM-dd"))
+    """ISO date of epoch milliseconds; small values, and those beyond the year 9999, are no dates."""
+    ms = F.when(c.cast("double").between(EPOCH_FROM + 1, EPOCH_TO), c.try_cast("bigint"))
+    return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd")
+
+
+#: Fields that differ between runs over one record.
+VOLATILE = ("scraped_at", "run_id", "record_id", "_timestamp")
 
 
 def record_hash(*columns: str) -> Column:
-    """SHA-256 of the named columns as JSON, in name order, nulls included."""
-    return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
+    """SHA-256 of the named columns as JSON, in name order, nulls included, fields of one run left out."""
+    return F.sha2(F.to_json(F.struct(*sorted(c for c in columns if c not in VOLATILE)), {"ignoreNullFields": "false"}), 256)
 
 
 def content_signature(kind: Column, url: Column, digest: Column) -> Column:
@@ -161,7 +169,7 @@ def ward_label(c: Column) -> Column:
 
 def code_list(c: Column) -> Column:
     parts = F.when(F.contains(c, F.lit(";")), F.split(c, ";")).otherwise(F.split(c, ","))
-    return F.filter(F.transform(parts, F.trim), lambda x: x != "")
+    return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
 
 
 def property_type_flags(c: Column) -> dict[str, Column]:
@@ -184,7 +192,7 @@ def state_of_zip(c: Column) -> Column:
 
 
 def trend_direction(change: Column) -> Column:
-    return F.when(change > 2, "up").when(change < -2, "down").when(change.isNotNull(), "stable")
+    return F.when(change > 2, "up").when(change < -2, "down").otherwise("stable")
 
 
 def spend_tier(spend: Column) -> Column:
@@ -212,3 +220,72 @@ def extras(*columns: str) -> Column:
     """The other raw fields, as a map without nulls."""
     pairs = [x for c in columns for x in (F.lit(c), F.col(c).cast("string"))]
     return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
+
+
+def is_local_zip(c: Column) -> Column:
+    """Five characters that begin with 20."""
+    return F.coalesce((F.length(c) == 5) & c.startswith("20"), F.lit(False))
+
+
+def assessed_value(tax: Column, extra_json: Column, price: Column) -> Column:
+    """The first that is there, 0 included: property tax, an assessment of the extra fields, the price."""
+    extra = [F.get_json_object(extra_json, f"$.{n}") for n in ("ASSESSMENT", "assessment", "assessed_value")]
+    return F.coalesce(*(safe_decimal(c) for c in (tax, *extra, price)))
+
+
+def use_code_type(code: Column, tax_class: Column, kinds: dict[str, str], classes: dict[str, str]) -> Column:
+    """Property type of a use code by the table ``kinds``, else of the tax class by ``classes``, else other."""
+    table = lambda d, c: F.try_element_at(F.create_map(*(F.lit(x) for kv in d.items() for x in kv)), F.trim(c.cast("string"))) if d else F.lit(None).cast("string")
+    return F.coalesce(table(kinds, code), table(classes, tax_class), F.lit("other"))
+
+
+def price_reduced(price: Column, listed: Column) -> Column:
+    return F.coalesce(price < listed, F.lit(False))
+
+
+def composite_id(*parts: Column) -> Column:
+    """The parts that are there, joined by an underscore."""
+    return F.nullif(F.concat_ws("_", *(F.nullif(p.cast("string"), F.lit("")) for p in parts)), F.lit(""))
+
+
+def lot_address(number: Column, street: Column, quadrant: Column) -> Column:
+    return F.nullif(F.concat_ws(" ", *(safe_string(c) for c in (number, street, quadrant))), F.lit(""))
+
+
+def zip_plus_four(zip_code: Column, four: Column) -> Column:
+    z = clean_zip(zip_code)
+    f = safe_string(four)
+    return F.when(f.isNotNull(), F.concat_ws("-", z, F.lpad(f, 4, "0"))).otherwise(z)
+
+
+def lot_area(record: Column, computed: Column) -> Column:
+    """The recorded area, else the computed one; 0 counts as missing."""
+    return F.coalesce(F.nullif(record, F.lit(0.0)), computed)
+
+
+def metric_category(name: Column) -> Column:
+    n = F.lower(name)
+    return F.when(n.contains("rent") | n.contains("zori"), "rent").when(n.contains("inventory"), "inventory").otherwise("sale")
+
+
+def spend_size(spend: Column) -> Column:
+    """The other label set of ``spend_tier``."""
+    return F.when(spend >= 10_000_000, "$10M+").when(spend >= 1_000_000, "$1M-$10M").when(spend >= 100_000, "$100K-$1M").otherwise("Under $100K")
+
+
+def iso_day(c: Column) -> Column:
+    """The date part of a time stamp's text."""
+    return F.split_part(c, F.lit("T"), F.lit(1))
+
+
+def label(c: Column, longest: int) -> Column:
+    return F.left(c, F.lit(longest))
+
+
+def millions(c: Column) -> Column:
+    return F.round(c.cast("double") / 1e6, 2)
+
+
+def json_map(c: Column) -> Column:
+    """A JSON object as a map of texts; null where it is none."""
+    return F.from_json(c, "map<string,string>")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,3 +55,20 @@ def insert_absent(old: DataFrame, new: DataFrame, *keys: str) -> DataFrame:
         c = new[k].eqNullSafe(o[f"__{k}"])
         cond = c if cond is None else cond & c
     return new.join(o, cond, "left_anti")
+
+
+def union_sources(*tables: DataFrame) -> DataFrame:
+    """Rows of sources of one type with a source number; columns that one lacks are null there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (t.withColumn("source_number", F.lit(k)) for k, t in enumerate(tables)))
+
+
+def first_with_url(df: DataFrame, key: str, url: str, *order: str) -> DataFrame:
+    """The first row of each key that has an address; rows with an address but no key all stay."""
+    rows = df.where(F.trim(F.coalesce(F.col(url), F.lit(""))) != "")
+    first = rows.where(F.col(key).isNotNull()).withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("place = 1").drop("place")
+    return first.unionByName(rows.where(F.col(key).isNull()))
+
+
+def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """The distinct values of a dimension in order, without null."""
+    return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civiclake.functions.scalars import entity_id, fiscal_year, po_amount, trend_direction, vendor_key
+from civiclake.functions.scalars import entity_id, fiscal_year, metric_category, po_amount, trend_direction, vendor_key
+from civiclake.sources.scratch import materialize
+from civiclake.operators.order import index_percentile, ranked
 
 MONEY = "decimal(28,2)"
+KINDS = {"contract": ("total_contract_value", "contract_count"), "po": ("total_po_value", "po_count"), "payment": ("total_payments", "payment_count")}
 
 
 def positive_sum(c: Column) -> Column:
@@ -22,45 +25,51 @@ def tagged_spend(contracts: DataFrame, orders: DataFrame, payments: DataFrame) -
     return c.unionByName(o).unionByName(p)
 
 
-def spend_by_vendor(contracts: DataFrame, orders: DataFrame, payments: DataFrame, certified: DataFrame) -> DataFrame:
-    """Per vendor key: sums of positive amounts, counts, agencies, contract years, dates, certification, rank.
+def folded_spend(contracts: DataFrame, orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """``tagged_spend`` folded to kind, vendor, agency and fiscal year: positive sums, rows, rows above zero, first and last day.
 
-    One grouped pass over the tagged union, so a vendor may occur in any source and the map side folds it. The shown
-    name is the most frequent contract name, ties to the smallest.
+    The first fold of every spend table: codegen aggregates before the shuffle, and names are normalized on what is left.
     """
-    rows = tagged_spend(contracts, orders, payments).where(F.coalesce("vendor", F.lit("")) != "").withColumn("vendor_key", vendor_key(F.col("vendor")))
-    kind = lambda k, c: F.when(F.col("kind") == k, c)
-    out = rows.groupBy("vendor_key").agg(
-        *(positive_sum(kind(k, F.col("amount"))).alias(n) for k, n in (("contract", "total_contract_value"), ("po", "total_po_value"), ("payment", "total_payments"))),
-        *(F.count(kind(k, F.lit(1))).alias(n) for k, n in (("contract", "contract_count"), ("po", "po_count"), ("payment", "payment_count"))),
-        F.array_sort(F.collect_set("agency")).alias("agencies"),
-        F.array_sort(F.collect_set(kind("contract", fiscal_year(F.col("day"))))).alias("fiscal_years"),
-        F.min(kind("contract", F.col("day"))).alias("first_contract_date"),
-        F.max(kind("payment", F.col("day"))).alias("last_payment_date"),
-    )
-    names = rows.where("kind = 'contract'").groupBy("vendor_key", "vendor").count()
-    shown = names.groupBy("vendor_key").agg(F.min_by("vendor", F.struct(-F.col("count"), F.col("vendor"))).alias("vendor_name"))
-    flags = certified.select(vendor_key(F.col("business_name")).alias("vendor_key")).distinct().withColumn("is_cbe", F.lit(True))
-    out = out.join(shown, "vendor_key", "left").join(flags, "vendor_key", "left")
-    # The rank runs over one row a vendor.
-    rank = F.row_number().over(Window.orderBy((F.col("total_payments") + F.col("total_contract_value")).desc(), "vendor_key"))
-    return out.select(
-        entity_id(F.col("vendor_key")).alias("vendor_id"), F.coalesce("vendor_name", "vendor_key").alias("vendor_name"), "vendor_key", "total_contract_value", "total_po_value", "total_payments",
-        "contract_count", "po_count", "payment_count", "agencies", F.size("agencies").alias("agency_count"), "fiscal_years", "first_contract_date", "last_payment_date",
-        F.coalesce("is_cbe", F.lit(False)).alias("is_cbe"), F.element_at("agencies", 1).alias("top_agency"), rank.alias("spend_rank"),
+    rows = tagged_spend(contracts, orders, payments).withColumn("year", fiscal_year(F.col("day")))
+    return rows.groupBy("kind", "vendor", "agency", "year").agg(
+        positive_sum(F.col("amount")).alias("amount"), F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("amount") > 0, 1)).alias("n_positive"), F.min("day").alias("first_day"), F.max("day").alias("last_day"),
     )
 
 
-def index_percentile(df: DataFrame, keys: list[str], value: str, percents: tuple[int, ...]) -> DataFrame:
-    """keys, p<k>: the value at place floor(n * p / 100) of the sorted values (0-based, at most n - 1).
+def _of(kind: str, c: Column) -> Column:
+    return F.when(F.col("kind") == kind, c)
+
+
+def _totals() -> list[Column]:
+    sums = [F.coalesce(F.sum(_of(k, F.col("amount"))), F.lit(0)).cast(MONEY).alias(total) for k, (total, _) in KINDS.items()]
+    return sums + [F.coalesce(F.sum(_of(k, F.col("n"))), F.lit(0)).alias(n) for k, (_, n) in KINDS.items()]
 
-    Exact and distributed: equal values fold before the shuffle, then a running count per key picks the place.
+
+def spend_by_vendor(contracts: DataFrame, orders: DataFrame, payments: DataFrame, certified: DataFrame) -> DataFrame:
+    """Per vendor key: sums of positive amounts, counts, average contract, agencies, contract years, dates, certification, rank.
+
+    One pass over the folded union: by raw name, whose key is made once, then by key, so a vendor may occur in any
+    source. The shown name is the most frequent contract name, ties to the smallest.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).count()
-    part = Window.partitionBy(*keys)
-    run = counts.withColumn("upto", F.sum("count").over(part.orderBy(value))).withColumn("n", F.sum("count").over(part))
-    place = lambda p: F.least(F.floor(F.col("n") * p / 100), F.col("n") - 1)
-    return run.groupBy(*keys).agg(*(F.min(F.when(F.col("upto") > place(p), F.col(value))).alias(f"p{p}") for p in percents))
+    rows = folded_spend(contracts, orders, payments).where(F.coalesce("vendor", F.lit("")) != "")
+    names = rows.groupBy("vendor").agg(
+        *_totals(), F.collect_set("agency").alias("agencies"), F.collect_set(_of("contract", F.col("year"))).alias("years"),
+        F.min(_of("contract", F.col("first_day"))).alias("first_contract_date"), F.max(_of("payment", F.col("last_day"))).alias("last_payment_date"),
+    )
+    sums = [F.sum(c).cast(MONEY).alias(c) for c, _ in KINDS.values()] + [F.sum(c).alias(c) for _, c in KINDS.values()]
+    flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    contracted = F.when(F.col("contract_count") > 0, F.struct(-F.col("contract_count"), F.col("vendor")))
+    out = names.withColumn("vendor_key", vendor_key(F.col("vendor"))).groupBy("vendor_key").agg(
+        *sums, flat("agencies").alias("agencies"), flat("years").alias("fiscal_years"), F.min("first_contract_date").alias("first_contract_date"), F.max("last_payment_date").alias("last_payment_date"), F.min_by("vendor", contracted).alias("vendor_name"),
+    )
+    flags = certified.select("business_name").distinct().select(vendor_key(F.col("business_name")).alias("vendor_key")).distinct().withColumn("is_cbe", F.lit(True))
+    out = out.join(flags, "vendor_key", "left").select(
+        entity_id(F.col("vendor_key")).alias("vendor_id"), F.coalesce("vendor_name", "vendor_key").alias("vendor_name"), "vendor_key", "total_contract_value", "total_po_value", "total_payments",
+        "contract_count", "po_count", "payment_count", F.round(F.coalesce(F.try_divide(F.col("total_contract_value").cast("double"), F.col("contract_count")), F.lit(0.0)), 4).alias("average_contract"),
+        "agencies", F.size("agencies").alias("agency_count"), "fiscal_years", "first_contract_date", "last_payment_date",
+        F.coalesce("is_cbe", F.lit(False)).alias("is_cbe"), F.get("agencies", F.lit(0)).alias("top_agency"), (F.col("total_payments") + F.col("total_contract_value")).alias("ranked_spend"),
+    )
+    return ranked(out, "ranked_spend", "vendor_key", "spend_rank").drop("ranked_spend")
 
 
 def property_values_by_ward(properties: DataFrame) -> DataFrame:
@@ -79,14 +88,32 @@ def value_distribution(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.groupBy(key, F.coalesce(F.col(value).cast("string"), F.lit("unknown")).alias(value)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def agency_spend(contracts: DataFrame, orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Per agency: sums of positive amounts, contract count, distinct vendors with a positive amount, shown name."""
-    rows = tagged_spend(contracts, orders, payments).where("agency IS NOT NULL").withColumn("agency_key", F.lower(F.trim("agency")))
-    kind = lambda k, c: F.when(F.col("kind") == k, c)
-    return rows.groupBy("agency_key").agg(
-        F.min("agency").alias("agency_name"), positive_sum(kind("contract", F.col("amount"))).alias("total_contract_value"), positive_sum(kind("po", F.col("amount"))).alias("total_po_value"),
-        positive_sum(kind("payment", F.col("amount"))).alias("total_payments"), F.count(kind("contract", F.lit(1))).alias("contract_count"), F.count_distinct(F.when(F.col("amount") > 0, F.col("vendor"))).alias("vendor_count"),
+def distribution_map(df: DataFrame, key: str, value: str) -> DataFrame:
+    """key, distribution: the counts of each value as one JSON object, values in order."""
+    rows = value_distribution(df, key, value)
+    return rows.groupBy(key).agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(value, "n"))))).alias("distribution"))
+
+
+def agency_spend(contracts: DataFrame, orders: DataFrame, payments: DataFrame, top: int = 10) -> DataFrame:
+    """Per agency: sums of positive amounts, contract count, distinct vendors with a positive amount, shown name, the
+    ``top`` vendors by positive spend (raw names) and positive spend by fiscal year, both as arrays of structs.
+
+    The folded union is stored, so the sources are read once: it is folded by agency and vendor, then by agency, and by year.
+    """
+    rows = folded_spend(contracts, orders, payments).where("agency IS NOT NULL").withColumn("agency_key", F.lower(F.trim("agency")))
+    rows = materialize(rows)
+    vendors = rows.groupBy("agency_key", "vendor").agg(
+        F.min("agency").alias("agency"), *_totals(), F.sum("n_positive").alias("n_positive"), F.sum("amount").cast(MONEY).alias("spend"),
+    )
+    place = F.row_number().over(Window.partitionBy("agency_key").orderBy(F.desc("spend"), "vendor"))
+    best = F.collect_list(F.when((F.col("place") <= top) & F.col("vendor").isNotNull() & (F.col("n_positive") > 0), F.struct("place", "vendor", "spend")))
+    out = vendors.withColumn("place", place).groupBy("agency_key").agg(
+        F.min("agency").alias("agency_name"), *(F.sum(a).cast(MONEY).alias(a) for a, _ in KINDS.values()), F.sum("contract_count").alias("contract_count"),
+        F.count_distinct(F.when(F.col("n_positive") > 0, F.lower(F.trim("vendor")))).alias("vendor_count"), F.transform(F.array_sort(best), lambda x: F.struct(x["vendor"].alias("vendor"), x["spend"].alias("spend"))).alias("top_vendors"),
     )
+    years = rows.where("year IS NOT NULL AND n_positive > 0").groupBy("agency_key", "year").agg(F.sum("amount").cast(MONEY).alias("spend"))
+    years = years.groupBy("agency_key").agg(F.array_sort(F.collect_list(F.struct("year", "spend"))).alias("spend_by_year"))
+    return out.join(years, "agency_key", "left")
 
 
 def top_vendors(payments: DataFrame, n: int = 10) -> DataFrame:
@@ -97,13 +124,13 @@ def top_vendors(payments: DataFrame, n: int = 10) -> DataFrame:
 
 
 def market_trends(stats: DataFrame, year_back: int = 11, points: int = 24) -> DataFrame:
-    """Per series: latest value, change to the row before and to the row ``year_back`` before, direction, points kept."""
+    """Per series: latest value, change to the row before and to the row ``year_back`` before, direction, the last points in time order."""
     series = Window.partitionBy("region_name", "metric_name").orderBy("metric_date", "metric_value")
     back = Window.partitionBy("region_name", "metric_name").orderBy(F.desc("metric_date"), F.desc("metric_value"))
     change = lambda k: F.round(F.try_divide(F.col("v") - F.lag("v", k).over(series), F.lag("v", k).over(series)) * 100, 2)
     rows = stats.withColumn("v", F.col("metric_value").cast("double")).withColumn("mom_change", change(1)).withColumn("yoy_change", change(year_back)).withColumn("place", F.row_number().over(back))
+    last = lambda c, n: F.max(F.when(F.col("place") == 1, F.col(c))).alias(n)
+    history = F.array_sort(F.collect_list(F.when(F.col("place") <= points, F.struct("metric_date", "metric_value"))))
     return rows.groupBy("region_name", "metric_name").agg(
-        F.max(F.when(F.col("place") == 1, F.col("metric_date"))).alias("latest_date"), F.max(F.when(F.col("place") == 1, F.col("v"))).alias("latest_value"),
-        F.max(F.when(F.col("place") == 1, F.col("mom_change"))).alias("mom_change"), F.max(F.when(F.col("place") == 1, F.col("yoy_change"))).alias("yoy_change"),
-        F.count_if(F.col("place") <= points).alias("points"),
-    ).withColumn("trend", trend_direction(F.col("yoy_change")))
+        last("metric_date", "latest_date"), last("v", "latest_value"), last("mom_change", "mom_change"), last("yoy_change", "yoy_change"), F.count_if(F.col("place") <= points).alias("points"), history.alias("history"),
+    ).withColumns({"trend": trend_direction(F.col("yoy_change")), "category": metric_category(F.col("metric_name"))})

@@ -1,59 +1,129 @@
-"""Raw API rows to canonical records: alias mapping, casts, constants, lineage."""
+"""Raw API rows to canonical records: alias mapping, casts, derived values, lineage. Sources are named; adding one is adding an entry."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civiclake.functions.scalars import bathrooms, clean_zip, entity_id, extras, fiscal_year_text, record_hash, safe_date, safe_decimal, safe_float, safe_int, safe_string, state_of_zip, structure_type, ward
+from civiclake.functions.scalars import (
+    bathrooms, clean_phone, clean_zip, code_list, composite_id, entity_id, extras, fiscal_year_text, is_local_zip, lot_address, lot_area, price_reduced, record_hash, safe_bool, safe_date, safe_decimal, safe_float, safe_int, safe_string, state_of_zip, structure_type, use_code_type, ward, zip_plus_four,
+)
+from civiclake.operators.validate import route, rules_for
 
-CAST = {"string": safe_string, "int": safe_int, "float": safe_float, "money": safe_decimal, "date": safe_date, "zip": clean_zip, "fiscal": fiscal_year_text, "ward": ward}
+CAST = {"string": safe_string, "int": safe_int, "float": safe_float, "money": safe_decimal, "date": safe_date, "zip": clean_zip, "phone": clean_phone, "bool": safe_bool, "codes": code_list, "fiscal": fiscal_year_text, "ward": ward}
+SCHEMA_VERSION, PARSER_VERSION = "1", "1"
+Raw = Callable[[str], Column]
 
 
 @dataclass(frozen=True)
 class Source:
-    """A canonical schema: target -> (kind, raw aliases); derived columns over the raw ones; the id."""
+    """A canonical schema: target -> (kind, raw aliases); values derived from raw fields (null where absent); the id; rules."""
 
     name: str
     fields: dict[str, tuple]
-    derived: dict[str, Column] = field(default_factory=dict)
-    id: tuple[str, ...] = ()
+    derived: dict[str, Callable[[Raw], Column]] = field(default_factory=dict)
+    id: tuple = ()
+    rules: str | None = None
 
 
-def normalize(df: DataFrame, source: Source, run_id: str = "batch") -> DataFrame:
-    """One select: each target is its first alias that is there, cast; the other raw fields stay in a map."""
+def normalize(df: DataFrame, source: Source, run_id: str = "batch", url: str | None = None, scraped_at=None) -> DataFrame:
+    """One select: each target is its first alias that is there, cast; the other raw fields stay in a map.
+
+    ``source_record_id`` is the id fields' text joined by ``_``, ``record_id`` its hash; without an id the record's own
+    hash takes its place. Raw fields that the table lacks are null.
+    """
     have = set(df.columns)
-    out, used = [], set()
+    raw = lambda c: (F.col(c) if c in have else F.lit(None)).cast("string")
+    out, used = [], {c for c in source.id if isinstance(c, str)}
     for target, (kind, *aliases) in source.fields.items():
         found = [a for a in aliases if a in have]
         used.update(found)
-        raw = F.coalesce(*(F.col(a).cast("string") for a in found)) if found else F.lit(None).cast("string")
-        out.append(CAST[kind](raw).alias(target))
+        out.append(CAST[kind](F.coalesce(*map(raw, found)) if found else F.lit(None).cast("string")).alias(target))
     rest = sorted(have - used)
-    ids = [F.col(c).cast("string") for c in source.id if c in have]
-    lineage = [F.lit(source.name).alias("lineage_source"), F.lit(run_id).alias("lineage_run_id"), record_hash(*sorted(have)).alias("lineage_raw_hash")]
-    record = entity_id(F.concat_ws("_", *ids)) if ids else entity_id(record_hash(*sorted(have)))
-    return df.select(record.alias("record_id"), *out, *(c.alias(n) for n, c in source.derived.items()), (extras(*rest) if rest else F.lit(None).cast("map<string,string>")).alias("extra"), *lineage)
+    digest = record_hash(*sorted(have))
+    plain = composite_id(*(c(raw) if callable(c) else raw(c) for c in source.id)) if source.id else F.lit(None).cast("string")
+    lineage = {"source": F.lit(source.name), "url": F.lit(url).cast("string"), "scraped_at": F.lit(scraped_at).cast("timestamp"), "run_id": F.lit(run_id), "raw_hash": digest, "schema_version": F.lit(SCHEMA_VERSION), "parser_version": F.lit(PARSER_VERSION)}
+    return df.select(
+        entity_id(plain, digest).alias("record_id"), plain.alias("source_record_id"), *out, *(f(raw).alias(n) for n, f in source.derived.items()),
+        (extras(*rest) if rest else F.lit(None).cast("map<string,string>")).alias("extra"), *(c.alias(f"lineage_{n}") for n, c in lineage.items()), F.to_date(F.lit(scraped_at).cast("timestamp")).alias("partition_date"),
+    )
+
+
+def ingest(df: DataFrame, source: Source, transform: Callable[[DataFrame], DataFrame] | None = None, **lineage) -> tuple[DataFrame, DataFrame]:
+    """Canonical records and quarantined rows of raw rows, by the source's rules; ``transform`` is a user's own step on the records."""
+    good, bad = route(df, rules_for(source.rules or source.name, df.columns), source.name)
+    records = normalize(good, source, **lineage)
+    return (records.transform(transform) if transform else records), bad
+
+
+def month_of(raw: Raw, c: str) -> Column:
+    return F.substring(raw(c), 1, 7)
+
+
+#: Property types by use code, and by tax class where the code tells none.
+USE_CODES = {
+    "11": "townhouse", "12": "single_family", "13": "townhouse", "14": "condo", "15": "condo", "16": "multi_family", "17": "multi_family", "19": "multi_family",
+    "21": "commercial", "22": "commercial", "23": "commercial", "24": "commercial", "25": "commercial", "26": "commercial", "29": "commercial",
+    "31": "other", "32": "other", "33": "other", "34": "other", "35": "other", "91": "land", "92": "land", "93": "land",
+}
+TAX_CLASSES = {"001": "single_family", "002": "commercial", "003": "land", "004": "other"}
+#: Regions of interest by name and by the beginning of the zip.
+METRO_NAMES = ("Washington", "Arlington", "Alexandria", "Baltimore")
+METRO_ZIPS = ("200", "201", "202", "207", "208", "209", "220", "221", "222", "223")
+#: Metrics of a rental market object and their names in rows.
+RENT_METRICS = {"averageRent": "average_rent", "medianRent": "median_rent", "minRent": "min_rent", "maxRent": "max_rent", "averageRentPerSqft": "average_rent_per_sqft", "occupancyRate": "occupancy_rate", "daysOnMarket": "days_on_market", "totalListings": "total_listings"}
 
 
 def sources() -> dict[str, Source]:
-    """The sources by name; adding one is adding an entry."""
-    place = {"latitude": ("float", "LATITUDE"), "longitude": ("float", "LONGITUDE")}
+    """The sources by name."""
+    place = {"latitude": ("float", "LATITUDE", "latitude"), "longitude": ("float", "LONGITUDE", "longitude")}
+    series = {"region_name": ("string", "region_name", "zip_code"), "metric_name": ("string", "metric_name"), "metric_date": ("date", "metric_date"), "metric_value": ("float", "metric_value")}
+    full_price = lambda raw: F.concat(F.lit("$"), F.format_number(safe_decimal(raw("POTOTAL")), 2))
     made = [
-        Source("contracts", {"contract_number": ("string", "CONTRACT_NUMBER", "CONTRACTNUMBER"), "agency_name": ("string", "AGENCY_NAME", "AGENCY"), "supplier_name": ("string", "SUPPLIER", "SUPPLIERNAME"), "contract_amount": ("money", "CONTRACTAMOUNT"), "fiscal_year": ("fiscal", "FISCALYEAR"), "start_date": ("date", "STARTDATE")}, id=("CONTRACT_NUMBER",)),
+        Source("contracts", {"contract_number": ("string", "CONTRACT_NUMBER", "CONTRACTNUMBER"), "title": ("string", "TITLE", "CONTRACT_TITLE"), "agency_name": ("string", "AGENCY_NAME", "AGENCY"), "supplier_name": ("string", "SUPPLIER", "SUPPLIERNAME"), "contract_amount": ("money", "CONTRACTAMOUNT"), "fiscal_year": ("fiscal", "FISCALYEAR"), "start_date": ("date", "STARTDATE"), "end_date": ("date", "ENDDATE"), "nigp_codes": ("codes", "NIGP_CODES")}, id=("CONTRACT_NUMBER",)),
         Source("payments", {"supplier_name": ("string", "SUPPLIERNAME", "SUPPLIER"), "agency_name": ("string", "AGENCY_NAME", "AGENCY"), "payment_amount": ("money", "PAYMENTAMOUNT"), "payment_date": ("date", "PAYMENTDATE"), "fiscal_year": ("fiscal", "FISCALYEAR"), "contract_number": ("string", "CONTRACT_NUMBER")}, id=("PAYMENTID",)),
-        Source("purchase_orders", {"agency_name": ("string", "AGENCY_NAME"), "supplier_name": ("string", "SUPPLIER"), "amount_min": ("money", "POTOTAL"), "amount_max": ("money", "POTOTAL"), "order_date": ("date", "ORDERDATE"), "fiscal_year": ("fiscal", "FISCALYEAR")}, id=("PONUMBER",)),
-        Source("appraisals", {"ssl": ("string", "SSL"), "bedrooms": ("int", "BEDRM"), "price": ("money", "PRICE"), "sale_date": ("date", "SALEDATE"), "year_built": ("int", "AYB"), "sqft": ("float", "GBA")}, {"bathrooms": bathrooms(safe_float(F.col("BATHRM")), safe_float(F.col("HF_BATHRM"))), "property_type": structure_type(F.coalesce(F.col("STRUCT_D"), F.lit("")))}, ("SSL",)),
-        Source("assessments", {"ssl": ("string", "SSL"), "ward": ("ward", "WARD", "ASSESSWARD"), "property_tax": ("money", "ASSESSMENT", "NEWTOTAL"), "land_area": ("float", "LANDAREA"), "address": ("string", "PREMISEADD")}, id=("SSL",)),
-        Source("sales", {"ssl": ("string", "SSL"), "price": ("money", "SALEPRICE", "PRICE"), "sale_date": ("date", "SALEDATE")}, {"qualified": F.upper("QUALIFIED").isin("Q", "Y", "QUALIFIED")}, ("SSL", "SALEDATE")),
-        Source("lots", {"ssl": ("string", "SSL"), "lot_area": ("float", "RECORD_AREA", "COMPUTED_AREA"), "zip": ("zip", "ZIP")}, id=("SSL",)),
+        Source("purchase_orders", {"agency_name": ("string", "AGENCY_NAME"), "supplier_name": ("string", "SUPPLIER"), "amount_min": ("money", "POTOTAL"), "amount_max": ("money", "POTOTAL"), "order_date": ("date", "ORDERDATE"), "fiscal_year": ("fiscal", "FISCALYEAR")}, {"amount_label": full_price}, ("PONUMBER",)),
+        Source("appraisals", {"ssl": ("string", "SSL"), "bedrooms": ("int", "BEDRM"), "price": ("money", "PRICE"), "sale_date": ("date", "SALEDATE"), "year_built": ("int", "AYB"), "sqft": ("float", "GBA")}, {"bathrooms": lambda raw: bathrooms(safe_float(raw("BATHRM")), safe_float(raw("HF_BATHRM"))), "property_type": lambda raw: structure_type(F.coalesce(raw("STRUCT_D"), F.lit("")))}, ("SSL",)),
+        Source("assessments", {"ssl": ("string", "SSL"), "ward": ("ward", "WARD", "ASSESSWARD"), "property_tax": ("money", "ASSESSMENT", "NEWTOTAL"), "land_area": ("float", "LANDAREA"), "address": ("string", "PREMISEADD")}, {"property_type": lambda raw: use_code_type(raw("USECODE"), raw("TAXCLASS"), USE_CODES, TAX_CLASSES)}, ("SSL",)),
+        Source("sales", {"ssl": ("string", "SSL"), "price": ("money", "SALEPRICE", "PRICE"), "sale_date": ("date", "SALEDATE")}, {"qualified": lambda raw: F.coalesce(F.upper(raw("QUALIFIED")).isin("Q", "Y", "QUALIFIED"), F.lit(False))}, ("SSL", "SALEDATE")),
+        Source("lots", {"ssl": ("string", "SSL"), "zip": ("zip", "ZIP", "ZIPCODE")}, {"lot_area": lambda raw: lot_area(safe_float(raw("RECORD_AREA")), safe_float(raw("COMPUTED_AREA"))), "address": lambda raw: lot_address(raw("ADDRNUM"), raw("STNAME"), raw("QUADRANT")), "zip_plus_four": lambda raw: zip_plus_four(F.coalesce(raw("ZIP"), raw("ZIPCODE")), raw("ZIP4"))}, ("SSL",)),
         Source("wards", {"region_name": ("string", "NAME"), "ward": ("ward", "WARD"), "metric_value": ("float", "POP100")}, id=("WARD",)),
-        Source("businesses", {"business_name": ("string", "BUSINESS_NAME", "ENTITY_NAME"), "license": ("string", "LICENSE_NUMBER"), "ward": ("ward", "WARD"), **place}, id=("LICENSE_NUMBER",)),
+        Source("businesses", {"business_name": ("string", "BUSINESS_NAME", "ENTITY_NAME"), "license": ("string", "LICENSE_NUMBER"), "solicitation": ("string", "SOLICITATION_NUMBER"), "categories": ("codes", "CERTIFICATION_CATEGORIES"), "phone": ("phone", "PHONE"), "ward": ("ward", "WARD"), **place}, id=("LICENSE_NUMBER", "SOLICITATION_NUMBER")),
         Source("housing", {"project_name": ("string", "PROJECT_NAME"), "units": ("int", "UNITS"), "ward": ("ward", "WARD"), **place}, id=("OBJECTID",)),
-        Source("market", {"region_name": ("string", "region_name", "zip_code"), "metric_name": ("string", "metric_name"), "metric_date": ("date", "metric_date"), "metric_value": ("float", "metric_value")}, id=("region_name", "metric_name", "metric_date")),
-        Source("listings", {"listing_id": ("string", "listing_id"), "address": ("string", "address"), "price": ("money", "price"), "sqft": ("float", "sqft"), "zip": ("zip", "zip_code")}, {"price_per_sqft": F.round(F.try_divide(safe_float(F.col("price")), safe_float(F.col("sqft"))), 2), "state": state_of_zip(F.col("zip_code"))}, ("listing_id",)),
-        Source("demographics", {"region_name": ("string", "region_name"), "metric_name": ("string", "metric_name"), "category": ("string", "category"), "metric_value": ("float", "metric_value")}, id=("region_name", "metric_name")),
-    ]
+        Source("market", series, id=("region_name", "zip_code", "metric_name", lambda raw: month_of(raw, "metric_date"))),
+        Source("rent_metrics", {"region_name": ("string", "zip_code", "region_name"), **{k: v for k, v in series.items() if k != "region_name"}}, {"state": lambda raw: state_of_zip(raw("zip_code"))}, ("zip_code", "property_type", "metric_name", lambda raw: month_of(raw, "metric_date")), "market"),
+        Source("listings", {"listing_id": ("string", "listing_id"), "address": ("string", "address"), "price": ("money", "price"), "sqft": ("float", "sqft"), "zip": ("zip", "zip_code"), **place}, {"price_per_sqft": lambda raw: F.round(F.try_divide(safe_decimal(raw("price")), safe_decimal(raw("sqft"))), 2).cast("double"), "state": lambda raw: state_of_zip(raw("zip_code")), "price_reduced": lambda raw: price_reduced(safe_float(raw("price")), safe_float(raw("list_price")))}, ("listing_id",)),
+        Source("rentals", {"property_name": ("string", "property_name"), "unit_number": ("string", "unit_number"), "floor": ("int", "floor"), "floor_plan_name": ("string", "floor_plan_name"), "rent_price": ("money", "price"), "bedrooms": ("int", "bedrooms"), "bathrooms": ("float", "bathrooms"), "sqft": ("int", "sqft"), "status": ("string", "status"), "city": ("string", "city"), "state": ("string", "state"), "available_date": ("date", "available_date")}, id=("unit_number",)),
+        Source("demographics", {"region_name": ("string", "region_name"), "metric_name": ("string", "metric_name"), "category": ("string", "category"), "metric_value": ("float", "metric_value")}, id=("region_name", "metric_name", "category")),
+        Source("locations", {"ssl": ("string", "SSL"), "address": ("string", "FULLADDRESS"), "ward": ("ward", "WARD"), "zip": ("zip", "ZIPCODE"), **place}, {"is_local": lambda raw: is_local_zip(clean_zip(raw("ZIPCODE")))}, ("SSL",)),
+        Source("highlights", {"historic_district": ("string", "historic_district"), "historic_landmark": ("string", "historic_landmark"), "zoning": ("string", "zoning"), "ward": ("string", "ward"), "anc": ("string", "anc"), "flood_plain": ("string", "flood_plain"), **place}, {f"{flag}": (lambda raw, c=c: safe_string(raw(c)).isNotNull()) for flag, c in (("in_historic_district", "historic_district"), ("is_historic_landmark", "historic_landmark"), ("in_flood_plain", "flood_plain"))}, ("latitude", "longitude"), "locations"),
+    ]
     return {s.name: s for s in made}
+
+
+def in_regions(df: DataFrame, name: str, zip_code: str, names: tuple[str, ...] = METRO_NAMES, prefixes: tuple[str, ...] = METRO_ZIPS) -> DataFrame:
+    """Rows whose region name holds one of ``names``, or whose zip, padded to five, begins with one of ``prefixes``."""
+    held = reduce(lambda a, b: a | b, (F.contains(F.lower(F.col(name)), F.lit(n.lower())) for n in names))
+    return df.where(F.coalesce(held, F.lit(False)) | F.coalesce(F.substring(F.lpad(F.col(zip_code).cast("string"), 5, "0"), 1, 3).isin(*prefixes), F.lit(False)))
+
+
+def metric_rows(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
+    """One row per metric of a stats object that has a value: keys, metric_name, metric_value."""
+    pairs = F.array(*(F.struct(F.lit(n).alias("metric_name"), c.cast("double").alias("metric_value")) for n, c in stats.items()))
+    return df.select(*keys, F.inline(F.filter(pairs, lambda p: p["metric_value"].isNotNull())))
+
+
+def listing_rows(payloads: DataFrame, column: str, schema: str, paths: tuple[str, ...] = ("data.home_search.results", "data.results", "results")) -> DataFrame:
+    """The listings of a JSON reply, from the first of ``paths`` that holds an array."""
+    found = F.coalesce(*(F.from_json(F.get_json_object(column, f"$.{p}"), f"array<struct<{schema}>>") for p in paths))
+    return payloads.select(F.inline(found))
+
+
+def latest_metric(df: DataFrame, entity: str, metric: str, date: str, *tie: str) -> DataFrame:
+    """The newest row of each metric of each entity."""
+    newest = Window.partitionBy(entity, metric).orderBy(F.desc_nulls_last(date), *tie)
+    return df.withColumn("place", F.row_number().over(newest)).where("place = 1").drop("place")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from civiclake.functions.scalars import safe_bool
+from civiclake.sources.scratch import materialize
+
 #: Lines that open a section (capitals, numbered, SECTION, ARTICLE, PART), shorter than HEADING characters.
 HEADINGS = (r"[A-Z][A-Z\s]{2,50}", r"\d+\.?\s+[A-Z][A-Za-z\s]+", r"SECTION\s+\d+[:\s].+", r"ARTICLE\s+\d+[:\s].+", r"PART\s+[A-Z0-9]+[:\s].+")
 HEADING = 100
@@ -40,11 +43,12 @@ def top_ngrams(docs: DataFrame, n: int, top: int) -> DataFrame:
     return grams.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("uses"), "gram"))).where(F.col("place") <= top).drop("place")
 
 
-def token_stats(docs: DataFrame) -> DataFrame:
+def token_stats(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, tokens, distinct tokens, sentences, mean token length, mean tokens a sentence, and ``more`` over the document."""
     t = F.col("t")
     letters = F.aggregate(t, F.lit(0), lambda a, w: a + F.length(w))
-    rows = docs.select("doc_id", tokens(F.col("text")).alias("t"), F.size(sentences(F.col("text"))).alias("n_sentences"))
-    return rows.select("doc_id", F.size(t).alias("n_tokens"), F.size(F.array_distinct(t)).alias("n_unique"), "n_sentences", F.round(F.coalesce(F.try_divide(letters, F.size(t)), F.lit(0.0)), 4).alias("mean_length"))
+    rows = docs.select("doc_id", tokens(F.col("text")).alias("t"), F.size(sentences(F.col("text"))).alias("n_sentences"), *more)
+    return rows.select(*(c for c in rows.columns if c not in ("t", "n_sentences")), F.size(t).alias("n_tokens"), F.size(F.array_distinct(t)).alias("n_unique"), "n_sentences", F.round(F.coalesce(F.try_divide(letters, F.size(t)), F.lit(0.0)), 4).alias("mean_length"), F.round(F.coalesce(F.try_divide(F.size(t), F.nullif("n_sentences", F.lit(0))), F.lit(0.0)), 4).alias("mean_sentence"))
 
 
 def canonical_url(c: Column) -> Column:
@@ -54,29 +58,131 @@ def canonical_url(c: Column) -> Column:
     return F.concat(F.lower(head), F.substring(base, F.length(head) + 1, F.length(base)))
 
 
+#: Character references that addresses hold.
+REFERENCES = (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+
+
+def unescape(c: Column) -> Column:
+    for name, sign in REFERENCES:
+        c = F.replace(c, F.lit(name), F.lit(sign))
+    return c
+
+
 def page_parts(pages: DataFrame) -> DataFrame:
-    """page_id, url, title, headings, visible text, links."""
-    body = F.regexp_replace("html", r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->", " ")
+    """page_id, url, title, description, headings, visible text, links (quoted either way or not at all)."""
+    body = F.regexp_replace("html", r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>|<!--.*?-->", " ")
+    meta = r"""(?is)<meta\b[^>]*\bname=["']description["'][^>]*\bcontent=["']([^"']*)["']"""
+    link = r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    found = [F.regexp_extract_all(body, F.lit(link), F.lit(k)) for k in (1, 2, 3)]
     return pages.select(
-        "page_id", canonical_url(F.col("url")).alias("url"), F.trim(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"),
+        "page_id", canonical_url(F.col("url")).alias("url"), F.trim(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"), F.nullif(F.trim(unescape(F.regexp_extract("html", meta, 1))), F.lit("")).alias("description"),
         F.regexp_extract_all(body, F.lit(r"(?is)<h[1-3][^>]*>(.*?)</h[1-3]>"), F.lit(1)).alias("headings"), clean(F.regexp_replace(body, r"(?s)<[^>]*>", " ")).alias("text"),
-        F.regexp_extract_all(body, F.lit(r"(?is)<a\b[^>]*\bhref=\"([^\"]*)\""), F.lit(1)).alias("links"),
+        F.transform(F.arrays_zip(found[0].alias("a"), found[1].alias("b"), found[2].alias("c")), lambda x: F.trim(unescape(F.concat(x["a"], x["b"], x["c"])))).alias("links"),
     )
 
 
+def resolve(base: Column, link: Column) -> Column:
+    """An address on a page made absolute: against its scheme, host or folder, without dot segments."""
+    scheme, origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1), F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
+    page = F.regexp_replace(base, r"[?#].*$", "")
+    path = F.substring(page, F.length(origin) + 1, F.length(page))
+    folder = F.coalesce(F.nullif(F.regexp_extract(path, r"^.*/", 0), F.lit("")), F.lit("/"))
+    full = F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link).when(link.startswith("//"), F.concat(scheme, F.lit(":"), link)).when(link.startswith("/"), F.concat(origin, link)).when(link.startswith("?"), F.concat(page, link)).otherwise(F.concat(origin, folder, link))
+    head = F.regexp_extract(full, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
+    rest = F.substring(full, F.length(head) + 1, F.length(full))
+    where, tail = F.regexp_extract(rest, r"^[^?#]*", 0), F.regexp_extract(rest, r"[?#].*$", 0)
+    step = lambda done, s: F.when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).when(s == ".", done).otherwise(F.concat(done, F.array(s)))
+    flat = F.array_join(F.aggregate(F.split(where, "/"), F.array().cast("array<string>"), step), "/")
+    flat = F.concat(flat, F.when(where.rlike(r"/\.{1,2}$") & ~flat.endswith("/"), "/").otherwise(""))
+    return F.when((head != "") & where.rlike(r"(?:^|/)\.{1,2}(?:/|$)"), F.concat(head, flat, tail)).otherwise(full)
+
+
+def host_of(url: Column) -> Column:
+    return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """page_id, link (absolute), kind: internal, external or pdf; anchors, scripts and mail left out."""
-    rows = page_parts(pages).select("page_id", "url", F.explode(F.array_distinct("links")).alias("raw")).where(~F.lower("raw").rlike(r"^(#|javascript:|mailto:)|^$"))
-    origin = F.regexp_extract("url", r"^[a-z][a-z0-9+.-]*://[^/?]*", 0)
-    link = F.when(F.col("raw").rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), F.col("raw")).when(F.col("raw").startswith("/"), F.concat(origin, F.col("raw"))).otherwise(F.concat(origin, F.lit("/"), F.col("raw")))
-    rows = rows.withColumn("link", canonical_url(link)).withColumn("origin", origin)
-    kind = F.when(F.lower("link").rlike(r"\.pdf($|\?)"), "pdf").when(F.col("link").startswith(F.col("origin")), "internal").otherwise("external")
+    """page_id, link (absolute), kind: internal (the same host), external or pdf; anchors, scripts and mail left out; each once."""
+    rows = page_parts(pages).select("page_id", "url", F.explode(F.array_distinct("links")).alias("raw")).where(~F.lower("raw").rlike(r"^(#|javascript:|mailto:|tel:|data:)|^$"))
+    rows = rows.withColumn("link", canonical_url(resolve(F.col("url"), F.col("raw"))))
+    kind = F.when(F.lower("link").rlike(r"\.pdf($|\?)"), "pdf").when(host_of(F.col("link")) == host_of(F.col("url")), "internal").otherwise("external")
     return rows.select("page_id", "link", kind.alias("kind")).distinct()
 
 
+def capped_links(links: DataFrame, caps: dict[str, int]) -> DataFrame:
+    """The first links of each page and kind, in their order, up to the stored number of the kind."""
+    limit = F.create_map(*(F.lit(x) for kv in caps.items() for x in kv))
+    place = F.row_number().over(Window.partitionBy("page_id", "kind").orderBy("link"))
+    return links.withColumn("place", place).where(F.col("place") <= F.coalesce(F.try_element_at(limit, F.col("kind")), F.lit(1 << 30))).drop("place")
+
+
+def allowed(links: DataFrame, own: str, link: str, hosts: DataFrame, prefix: str = "/") -> DataFrame:
+    """Links on the page's own host, or between two hosts of the list (column ``host``), whose path begins with ``prefix``."""
+    a, b = (hosts.select(F.lower("host").alias(f"{n}_host")).distinct().withColumn(f"{n}_listed", F.lit(True)) for n in ("own", "link"))
+    rows = links.withColumns({"own_host": host_of(F.col(own)), "link_host": host_of(F.col(link))}).join(a, "own_host", "left").join(b, "link_host", "left")
+    path = F.regexp_extract(link, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    near = (F.col("own_host") == F.col("link_host")) | (F.coalesce("own_listed", F.lit(False)) & F.coalesce("link_listed", F.lit(False)))
+    return rows.where(near & F.when(path == "", F.lit("/")).otherwise(path).startswith(prefix)).select(*links.columns)
+
+
+def attachment_name(url: Column, text: Column) -> Column:
+    """The PDF name at the end of the address's path, else one in the link's text, else a name from the address's hash."""
+    path = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
+    own = F.when(path.endswith(".pdf"), F.substring_index(path, "/", -1))
+    told = F.nullif(F.regexp_extract(F.coalesce(text, F.lit("")), r"(?i)[\w-]+\.pdf", 0), F.lit(""))
+    return F.coalesce(own, told, F.concat(F.lit("attachment_"), F.substring(F.md5(url), 1, 8), F.lit(".pdf")))
+
+
+#: Patterns that tell drawings from other files by name or link text.
+DRAWINGS = (
+    r"drawing", r"dwg", r"cad", r"plan[s]?\s*(sheet|set)", r"architectural\s*plan", r"structural\s*plan", r"mep\s*plan", r"civil\s*plan",
+    r"floor\s*plan", r"site\s*plan", r"elevation", r"section\s*view", r"detail\s*sheet", r"[A-Z]\d{3}",
+)
+
+
+def is_drawing(name: Column, text: Column | None = None) -> Column:
+    """Whether a file's name or its link's text tells a drawing."""
+    both = F.concat_ws(" ", name, text if text is not None else F.lit(""))
+    return both.rlike("(?i)" + "|".join(f"(?:{p})" for p in DRAWINGS))
+
+
+def service_metadata(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with name, layer_id, geometry_type, n_fields, feature_count and limited of a service's JSON description; null where it has none."""
+    at = lambda k: F.get_json_object(column, f"$.{k}")
+    return rows.withColumns({
+        "name": at("name"), "layer_id": at("id").try_cast("int"), "geometry_type": at("geometryType"), "n_fields": F.coalesce(F.json_array_length(at("fields")), F.lit(0)),
+        "feature_count": F.coalesce(F.json_array_length(at("features")).cast("bigint"), at("count").try_cast("bigint")), "limited": F.coalesce(safe_bool(at("exceededTransferLimit")), F.lit(False)),
+    })
+
+
+#: English words that search tokens leave out.
+STOPWORDS = tuple(
+    (
+    "a an the and or but in on at to for of with by from as is was are were been be have has had do does did will would could should may might must shall can "
+    "need this that these those it its they them their we us our you your he she his her not no all any some each every both few more most other into through "
+    "during before after above below between under again further then once here there when where why how what which who whom if because until while about against "
+    "over such only own same so than too very just also now per"
+    ).split()
+)
+
+
+def search_tokens(docs: DataFrame, stopwords: tuple[str, ...] = STOPWORDS) -> DataFrame:
+    """doc_id, token, uses: tokens without stop words, for an inverted index."""
+    return docs.select("doc_id", F.explode(tokens(F.col("text"), stopwords)).alias("token")).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("uses"))
+
+
+def document_table(docs: DataFrame, parent: str | None = None, most_tokens: int = 10_000, most_sentences: int = 1000) -> DataFrame:
+    """One row a document: its id and parent's, digest, sizes, and its first tokens and sentences, as stored."""
+    t, s = tokens(F.col("text")), sentences(F.col("text"))
+    rows = docs.select("doc_id", (F.col(parent) if parent else F.lit(None).cast("string")).alias("parent_id"), F.sha2("text", 256).alias("content_hash"), F.length("text").alias("n_chars"), t.alias("t"), s.alias("s"))
+    return rows.select("doc_id", "parent_id", "content_hash", "n_chars", F.size("t").alias("n_tokens"), F.size("s").alias("n_sentences"), F.slice("t", 1, most_tokens).alias("tokens"), F.slice("s", 1, most_sentences).alias("sentences"))
+
+
 def file_type(content: Column) -> Column:
+    """pdf, office (a zip with office parts), zip, ole or unknown, by the leading bytes."""
     head = F.hex(F.substring(content, 1, 8))
-    return F.when(head.startswith("25504446"), "pdf").when(head.startswith("504B0304"), "zip").when(head.startswith("D0CF11E0"), "ole").otherwise("unknown")
+    office = F.contains(F.hex(F.substring(content, 1, 4096)), F.hex(F.lit("[Content_Types]")))
+    return F.when(head.startswith("25504446"), "pdf").when(head.startswith("504B0304"), F.when(office, "office").otherwise("zip")).when(head.startswith("D0CF11E0"), "ole").otherwise("unknown")
 
 
 def sections(docs: DataFrame, body: int | None = SECTION_BODY, most: int | None = SECTIONS) -> DataFrame:
@@ -103,7 +209,8 @@ def reach(links: DataFrame, seeds: DataFrame, depth: int = 3) -> DataFrame:
     """
     hops = links.select("source", "target", F.lit(1).alias("cost")).where("source <> target").distinct()
     known = seeds.select("url").unionByName(links.select(F.col("source").alias("url"))).unionByName(links.select(F.col("target").alias("url"))).distinct()
-    hops = hops.unionByName(known.select(F.col("url").alias("source"), F.col("url").alias("target"), F.lit(0).alias("cost")))
+    # Stored, as every step reads them.
+    hops = materialize(hops.unionByName(known.select(F.col("url").alias("source"), F.col("url").alias("target"), F.lit(0).alias("cost"))))
     out = seeds.select("url", F.lit(0).alias("depth")).where("url IS NOT NULL").distinct()
     for _ in range(depth):
         out = out.join(hops, F.col("url") == F.col("source")).groupBy(F.col("target").alias("url")).agg(F.min(F.col("depth") + F.col("cost")).alias("depth"))

@@ -10,7 +10,10 @@ VIEWS = {
   l_returnflag AS payment_type, CAST(l_orderkey AS BIGINT) AS contract_number, l_linenumber AS line, CAST(l_quantity AS BIGINT) AS quantity
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
     "contracts": """SELECT CAST(o_orderkey AS BIGINT) AS contract_number, concat(s_name, ' LLC') AS supplier_name, n_name AS agency_name,
-  CAST(o_totalprice AS DECIMAL(18,2)) AS contract_amount, CAST(o_orderdate AS DATE) AS start_date, o_orderpriority AS contract_type, o_orderstatus AS status
+  CAST(o_totalprice AS DECIMAL(18,2)) AS contract_amount, CAST(o_orderdate AS DATE) AS start_date, o_orderpriority AS contract_type, o_orderstatus AS status,
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE concat('Supply of ', o_orderpriority) END AS title, concat('Order ', CAST(o_orderkey AS VARCHAR(20))) AS description,
+  CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN concat(' ', o_orderstatus, '10 ; ', o_orderstatus, '20;') ELSE concat(o_orderstatus, '10, ', o_orderstatus, '30') END AS nigp_codes,
+  CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 THEN ' ' ELSE concat('https://contracts.example.gov/', CAST(o_orderkey AS VARCHAR(20)), '.pdf') END AS url
 FROM orders JOIN (SELECT l_orderkey, min(l_suppkey) AS first_supplier FROM lineitem GROUP BY l_orderkey) x ON l_orderkey = o_orderkey
   JOIN supplier ON first_supplier = s_suppkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
     "purchase_orders": """SELECT concat(s_name, ' Inc') AS supplier_name, n_name AS agency_name,
@@ -19,7 +22,10 @@ FROM orders JOIN (SELECT l_orderkey, min(l_suppkey) AS first_supplier FROM linei
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE l_returnflag = 'R'""",
     "cbe_businesses": "SELECT concat(upper(s_name), ' LLC') AS business_name, n_name AS certification FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0",
     "properties": """SELECT CAST(p_partkey AS BIGINT) AS property_id, p_size AS ward, CAST(p_retailprice AS DECIMAL(18,2)) AS price, p_size * 20 + 400 AS sqft, p_type AS property_type,
-  CAST(p_partkey % 6 AS INT) AS bedrooms, CAST(p_partkey % 4 AS INT) AS bathrooms, CAST(1900 + p_partkey % 120 AS INT) AS year_built FROM part""",
+  CAST(p_partkey % 6 AS INT) AS bedrooms, CAST(p_partkey % 4 AS INT) AS bathrooms, CAST(1900 + p_partkey % 120 AS INT) AS year_built,
+  CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(p_size * 100 + p_partkey % 1000 AS DOUBLE) END AS lot_sqft, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE DATE '1995-01-01' + CAST(p_partkey % 2500 AS INT) END AS sold_date, p_brand AS city FROM part""",
+    "places": """SELECT CAST(p_partkey AS BIGINT) AS place_id, CASE WHEN p_size % 9 = 0 THEN NULL ELSE CAST(p_size % 9 AS VARCHAR(9)) END AS ward, CASE WHEN p_partkey % 4 = 0 THEN NULL WHEN p_partkey % 4 = 1 THEN '99501' ELSE CAST(20000 + p_partkey % 3 AS VARCHAR(9)) END AS zip_code,
+  CASE WHEN p_partkey % 3 = 0 THEN CAST(p_partkey AS DOUBLE) END AS latitude, CASE WHEN p_partkey % 3 = 0 THEN CAST(-p_partkey AS DOUBLE) END AS longitude, CASE WHEN p_partkey % 5 = 0 THEN p_brand END AS neighborhood FROM part""",
     "market_stats": """SELECT n_name AS region_name, o_orderpriority AS metric_name, CAST(date_trunc('month', o_orderdate) AS DATE) AS metric_date,
   CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS metric_value
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2, 3""",

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclake.functions import scalars as S
 from civiclake.functions import sql as sql_functions
-from civiclake.operators import dedup, features, gold, ingest, places, quality, text, validate, warehouse
+from civiclake.operators import dedup, features, gold, ingest, order, places, quality, text, validate, warehouse
+from civiclake.plans import semantic
 from civiclake.plans.bindings import duck, table, view
 from civiclake.sources import io
 
@@ -29,28 +31,45 @@ MONEY = {
     "vendor_tiers": "spend",
     "cbe_participation": "spend",
     "kpi_summary": "contract_value spend",
+    "category_spend": "spend",
+    "spend_by_ward": "spend",
+    "spend_by_year": "spend",
+    "last_12_months": "spend running",
+    "supplier_overview": "spend",
+    "supplier_activity": "spend weekend_spend",
+    "normalized_payments": "payment_amount",
+    "normalized_orders": "amount_min amount_max fiscal_year",
+    "normalized_sales": "price",
+    "normalized_rentals": "rent_price floor",
+    "normalized_listings": "price",
+    "normalized_assessments": "property_tax ward land_area",
+    "property_features": "ward sale_month sale_year sale_quarter days_since_sale",
+    "union_sources": "length size",
+    "first_with_url": "k",
     "top_suppliers": "spend",
     "contracts_page": "contract_amount",
     "semantic_measures": "total",
     "normalized_contracts": "contract_amount",
 }
+#: Columns of days that may be null; they leave as texts.
+DAYS = {"normalized_contracts": "start_date end_date", "normalized_orders": "order_date", "normalized_sales": "sale_date", "normalized_rentals": "available_date"}
 
 
 def query(sql: str | None = None, *views: str):
     """Register a query under its function's name, with its SQL over the named views."""
 
     def add(f):
-        money = MONEY.get(f.__name__, "").split()
+        casts = {c: ("double", "DOUBLE") for c in MONEY.get(f.__name__, "").split()} | {c: ("string", "VARCHAR") for c in DAYS.get(f.__name__, "").split()}
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = f(spark, sf_dir)
-            return df.withColumns({c: df[c].cast("double") for c in money}) if money else df
+            return df.withColumns({c: df[c].cast(t) for c, (t, _) in casts.items()}) if casts else df
 
         QUERIES[f.__name__] = run
         if sql:
             text_ = duck(sql, *views) if views else sql
-            cast = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in money)
-            ORACLES[f.__name__] = f"SELECT * REPLACE ({cast}) FROM ({text_})" if money else text_
+            cast = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, (_, t) in casts.items())
+            ORACLES[f.__name__] = f"SELECT * REPLACE ({cast}) FROM ({text_})" if casts else text_
         return f
 
     return add
@@ -85,27 +104,35 @@ def _vendors(spark: SparkSession, sf: str) -> DataFrame:
     return gold.spend_by_vendor(*(view(spark, sf, v) for v in ("contracts", "purchase_orders", "payments", "cbe_businesses")))
 
 
-_VENDOR_SQL = _TAGGED + f""", g AS (SELECT vendor_key, CAST(coalesce(sum(amount) FILTER (kind = 'c' AND amount > 0), 0) AS DECIMAL(28,2)) AS total_contract_value,
+_VENDOR_CTE = _TAGGED + f""", g AS (SELECT vendor_key, CAST(coalesce(sum(amount) FILTER (kind = 'c' AND amount > 0), 0) AS DECIMAL(28,2)) AS total_contract_value,
   CAST(coalesce(sum(amount) FILTER (kind = 'o' AND amount > 0), 0) AS DECIMAL(28,2)) AS total_po_value, CAST(coalesce(sum(amount) FILTER (kind = 'p' AND amount > 0), 0) AS DECIMAL(28,2)) AS total_payments,
   count(*) FILTER (kind = 'c') AS contract_count, count(*) FILTER (kind = 'o') AS po_count, count(*) FILTER (kind = 'p') AS payment_count,
-  count(DISTINCT agency) AS agency_count, min(agency) AS top_agency, min(day) FILTER (kind = 'c') AS first_contract_date, max(day) FILTER (kind = 'p') AS last_payment_date,
-  count(DISTINCT CASE WHEN kind = 'c' THEN {_fy('day')} END) AS n_years FROM k GROUP BY vendor_key),
-n AS (SELECT vendor_key, vendor, row_number() OVER (PARTITION BY vendor_key ORDER BY count(*) DESC, vendor) AS r FROM k WHERE kind = 'c' GROUP BY 1, 2)
-SELECT left(md5(g.vendor_key), 16) AS vendor_id, coalesce(n.vendor, g.vendor_key) AS vendor_name, g.vendor_key, total_contract_value, total_po_value, total_payments, contract_count, po_count, payment_count,
-  agency_count, top_agency, n_years, first_contract_date, last_payment_date, g.vendor_key IN (SELECT {_key('business_name')} FROM cbe_businesses) AS is_cbe,
-  row_number() OVER (ORDER BY total_payments + total_contract_value DESC, g.vendor_key) AS spend_rank FROM g LEFT JOIN n ON n.vendor_key = g.vendor_key AND r = 1"""
+  count(DISTINCT agency) AS agency_count, string_agg(DISTINCT agency, '|' ORDER BY agency) AS agencies, min(agency) AS top_agency, min(day) FILTER (kind = 'c') AS first_contract_date, max(day) FILTER (kind = 'p') AS last_payment_date,
+  list_sort(list_distinct(list(CASE WHEN kind = 'c' THEN {_fy('day')} END))) AS years FROM k GROUP BY vendor_key),
+n AS (SELECT vendor_key, vendor, row_number() OVER (PARTITION BY vendor_key ORDER BY count(*) DESC, vendor) AS r FROM k WHERE kind = 'c' GROUP BY 1, 2),
+v AS (SELECT left(md5(g.vendor_key), 16) AS vendor_id, coalesce(n.vendor, g.vendor_key) AS vendor_name, g.vendor_key, total_contract_value, total_po_value, total_payments, contract_count, po_count, payment_count,
+  round(coalesce(CAST(total_contract_value AS DOUBLE) / nullif(contract_count, 0), 0), 4) AS average_contract, agency_count, agencies, top_agency, years, first_contract_date, last_payment_date,
+  g.vendor_key IN (SELECT {_key('business_name')} FROM cbe_businesses) AS is_cbe, row_number() OVER (ORDER BY total_payments + total_contract_value DESC, g.vendor_key) AS spend_rank FROM g LEFT JOIN n ON n.vendor_key = g.vendor_key AND r = 1)
+"""
 
 
-@query(_VENDOR_SQL, *_VENDOR)
+@query(_VENDOR_CTE + "SELECT * EXCLUDE years, array_to_string(years, '|') AS fiscal_years FROM v", *_VENDOR)
 def spend_by_vendor(spark, sf):
-    return _vendors(spark, sf).withColumn("n_years", F.size("fiscal_years")).drop("agencies", "fiscal_years")
+    return _vendors(spark, sf).withColumns({"agencies": F.array_join("agencies", "|"), "fiscal_years": F.array_join(F.col("fiscal_years").cast("array<string>"), "|")})
 
 
-@query(_TAGGED + """SELECT lower(trim(agency)) AS agency_key, min(agency) AS agency_name, CAST(coalesce(sum(amount) FILTER (kind = 'c' AND amount > 0), 0) AS DECIMAL(28,2)) AS total_contract_value,
+@query(_TAGGED + f""", a AS (SELECT *, lower(trim(agency)) AS agency_key FROM t WHERE agency IS NOT NULL),
+m AS (SELECT agency_key, vendor, sum(amount) AS s, row_number() OVER (PARTITION BY agency_key ORDER BY sum(amount) DESC, vendor) AS r FROM a WHERE amount > 0 AND vendor IS NOT NULL GROUP BY 1, 2),
+y AS (SELECT agency_key, {_fy('day')} AS y, CAST(sum(amount) AS DECIMAL(28,2)) AS s FROM a WHERE amount > 0 AND day IS NOT NULL GROUP BY 1, 2)
+SELECT agency_key, min(agency) AS agency_name, CAST(coalesce(sum(amount) FILTER (kind = 'c' AND amount > 0), 0) AS DECIMAL(28,2)) AS total_contract_value,
   CAST(coalesce(sum(amount) FILTER (kind = 'o' AND amount > 0), 0) AS DECIMAL(28,2)) AS total_po_value, CAST(coalesce(sum(amount) FILTER (kind = 'p' AND amount > 0), 0) AS DECIMAL(28,2)) AS total_payments,
-  count(*) FILTER (kind = 'c') AS contract_count, count(DISTINCT vendor) FILTER (amount > 0) AS vendor_count FROM t GROUP BY 1""", *_VENDOR[:3])
+  count(*) FILTER (kind = 'c') AS contract_count, count(DISTINCT lower(trim(vendor))) FILTER (amount > 0) AS vendor_count,
+  (SELECT string_agg(vendor || '=' || CAST(CAST(s AS DECIMAL(28,2)) AS VARCHAR), ';' ORDER BY r) FROM m WHERE m.agency_key = a.agency_key AND r <= 10) AS top_vendors, (SELECT string_agg(y || '=' || CAST(s AS VARCHAR), ';' ORDER BY y) FROM y WHERE y.agency_key = a.agency_key) AS spend_by_year
+FROM a GROUP BY 1""", *_VENDOR[:3])
 def agency_spend_summary(spark, sf):
-    return gold.agency_spend(*(view(spark, sf, v) for v in ("contracts", "purchase_orders", "payments")))
+    out = gold.agency_spend(*(view(spark, sf, v) for v in ("contracts", "purchase_orders", "payments")))
+    pair = lambda c, a, b: F.array_join(F.transform(c, lambda x: F.concat(x[a].cast("string"), F.lit("="), x[b].cast("string"))), ";")
+    return out.withColumns({"top_vendors": pair("top_vendors", "vendor", "spend"), "spend_by_year": pair("spend_by_year", "year", "spend")})
 
 
 _PLACE = "list_extract(list_sort(list({0})), least(CAST(floor(count({0}) * {1} / 100) AS BIGINT), count({0}) - 1) + 1)"
@@ -131,16 +158,17 @@ def agency_top_vendors(spark, sf):
 
 @query("""!v AS (SELECT *, CAST(metric_value AS DOUBLE) AS v FROM market_stats), r AS (SELECT *, row_number() OVER b AS place, round((v - lag(v, 1) OVER s) / nullif(lag(v, 1) OVER s, 0) * 100, 2) AS m, round((v - lag(v, 11) OVER s) / nullif(lag(v, 11) OVER s, 0) * 100, 2) AS y
   FROM v WINDOW s AS (PARTITION BY region_name, metric_name ORDER BY metric_date, metric_value), b AS (PARTITION BY region_name, metric_name ORDER BY metric_date DESC, metric_value DESC))
-SELECT region_name, metric_name, max(metric_date) FILTER (place = 1) AS latest_date, max(v) FILTER (place = 1) AS latest_value, max(m) FILTER (place = 1) AS mom_change, max(y) FILTER (place = 1) AS yoy_change, count(*) FILTER (place <= 24) AS points,
-  CASE WHEN max(y) FILTER (place = 1) > 2 THEN 'up' WHEN max(y) FILTER (place = 1) < -2 THEN 'down' WHEN max(y) FILTER (place = 1) IS NOT NULL THEN 'stable' END AS trend FROM r GROUP BY 1, 2""", "market_stats")
+SELECT region_name, metric_name, max(metric_date) FILTER (place = 1) AS latest_date, max(v) FILTER (place = 1) AS latest_value, max(m) FILTER (place = 1) AS mom_change, max(y) FILTER (place = 1) AS yoy_change, count(*) FILTER (place <= 24) AS points, string_agg(CAST(metric_date AS VARCHAR) || '=' || CAST(metric_value AS VARCHAR), ';' ORDER BY metric_date, metric_value) FILTER (place <= 24) AS history,
+  CASE WHEN max(y) FILTER (place = 1) > 2 THEN 'up' WHEN max(y) FILTER (place = 1) < -2 THEN 'down' ELSE 'stable' END AS trend, 'sale' AS category FROM r GROUP BY 1, 2""", "market_stats")
 def market_trends(spark, sf):
-    return gold.market_trends(view(spark, sf, "market_stats"))
+    point = lambda x: F.concat(x["metric_date"].cast("string"), F.lit("="), x["metric_value"].cast("string"))
+    return gold.market_trends(view(spark, sf, "market_stats")).withColumn("history", F.array_join(F.transform("history", point), ";"))
 
 
 @query(f"SELECT n_name AS k, {_PLACE.format('c_acctbal', 50)} AS p50, {_PLACE.format('c_acctbal', 99)} AS p99 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
 def index_percentiles(spark, sf):
-    rows = table(spark, sf, "customer").join(F.broadcast(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("k"), "c_acctbal")
-    return gold.index_percentile(rows, ["k"], "c_acctbal", (50, 99))
+    rows = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("k"), "c_acctbal")
+    return order.index_percentile(rows, ["k"], "c_acctbal", (50, 99))
 
 
 _DEDUP = "SELECT text, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text"
@@ -174,6 +202,10 @@ def _suppliers(spark, sf):
     return warehouse.dim_supplier(view(spark, sf, "cbe_businesses"), view(spark, sf, "contracts"), view(spark, sf, "payments"))
 
 
+def _names(spark, sf):
+    return warehouse.supplier_names(view(spark, sf, "cbe_businesses"), view(spark, sf, "contracts"), view(spark, sf, "payments"))
+
+
 @query("!" + _DIM + "SELECT * FROM dim", "cbe_businesses", "contracts", "payments")
 def dim_supplier(spark, sf):
     return _suppliers(spark, sf)
@@ -187,10 +219,20 @@ def dim_date(spark, sf):
     return warehouse.dim_date(spark, r[0], r[1])
 
 
-@query("!" + _DIM + f"""SELECT CAST(strftime(payment_date, '%Y%m%d') AS INTEGER) AS date_key, supplier_id, contract_key, payment_amount AS spend_amount, agency_name, {_fy('payment_date')} AS fiscal_year, CAST(quarter(payment_date + INTERVAL 3 MONTH) AS INTEGER) AS fiscal_quarter,
-  CAST(month(payment_date + INTERVAL 3 MONTH) AS INTEGER) AS fiscal_month, payment_type FROM payments LEFT JOIN dim ON supplier_key = {_supplier('payments.supplier_name')} LEFT JOIN (SELECT DISTINCT contract_number AS contract_key FROM contracts) c ON contract_key = payments.contract_number WHERE payment_date IS NOT NULL""", "cbe_businesses", "contracts", "payments")
+_FACT = _DIM + f""", h AS (SELECT *, sha1(unhex('{S.NAMESPACE_DNS}') || encode(concat_ws(':', 'payments', contract_number, line, supplier_name, payment_amount, payment_date))) AS h FROM payments WHERE payment_date IS NOT NULL),
+fact AS (SELECT concat_ws('-', left(h, 8), substr(h, 9, 4), '5' || substr(h, 14, 3), substr('89ab', (strpos('0123456789abcdef', substr(h, 17, 1)) - 1) % 4 + 1, 1) || substr(h, 18, 3), substr(h, 21, 12)) AS fact_id,
+  CAST(strftime(payment_date, '%Y%m%d') AS INTEGER) AS date_key, supplier_id, contract_key, payment_amount AS spend_amount, agency_name, {_fy('payment_date')} AS fiscal_year, CAST(quarter(payment_date + INTERVAL 3 MONTH) AS INTEGER) AS fiscal_quarter,
+  CAST(month(payment_date + INTERVAL 3 MONTH) AS INTEGER) AS fiscal_month, payment_type FROM h LEFT JOIN dim ON supplier_key = {_supplier('h.supplier_name')} LEFT JOIN (SELECT DISTINCT contract_number AS contract_key FROM contracts) c ON contract_key = h.contract_number)
+"""
+
+
+def _facts(spark, sf):
+    return warehouse.fact_spend(view(spark, sf, "payments"), _names(spark, sf), view(spark, sf, "contracts"))
+
+
+@query("!" + _FACT + "SELECT * FROM fact", "cbe_businesses", "contracts", "payments")
 def fact_spend(spark, sf):
-    return warehouse.fact_spend(view(spark, sf, "payments"), _suppliers(spark, sf), view(spark, sf, "contracts")).drop("fact_id")
+    return _facts(spark, sf)
 
 
 @query(f"""!s AS (SELECT {_fy('payment_date')} AS fiscal_year, strftime(payment_date, '%Y-%m') AS month, CAST(sum(payment_amount) AS DECIMAL(28,2)) AS spend, count(*) AS payments, count(DISTINCT supplier_name) AS suppliers FROM payments WHERE payment_date IS NOT NULL GROUP BY 1, 2)
@@ -220,12 +262,12 @@ def vendor_tiers(spark, sf):
 
 @query("!" + _DIM + f", s AS (SELECT coalesce(is_cbe, false) AS is_cbe, count(*) AS payments, CAST(sum(payment_amount) AS DECIMAL(28,2)) AS spend FROM payments LEFT JOIN dim ON supplier_key = {_supplier('payments.supplier_name')} GROUP BY 1) SELECT *, round(CAST(spend AS DOUBLE) * 100 / sum(CAST(spend AS DOUBLE)) OVER (), 4) AS share FROM s", "cbe_businesses", "contracts", "payments")
 def cbe_participation(spark, sf):
-    return warehouse.cbe_split(view(spark, sf, "payments"), _suppliers(spark, sf))
+    return warehouse.cbe_split(view(spark, sf, "payments"), _names(spark, sf))
 
 
-@query("SELECT (SELECT count(*) FROM contracts) AS contracts, (SELECT CAST(sum(contract_amount) AS DECIMAL(28,2)) FROM contracts) AS contract_value, CAST(sum(payment_amount) AS DECIMAL(28,2)) AS spend, count(DISTINCT supplier_name) AS suppliers, round(avg(CAST(payment_amount AS DOUBLE)), 4) AS avg_payment FROM payments", "contracts", "payments")
+@query("!" + _DIM + f", p AS (SELECT payments.*, is_cbe FROM payments LEFT JOIN dim ON supplier_key = {_supplier('payments.supplier_name')}) SELECT (SELECT count(*) FROM contracts) AS contracts, (SELECT CAST(sum(contract_amount) AS DECIMAL(28,2)) FROM contracts) AS contract_value, CAST(sum(payment_amount) AS DECIMAL(28,2)) AS spend, count(DISTINCT supplier_name) AS suppliers, round(CAST(sum(payment_amount) AS DOUBLE) / count(payment_amount), 4) AS avg_payment, round(coalesce(CAST(sum(payment_amount) FILTER (is_cbe) AS DOUBLE) * 100 / CAST(sum(payment_amount) AS DOUBLE), 0), 4) AS cbe_percent FROM p", "cbe_businesses", "contracts", "payments")
 def kpi_summary(spark, sf):
-    return warehouse.kpi_summary(view(spark, sf, "contracts"), view(spark, sf, "payments"))
+    return warehouse.kpi_summary(view(spark, sf, "contracts"), view(spark, sf, "payments"), _names(spark, sf))
 
 
 @query("!" + _PERF + "SELECT supplier_name, spend, CAST(row_number() OVER (ORDER BY spend DESC NULLS LAST, supplier_name) AS INTEGER) AS place FROM q ORDER BY place LIMIT 10", "payments")
@@ -244,20 +286,56 @@ def semantic_measures(spark, sf):
     return warehouse.measures(view(spark, sf, "payments"), ["agency_name", "payment_type"], named)
 
 
-@query()
+_DAY = f"DATE '{AS_OF}'"
+_RATIO = "coalesce(CAST({0} AS DOUBLE) / nullif(CAST({1} AS DOUBLE), 0), 0)"
+
+
+def _share(c: str, p: int, source: str) -> str:
+    """DuckDB: the index percentile of the positive values of a column."""
+    return f"(SELECT {_PLACE.format(c, p)} FROM {source} WHERE {c} > 0)"
+
+
+@query(_VENDOR_CTE + f""", w AS (SELECT *, CAST(total_contract_value + total_payments AS DOUBLE) AS spend, greatest(1, coalesce(list_max(years) - list_min(years) + 1, 1)) AS n_years FROM v),
+x AS (SELECT *, {_RATIO.format('contract_count', 'n_years')} AS per_year, greatest(0, CASE WHEN first_contract_date IS NULL THEN 0 ELSE date_diff('day', first_contract_date, coalesce(last_payment_date, {_DAY})) END) AS tenure, date_diff('day', last_payment_date, {_DAY}) AS since FROM w),
+y AS (SELECT {_share('spend', 99, 'x')} AS spend_p99, {_share('per_year', 99, 'x')} AS count_p99, (SELECT max(agency_count) FROM x) AS most),
+c AS (SELECT top_agency, row_number() OVER (ORDER BY top_agency) - 1 AS code FROM (SELECT DISTINCT top_agency FROM x WHERE top_agency IS NOT NULL))
+SELECT vendor_id, vendor_name AS supplier_name, vendor_key AS supplier_name_normalized, round(spend, 4) AS total_lifetime_spend, round(ln(1 + spend), 6) AS total_lifetime_spend_log, contract_count, round({_RATIO.format('agency_count', 'contract_count')}, 6) AS agency_diversity,
+  round({_RATIO.format('total_contract_value', 'contract_count')}, 4) AS avg_contract_size, CAST(tenure AS INTEGER) AS tenure_days, round({_RATIO.format('contract_count', 'tenure / 365.25')}, 6) AS contracts_per_year, round({_RATIO.format('total_payments', 'total_contract_value')}, 6) AS payment_to_contract_ratio,
+  CAST(is_cbe AS INTEGER) AS is_cbe, CAST(coalesce(code, 0) AS INTEGER) AS primary_agency_encoded, CAST(coalesce(floor(date_diff('day', first_contract_date, {_DAY}) / 30.0), 0) AS INTEGER) AS months_since_last_contract, CAST(coalesce(floor(since / 30.0), 0) AS INTEGER) AS months_since_last_payment,
+  round({_RATIO.format('least(spend, spend_p99)', 'spend_p99')}, 6) AS total_spend_normalized, round(CASE WHEN spend > 0 THEN log10(spend + 1) ELSE 0 END, 6) AS log_total_spend, round({_RATIO.format('least(per_year, count_p99)', 'count_p99')}, 6) AS contract_frequency, round({_RATIO.format('agency_count', 'most')}, 6) AS agency_diversity_score,
+  round(tenure / 365.25, 6) AS tenure_years, CAST(least(coalesce(since, 3650), 3650) AS INTEGER) AS recency_days, coalesce(since, 3650) < 730 AS is_active, list_max(years) AS fiscal_year_latest, CAST(total_contract_value AS DOUBLE) AS total_contract_value, CAST(total_payments AS DOUBLE) AS total_payment_value, agency_count
+FROM x CROSS JOIN y LEFT JOIN c ON c.top_agency = x.top_agency""", *_VENDOR)
 def vendor_features(spark, sf):
     return features.vendor_features(_vendors(spark, sf), AS_OF)
 
 
-@query()
+_WARD_SQL = "SELECT ward, avg(CAST(price AS DOUBLE)) AS a, quantile_cont(CAST(price AS DOUBLE), 0.5) AS m, round(avg(CAST(price AS DOUBLE)) / avg(sqft), 4) AS pps FROM properties WHERE ward BETWEEN 1 AND 8 AND price > 0 GROUP BY ward"
+_SCALED = "CASE WHEN {0} IS NOT NULL THEN CASE WHEN {2} > {1} THEN (least(greatest({0}, {1}), {2}) - {1}) / ({2} - {1}) ELSE 0 END END"
+
+
+@query(f"""!p AS (SELECT CAST(property_id AS VARCHAR) AS property_id, CAST(NULL AS VARCHAR) AS source_record_id, CAST(NULL AS VARCHAR) AS ssl, CAST(sqft AS DOUBLE) AS sqft, bedrooms, CAST(bathrooms AS DOUBLE) AS bathrooms, year_built, lot_sqft, ward, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude,
+  lower(property_type) AS kind, CAST(NULL AS DOUBLE) AS assessed_value, CAST(price AS DOUBLE) AS price, sold_date, city, CAST(NULL AS VARCHAR) AS state, CAST(price AS DOUBLE) / nullif(CAST(sqft AS DOUBLE), 0) AS pps FROM properties),
+w AS ({_WARD_SQL}), i AS (SELECT max(v) FILTER (r = 1) AS v, max(y) FILTER (r = 1) AS y FROM (SELECT v, round((v - lag(v, 11) OVER b) / nullif(lag(v, 11) OVER b, 0) * 100, 2) AS y, row_number() OVER (ORDER BY metric_date DESC, metric_value DESC) AS r
+  FROM (SELECT *, CAST(metric_value AS DOUBLE) AS v FROM market_stats WHERE region_name = 'CHINA' AND metric_name = '1-URGENT') WINDOW b AS (ORDER BY metric_date, metric_value))),
+z AS (SELECT {_share('price', 1, 'p')} AS lo, {_share('price', 99, 'p')} AS hi, {_share('pps', 1, 'p')} AS pps_lo, {_share('pps', 99, 'p')} AS pps_hi, {_share('sqft', 99, 'p')} AS sqft_p99, {_share('lot_sqft', 99, 'p')} AS lot_p99)
+SELECT property_id, source_record_id, ssl, sqft, round(CASE WHEN sqft > 0 THEN ln(sqft) END, 6) AS sqft_log, bedrooms, bathrooms, year_built, CASE WHEN year_built > 1600 THEN {AS_OF.year} - year_built END AS age_years, lot_sqft, CASE WHEN p.ward BETWEEN 1 AND 8 THEN p.ward END AS ward,
+  round(w.a, 4) AS ward_avg_value, w.m AS ward_median_value, latitude, longitude, CAST(i.v AS DOUBLE) AS zhvi_current, i.y AS zhvi_yoy_change, round(p.pps / nullif(w.pps, 0), 4) AS price_per_sqft_vs_ward, round((bedrooms + bathrooms) / nullif(sqft, 0) * 1000, 6) AS rooms_per_sqft,
+  CAST(contains(kind, 'single') OR contains(kind, 'sfr') AS INTEGER) AS is_single_family, CAST(contains(kind, 'condo') AS INTEGER) AS is_condo, CAST(contains(kind, 'town') AS INTEGER) AS is_townhouse, assessed_value,
+  round(CASE WHEN price > 0 THEN {_SCALED.format('price', 'lo', 'hi')} END, 6) AS price_normalized, round(CASE WHEN price > 0 THEN log10(price + 1) END, 6) AS log_price, round(CASE WHEN price <> 0 THEN {_SCALED.format('p.pps', 'pps_lo', 'pps_hi')} END, 6) AS price_per_sqft_normalized,
+  round(CASE WHEN sqft <> 0 THEN least(sqft, sqft_p99) / nullif(sqft_p99, 0) END, 6) AS sqft_normalized, round(CASE WHEN lot_sqft <> 0 THEN least(lot_sqft, lot_p99) / nullif(lot_p99, 0) END, 6) AS lot_sqft_normalized, CASE WHEN year_built > 1600 THEN least({AS_OF.year} - year_built, 200) END AS building_age,
+  least(bedrooms, 10) AS bedrooms_capped, least(bathrooms, 10.0) AS bathrooms_capped, CAST(month(sold_date) AS INTEGER) AS sale_month, CAST(year(sold_date) AS INTEGER) AS sale_year, CAST(quarter(sold_date) AS INTEGER) AS sale_quarter, CAST(CASE WHEN sold_date IS NOT NULL THEN least(date_diff('day', sold_date, {_DAY}), 3650) END AS INTEGER) AS days_since_sale,
+  coalesce(least(date_diff('day', sold_date, {_DAY}), 3650) < 730 AND sold_date IS NOT NULL, false) AS is_recent_sale, CASE WHEN p.ward BETWEEN 1 AND 8 THEN p.ward ELSE 0 END AS ward_encoded, city, state, price
+FROM p CROSS JOIN z CROSS JOIN i LEFT JOIN w ON w.ward = p.ward""", "properties", "market_stats")
 def property_features(spark, sf):
     p = view(spark, sf, "properties")
-    return features.property_features(p, gold.property_values_by_ward(p), AS_OF)
+    index = gold.market_trends(view(spark, sf, "market_stats").where("metric_name = '1-URGENT'"))
+    return features.property_features(p, gold.property_values_by_ward(p), index, AS_OF, ("CHINA", "INDIA"))
 
 
-@query("SELECT property_id, ward, round(percent_rank() OVER (PARTITION BY ward ORDER BY price), 6) AS ward_price_percentile FROM properties WHERE ward BETWEEN 1 AND 8", "properties")
+@query("""SELECT property_id, ward, round(percent_rank() OVER (PARTITION BY ward ORDER BY price), 6) AS ward_price_percentile, round(avg(CAST(price AS DOUBLE) / nullif(CAST(sqft AS DOUBLE), 0)) OVER (PARTITION BY ward), 4) AS ward_avg_price_sqft,
+  round(CAST(bedrooms AS DOUBLE) / nullif(avg(bedrooms) OVER (PARTITION BY ward), 0), 4) AS bedroom_ratio FROM properties WHERE ward BETWEEN 1 AND 8""", "properties")
 def ward_price_percentile(spark, sf):
-    return features.ward_rank(view(spark, sf, "properties"))
+    return features.ward_features(view(spark, sf, "properties"))
 
 
 @query("""!s AS (SELECT supplier_name, agency_name, CAST(sum(payment_amount) AS DOUBLE) AS s FROM payments GROUP BY 1, 2), q AS (SELECT *, s / sum(s) OVER (PARTITION BY supplier_name) AS h FROM s)
@@ -271,49 +349,228 @@ def null_rates(spark, sf):
     return quality.null_rates(table(spark, sf, "labels"), "labels")
 
 
-@query()
+_COLUMNS = {"documents": "doc_id text lang source n_chars", "events": "event_id ts user_id event_type value props", "labels": "doc_id quality toxic", "pages": "page_id url html"}
+
+
+def _rates(table_: str) -> str:
+    """DuckDB: the null rates of a table."""
+    c = _COLUMNS[table_].split()
+    return f"SELECT '{table_}' AS dataset, n, round(coalesce(k / nullif(n, 0), 0), 6) AS rate FROM (SELECT count(*) AS n, unnest([{', '.join(f'count(*) - count({x})' for x in c)}]) AS k FROM {table_})"
+
+
+_LAYER = "WITH r AS (" + " UNION ALL ".join(map(_rates, _COLUMNS)) + "), q AS (SELECT dataset, max(n) AS rows, count(*) AS columns, round(avg(rate), 6) AS avg_null_rate, max(rate) AS max_null_rate, count(*) FILTER (rate >= 0.5) AS high_null, round(greatest(0, 1 - 0.5 * avg(rate) - 0.3 * avg(CAST(rate >= 0.5 AS DOUBLE)) - CASE WHEN max(n) = 0 THEN 0.2 ELSE 0 END), 6) AS score FROM r GROUP BY 1)"
+
+
+@query(_LAYER + " SELECT dataset, score FROM q")
 def quality_score(spark, sf):
-    names = ("documents", "events", "labels", "pages")
-    rates = [quality.null_rates(table(spark, sf, n), n) for n in names]
-    out = rates[0]
-    for r in rates[1:]:
-        out = out.unionByName(r)
-    return quality.quality_score(out)
+    rates = [quality.null_rates(table(spark, sf, n), n) for n in _COLUMNS]
+    return quality.quality_score(reduce(DataFrame.unionByName, rates))
+
+
+@query(_LAYER + " SELECT * FROM q UNION ALL SELECT 'all', CAST(sum(rows) AS BIGINT), CAST(sum(columns) AS BIGINT), round(avg(avg_null_rate), 6), max(max_null_rate), CAST(sum(high_null) AS BIGINT), round(avg(score), 6) FROM q")
+def layer_report(spark, sf):
+    return quality.layer_report({n: table(spark, sf, n) for n in _COLUMNS})
+
+
+_SLAS = {"documents": {"required_columns": ["doc_id", "text"], "min_row_count": 100, "max_null_rate": 0.2}, "events": {"required_columns": ["event_id", "source"], "min_row_count": 10_000_000}, "labels": {"required_columns": ["doc_id"]}, "pages": {}}
 
 
-@query()
+def _sla_sql() -> str:
+    out = []
+    for n, c in _COLUMNS.items():
+        sla, c = _SLAS[n], c.split()
+        missing = len(set(sla.get("required_columns", ())) - set(c))
+        least, most = sla.get("min_row_count", 1), sla.get("max_null_rate", 1.0)
+        rate = "(" + " + ".join(f"count(*) - count({x})" for x in c) + f") / (count(*) * {len(c)})"
+        out += [f"SELECT '{n}' AS dataset, {missing} AS failures FROM {n} GROUP BY 1", f"SELECT '{n}', greatest(0, {least} - count(*)) FROM {n}", f"SELECT '{n}', CASE WHEN {rate} > {most} THEN 1 ELSE 0 END FROM {n}"]
+    return " UNION ALL ".join(out)
+
+
+@query(f"WITH c AS ({_sla_sql()}), e AS (SELECT dataset, count(*) AS checks, count(*) FILTER (failures > 0) AS failed, count(*) FILTER (failures > 0) = 0 AS passed FROM c GROUP BY 1) SELECT * FROM e UNION ALL SELECT 'all', CAST(sum(checks) AS BIGINT), CAST(sum(failed) AS BIGINT), bool_and(passed) FROM e")
+def layer_validation(spark, sf):
+    checks = [quality.check_sla(table(spark, sf, n), n, _SLAS[n]) for n in _COLUMNS]
+    return quality.validate_layer(reduce(DataFrame.unionByName, checks), strict=True)
+
+
+@query("""SELECT 'nulls' AS check, unnest(['event_id', 'event_type', 'value']) AS column, unnest([count(*) - count(event_id), count(*) - count(event_type), count(*) - count(value)]) AS failures, unnest([count(*) = count(event_id), (count(*) - count(event_type)) / count(*) <= 0.3, (count(*) - count(value)) / count(*) <= 0.3]) AS passed FROM events
+UNION ALL SELECT 'type', 'props', count(*) FILTER (props IS NOT NULL AND TRY_CAST(props AS BIGINT) IS NULL), count(*) FILTER (props IS NOT NULL AND TRY_CAST(props AS BIGINT) IS NULL) = 0 FROM events
+UNION ALL SELECT 'nulls', 'props', count(*) - count(props), (count(*) - count(props)) / count(*) <= 0.3 FROM events
+UNION ALL SELECT 'pattern', 'event_type', count(*) FILTER (NOT regexp_matches(event_type, '^[a-z_]+$')), count(*) FILTER (NOT regexp_matches(event_type, '^[a-z_]+$')) = 0 FROM events
+UNION ALL SELECT 'min', 'value', count(*) FILTER (value < 10), count(*) FILTER (value < 10) = 0 FROM events
+UNION ALL SELECT 'min_rows', '', greatest(0, 100 - count(*)), count(*) >= 100 FROM events
+UNION ALL SELECT 'primary_key', 'event_id', count(*) - count(DISTINCT event_id), count(*) = count(DISTINCT event_id) FROM events
+UNION ALL SELECT 'duplicates', '', n - d, (n - d) / n <= 0 FROM (SELECT (SELECT count(*) FROM events) AS n, (SELECT count(*) FROM (SELECT DISTINCT * FROM events)) AS d)
+UNION ALL SELECT 'missing', 'ward', 1, false UNION ALL SELECT 'extra', unnest(['ts', 'user_id']), 1, true""")
 def contract_check(spark, sf):
-    contract = {"columns": {"event_id": {"nullable": False, "primary_key": True}, "event_type": {"pattern": "^[a-z_]+$"}, "value": {"min": 0.0}, "ward": {}}, "min_rows": 100, "max_null_rate": 0.3}
+    contract = {"columns": {"event_id": {"nullable": False, "primary_key": True}, "event_type": {"pattern": "^[a-z_]+$"}, "value": {"min": 10.0}, "props": {"type": "bigint"}, "ward": {}}, "min_rows": 100, "max_null_rate": 0.3, "max_duplicate_rate": 0.0}
     return quality.check_contract(table(spark, sf, "events"), contract)
 
 
+@query(f"""WITH r AS (SELECT event_type AS source, value >= 10 AS ok, value FROM events), g AS (SELECT source, count(*) AS processed, count(*) FILTER (NOT ok) AS quarantined, round(sum(value), 4) AS seconds, {_PLACE.format('value', 95)} AS latency_p95 FROM r GROUP BY 1)
+SELECT *, round((processed - quarantined) * 100.0 / processed, 2) AS success_rate, round(quarantined * 100.0 / processed, 2) AS quarantine_rate FROM g""")
+def source_health(spark, sf):
+    e = table(spark, sf, "events").select(F.col("event_type").alias("source"), (F.col("value") >= 10).alias("ok"), F.col("value").alias("latency"))
+    return quality.health(e)
+
+
+@query("""WITH g AS (SELECT event_type, count(*) AS n, count(*) FILTER (NOT value >= 10) AS q FROM events GROUP BY 1)
+SELECT count(*) AS sources_run, count(*) FILTER (round((n - q) * 100.0 / n, 2) > 70) AS sources_succeeded, count(*) FILTER (NOT round((n - q) * 100.0 / n, 2) > 70) AS sources_failed, CAST(sum(n) AS BIGINT) AS processed, CAST(sum(q) AS BIGINT) AS quarantined, round((sum(n) - sum(q)) * 100.0 / sum(n), 2) AS success_rate FROM g""")
+def health_summary(spark, sf):
+    e = table(spark, sf, "events").select(F.col("event_type").alias("source"), (F.col("value") >= 10).alias("ok"), F.col("value").alias("latency"))
+    return quality.health_summary(quality.health(e), 70.0)
+
+
+@query("""WITH r AS (SELECT event_type AS source, user_id % 5 AS k FROM events), g AS (SELECT source, count(*) AS discovered, count(*) FILTER (k >= 1) AS fetched, count(*) FILTER (k >= 2) AS parsed, count(*) FILTER (k >= 3) AS valid, count(*) FILTER (k >= 4) AS written FROM r GROUP BY 1)
+SELECT *, round(written / discovered, 6) AS success_rate, round(1 - round(written / discovered, 6), 6) AS error_rate FROM g""")
+def run_counts(spark, sf):
+    steps = F.array(*map(F.lit, quality.STEPS))
+    return quality.run_counts(table(spark, sf, "events").select(F.col("event_type").alias("source"), F.element_at(steps, (F.col("user_id") % 5 + 1).cast("int")).alias("reached")), "source", "reached")
+
+
 @query("SELECT event_type, count(*) AS seen, count(*) FILTER (NOT (value >= 10)) AS failed, round(avg(CAST(value >= 10 AS DOUBLE)), 6) AS success_rate FROM events GROUP BY 1")
 def run_report(spark, sf):
     return quality.run_report(table(spark, sf, "events").withColumn("ok", F.col("value") >= 10), "event_type", "ok")
 
 
-_RAW = "SELECT o_orderkey AS CONTRACT_NUMBER, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS AGENCY_NAME, CASE WHEN o_orderkey % 7 = 0 THEN 'n/a?' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS CONTRACTAMOUNT, CASE WHEN o_orderkey % 13 = 0 THEN 1066 ELSE 2020 END AS FISCALYEAR FROM orders"
+_RAW = "SELECT o_orderkey AS CONTRACT_NUMBER, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS AGENCY_NAME, CAST(NULL AS VARCHAR) AS AGENCY, CASE WHEN o_orderkey % 7 = 0 THEN 'n/a?' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS CONTRACTAMOUNT, CASE WHEN o_orderkey % 13 = 0 THEN 1066 ELSE 2020 END AS FISCALYEAR, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS BUYER, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS STARTDATE, concat(' A', o_orderkey, ';;', o_orderstatus, ' ') AS NIGP_CODES FROM orders"
 
 
 def _raw(spark, sf):
     o = table(spark, sf, "orders")
     k = F.col("o_orderkey")
-    return o.select(k.alias("CONTRACT_NUMBER"), F.when(k % 11 == 0, None).otherwise(F.col("o_orderpriority")).alias("AGENCY_NAME"), F.lit(None).cast("string").alias("AGENCY"), F.when(k % 7 == 0, "n/a?").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("CONTRACTAMOUNT"), F.when(k % 13 == 0, 1066).otherwise(2020).alias("FISCALYEAR"))
+    return o.select(
+        k.alias("CONTRACT_NUMBER"), F.when(k % 11 == 0, None).otherwise(F.col("o_orderpriority")).alias("AGENCY_NAME"), F.lit(None).cast("string").alias("AGENCY"), F.when(k % 7 == 0, "n/a?").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("CONTRACTAMOUNT"),
+        F.when(k % 13 == 0, 1066).otherwise(2020).alias("FISCALYEAR"), F.when(k % 2 == 0, F.col("o_orderstatus")).alias("BUYER"), F.col("o_orderdate").cast("date").cast("string").alias("STARTDATE"), F.concat(F.lit(" A"), k.cast("string"), F.lit(";;"), "o_orderstatus", F.lit(" ")).alias("NIGP_CODES"),
+    )
 
 
-@query(f"""WITH r AS ({_RAW}) SELECT CASE WHEN AGENCY_NAME IS NULL THEN 1 ELSE 0 END + CASE WHEN CONTRACTAMOUNT = 'n/a?' THEN 1 ELSE 0 END + CASE WHEN FISCALYEAR = 1066 THEN 1 ELSE 0 END AS errors, count(*) AS n FROM r GROUP BY 1""")
+@query(f"""WITH r AS ({_RAW}) SELECT m AS message, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN AGENCY_NAME IS NULL THEN 'missing AGENCY_NAME or AGENCY' END, CASE WHEN CONTRACTAMOUNT = 'n/a?' THEN 'CONTRACTAMOUNT is not a number: n/a?' END, CASE WHEN FISCALYEAR = 1066 THEN 'FISCALYEAR is out of range' END], lambda x: x IS NOT NULL)) AS m FROM r) GROUP BY 1""")
 def validation_errors(spark, sf):
-    return validate.validated(_raw(spark, sf), validate.rules_for("contracts")).groupBy(F.size("validation_errors").alias("errors")).agg(F.count(F.lit(1)).alias("n"))
+    raw = _raw(spark, sf)
+    return validate.validated(raw, validate.rules_for("contracts", raw.columns)).select(F.explode("validation_errors").alias("message")).groupBy("message").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"WITH r AS ({_RAW}) SELECT 'contracts' AS source, 'validation_error' AS error_type, count(*) AS n FROM r WHERE AGENCY_NAME IS NULL OR CONTRACTAMOUNT = 'n/a?' OR FISCALYEAR = 1066")
 def quarantine_summary(spark, sf):
-    return validate.quarantine_summary(validate.route(_raw(spark, sf), validate.rules_for("contracts"), "contracts")[1])
+    return validate.quarantine_summary(ingest.ingest(_raw(spark, sf), ingest.sources()["contracts"])[1])
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    """Maps and arrays as text, the time columns that are null here left out."""
+    pairs = F.array_sort(F.transform(F.map_entries("extra"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    lists = {n: F.array_join(n, "|") for n, t in df.dtypes if t == "array<string>"}
+    return df.withColumns({"extra": F.coalesce(F.array_join(pairs, "|"), F.lit("")), **lists}).drop("lineage_url", "lineage_scraped_at", "partition_date")
 
 
-@query(f"WITH r AS ({_RAW}) SELECT left(md5(CAST(CONTRACT_NUMBER AS VARCHAR)), 16) AS record_id, CAST(CONTRACT_NUMBER AS VARCHAR) AS contract_number, AGENCY_NAME AS agency_name, TRY_CAST(CONTRACTAMOUNT AS DECIMAL(18,2)) AS contract_amount, FISCALYEAR AS fiscal_year FROM r")
+_LINEAGE = "'{0}' AS lineage_source, 'batch' AS lineage_run_id, '1' AS lineage_schema_version, '1' AS lineage_parser_version"
+
+
+@query(f"""WITH r AS ({_RAW}) SELECT left(md5(CAST(CONTRACT_NUMBER AS VARCHAR)), 16) AS record_id, CAST(CONTRACT_NUMBER AS VARCHAR) AS source_record_id, CAST(CONTRACT_NUMBER AS VARCHAR) AS contract_number, CAST(NULL AS VARCHAR) AS title, AGENCY_NAME AS agency_name, CAST(NULL AS VARCHAR) AS supplier_name, TRY_CAST(CONTRACTAMOUNT AS DECIMAL(18,2)) AS contract_amount, FISCALYEAR AS fiscal_year,
+  CAST(STARTDATE AS DATE) AS start_date, CAST(NULL AS DATE) AS end_date, 'A' || CONTRACT_NUMBER || '|' || right(trim(NIGP_CODES), 1) AS nigp_codes, coalesce('BUYER=' || BUYER, '') AS extra, {_LINEAGE.format('contracts')},
+  sha256(CAST(json_object('AGENCY', AGENCY, 'AGENCY_NAME', AGENCY_NAME, 'BUYER', BUYER, 'CONTRACTAMOUNT', CONTRACTAMOUNT, 'CONTRACT_NUMBER', CONTRACT_NUMBER, 'FISCALYEAR', FISCALYEAR, 'NIGP_CODES', NIGP_CODES, 'STARTDATE', STARTDATE) AS VARCHAR)) AS lineage_raw_hash FROM r""")
 def normalized_contracts(spark, sf):
-    return ingest.normalize(_raw(spark, sf), ingest.sources()["contracts"]).select("record_id", "contract_number", "agency_name", "contract_amount", "fiscal_year")
+    return _flat(ingest.normalize(_raw(spark, sf), ingest.sources()["contracts"]))
+
+
+def _records(spark, sf, source: str, raw: DataFrame) -> DataFrame:
+    """Valid canonical records of raw rows; the raw hash is compared in ``normalized_contracts`` and left out here."""
+    return _flat(ingest.ingest(raw, ingest.sources()[source])[0]).drop("lineage_raw_hash")
+
+
+_ID = "left(md5({0}), 16) AS record_id, {0} AS source_record_id"
+
+
+@query(f"""WITH r AS (SELECT concat('P', l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey) AS id, s_name, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, CAST(l_shipdate AS DATE) AS day, l_orderkey FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_quantity >= 10)
+SELECT {_ID.format('id')}, s_name AS supplier_name, CAST(NULL AS VARCHAR) AS agency_name, amount AS payment_amount, day AS payment_date, 2021 AS fiscal_year, CAST(l_orderkey AS VARCHAR) AS contract_number, '' AS extra, {_LINEAGE.format('payments')} FROM r""")
+def normalized_payments(spark, sf):
+    """Amounts as dollars, days as milliseconds; small quantities are spoiled and go to quarantine."""
+    l = table(spark, sf, "lineitem").join(table(spark, sf, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))  # noqa: E741
+    money = F.when(F.col("l_quantity") >= 10, F.concat(F.lit("$"), F.format_number(F.col("l_extendedprice").cast("decimal(18,2)"), 2))).otherwise("unknown")
+    raw = l.select(F.concat_ws("-", F.concat(F.lit("P"), "l_orderkey"), "l_linenumber", "l_partkey", "l_suppkey").alias("PAYMENTID"), F.col("s_name").alias("SUPPLIERNAME"), money.alias("PAYMENTAMOUNT"), (F.unix_date(F.col("l_shipdate").cast("date")).cast("bigint") * 86_400_000).alias("PAYMENTDATE"), F.lit("FY2021").alias("FISCAL"), F.col("l_orderkey").alias("CONTRACT_NUMBER"))
+    return _records(spark, sf, "payments", raw.withColumn("FISCALYEAR", F.lit(2021)).drop("FISCAL"))
+
+
+@query(f"""WITH r AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_totalprice AS DECIMAL(18,2)) AS t, o_orderpriority AS a FROM orders WHERE o_orderkey % 9 <> 0)
+SELECT {_ID.format('id')}, a AS agency_name, CAST(NULL AS VARCHAR) AS supplier_name, t AS amount_min, t AS amount_max, CAST(NULL AS DATE) AS order_date, CAST(NULL AS INTEGER) AS fiscal_year, '$' || format('{{:,.2f}}', t) AS amount_label, '' AS extra, {_LINEAGE.format('purchase_orders')} FROM r""")
+def normalized_orders(spark, sf):
+    o = table(spark, sf, "orders")
+    raw = o.select(F.col("o_orderkey").alias("PONUMBER"), F.when(F.col("o_orderkey") % 9 != 0, F.col("o_orderpriority")).otherwise(" ").alias("AGENCY_NAME"), F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("POTOTAL"))
+    return _records(spark, sf, "purchase_orders", raw)
+
+
+@query(f"""WITH r AS (SELECT *, CAST(p_partkey AS VARCHAR) AS ssl, CASE WHEN p_partkey % 3 <> 0 THEN CAST(DATE '2001-02-03' + CAST(p_partkey % 900 AS INTEGER) AS VARCHAR) END AS day FROM part WHERE p_partkey % 10 <> 0)
+SELECT left(md5(concat_ws('_', ssl, day)), 16) AS record_id, concat_ws('_', ssl, day) AS source_record_id, ssl, CAST(p_retailprice AS DECIMAL(18,2)) AS price, CAST(day AS DATE) AS sale_date, p_size % 4 IN (0, 1) AS qualified, coalesce('QUALIFIED=' || CASE p_size % 4 WHEN 0 THEN 'q' WHEN 1 THEN 'Y' WHEN 2 THEN 'U' END, '') AS extra, {_LINEAGE.format('sales')} FROM r""")
+def normalized_sales(spark, sf):
+    k = F.col("p_partkey")
+    raw = table(spark, sf, "part").select(k.alias("SSL"), F.when(k % 10 == 0, "-5").otherwise(F.col("p_retailprice").cast("decimal(18,2)").cast("string")).alias("SALEPRICE"), F.when(k % 3 != 0, F.date_add(F.lit(dt.date(2001, 2, 3)), (k % 900).cast("int")).cast("string")).alias("SALEDATE"), F.element_at(F.array(F.lit("q"), F.lit("Y"), F.lit("U"), F.lit(None).cast("string")), (F.col("p_size") % 4 + 1).cast("int")).alias("QUALIFIED"))
+    return _records(spark, sf, "sales", raw)
+
+
+@query(f"""WITH r AS (SELECT *, CAST(p_partkey AS VARCHAR) AS ssl FROM part)
+SELECT {_ID.format('ssl')}, ssl, lpad(CAST(p_partkey % 20000 AS VARCHAR), 5, '0') AS zip, CASE WHEN p_size % 3 = 0 THEN p_size * 2.0::DOUBLE ELSE CAST(p_size AS DOUBLE) END AS lot_area, concat_ws(' ', p_size, p_name) AS address, lpad(CAST(p_partkey % 20000 AS VARCHAR), 5, '0') || CASE WHEN p_size % 2 = 0 THEN '-' || lpad(CAST(p_size AS VARCHAR), 4, '0') ELSE '' END AS zip_plus_four, concat_ws('|', 'ADDRNUM=' || p_size, 'COMPUTED_AREA=' || p_size * 2, 'RECORD_AREA=' || CASE WHEN p_size % 3 = 0 THEN 0 ELSE p_size END, 'STNAME=' || p_name, 'ZIP4=' || CASE WHEN p_size % 2 = 0 THEN p_size END) AS extra, {_LINEAGE.format('lots')} FROM r""")
+def normalized_lots(spark, sf):
+    size = F.col("p_size")
+    raw = table(spark, sf, "part").select(F.col("p_partkey").alias("SSL"), (F.col("p_partkey") % 20000).alias("ZIP"), F.when(size % 2 == 0, size).alias("ZIP4"), F.when(size % 3 == 0, 0).otherwise(size).alias("RECORD_AREA"), (size * 2).alias("COMPUTED_AREA"), size.alias("ADDRNUM"), F.col("p_name").alias("STNAME"))
+    return _records(spark, sf, "lots", raw)
+
+
+@query(f"""WITH r AS (SELECT *, CAST(p_partkey AS VARCHAR) AS id FROM part WHERE p_size <= 20)
+SELECT {_ID.format('id')}, CAST(NULL AS VARCHAR) AS property_name, id AS unit_number, CAST(NULL AS INTEGER) AS floor, p_type AS floor_plan_name, CAST(p_retailprice AS DECIMAL(18,2)) AS rent_price, p_size AS bedrooms, CAST(NULL AS DOUBLE) AS bathrooms, CAST(p_size * 30 AS BIGINT) AS sqft, p_brand AS status, CAST(NULL AS VARCHAR) AS city, CAST(NULL AS VARCHAR) AS state, CAST(NULL AS DATE) AS available_date, '' AS extra, {_LINEAGE.format('rentals')} FROM r""")
+def normalized_rentals(spark, sf):
+    p = table(spark, sf, "part")
+    return _records(spark, sf, "rentals", p.select(F.col("p_partkey").alias("unit_number"), F.col("p_type").alias("floor_plan_name"), F.col("p_retailprice").cast("decimal(18,2)").alias("price"), F.col("p_size").alias("bedrooms"), (F.col("p_size") * 30).alias("sqft"), F.col("p_brand").alias("status")))
+
+
+@query(f"""WITH r AS (SELECT n_name || '_' || o_orderpriority || '_' || strftime(o_orderdate, '%Y-%m') AS id, n_name, o_orderpriority, CAST(o_orderdate AS DATE) AS d, CAST(o_totalprice AS DOUBLE) AS v FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+SELECT {_ID.format('id')}, n_name AS region_name, o_orderpriority AS metric_name, d AS metric_date, v AS metric_value, '' AS extra, {_LINEAGE.format('market')} FROM r""")
+def normalized_market(spark, sf):
+    rows = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return _records(spark, sf, "market", rows.select(F.col("n_name").alias("region_name"), F.col("o_orderpriority").alias("metric_name"), F.col("o_orderdate").cast("date").cast("string").alias("metric_date"), F.col("o_totalprice").cast("double").alias("metric_value")))
+
+
+@query(f"""WITH r AS (SELECT *, CAST(p_partkey AS VARCHAR) AS id, CAST(p_retailprice AS DECIMAL(18,2)) AS m FROM part)
+SELECT {_ID.format('id')}, id AS listing_id, p_name AS address, m AS price, CAST(p_size AS DOUBLE) AS sqft, CAST(20000 + p_partkey % 3000 AS VARCHAR) AS zip, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude, CAST((CAST(m * 100 AS BIGINT) * 2 + p_size) // (2 * p_size) AS DOUBLE) / 100 AS price_per_sqft,
+  CASE WHEN left(CAST(20000 + p_partkey % 3000 AS VARCHAR), 3) IN ('200', '201') THEN 'DC' WHEN left(CAST(20000 + p_partkey % 3000 AS VARCHAR), 3) IN ('222', '223') THEN 'VA' WHEN left(CAST(20000 + p_partkey % 3000 AS VARCHAR), 3) IN ('208', '209') THEN 'MD' END AS state, p_size % 2 = 0 AS price_reduced, 'list_price=' || CAST(CASE WHEN p_size % 2 = 0 THEN m + 1 ELSE m END AS VARCHAR) AS extra, {_LINEAGE.format('listings')} FROM r""")
+def normalized_listings(spark, sf):
+    price = F.col("p_retailprice").cast("decimal(18,2)")
+    raw = table(spark, sf, "part").select(F.col("p_partkey").alias("listing_id"), F.col("p_name").alias("address"), price.alias("price"), F.col("p_size").alias("sqft"), (20000 + F.col("p_partkey") % 3000).cast("string").alias("zip_code"), F.when(F.col("p_size") % 2 == 0, (price + 1).cast("decimal(18,2)")).otherwise(price).alias("list_price"))
+    return _records(spark, sf, "listings", raw)
+
+
+@query(f"""WITH r AS (SELECT *, CAST(p_partkey AS VARCHAR) AS ssl FROM part)
+SELECT {_ID.format('ssl')}, ssl, CASE WHEN p_size <= 8 THEN p_size END AS ward, CAST(p_retailprice AS DECIMAL(18,2)) AS property_tax, CAST(NULL AS DOUBLE) AS land_area, p_name AS address,
+  CASE CASE WHEN p_partkey % 4 = 3 THEN 99 ELSE 10 + p_size % 8 END WHEN 11 THEN 'townhouse' WHEN 12 THEN 'single_family' WHEN 13 THEN 'townhouse' WHEN 14 THEN 'condo' WHEN 15 THEN 'condo' WHEN 16 THEN 'multi_family' WHEN 17 THEN 'multi_family' ELSE CASE p_partkey % 3 WHEN 0 THEN 'single_family' WHEN 1 THEN 'commercial' ELSE 'other' END END AS property_type, 'TAXCLASS=' || CASE p_partkey % 3 WHEN 0 THEN '001' WHEN 1 THEN '002' ELSE '9' END || '|USECODE=' || CASE WHEN p_partkey % 4 = 3 THEN 99 ELSE 10 + p_size % 8 END AS extra, {_LINEAGE.format('assessments')} FROM r""")
+def normalized_assessments(spark, sf):
+    k, size = F.col("p_partkey"), F.col("p_size")
+    raw = table(spark, sf, "part").select(k.alias("SSL"), F.concat(F.lit("Ward "), size).alias("ASSESSWARD"), F.col("p_retailprice").cast("decimal(18,2)").alias("NEWTOTAL"), F.col("p_name").alias("PREMISEADD"), F.when(k % 4 == 3, 99).otherwise(10 + size % 8).alias("USECODE"), F.element_at(F.array(F.lit("001"), F.lit("002"), F.lit("9")), (k % 3 + 1).cast("int")).alias("TAXCLASS"))
+    return _records(spark, sf, "assessments", raw)
+
+
+@query("SELECT o_orderkey, o_orderpriority FROM orders WHERE contains(lower(o_orderpriority), 'high') OR left(lpad(CAST(o_orderkey AS VARCHAR), 5, '0'), 3) IN ('000', '002')")
+def market_regions(spark, sf):
+    return ingest.in_regions(table(spark, sf, "orders"), "o_orderpriority", "o_orderkey", ("High",), ("000", "002")).select("o_orderkey", "o_orderpriority")
+
+
+@query("""SELECT p_partkey, m AS metric_name, v AS metric_value FROM (SELECT p_partkey, unnest(['average_rent', 'median_rent', 'min_rent', 'max_rent', 'average_rent_per_sqft', 'occupancy_rate', 'days_on_market', 'total_listings']) AS m,
+  unnest([p_retailprice, CASE WHEN p_size % 2 = 0 THEN p_size END, NULL, p_retailprice * 2, NULL, NULL, CASE WHEN p_size % 3 = 0 THEN p_partkey END, p_size]) AS v FROM part) WHERE v IS NOT NULL""")
+def rent_metric_rows(spark, sf):
+    p, size = table(spark, sf, "part"), F.col("p_size")
+    values = (F.col("p_retailprice"), F.when(size % 2 == 0, size), F.lit(None), F.col("p_retailprice") * 2, F.lit(None), F.lit(None), F.when(size % 3 == 0, F.col("p_partkey")), size)
+    return ingest.metric_rows(p, ["p_partkey"], dict(zip(ingest.RENT_METRICS.values(), values, strict=True)))
+
+
+@query("SELECT CAST(p_partkey AS BIGINT) AS property_id, p_name AS address, CAST(p_size AS BIGINT) AS beds FROM part")
+def listing_rows(spark, sf):
+    """Replies of three shapes, by the part's number."""
+    one = F.struct(F.col("p_partkey").alias("property_id"), F.col("p_name").alias("address"), F.struct(F.col("p_size").alias("beds")).alias("description"))
+    shapes = [F.to_json(F.struct(F.struct(F.struct(F.array(one).alias("results")).alias("home_search")).alias("data"))), F.to_json(F.struct(F.struct(F.array(one).alias("results")).alias("data"))), F.to_json(F.struct(F.array(one).alias("results")))]
+    payloads = table(spark, sf, "part").select(F.element_at(F.array(*shapes), (F.col("p_partkey") % 3 + 1).cast("int")).alias("payload"))
+    return ingest.listing_rows(payloads, "payload", "property_id long, address string, description struct<beds: long>").select("property_id", "address", F.col("description.beds").alias("beds"))
+
+
+@query("SELECT event_type, user_id, value, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) AS r FROM events) WHERE r = 1")
+def latest_metric(spark, sf):
+    return ingest.latest_metric(table(spark, sf, "events"), "user_id", "event_type", "ts", "event_id").select("event_type", "user_id", "value", "ts")
 
 
 @query("SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS PAYMENTAMOUNT, l_quantity AS longitude, l_discount AS latitude FROM lineitem")
@@ -323,27 +580,79 @@ def feature_collection(spark, sf):
     return io.parse_features(payloads, "payload", "l_orderkey long, l_linenumber int, PAYMENTAMOUNT double")
 
 
-@query("SELECT doc_id, len(t) AS n_tokens, len(list_distinct(t)) AS n_unique, len(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')) AS n_words FROM (SELECT doc_id, text, list_filter(list_transform(string_split_regex(lower(text), '\\s+'), lambda w: regexp_replace(w, '^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$', '', 'g')), lambda w: length(w) >= 2) AS t FROM documents)".replace("\\\\", "\\"))
+_TOKENS = r"list_filter(list_transform(string_split_regex(lower(text), '\s+'), lambda w: regexp_replace(w, '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g')), lambda w: length(w) >= 2)"
+_SENTENCES = r"list_filter(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')"
+
+
+@query(f"""SELECT doc_id, len(t) AS n_tokens, len(list_distinct(t)) AS n_unique, len(s) AS n_sentences, round(coalesce(CAST(list_sum(list_transform(t, lambda w: length(w))) AS DOUBLE) / nullif(len(t), 0), 0), 4) AS mean_length, round(coalesce(CAST(len(t) AS DOUBLE) / nullif(len(s), 0), 0), 4) AS mean_sentence,
+  len(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')) AS n_words FROM (SELECT doc_id, text, {_TOKENS} AS t, {_SENTENCES} AS s FROM documents)""")
 def doc_token_stats(spark, sf):
     d = table(spark, sf, "documents")
-    return text.token_stats(d).select("doc_id", "n_tokens", "n_unique").join(d.select("doc_id", S.word_count(F.col("text")).alias("n_words")), "doc_id")
+    return text.token_stats(d, S.word_count(F.col("text")).alias("n_words"))
 
 
-@query()
+@query(f"""WITH t AS (SELECT doc_id, {_TOKENS} AS t FROM documents), g AS (SELECT doc_id, t[i] || ' ' || t[i + 1] AS gram, count(*) AS uses FROM t, unnest(range(1, len(t))) AS r(i) GROUP BY 1, 2)
+SELECT doc_id, gram, uses FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY uses DESC, gram) AS r FROM g) WHERE r <= 10""")
 def doc_top_bigrams(spark, sf):
     return text.top_ngrams(table(spark, sf, "documents"), 2, 10)
 
 
-@query("SELECT page_id, lower(regexp_extract(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*', 0)) || substr(regexp_replace(url, '#.*$', ''), length(regexp_extract(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*', 0)) + 1) AS url, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title FROM pages")
+@query(f"WITH t AS (SELECT doc_id, unnest({_TOKENS}) AS token FROM documents) SELECT doc_id, token, count(*) AS uses FROM t WHERE token NOT IN ({', '.join(repr(w) for w in text.STOPWORDS)}) GROUP BY 1, 2")
+def search_tokens(spark, sf):
+    return text.search_tokens(table(spark, sf, "documents"))
+
+
+@query(f"""SELECT doc_id, source AS parent_id, sha256(text) AS content_hash, length(text) AS n_chars, len(t) AS n_tokens, len(s) AS n_sentences, array_to_string(t[1:10000], ' ') AS tokens, array_to_string(s[1:1000], '|') AS sentences FROM (SELECT *, {_TOKENS} AS t, {_SENTENCES} AS s FROM documents)""")
+def document_table(spark, sf):
+    return text.document_table(table(spark, sf, "documents"), "source").withColumns({"tokens": F.array_join("tokens", " "), "sentences": F.array_join("sentences", "|")})
+
+
+_BODY = r"""regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>|<!--.*?-->', ' ', 'g')"""
+_PAGE_URL = r"lower(regexp_extract(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*', 0)) || substr(regexp_replace(url, '#.*$', ''), length(regexp_extract(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*', 0)) + 1)"
+#: DuckDB: links of pages whose addresses begin with a slash, as all in these tables do.
+_LINKS = rf"""pages_ AS (SELECT page_id, {_PAGE_URL} AS url, {_BODY} AS body FROM pages),
+raws AS (SELECT page_id, url, replace(unnest(list_distinct(regexp_extract_all(body, '(?is)<a\b[^>]*?\bhref="([^"]*)"', 1))), '&amp;', '&') AS raw FROM pages_),
+links AS (SELECT DISTINCT page_id, url, link, CASE WHEN regexp_matches(lower(link), '\.pdf($|\?)') THEN 'pdf' ELSE 'internal' END AS kind FROM (SELECT page_id, url, regexp_extract(url, '^[a-z]+://[^/?]*', 0) || regexp_replace(raw, '#.*$', '') AS link FROM raws WHERE raw LIKE '/%'))
+"""
+
+
+@query(rf"""SELECT page_id, {_PAGE_URL} AS url, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title, CAST(NULL AS VARCHAR) AS description, array_to_string(regexp_extract_all(b, '(?is)<h[1-3][^>]*>(.*?)</h[1-3]>', 1), '|') AS headings,
+  md5(trim(regexp_replace(regexp_replace(regexp_replace(b, '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'), '[^\PC]', '', 'g'))) AS text_md5 FROM (SELECT *, {_BODY} AS b FROM pages)""")
 def page_titles(spark, sf):
-    return text.page_parts(table(spark, sf, "pages")).select("page_id", "url", "title")
+    return text.page_parts(table(spark, sf, "pages")).select("page_id", "url", "title", "description", F.array_join("headings", "|").alias("headings"), F.md5("text").alias("text_md5"))
 
 
-@query()
+@query("WITH " + _LINKS + "SELECT page_id, link, kind FROM links")
 def page_links(spark, sf):
     return text.page_links(table(spark, sf, "pages"))
 
 
+def _linked(spark, sf):
+    return text.page_links(table(spark, sf, "pages")).join(text.page_parts(table(spark, sf, "pages")).select("page_id", "url"), "page_id")
+
+
+@query("WITH " + _LINKS + ", h AS (SELECT DISTINCT regexp_extract(url, '://([^/?:]*)', 1) AS host FROM pages_ WHERE page_id % 3 = 0) SELECT l.page_id, l.link FROM links l WHERE substr(regexp_extract(link, '^[a-z]+://[^/?]*([^?#]*)', 1), 1, 2) = '/a'")
+def link_allowlist(spark, sf):
+    hosts = text.page_parts(table(spark, sf, "pages")).where("page_id % 3 = 0").select(text.host_of(F.col("url")).alias("host"))
+    return text.allowed(_linked(spark, sf), "url", "link", hosts, "/a").select("page_id", "link")
+
+
+@query("WITH " + _LINKS + r"""SELECT page_id, link, CASE WHEN regexp_matches(p, '\.pdf$') THEN string_split(p, '/')[-1] WHEN page_id % 2 = 0 THEN 'Report_' || page_id || '.PDF' ELSE 'attachment_' || left(md5(link), 8) || '.pdf' END AS name,
+  regexp_matches(p || CASE WHEN page_id % 2 = 0 THEN ' see Report_' || page_id || '.PDF' ELSE ' Floor   Plans' END, '(?i)drawing|dwg|cad|plan[s]?\s*(sheet|set)|architectural\s*plan|structural\s*plan|mep\s*plan|civil\s*plan|floor\s*plan|site\s*plan|elevation|section\s*view|detail\s*sheet|[A-Z]\d{3}') AS drawing
+FROM (SELECT *, regexp_extract(link, '^[a-z]+://[^/?]*([^?#]*)', 1) AS p FROM links)""")
+def attachment_names(spark, sf):
+    told = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("see Report_"), "page_id", F.lit(".PDF"))).otherwise("Floor   Plans")
+    path = F.regexp_extract("link", "^[a-z]+://[^/?]*([^?#]*)", 1)
+    return text.page_links(table(spark, sf, "pages")).select("page_id", "link", text.attachment_name(F.col("link"), told).alias("name"), text.is_drawing(path, told).alias("drawing"))
+
+
+@query("SELECT event_id, event_type AS name, CAST(user_id AS INTEGER) AS layer_id, CASE WHEN user_id % 3 = 0 THEN 'esriGeometryPoint' END AS geometry_type, CASE WHEN user_id % 3 = 0 THEN 2 ELSE 0 END AS n_fields, CAST(CASE WHEN user_id % 2 = 0 THEN 3 ELSE user_id END AS BIGINT) AS feature_count, user_id % 5 = 0 AS limited FROM events")
+def service_metadata(spark, sf):
+    u = F.col("user_id")
+    body = F.to_json(F.struct(F.col("event_type").alias("name"), u.alias("id"), F.when(u % 3 == 0, "esriGeometryPoint").alias("geometryType"), F.when(u % 3 == 0, F.array(F.lit("a"), F.lit("b"))).alias("fields"), F.when(u % 2 == 0, F.array(F.lit(1), F.lit(2), F.lit(3))).alias("features"), u.alias("count"), F.when(u % 5 == 0, True).alias("exceededTransferLimit")))
+    return text.service_metadata(table(spark, sf, "events").select("event_id", body.alias("body")), "body").drop("body")
+
+
 @query("SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, event_type, count(*) AS events FROM events GROUP BY 1, 2")
 def daily_events(spark, sf):
     return table(spark, sf, "events").groupBy(F.window("ts", "1 day")["start"].alias("day"), "event_type").agg(F.count(F.lit(1)).alias("events")).withColumn("day", F.col("day").cast("timestamp_ntz"))
@@ -381,15 +690,20 @@ def point_in_polygon(spark, sf):
     return places.locate(points, diamonds.unionByName(bands), ["diamond", "band"], 10.0).drop("x", "y")
 
 
-@query()
+@query(r"""WITH l AS (SELECT doc_id, x, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS i FROM (SELECT doc_id, regexp_replace(s[i], '^\s+|\s+$', '', 'g') AS x, i FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents), unnest(range(1, len(s) + 1)) AS r(i)) WHERE x <> ''),
+h AS (SELECT *, length(x) < 100 AND regexp_full_match(x, '[A-Z][A-Z\s]{2,50}|\d+\.?\s+[A-Z][A-Za-z\s]+|SECTION\s+\d+[:\s].+|ARTICLE\s+\d+[:\s].+|PART\s+[A-Z0-9]+[:\s].+') AS head FROM l),
+g AS (SELECT *, sum(CAST(head AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM h),
+s AS (SELECT doc_id, g, max(x) FILTER (head) AS heading, string_agg(x, chr(10) ORDER BY i) FILTER (NOT head) AS content FROM g WHERE g > 0 GROUP BY 1, 2)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY g) - 1 AS INTEGER) AS place, heading, content FROM s WHERE content IS NOT NULL""")
 def doc_sections(spark, sf):
     return text.sections(table(spark, sf, "documents"), body=None, most=None)
 
 
-@query()
+@query("WITH RECURSIVE " + _LINKS + """, seeds AS (SELECT min(url) AS url FROM pages_ GROUP BY regexp_extract(url, '^[a-z]+://[^/?]*', 0)),
+w AS (SELECT url, 0 AS depth FROM seeds UNION SELECT l.link, w.depth + 1 FROM w JOIN links l ON l.url = w.url WHERE w.depth < 3) SELECT url, min(depth) AS depth FROM w GROUP BY url""")
 def page_reach(spark, sf):
     pages = text.page_parts(table(spark, sf, "pages")).select("page_id", "url")
-    links = text.page_links(table(spark, sf, "pages")).where("kind <> 'external'").join(pages, "page_id").select(F.col("url").alias("source"), F.col("link").alias("target"))
+    links = _linked(spark, sf).where("kind <> 'external'").select(F.col("url").alias("source"), F.col("link").alias("target"))
     seeds = pages.groupBy(F.regexp_extract("url", "^[a-z]+://[^/?]*", 0)).agg(F.min("url").alias("url"))
     return text.reach(links, seeds)
 
@@ -405,3 +719,131 @@ def floor_plans(spark, sf):
 def sql_functions_spend(spark, sf):
     sql_functions.register(spark)
     return spark.sql("SELECT fiscal_year(payment_date) AS fy, fiscal_quarter(payment_date) AS fq, vendor_key(supplier_name) AS vendor, CAST(sum(safe_money(concat('$', payment_amount))) AS DOUBLE) AS spend, count(*) AS n FROM {payments} GROUP BY 1, 2, 3", payments=view(spark, sf, "payments"))
+
+
+_CODES = "list_filter(list_transform(string_split(nigp_codes, CASE WHEN contains(nigp_codes, ';') THEN ';' ELSE ',' END), lambda x: trim(x)), lambda x: x <> '')"
+_CONTRACTS = f"dc AS (SELECT left(md5(CAST(contract_number AS VARCHAR)), 16) AS contract_key, contract_number, coalesce(title, description) AS contract_title, contract_type, coalesce({_CODES}, []) AS nigp_codes, agency_name FROM contracts)"
+
+
+def _contracts(spark, sf):
+    return warehouse.dim_contract(view(spark, sf, "contracts"), ["title", "nigp_codes"], "supplier_name", "contract_amount")
+
+
+@query("!" + _CONTRACTS + " SELECT contract_key, contract_number, contract_title, contract_type, CAST(NULL AS VARCHAR) AS procurement_method, array_to_string(nigp_codes, '|') AS nigp_codes, '' AS naics_codes, CAST(NULL AS VARCHAR) AS agency_code, agency_name, true AS is_current FROM dc", "contracts")
+def dim_contract(spark, sf):
+    return warehouse.current_rows(_contracts(spark, sf)).withColumns({c: F.array_join(c, "|") for c in ("nigp_codes", "naics_codes")})
+
+
+_GEO = """ge AS (SELECT left(md5(coalesce(w, 'Unknown') || '_' || coalesce(z, '')), 16) AS geography_key, CASE WHEN w IS NOT NULL THEN 'Ward ' || w END AS ward, CASE WHEN z LIKE '20%' THEN left(z, 5) END AS zip_code,
+  min_by(latitude, o) FILTER (latitude IS NOT NULL) AS latitude, min_by(longitude, o) FILTER (latitude IS NOT NULL) AS longitude, min_by(n, o) FILTER (n IS NOT NULL) AS neighborhood
+FROM (SELECT place_id + 1000000000 * (place_id % 2) AS o, ward AS w, zip_code AS z, latitude, longitude, CASE WHEN place_id % 2 = 0 THEN neighborhood END AS n FROM places) WHERE w IS NOT NULL OR z IS NOT NULL GROUP BY w, z)"""
+
+
+def _geographies(spark, sf):
+    p = view(spark, sf, "places")
+    return warehouse.dim_geography(p.where("place_id % 2 = 0"), p.where("place_id % 2 = 1"), "place_id")
+
+
+@query("!" + _GEO + " SELECT * FROM ge", "places")
+def dim_geography(spark, sf):
+    return _geographies(spark, sf)
+
+
+@query("!" + _GEO + f""", f AS (SELECT left(md5(coalesce(CAST(nullif(contract_number % 12, 0) AS VARCHAR), 'Unknown') || '_' || CAST(20000 + contract_number % 3 AS VARCHAR)), 16) AS k, {_fy('payment_date')} AS fiscal_year, payment_amount, supplier_name FROM payments)
+SELECT coalesce(ward, 'Unknown') AS ward, fiscal_year, CAST(sum(payment_amount) AS DECIMAL(28,2)) AS spend, count(*) AS payments, count(DISTINCT supplier_name) AS suppliers FROM f LEFT JOIN ge ON geography_key = k GROUP BY 1, 2""", "places", "payments")
+def spend_by_ward(spark, sf):
+    n = F.col("contract_number")
+    facts = view(spark, sf, "payments").select(warehouse.geography_key(F.nullif(n % 12, F.lit(0)), (20000 + n % 3).cast("string")).alias("geography_key"), S.fiscal_year(F.col("payment_date")).alias("fiscal_year"), F.col("payment_amount").alias("spend_amount"), F.col("supplier_name").alias("supplier_id"))
+    return warehouse.spend_by_ward(facts, _geographies(spark, sf))
+
+
+@query("!" + _CONTRACTS + f""", f AS (SELECT contract_number, {_fy('payment_date')} AS fiscal_year, sum(payment_amount) AS s FROM payments GROUP BY 1, 2), u AS (SELECT f.*, unnest(CASE WHEN len(nigp_codes) > 0 THEN nigp_codes ELSE ['Uncategorized'] END) AS category FROM f LEFT JOIN dc ON dc.contract_number = f.contract_number),
+g AS (SELECT category, fiscal_year, CAST(sum(s) AS DECIMAL(28,2)) AS spend, count(DISTINCT contract_number) AS contracts FROM u GROUP BY 1, 2) SELECT *, round(CAST(spend AS DOUBLE) * 100 / nullif(sum(CAST(spend AS DOUBLE)) OVER (PARTITION BY fiscal_year), 0), 4) AS percent FROM g""", "contracts", "payments")
+def category_spend(spark, sf):
+    facts = view(spark, sf, "payments").select("contract_number", S.fiscal_year(F.col("payment_date")).alias("fiscal_year"), F.col("payment_amount").alias("spend_amount"))
+    return warehouse.category_spend(facts, _contracts(spark, sf))
+
+
+@query(f"SELECT {_fy('payment_date')} AS fiscal_year, CAST(sum(payment_amount) AS DECIMAL(28,2)) AS spend, count(*) AS payments, round(CAST(CAST(sum(payment_amount) AS DECIMAL(28,2)) AS DOUBLE) / 1e6, 2) AS millions FROM payments WHERE payment_date IS NOT NULL GROUP BY 1", "payments")
+def spend_by_year(spark, sf):
+    return warehouse.spend_by_year(view(spark, sf, "payments"))
+
+
+@query(f"""!s AS (SELECT {_fy('payment_date')} AS fiscal_year, strftime(payment_date, '%Y-%m') AS month, CAST(sum(payment_amount) AS DECIMAL(28,2)) AS spend, count(*) AS payments, count(DISTINCT supplier_name) AS suppliers FROM payments WHERE payment_date IS NOT NULL GROUP BY 1, 2),
+t AS (SELECT *, CAST(sum(spend) OVER (PARTITION BY fiscal_year ORDER BY month) AS DECIMAL(28,2)) AS running FROM s), l AS (SELECT * FROM t ORDER BY month DESC LIMIT 12) SELECT *, CAST(row_number() OVER (ORDER BY month) AS INTEGER) AS place FROM l""", "payments")
+def last_12_months(spark, sf):
+    return warehouse.last_months(warehouse.monthly_trend(view(spark, sf, "payments")))
+
+
+@query("""SELECT 'total_spend' AS view, 'all' AS label, CAST(sum(payment_amount) AS DOUBLE) AS value, count(*) AS n FROM payments UNION ALL SELECT 'ward_value', 'Ward ' || ward, CAST(sum(price) AS DOUBLE), count(*) FROM properties WHERE ward BETWEEN 1 AND 8 AND price > 0 GROUP BY ward
+UNION ALL SELECT 'month_spend', strftime(payment_date, '%Y-%m'), CAST(sum(payment_amount) AS DOUBLE), count(*) FROM payments WHERE payment_date IS NOT NULL GROUP BY 2""", "payments", "properties")
+def kpi_views(spark, sf):
+    return warehouse.kpi_views(view(spark, sf, "payments"), gold.property_values_by_ward(view(spark, sf, "properties")))
+
+
+@query("SELECT unnest(['orders', 'part', 'supplier']) AS table, unnest([(SELECT count(*) FROM orders), (SELECT count(*) FROM part), (SELECT count(*) FROM supplier)]) AS n")
+def table_counts(spark, sf):
+    return warehouse.row_counts(**{n: table(spark, sf, n) for n in ("orders", "part", "supplier")})
+
+
+@query("!" + _FACT + "SELECT dim.supplier_id, supplier_name, is_cbe, CAST(coalesce(sum(spend_amount), 0) AS DECIMAL(28,2)) AS spend, count(fact_id) AS payments FROM dim LEFT JOIN (SELECT * FROM fact WHERE fiscal_year = 1996) f ON f.supplier_id = dim.supplier_id GROUP BY 1, 2, 3", "cbe_businesses", "contracts", "payments")
+def supplier_overview(spark, sf):
+    return warehouse.supplier_overview(_suppliers(spark, sf), _facts(spark, sf).where("fiscal_year = 1996"))
+
+
+@query("!" + _FACT + """, a AS (SELECT supplier_id, CAST(sum(spend_amount) AS DECIMAL(28,2)) AS spend, min(d) AS first_day, max(d) AS last_day, CAST(coalesce(sum(spend_amount) FILTER (isodow(d) >= 6), 0) AS DECIMAL(28,2)) AS weekend_spend FROM (SELECT *, CAST(strptime(CAST(date_key AS VARCHAR), '%Y%m%d') AS DATE) AS d FROM fact WHERE date_key BETWEEN 19960101 AND 19961231) GROUP BY 1)
+SELECT a.*, supplier_name, CASE WHEN spend >= 10000000 THEN 'Enterprise' WHEN spend >= 1000000 THEN 'Large' WHEN spend >= 100000 THEN 'Medium' ELSE 'Small' END AS tier FROM a JOIN dim ON dim.supplier_id = a.supplier_id""", "cbe_businesses", "contracts", "payments")
+def supplier_activity(spark, sf):
+    return warehouse.supplier_activity(_suppliers(spark, sf), _facts(spark, sf), warehouse.dim_date(spark, dt.date(1996, 1, 1), dt.date(1996, 12, 31)))
+
+
+@query("""!m AS (SELECT supplier_name, (1998 - CAST(year(payment_date) AS INTEGER)) * 12 + 1 - CAST(month(payment_date) AS INTEGER) AS back, CAST(sum(payment_amount) AS DECIMAL(28,2)) AS s FROM payments WHERE payment_date IS NOT NULL GROUP BY 1, 2)
+SELECT supplier_name, CAST(sum(s) AS DOUBLE) AS spend_last_12m, CAST(coalesce(sum(s) FILTER (back <= 6), 0) AS DOUBLE) AS spend_last_6m, round(-(12.0::DOUBLE * sum(CAST(back AS DOUBLE) * CAST(s AS DOUBLE)) - 78.0::DOUBLE * sum(CAST(s AS DOUBLE))) / 1716.0::DOUBLE, 4) AS spend_trend FROM m WHERE back BETWEEN 1 AND 12 GROUP BY 1""", "payments")
+def vendor_recent_spend(spark, sf):
+    return features.recent_spend(view(spark, sf, "payments"), dt.date(1998, 1, 1))
+
+
+@query("!" + _DIM + f""", q AS (SELECT agency_name, {_fy('payment_date')} AS fiscal_year, supplier_name, CAST(sum(payment_amount) AS DECIMAL(28,2)) AS s FROM payments WHERE payment_date IS NOT NULL GROUP BY 1, 2, 3),
+j AS (SELECT q.*, is_cbe, row_number() OVER (PARTITION BY agency_name, fiscal_year ORDER BY s DESC, q.supplier_name) AS r FROM q LEFT JOIN dim ON supplier_key = {_supplier('q.supplier_name')})
+SELECT agency_name, fiscal_year, CAST(coalesce(sum(s) FILTER (is_cbe), 0) AS DOUBLE) AS cbe_spend, round(coalesce(CAST(coalesce(sum(s) FILTER (is_cbe), 0) AS DOUBLE) * 100 / nullif(CAST(sum(s) AS DOUBLE), 0), 0), 4) AS cbe_spend_pct, max(supplier_name) FILTER (r = 1) AS top_vendor FROM j GROUP BY 1, 2""", "cbe_businesses", "contracts", "payments")
+def agency_cbe_spend(spark, sf):
+    return features.agency_cbe_spend(view(spark, sf, "payments"), _names(spark, sf))
+
+
+@query("""SELECT CAST(k AS INTEGER) AS source_number, doc_id, length, size FROM (SELECT 0 AS k, doc_id, length(text) AS length, NULL AS size FROM documents UNION ALL SELECT 1, page_id, NULL, length(html) FROM pages)""")
+def union_sources(spark, sf):
+    a = table(spark, sf, "documents").select("doc_id", F.length("text").alias("length"))
+    b = table(spark, sf, "pages").select(F.col("page_id").alias("doc_id"), F.length("html").alias("size"))
+    return dedup.union_sources(a, b)
+
+
+@query("""SELECT k, contract_number, url FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY contract_number) AS r FROM (SELECT *, nullif(contract_number // 40, 3) AS k FROM contracts) WHERE trim(coalesce(url, '')) <> '') WHERE r = 1 OR k IS NULL""", "contracts")
+def first_with_url(spark, sf):
+    c = view(spark, sf, "contracts").withColumn("k", F.nullif(F.floor(F.col("contract_number") / 40), F.lit(3)))
+    return dedup.first_with_url(c, "k", "url", "contract_number").select("k", "contract_number", "url")
+
+
+@query("SELECT DISTINCT agency_name FROM payments WHERE agency_name IS NOT NULL", "payments")
+def distinct_agencies(spark, sf):
+    return dedup.distinct_values(view(spark, sf, "payments"), "agency_name")
+
+
+def _star(spark, sf):
+    suppliers = warehouse.current_rows(_suppliers(spark, sf).withColumn("is_current", F.lit(True)))
+    contracts = _contracts(spark, sf).withColumn("contract_key", F.col("contract_number"))
+    return {"fact_spend": _facts(spark, sf), "dim_supplier": suppliers, "dim_contract": contracts}
+
+
+@query("!" + _FACT + ", " + _CONTRACTS + """ SELECT contract_type, is_cbe, CAST(sum(spend_amount) AS DOUBLE) AS total_spend, count(*) AS payment_count, count(DISTINCT fact.supplier_id) AS vendor_count, round(CAST(sum(spend_amount) AS DOUBLE) / count(spend_amount), 4) AS average_payment, quantile_cont(CAST(spend_amount AS DOUBLE), 0.5) AS median_payment
+FROM fact LEFT JOIN dim ON dim.supplier_id = fact.supplier_id LEFT JOIN dc ON dc.contract_number = fact.contract_key WHERE fiscal_year >= 1995 GROUP BY 1, 2""", "cbe_businesses", "contracts", "payments")
+def semantic_query(spark, sf):
+    exact = {**semantic.PROCUREMENT.measures, "average_payment": "round(try_divide(cast(sum(spend_amount) as double), count(spend_amount)), 4)"}
+    model = semantic.Model("procurement", "fact_spend", semantic.PROCUREMENT.dimensions, exact, semantic.PROCUREMENT.relations)
+    return model.query(_star(spark, sf), ["total_spend", "payment_count", "vendor_count", "average_payment", "median_payment"], ["contract_type", "is_cbe"], "fiscal_year >= 1995")
+
+
+@query("!" + _FACT + """, b AS (SELECT fact.*, supplier_name, is_cbe FROM fact LEFT JOIN dim ON dim.supplier_id = fact.supplier_id), s AS (SELECT supplier_name, CAST(sum(spend_amount) AS DOUBLE) AS v FROM b WHERE supplier_name IS NOT NULL GROUP BY 1 ORDER BY v DESC, supplier_name LIMIT 10)
+SELECT 'kpi' AS section, 'total_spend' AS label, CAST(sum(spend_amount) AS DOUBLE) AS value FROM b UNION ALL SELECT 'kpi', 'payment_count', CAST(count(*) AS DOUBLE) FROM b UNION ALL SELECT 'kpi', 'vendor_count', CAST(count(DISTINCT supplier_id) AS DOUBLE) FROM b
+UNION ALL SELECT 'year', CAST(fiscal_year AS VARCHAR), CAST(sum(spend_amount) AS DOUBLE) FROM b GROUP BY fiscal_year UNION ALL SELECT 'agency', agency_name, CAST(sum(spend_amount) AS DOUBLE) FROM b GROUP BY agency_name UNION ALL SELECT 'cbe', CAST(coalesce(is_cbe, false) AS VARCHAR), CAST(sum(spend_amount) AS DOUBLE) FROM b GROUP BY coalesce(is_cbe, false) UNION ALL SELECT 'supplier', supplier_name, v FROM s""", "cbe_businesses", "contracts", "payments")
+def dashboard(spark, sf):
+    return semantic.dashboard(_star(spark, sf)).where("label <> 'average_payment'")

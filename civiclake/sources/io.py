@@ -10,8 +10,8 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 
 def scan(spark: SparkSession, base: str, source: str, start: dt.date | None = None, end: dt.date | None = None, limit: int | None = None) -> DataFrame:
-    """One source of a layer partitioned by source and date; both ends count, schemas merge, partitions are pruned."""
-    df = spark.read.option("mergeSchema", "true").parquet(base).where(F.col("source") == source)
+    """One source of a layer partitioned by source and date; both ends count, schemas merge, partitions are pruned, unreadable files are skipped."""
+    df = spark.read.options(mergeSchema="true", ignoreCorruptFiles="true").parquet(base).where(F.col("source") == source)
     if start:
         df = df.where(F.col("date") >= F.lit(start))
     if end:
@@ -19,7 +19,9 @@ def scan(spark: SparkSession, base: str, source: str, start: dt.date | None = No
     return df.limit(limit) if limit else df
 
 
-def append(df: DataFrame, base: str, rows_per_file: int = 10_000) -> None:
+def append(df: DataFrame, base: str, rows_per_file: int = 10_000, schema: StructType | None = None) -> None:
+    """Add rows to a layer; with ``schema`` its fields are enforced by safe casts first."""
+    df = conform(df, schema) if schema else df
     df.write.partitionBy("source", "date").option("maxRecordsPerFile", rows_per_file).mode("append").parquet(base)
 
 
@@ -42,7 +44,7 @@ def read_quarantine(spark: SparkSession, base: str, error_type: str | None = Non
 def raw_files(spark: SparkSession, path: str) -> DataFrame:
     """Any files as payload rows: path, size, digest, records of a JSON array."""
     df = spark.read.format("binaryFile").load(path)
-    text = F.decode("content", F.lit("UTF-8"))
+    text = F.col("content").cast("string")
     return df.select("path", F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("content_hash"), F.coalesce(F.json_array_length(text), F.lit(1)).alias("records"), "content")
 
 
@@ -63,9 +65,44 @@ def unpivot_dates(df: DataFrame, ids: list[str], newest: int = 12) -> DataFrame:
     return typed.unpivot(ids, dates, "metric_date", "metric_value").where("metric_value IS NOT NULL")
 
 
-def swap(df: DataFrame, path: str) -> None:
-    """Overwrite a dataset: the latest run only."""
-    df.write.mode("overwrite").parquet(path)
+def swap(df: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Overwrite a dataset: the latest run only, or one folder a run."""
+    df.write.mode("overwrite").parquet(f"{path}/run={run_id}" if run_id else path)
+
+
+#: Declared schemas by record type; others register theirs.
+SCHEMAS: dict[str, str] = {
+    "contract": "record_id string, contract_number string, agency_name string, supplier_name string, contract_amount decimal(18,2), fiscal_year int, start_date date, lineage_source string, lineage_run_id string, lineage_raw_hash string",
+    "payment": "record_id string, supplier_name string, agency_name string, payment_amount decimal(18,2), payment_date date, fiscal_year int, contract_number string, lineage_source string, lineage_run_id string, lineage_raw_hash string",
+    "purchase_order": "record_id string, agency_name string, supplier_name string, amount_min decimal(18,2), amount_max decimal(18,2), order_date date, fiscal_year int",
+    "property": "record_id string, ssl string, ward int, price decimal(18,2), sqft double, bedrooms int, bathrooms double, year_built int, property_type string, sold_date date",
+    "rental": "record_id string, unit_number string, rent_price decimal(18,2), bedrooms int, bathrooms double, sqft int, status string",
+    "market_stat": "record_id string, region_name string, metric_name string, metric_date date, metric_value double",
+    "business": "record_id string, business_name string, license string, ward int, latitude double, longitude double",
+    "demographic": "record_id string, region_name string, metric_name string, category string, metric_value double",
+}
+
+
+def register_schema(record_type: str, ddl: str) -> None:
+    SCHEMAS[record_type] = ddl
+
+
+def conform_to(df: DataFrame, record_type: str) -> DataFrame:
+    """``conform`` to the registered schema of a record type."""
+    return conform(df, StructType.fromDDL(SCHEMAS[record_type]))
+
+
+def metrics_json(metrics: DataFrame, path: str) -> None:
+    metrics.write.mode("overwrite").json(path)
+
+
+def null_rates_csv(rates: DataFrame, path: str) -> None:
+    """Null rates as CSV, the highest first."""
+    rates.orderBy(F.desc("rate"), "dataset", "column").write.mode("overwrite").option("header", True).csv(path)
+
+
+def metrics_text(metrics: DataFrame, path: str) -> None:
+    prometheus_lines(metrics).write.mode("overwrite").text(path)
 
 
 def prometheus_lines(metrics: DataFrame) -> DataFrame:

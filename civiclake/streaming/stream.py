@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civiclake.functions.scalars import content_signature
 from civiclake.operators.validate import Rule, route
 
 
@@ -47,3 +48,32 @@ def advance_watermark(state: DataFrame, rows: DataFrame, source: str, time: str)
 def newer_rows(rows: DataFrame, state: DataFrame, source: str, time: str) -> DataFrame:
     s = state.select(F.col("source").alias(source), "high")
     return rows.join(s, source, "left").where(F.col("high").isNull() | (F.col(time) > F.col("high"))).drop("high")
+
+
+def monthly_spend(df: DataFrame, time: str, amount: str, delay: str) -> DataFrame:
+    """Spend and payments of each month, kept up to date; as months differ in length, days are windowed and the batch view adds them."""
+    return df.withWatermark(time, delay).groupBy(F.window(time, "1 day").alias("w")).agg(F.sum(amount).alias("spend"), F.count(F.lit(1)).alias("payments")).select(F.date_format(F.col("w.start"), "yyyy-MM").alias("month"), F.to_date("w.start").alias("day"), "spend", "payments")
+
+
+def months_of(days: DataFrame) -> DataFrame:
+    """The months of the stored days of ``monthly_spend``: a day that was written again counts by its last, largest row."""
+    last = days.groupBy("month", "day").agg(F.max_by(F.struct("spend", "payments"), "payments").alias("d"))
+    return last.groupBy("month").agg(F.sum("d.spend").alias("spend"), F.sum("d.payments").alias("payments"))
+
+
+def unchanged_skipped(payloads: DataFrame, seen: DataFrame) -> DataFrame:
+    """Payloads (kind, url, content_hash) whose signature isn't among the stored ones (signature), each once, with it."""
+    rows = payloads.withColumn("signature", content_signature(F.col("kind"), F.col("url"), F.col("content_hash"))).dropDuplicates(["signature"])
+    return rows.join(seen.select("signature").distinct(), "signature", "left_anti")
+
+
+def clear_progress(spark: SparkSession, checkpoint: str) -> bool:
+    """Forget how far a stream has come, so that the next run takes all from the start; tells whether there was anything."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(checkpoint)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def progress(query) -> dict:
+    """Batches, rows taken and last end positions of a query that ran."""
+    done = [p for p in query.recentProgress]
+    return {"batches": len({p["batchId"] for p in done}), "rows": sum(p["numInputRows"] for p in done), "end": [s["endOffset"] for s in done[-1]["sources"]] if done else []}
