@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from civiclake.sources.scratch import materialize
+
 
 def bucket(value: Column) -> Column:
     """A number of some 60,000 that never falls as ``value`` rises: the sign and 256 steps of each power of two."""
@@ -18,7 +20,8 @@ def ranked(df: DataFrame, value: str, key: str, name: str = "place") -> DataFram
     Rows are counted by bucket of the value, a table of bounded size; its running count says where each bucket begins,
     and only rows of one bucket are sorted together. Very many equal values share a bucket.
     """
-    rows = df.withColumn("_bucket", F.coalesce(bucket(F.col(value)), F.lit(-(1 << 31))))
+    # Stored, as counts and rows both read it.
+    rows = materialize(df.withColumn("_bucket", F.coalesce(bucket(F.col(value)), F.lit(-(1 << 31)))))
     sizes = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     starts = sizes.select("_bucket", (F.sum("_size").over(Window.orderBy(F.desc("_bucket"))) - F.col("_size")).alias("_before"))
     inside = Window.partitionBy("_bucket").orderBy(F.desc_nulls_last(value), key)
@@ -32,7 +35,7 @@ def index_percentile(df: DataFrame, keys: list[str], value: str, percents: tuple
     Exact and distributed, without keys too: equal values fold first, a table of buckets says which one holds each
     place, and only rows of those buckets are put in order.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).count().withColumn("_bucket", bucket(F.col(value)))
+    counts = materialize(df.where(F.col(value).isNotNull()).groupBy(*keys, value).count().withColumn("_bucket", bucket(F.col(value))))
     sizes = counts.groupBy(*keys, "_bucket").agg(F.sum("count").alias("_size"))
     part = Window.partitionBy(*keys)
     run = sizes.withColumn("_upto", F.sum("_size").over(part.orderBy("_bucket"))).withColumn("_n", F.sum("_size").over(part))

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civiclake.sources.scratch import materialize
+
 
 @dataclass(frozen=True)
 class Model:
@@ -57,7 +59,7 @@ PROCUREMENT = Model(
 
 def dashboard(tables: dict[str, DataFrame], top: int = 10) -> DataFrame:
     """section, label, value: key figures, spend by year, agency and certification, top suppliers; the payload as one long table."""
-    m = PROCUREMENT
+    m, tables = PROCUREMENT, {**tables, "fact_spend": materialize(tables["fact_spend"])}
     by = lambda section, d: m.query(tables, ["total_spend"], [d]).select(F.lit(section).alias("section"), F.coalesce(F.col(d).cast("string"), F.lit("Unknown")).alias("label"), F.col("total_spend").alias("value"))
     kpis = m.query(tables, ["total_spend", "payment_count", "vendor_count", "average_payment"], [])
     long = kpis.select(F.inline(F.array(*(F.struct(F.lit("kpi").alias("section"), F.lit(c).alias("label"), F.col(c).cast("double").alias("value")) for c in kpis.columns))))
