@@ -266,10 +266,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         named = named.withColumnRenamed("first_id", "component_id")
     else:
         rooted = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+        lowest = store(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), folder, "lowest")
         named = rooted.join(lowest, "root").select("node", "component_id")
     named = store(named, folder, "named")
-    discard(spark, folder, "nodes", "shared", "members", "sets", "links_star", "cc_star", "mixed", "open", "links_open", "cc")
+    discard(spark, folder, "nodes", "shared", "members", "sets", "links_star", "cc_star", "mixed", "open", "links_open", "cc", "lowest")
     out = all_rows.select("doc_id", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("doc_id").isNull(), None).when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
