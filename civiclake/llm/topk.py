@@ -16,32 +16,40 @@ def threshold_topk(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.nda
     ``lists[d]`` holds row numbers by descending component d. Lists are read in rounds of growing depth, from the top
     where the query's component is positive and from the bottom where it is negative; each row met is scored in full.
     A row not met yet scores at most the sum over the lists of weight times the component last read; once that is
-    below the kth score, nothing can enter and reading stops.
+    below the kth score, nothing can enter and reading stops. Where fewer rows are left than the next round has entries
+    to read, those rows are scored instead, which ends the search at no more cost than that round.
     """
     n = len(ids)
     used = np.flatnonzero(query)
+    up, down = used[query[used] > 0], used[query[used] < 0]
     seen = np.zeros(n, bool)
     kept_s, kept_i = np.empty(0, np.int64), np.empty(0, np.int64)
     depth, step = 0, max(4, k)
     while depth < n:
         to = min(n, depth + step)
-        up, down = used[query[used] > 0], used[query[used] < 0]
-        rows = np.concatenate([lists[up, depth:to].ravel(), lists[down, n - to : n - depth].ravel()]) if len(used) else np.arange(depth, to)
-        fresh = np.zeros(n, bool)
-        fresh[rows] = True
-        rows = np.flatnonzero(fresh & ~seen)
+        left = n - int(seen.sum())
+        if left <= len(used) * (to - depth) or not len(used):
+            fresh, to = ~seen, n
+        else:
+            fresh = np.zeros(n, bool)
+            fresh[lists[up, depth:to]] = True
+            fresh[lists[down, n - to : n - depth]] = True
+            fresh &= ~seen
+        rows = np.flatnonzero(fresh)
         seen[rows] = True
-        score = vectors[rows] @ query
+        # Many scattered rows cost more to fetch than the block does to multiply as it lies.
+        score = (vectors @ query)[rows] if len(rows) > n // 16 else vectors[rows] @ query
         keep = ids[rows] != own
+        if len(kept_s) == k:
+            # Less than the kth score can't enter, so only the rest is put in order.
+            keep &= score >= kept_s[-1]
         s, i = np.concatenate([kept_s, score[keep]]), np.concatenate([kept_i, ids[rows][keep]])
         best = np.lexsort((i, -s))
         s, i = s[best], i[best]
         # Vectors of one id with the same score make one row of the result, so they take one place.
         new = np.append(True, (s[1:] != s[:-1]) | (i[1:] != i[:-1]))[: len(s)]
         kept_s, kept_i = s[new][:k], i[new][:k]
-        if seen.all():
-            break
-        if len(kept_s) == k and len(used):
+        if to < n and len(kept_s) == k:
             bound = (query[up] * vectors[lists[up, to - 1], up]).sum() + (query[down] * vectors[lists[down, n - to], down]).sum()
             if bound < kept_s[-1]:
                 break
@@ -87,9 +95,10 @@ def exact_topk(vectors: DataFrame, is_query, k: int, scale: float = 256.0, id_co
         ids = left["id"].to_numpy(np.int64)
         vec = np.stack(left["v"].to_list()).astype(np.int64)
         q = np.stack(right["v"].to_list()).astype(np.int64)
-        # Doubles multiply faster and are exact while every partial sum stays below 2**53.
-        if vec.shape[1] * float(np.abs(vec).max(initial=0)) * float(np.abs(q).max(initial=0)) < 2**53:
-            vec, q = vec.astype(np.float64), q.astype(np.float64)
+        # Floats multiply faster and are exact while every partial sum fits in their bits.
+        most = vec.shape[1] * float(np.abs(vec).max(initial=0)) * float(np.abs(q).max(initial=0))
+        exact = next((t for t, bits in ((np.float32, 24), (np.float64, 53)) if most < 2**bits), np.int64)
+        vec, q = vec.astype(exact), q.astype(exact)
         lists = np.argsort(-vec, axis=0, kind="stable").T.copy()
         out = [(own, i, int(s)) for own, one in zip(right["id"].tolist(), q, strict=True) for i, s in threshold_topk(one, own, ids, vec, lists, k)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
