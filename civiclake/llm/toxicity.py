@@ -13,6 +13,9 @@ from .hashed_text import Sample, Scorer, adam, sigmoid, training_sample
 #: At most so many labelled documents train the chain.
 SAMPLE = 12_000
 FOLDS = 3
+#: A word of fewer labelled documents takes no part, and the fit stops early: both keep chance words of toxic documents
+#: from explaining them in place of the words that matter.
+LEAST, STEPS = 3, 40
 #: Rows at the base rate that a word's share of a category is mixed with: a rare word counts by its evidence.
 PRIOR_ROWS = 50
 #: The chain in its order. The label says only whether a document is toxic; how much so follows from words that the
@@ -65,7 +68,7 @@ def _lift(sample: Sample, on: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum(0, np.log((yes + PRIOR_ROWS * base) / (rows + PRIOR_ROWS) / base))
 
 
-def fit_chain(sample: Sample, labels: np.ndarray, folds: int = FOLDS, steps: int = 120, ridge: float = 1e-5, rate: float = 0.3) -> ChainModel:
+def fit_chain(sample: Sample, labels: np.ndarray, folds: int = FOLDS, steps: int = STEPS, ridge: float = 1e-5, rate: float = 0.3) -> ChainModel:
     """One link per category. Link c learns from the probabilities that models of the other folds gave to the earlier categories, so it sees them as noisy as at prediction."""
     n, k = labels.shape
     d = len(sample.used)
@@ -109,7 +112,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Ch
     nothing is toxic. Other columns are ignored.
     """
     found = training_sample(docs, labels, [F.col("toxic")], rows, shapes=False)
-    sample = Sample([(r.i, r.v) for r in found], least=2)
+    sample = Sample([(r.i, r.v) for r in found], least=LEAST)
     return fit_chain(sample, graded_targets(sample, np.array([r.t0 for r in found], np.int64)))
 
 
