@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, near_dedup, substring_dedup, topk
+from . import exact_dedup, mixing, near_dedup, spelling, substring_dedup, topk
 from .common import documents, scratch
 
 
@@ -72,5 +72,42 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogate_documents(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_quality, op3_exact_dedup, op4_near_dedup, op5_packing, op6_byte_bpe, op7_toxicity, op8_substring_dedup, op9_token_store, op10_pii)}
-ORACLES = {"op1_exact_topk": topk.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE, "op4_near_dedup": near_dedup.ORACLE, "op8_substring_dedup": substring_dedup.ORACLE}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .alignment import align_tokenizers
+
+    return align_tokenizers(documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_plan(documents(spark, sf_dir))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_exact_topk,
+        op2_quality,
+        op3_exact_dedup,
+        op4_near_dedup,
+        op5_packing,
+        op6_byte_bpe,
+        op7_toxicity,
+        op8_substring_dedup,
+        op9_token_store,
+        op10_pii,
+        op11_spelling_variants,
+        op12_tokenizer_alignment,
+        op13_source_mix,
+    )
+}
+ORACLES = {
+    "op1_exact_topk": topk.ORACLE,
+    "op3_exact_dedup": exact_dedup.ORACLE,
+    "op4_near_dedup": near_dedup.ORACLE,
+    "op8_substring_dedup": substring_dedup.ORACLE,
+    "op13_source_mix": mixing.ORACLE,
+}
