@@ -58,27 +58,28 @@ def canonical_url(c: Column) -> Column:
     return F.concat(F.lower(head), F.substring(base, F.length(head) + 1, F.length(base)))
 
 
-#: Character references that addresses hold.
-REFERENCES = (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+def page_parts(pages: DataFrame) -> DataFrame:
+    """page_id, url, title, description, headings, visible text, links (array of href and told, the text within, in page order).
+
+    Pages are cut into tokens in Arrow batches (``functions.markup``), one pass over each; a null page has nulls.
+    """
+    kind = dict(pages.dtypes)["page_id"]
 
+    def run(batches):
+        import pyarrow as pa
 
-def unescape(c: Column) -> Column:
-    for name, sign in REFERENCES:
-        c = F.replace(c, F.lit(name), F.lit(sign))
-    return c
+        from civiclake.functions.markup import page
 
+        link = pa.list_(pa.struct([("href", pa.string()), ("told", pa.string())]))
+        kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.string(), link]
+        for b in batches:
+            found = [page(h) or (None,) * 5 for h in b.column("html").to_pylist()]
+            cols = [pa.array([f[k] for f in found], t) for k, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), *cols], ["page_id", "url", "title", "description", "headings", "text", "links"])
 
-def page_parts(pages: DataFrame) -> DataFrame:
-    """page_id, url, title, description, headings, visible text, links (quoted either way or not at all)."""
-    body = F.regexp_replace("html", r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>|<!--.*?-->", " ")
-    meta = r"""(?is)<meta\b[^>]*\bname=["']description["'][^>]*\bcontent=["']([^"']*)["']"""
-    link = r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    found = [F.regexp_extract_all(body, F.lit(link), F.lit(k)) for k in (1, 2, 3)]
-    return pages.select(
-        "page_id", canonical_url(F.col("url")).alias("url"), F.trim(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"), F.nullif(F.trim(unescape(F.regexp_extract("html", meta, 1))), F.lit("")).alias("description"),
-        F.regexp_extract_all(body, F.lit(r"(?is)<h[1-3][^>]*>(.*?)</h[1-3]>"), F.lit(1)).alias("headings"), clean(F.regexp_replace(body, r"(?s)<[^>]*>", " ")).alias("text"),
-        F.transform(F.arrays_zip(found[0].alias("a"), found[1].alias("b"), found[2].alias("c")), lambda x: F.trim(unescape(F.concat(x["a"], x["b"], x["c"])))).alias("links"),
-    )
+    rows = pages.select("page_id", canonical_url(F.col("url")).alias("url"), "html")
+    out = rows.mapInArrow(run, f"page_id {kind}, url string, title string, description string, headings array<string>, text string, links array<struct<href: string, told: string>>")
+    return out.withColumn("text", clean(F.col("text")))
 
 
 def resolve(base: Column, link: Column) -> Column:
@@ -102,18 +103,26 @@ def host_of(url: Column) -> Column:
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """page_id, link (absolute), kind: internal (the same host), external or pdf; anchors, scripts and mail left out; each once."""
-    rows = page_parts(pages).select("page_id", "url", F.explode(F.array_distinct("links")).alias("raw")).where(~F.lower("raw").rlike(r"^(#|javascript:|mailto:|tel:|data:)|^$"))
-    rows = rows.withColumn("link", canonical_url(resolve(F.col("url"), F.col("raw"))))
-    kind = F.when(F.lower("link").rlike(r"\.pdf($|\?)"), "pdf").when(host_of(F.col("link")) == host_of(F.col("url")), "internal").otherwise("external")
-    return rows.select("page_id", "link", kind.alias("kind")).distinct()
+    """page_id, url, place (from 0, on the page), link (absolute), kind (internal: the same host, external or pdf), told (its text).
+
+    Anchors, scripts and mail are left out; of one address the first link stays. Narrow: a page's links stay in its row
+    until they are unnested.
+    """
+    other = r"^(#|javascript:|mailto:|tel:|data:)|^$"
+    given = F.filter(F.transform("links", lambda x: F.struct(F.trim(x["href"]).alias("raw"), x["told"].alias("told"))), lambda x: ~F.lower(x["raw"]).rlike(other))
+    made = F.transform("given", lambda x: F.struct(canonical_url(resolve(F.col("url"), x["raw"])).alias("link"), x["told"].alias("told")))
+    rows = page_parts(pages).select("page_id", "url", given.alias("given")).select("page_id", "url", made.alias("made")).withColumn("all", F.col("made.link"))
+    first = F.filter("made", lambda x, i: F.array_position("all", x["link"]) == i + 1)
+    rows = rows.select("page_id", "url", F.posexplode(first).alias("place", "x"))
+    kind = F.when(F.lower("x.link").rlike(r"\.pdf($|\?)"), "pdf").when(host_of(F.col("x.link")) == host_of(F.col("url")), "internal").otherwise("external")
+    return rows.select("page_id", "url", "place", "x.link", kind.alias("kind"), "x.told")
 
 
 def capped_links(links: DataFrame, caps: dict[str, int]) -> DataFrame:
-    """The first links of each page and kind, in their order, up to the stored number of the kind."""
+    """The first links of each page and kind, by their place on the page, up to the stored number of the kind."""
     limit = F.create_map(*(F.lit(x) for kv in caps.items() for x in kv))
-    place = F.row_number().over(Window.partitionBy("page_id", "kind").orderBy("link"))
-    return links.withColumn("place", place).where(F.col("place") <= F.coalesce(F.try_element_at(limit, F.col("kind")), F.lit(1 << 30))).drop("place")
+    nth = F.row_number().over(Window.partitionBy("page_id", "kind").orderBy("place", "link"))
+    return links.withColumn("nth", nth).where(F.col("nth") <= F.coalesce(F.try_element_at(limit, F.col("kind")), F.lit(1 << 30))).drop("nth")
 
 
 def allowed(links: DataFrame, own: str, link: str, hosts: DataFrame, prefix: str = "/") -> DataFrame:
@@ -156,14 +165,16 @@ def service_metadata(rows: DataFrame, column: str) -> DataFrame:
 
 
 #: English words that search tokens leave out.
-STOPWORDS = tuple(
-    (
-    "a an the and or but in on at to for of with by from as is was are were been be have has had do does did will would could should may might must shall can "
-    "need this that these those it its they them their we us our you your he she his her not no all any some each every both few more most other into through "
-    "during before after above below between under again further then once here there when where why how what which who whom if because until while about against "
-    "over such only own same so than too very just also now per"
-    ).split()
-)
+STOPWORDS = (
+    "a", "an", "the", "and", "or", "but", "in", "on", "at", "to", "for", "of", "with", "by", "from", "as", "is",
+    "was", "are", "were", "been", "be", "have", "has", "had", "do", "does", "did", "will", "would", "could", "should",
+    "may", "might", "must", "shall", "can", "need", "this", "that", "these", "those", "it", "its", "they", "them",
+    "their", "we", "us", "our", "you", "your", "he", "she", "his", "her", "not", "no", "all", "any", "some", "each",
+    "every", "both", "few", "more", "most", "other", "into", "through", "during", "before", "after", "above", "below",
+    "between", "under", "again", "further", "then", "once", "here", "there", "when", "where", "why", "how", "what",
+    "which", "who", "whom", "if", "because", "until", "while", "about", "against", "over", "such", "only", "own",
+    "same", "so", "than", "too", "very", "just", "also", "now", "per",
+)
 
 
 def search_tokens(docs: DataFrame, stopwords: tuple[str, ...] = STOPWORDS) -> DataFrame:

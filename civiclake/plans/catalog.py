@@ -607,34 +607,58 @@ def document_table(spark, sf):
     return text.document_table(table(spark, sf, "documents"), "source").withColumns({"tokens": F.array_join("tokens", " "), "sentences": F.array_join("sentences", "|")})
 
 
-_BODY = r"""regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>|<!--.*?-->', ' ', 'g')"""
+_BODY = r"""regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>|<!--.*?-->', ' ', 'g'), '(?s)<[a-zA-Z/!][^>]*$', '')"""
 _PAGE_URL = r"lower(regexp_extract(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*', 0)) || substr(regexp_replace(url, '#.*$', ''), length(regexp_extract(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*', 0)) + 1)"
-#: DuckDB: links of pages whose addresses begin with a slash, as all in these tables do.
+
+
+def _signs(c: str) -> str:
+    """DuckDB: the character references that these pages hold, one cut off at a page's end included."""
+    for name, sign in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
+        c = f"replace({c}, '{name}', '{sign}')"
+    return f"regexp_replace({c}, '&amp$', '&')"
+
+
+#: DuckDB: links of pages whose addresses begin with a slash, as all in these tables do; each at its first place.
 _LINKS = rf"""pages_ AS (SELECT page_id, {_PAGE_URL} AS url, {_BODY} AS body FROM pages),
-raws AS (SELECT page_id, url, replace(unnest(list_distinct(regexp_extract_all(body, '(?is)<a\b[^>]*?\bhref="([^"]*)"', 1))), '&amp;', '&') AS raw FROM pages_),
-links AS (SELECT DISTINCT page_id, url, link, CASE WHEN regexp_matches(lower(link), '\.pdf($|\?)') THEN 'pdf' ELSE 'internal' END AS kind FROM (SELECT page_id, url, regexp_extract(url, '^[a-z]+://[^/?]*', 0) || regexp_replace(raw, '#.*$', '') AS link FROM raws WHERE raw LIKE '/%'))
+raws AS (SELECT page_id, url, unnest(h) AS raw, generate_subscripts(h, 1) AS i FROM (SELECT page_id, url, regexp_extract_all(body, '(?is)<a\b[^>]*?\bhref="([^"]*)"', 1) AS h FROM pages_)),
+links AS (SELECT page_id, url, link, CASE WHEN regexp_matches(lower(link), '\.pdf($|\?)') THEN 'pdf' ELSE 'internal' END AS kind, CAST(row_number() OVER (PARTITION BY page_id ORDER BY min(i)) - 1 AS INTEGER) AS place
+  FROM (SELECT page_id, url, i, regexp_extract(url, '^[a-z]+://[^/?]*', 0) || regexp_replace({_signs("raw")}, '#.*$', '') AS link FROM raws WHERE raw LIKE '/%') GROUP BY 1, 2, 3)
 """
+#: A description in front of each page's title, its attributes in either order, with signs that end or open nothing.
+_ABOUT = "CASE WHEN page_id % 3 = 0 THEN concat('<META content=''About &lt;', page_id, '&gt; &amp;amp; more'' title=\"a > b\" name=description>') WHEN page_id % 3 = 1 THEN concat('<meta name=\"Description\" data-x=''>'' content=\" Page > ', page_id, ' &eacute;\" />') ELSE '<meta name=description>' END"
+_DESCRIBED = "SELECT page_id, url, replace(html, '<title>', concat({about}, '<title>')) AS html FROM {pages}"
+
+
+_TITLE = "trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1))"
+_HEADINGS = r"array_to_string(list_transform(regexp_extract_all(b, '(?is)<h[1-3][^>]*>(.*?)</h[1-3]>', 1), lambda h: trim(regexp_replace(h, '\s+', ' ', 'g'))), '|')"
+_TEXT = r"trim(regexp_replace(regexp_replace(regexp_replace(b, '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'), '[^\PC]', '', 'g'))"
+_META = r"""(?is)<meta\b(?:"[^"]*"|''[^'']*''|[^>"''])*>"""
 
 
-@query(rf"""SELECT page_id, {_PAGE_URL} AS url, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title, CAST(NULL AS VARCHAR) AS description, array_to_string(regexp_extract_all(b, '(?is)<h[1-3][^>]*>(.*?)</h[1-3]>', 1), '|') AS headings,
-  md5(trim(regexp_replace(regexp_replace(regexp_replace(b, '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'), '[^\PC]', '', 'g'))) AS text_md5 FROM (SELECT *, {_BODY} AS b FROM pages)""")
+@query(f"""WITH p AS ({_DESCRIBED.format(about=_ABOUT, pages="pages")})
+SELECT page_id, {_PAGE_URL} AS url, {_signs(_TITLE)} AS title, CASE page_id % 3 WHEN 0 THEN 'About <' || page_id || '> &amp; more' WHEN 1 THEN 'Page > ' || page_id || ' é' END AS description, {_signs(_HEADINGS)} AS headings, md5({_signs(_TEXT)}) AS text_md5
+FROM (SELECT page_id, url, html, regexp_replace(b, '{_META}', ' ', 'g') AS b FROM (SELECT *, {_BODY} AS b FROM p))""")
 def page_titles(spark, sf):
-    return text.page_parts(table(spark, sf, "pages")).select("page_id", "url", "title", "description", F.array_join("headings", "|").alias("headings"), F.md5("text").alias("text_md5"))
+    pages = spark.sql(_DESCRIBED.format(about=_ABOUT, pages="{pages}"), pages=table(spark, sf, "pages"))
+    return text.page_parts(pages).select("page_id", "url", "title", "description", F.array_join("headings", "|").alias("headings"), F.md5("text").alias("text_md5"))
 
 
-@query("WITH " + _LINKS + "SELECT page_id, link, kind FROM links")
+@query("WITH " + _LINKS + "SELECT page_id, place, link, kind FROM links")
 def page_links(spark, sf):
-    return text.page_links(table(spark, sf, "pages"))
+    return text.page_links(table(spark, sf, "pages")).select("page_id", "place", "link", "kind")
 
 
-def _linked(spark, sf):
-    return text.page_links(table(spark, sf, "pages")).join(text.page_parts(table(spark, sf, "pages")).select("page_id", "url"), "page_id")
+@query("WITH " + _LINKS + "SELECT page_id, place, link, kind FROM (SELECT *, row_number() OVER (PARTITION BY page_id, kind ORDER BY place) AS r FROM links) WHERE r <= CASE kind WHEN 'internal' THEN 4 WHEN 'pdf' THEN 1 ELSE 2 END")
+def page_links_capped(spark, sf):
+    links = text.page_links(table(spark, sf, "pages")).select("page_id", "place", "link", "kind")
+    return text.capped_links(links, {"internal": 4, "external": 2, "pdf": 1})
 
 
 @query("WITH " + _LINKS + ", h AS (SELECT DISTINCT regexp_extract(url, '://([^/?:]*)', 1) AS host FROM pages_ WHERE page_id % 3 = 0) SELECT l.page_id, l.link FROM links l WHERE substr(regexp_extract(link, '^[a-z]+://[^/?]*([^?#]*)', 1), 1, 2) = '/a'")
 def link_allowlist(spark, sf):
-    hosts = text.page_parts(table(spark, sf, "pages")).where("page_id % 3 = 0").select(text.host_of(F.col("url")).alias("host"))
-    return text.allowed(_linked(spark, sf), "url", "link", hosts, "/a").select("page_id", "link")
+    pages = table(spark, sf, "pages")
+    hosts = pages.where("page_id % 3 = 0").select(text.host_of(text.canonical_url(F.col("url"))).alias("host"))
+    return text.allowed(text.page_links(pages), "url", "link", hosts, "/a").select("page_id", "link")
 
 
 @query("WITH " + _LINKS + r"""SELECT page_id, link, CASE WHEN regexp_matches(p, '\.pdf$') THEN string_split(p, '/')[-1] WHEN page_id % 2 = 0 THEN 'Report_' || page_id || '.PDF' ELSE 'attachment_' || left(md5(link), 8) || '.pdf' END AS name,
@@ -702,9 +726,9 @@ def doc_sections(spark, sf):
 @query("WITH RECURSIVE " + _LINKS + """, seeds AS (SELECT min(url) AS url FROM pages_ GROUP BY regexp_extract(url, '^[a-z]+://[^/?]*', 0)),
 w AS (SELECT url, 0 AS depth FROM seeds UNION SELECT l.link, w.depth + 1 FROM w JOIN links l ON l.url = w.url WHERE w.depth < 3) SELECT url, min(depth) AS depth FROM w GROUP BY url""")
 def page_reach(spark, sf):
-    pages = text.page_parts(table(spark, sf, "pages")).select("page_id", "url")
-    links = _linked(spark, sf).where("kind <> 'external'").select(F.col("url").alias("source"), F.col("link").alias("target"))
-    seeds = pages.groupBy(F.regexp_extract("url", "^[a-z]+://[^/?]*", 0)).agg(F.min("url").alias("url"))
+    pages = table(spark, sf, "pages")
+    links = text.page_links(pages).where("kind <> 'external'").select(F.col("url").alias("source"), F.col("link").alias("target"))
+    seeds = pages.select(text.canonical_url(F.col("url")).alias("url")).groupBy(F.regexp_extract("url", "^[a-z]+://[^/?]*", 0)).agg(F.min("url").alias("url"))
     return text.reach(links, seeds)
 
 

@@ -49,8 +49,8 @@ def test_link_kinds(spark):
     html = "<a href='https://a.gov.evil.com/'>1</a><a href=\"https://A.gov/b\">2</a><a href=/c.PDF>3</a><a href='#x'>4</a><a href='mailto:a@b.c'>5</a><a href='JavaScript:void(0)'>6</a><script><a href='/no'></script><a href='https://user@a.gov:80/d'>7</a>"
     got = {r.link: r.kind for r in text.page_links(spark.createDataFrame([(1, "https://a.gov", html)], "page_id int, url string, html string")).collect()}
     assert got == {"https://a.gov.evil.com/": "external", "https://a.gov/b": "internal", "https://a.gov/c.PDF": "pdf", "https://user@a.gov:80/d": "internal"}
-    many = spark.createDataFrame([(1, f"l{i:02d}", "pdf") for i in range(9)], "page_id int, link string, kind string")
-    assert [r.link for r in text.capped_links(many, {"pdf": 3}).orderBy("link").collect()] == ["l00", "l01", "l02"]
+    many = spark.createDataFrame([(1, 9 - i, f"l{i:02d}", "pdf") for i in range(9)], "page_id int, place int, link string, kind string")
+    assert [r.link for r in text.capped_links(many, {"pdf": 3}).orderBy("place").collect()] == ["l08", "l07", "l06"]
 
 
 def test_page_and_file_details(spark):
