@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civiclake.functions.scalars import log_or_null, property_type_flags
-from civiclake.operators.order import index_percentile
+from civiclake.operators.order import index_percentile, percent_rank
 from civiclake.sources.scratch import materialize
 
 
@@ -107,13 +107,16 @@ def agency_cbe_spend(payments: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def ward_features(properties: DataFrame) -> DataFrame:
-    """Place of a price within its ward (0 to 1), the ward's mean price per square foot, bedrooms against the ward's mean."""
-    w = Window.partitionBy("ward")
-    rows = properties.where(F.col("ward").between(1, 8))
+    """Place of a price within its ward (0 to 1, none for a null price), the ward's mean price per square foot, bedrooms against the ward's mean.
+
+    No task holds a ward: see ``order.percent_rank``; the means are one row a ward.
+    """
+    rows = properties.where(F.col("ward").between(1, 8)).select("property_id", "ward", "price", "sqft", "bedrooms")
     pps = F.try_divide(F.col("price").cast("double"), F.col("sqft").cast("double"))
-    return rows.select(
-        "property_id", "ward", F.round(F.percent_rank().over(w.orderBy("price")), 6).alias("ward_price_percentile"), F.round(F.avg(pps).over(w), 4).alias("ward_avg_price_sqft"),
-        F.round(F.try_divide(F.col("bedrooms").cast("double"), F.avg("bedrooms").over(w)), 4).alias("bedroom_ratio"),
+    means = rows.groupBy(F.col("ward").alias("its_ward")).agg(F.avg(pps).alias("pps"), F.avg("bedrooms").alias("beds"))
+    wide = percent_rank(rows, ["ward"], "price", "place").join(means, F.col("ward") == F.col("its_ward"), "left")
+    return wide.select(
+        "property_id", "ward", F.round("place", 6).alias("ward_price_percentile"), F.round("pps", 4).alias("ward_avg_price_sqft"), F.round(F.try_divide(F.col("bedrooms").cast("double"), F.col("beds")), 4).alias("bedroom_ratio"),
     )
 
 

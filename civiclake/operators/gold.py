@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from civiclake.functions.scalars import entity_id, fiscal_year, metric_category, po_amount, trend_direction, vendor_key
 from civiclake.sources.scratch import materialize
-from civiclake.operators.order import index_percentile, ranked
+from civiclake.operators.order import group_places, ranked
 
 MONEY = "decimal(28,2)"
 KINDS = {"contract": ("total_contract_value", "contract_count"), "po": ("total_po_value", "po_count"), "payment": ("total_payments", "payment_count")}
@@ -73,14 +73,21 @@ def spend_by_vendor(contracts: DataFrame, orders: DataFrame, payments: DataFrame
 
 
 def property_values_by_ward(properties: DataFrame) -> DataFrame:
-    """Per ward 1..8: count, total, average, median, extremes, averages of size and year, price per square foot, percentiles."""
+    """Per ward 1..8: count, total, average, median, extremes, averages of size and year, price per square foot, percentiles.
+
+    One pass: rows fold by ward and price with the sums of the rest; all figures come from what is left.
+    """
     rows = properties.where(F.col("ward").between(1, 8) & (F.col("price") > 0))
-    stats = rows.groupBy("ward").agg(
-        F.count(F.lit(1)).alias("property_count"), F.sum("price").cast(MONEY).alias("total_value"), F.round(F.avg(F.col("price").cast("double")), 4).alias("avg_value"),
-        F.percentile(F.col("price").cast("double"), 0.5).alias("median_value"), F.min("price").alias("min_value"), F.max("price").alias("max_value"),
-        F.round(F.avg("sqft"), 4).alias("avg_sqft"), F.round(F.avg("year_built"), 4).alias("avg_year_built"), F.round(F.avg(F.col("price").cast("double")) / F.avg("sqft"), 4).alias("avg_price_per_sqft"),
+    price, n = F.col("price"), F.col("_n")
+    sums = [a(c).alias(f"_{k}_{c}") for c in ("sqft", "year_built") for k, a in (("sum", F.sum), ("count", F.count))]
+    mean = lambda c: F.try_divide(F.sum(f"_sum_{c}").cast("double"), F.sum(f"_count_{c}"))
+    total = F.sum(price * n)
+    average = total.cast("double") / F.sum(n)
+    figures = (
+        F.sum(n).alias("property_count"), total.cast(MONEY).alias("total_value"), F.round(average, 4).alias("avg_value"), F.min(price).alias("min_value"), F.max(price).alias("max_value"),
+        F.round(mean("sqft"), 4).alias("avg_sqft"), F.round(mean("year_built"), 4).alias("avg_year_built"), F.round(F.try_divide(average, mean("sqft")), 4).alias("avg_price_per_sqft"),
     )
-    return stats.join(index_percentile(rows, ["ward"], "price", (25, 75, 90)), "ward")
+    return group_places(rows, ["ward"], "price", {"p25": 25, "p75": 75, "p90": 90}, {"median_value": 0.5}, tuple(sums), figures)
 
 
 def value_distribution(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -612,10 +612,10 @@ _PAGE_URL = r"lower(regexp_extract(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A
 
 
 def _signs(c: str) -> str:
-    """DuckDB: the character references that these pages hold, one cut off at a page's end included."""
-    for name, sign in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
+    """DuckDB: the character references that these pages hold, those that lack their semicolon included."""
+    for name, sign in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"')):
         c = f"replace({c}, '{name}', '{sign}')"
-    return f"regexp_replace({c}, '&amp$', '&')"
+    return f"regexp_replace({c}, '&amp;?', '&', 'g')"
 
 
 #: DuckDB: links of pages whose addresses begin with a slash, as all in these tables do; each at its first place.
