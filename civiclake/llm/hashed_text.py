@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections import Counter
 from copy import copy
 from operator import eq
@@ -129,29 +130,35 @@ class Sample:
 def training_sample(docs: DataFrame, labels: DataFrame, targets: list, rows: int, shapes: bool, id_col: str = "doc_id", text_col: str = "text") -> list:
     """At most ``rows`` labelled documents: those with the smallest id hashes, so the same ones on every run.
 
-    The sample is the documented bound of the classifiers. Its ids (at most ``rows``) are broadcast to one scan of the
-    documents, features are made in the tasks, and only they come to the driver, one row an id. Label rows of one id
-    that disagree count as the smallest of them, documents of one id as the smallest text, a null text as empty. Rows
-    without a label or an id, and documents without a label, take no part; without any the sample is empty.
+    The sample is the documented bound of the classifiers; labels without a document take no place in it. Its ids (at
+    most ``rows``) are broadcast to one scan of the documents, features are made in the tasks, and only they come to the
+    driver, one row an id, with the text's hash ``h``. Label rows of one id that disagree count as the smallest of them,
+    documents of one id as the smallest text, a null text as empty. Rows without a label or an id, and documents
+    without a label, take no part; without any the sample is empty, which warns.
     """
     names = [f"t{i}" for i in range(len(targets))]
     marks = labels.select(F.col(id_col).cast("long").alias("id"), F.struct(*(t.cast("int").alias(n) for t, n in zip(targets, names, strict=True))).alias("t"))
     whole = F.col("id").isNotNull()
     for n in names:
         whole &= F.col(f"t.{n}").isNotNull()
-    chosen = marks.where(whole).groupBy("id").agg(F.min("t").alias("t")).orderBy(F.xxhash64("id"), "id").limit(rows).select("id", "t.*")
+    there = docs.select(F.col(id_col).cast("long").alias("id"))
+    marks = marks.where(whole).groupBy("id").agg(F.min("t").alias("t")).join(there, "id", "left_semi")
+    chosen = marks.orderBy(F.xxhash64("id"), "id").limit(rows).select("id", "t.*")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
-    texts = texts.groupBy("id", *names).agg(F.min("text").alias("text"))
+    texts = texts.groupBy("id", *names).agg(F.min("text").alias("text")).withColumn("h", F.xxhash64("text"))
 
     def run(batches):
         import pandas as pd
 
         for b in batches:
             made = [features(t, shapes) for t in b["text"]]
-            yield pd.DataFrame({"id": b["id"], "i": [i.astype(np.int32).tobytes() for i, _ in made], "v": [v.astype(np.float32).tobytes() for _, v in made]} | {n: b[n] for n in names})
+            yield pd.DataFrame({"id": b["id"], "h": b["h"], "i": [i.astype(np.int32).tobytes() for i, _ in made], "v": [v.astype(np.float32).tobytes() for _, v in made]} | {n: b[n] for n in names})
 
-    out = texts.mapInPandas(run, "id long, i binary, v binary, " + ", ".join(f"{n} int" for n in names))
-    return sorted(out.collect(), key=lambda r: r.id)
+    out = texts.mapInPandas(run, "id long, h long, i binary, v binary, " + ", ".join(f"{n} int" for n in names))
+    found = sorted(out.collect(), key=lambda r: r.id)
+    if not found:
+        warnings.warn("no labelled documents: the model knows nothing", stacklevel=3)
+    return found
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

@@ -68,14 +68,17 @@ def _lift(sample: Sample, on: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum(0, np.log((yes + PRIOR_ROWS * base) / (rows + PRIOR_ROWS) / base))
 
 
-def fit_chain(sample: Sample, labels: np.ndarray, folds: int = FOLDS, steps: int = STEPS, ridge: float = 1e-5, rate: float = 0.3) -> ChainModel:
-    """One link per category. Link c learns from the probabilities that models of the other folds gave to the earlier categories, so it sees them as noisy as at prediction."""
+def fit_chain(sample: Sample, labels: np.ndarray, fold: np.ndarray, folds: int = FOLDS, steps: int = STEPS, ridge: float = 1e-5, rate: float = 0.3) -> ChainModel:
+    """One link per category. Link c learns from the probabilities that models of the other folds gave to the earlier categories, so it sees them as noisy as at prediction.
+
+    ``fold`` numbers each row's fold; copies of a text belong into one, or the other folds would know it.
+    """
     n, k = labels.shape
     d = len(sample.used)
     weights, links, bias = np.zeros((len(sample.full(np.zeros(d))), k)), np.zeros((k, k)), np.zeros(k)
     if not n:
         return ChainModel(weights, links, bias - 9)
-    fold, earlier = np.arange(n) % folds, np.zeros((n, 0))
+    earlier = np.zeros((n, 0))
     for c in range(k):
         known, y = labels[:, c] >= 0, labels[:, c].astype(float)
         x = _fit(sample, known, earlier, y, steps, ridge, rate)
@@ -90,9 +93,9 @@ def fit_chain(sample: Sample, labels: np.ndarray, folds: int = FOLDS, steps: int
     return ChainModel(weights, links, bias)
 
 
-def graded_targets(sample: Sample, toxic: np.ndarray, folds: int = FOLDS) -> np.ndarray:
+def graded_targets(sample: Sample, toxic: np.ndarray, fold: np.ndarray, folds: int = FOLDS) -> np.ndarray:
     """0/1 rows of CATEGORIES. A word is told to be toxic where its share of toxic rows, shrunk by five rows of the base rate, is a half or more."""
-    fold, d = np.arange(len(toxic)) % folds, len(sample.used)
+    d = len(sample.used)
     words = np.zeros(len(toxic), np.int64)
     for f in range(folds):
         on = (fold != f)[sample.row]
@@ -113,7 +116,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Ch
     """
     found = training_sample(docs, labels, [F.col("toxic")], rows, shapes=False)
     sample = Sample([(r.i, r.v) for r in found], least=LEAST)
-    return fit_chain(sample, graded_targets(sample, np.array([r.t0 for r in found], np.int64)))
+    # Copies of a text share its hash and so its fold.
+    fold = np.array([r.h % FOLDS for r in found], np.int64)
+    return fit_chain(sample, graded_targets(sample, np.array([r.t0 for r in found], np.int64), fold), fold)
 
 
 def score_toxicity(docs: DataFrame, model: ChainModel, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -316,9 +316,10 @@ def test_toxic_categories_of_any_language():
     texts = [f"mot{i % 7} autre{i % 5} " + " ".join(f"sale{(i // 12 + j) % 5}" for j in range(g)) for i, g in enumerate(grade)]
     made = [features(t, False) for t in texts]
     sample = Sample([(i.astype(np.int32).tobytes(), v.astype(np.float32).tobytes()) for i, v in made], least=2)
-    got = toxicity.graded_targets(sample, np.array([g > 0 for g in grade], np.int64))
+    fold = np.arange(len(grade)) % toxicity.FOLDS
+    got = toxicity.graded_targets(sample, np.array([g > 0 for g in grade], np.int64), fold)
     assert got.tolist() == [[int(g >= n) for n in (1, 2, 4)] for g in grade]
-    model = toxicity.fit_chain(sample, got)
+    model = toxicity.fit_chain(sample, got, fold)
     p = model.predict(np.array([v @ model.weights[i] for i, v in made]))
     assert ((p[:, 0] > 0.5) == (np.array(grade) > 0)).all() and (p[np.array(grade) == 4, 2].min() > p[np.array(grade) == 1, 2].max())
 

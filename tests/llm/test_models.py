@@ -82,7 +82,7 @@ def test_chain_is_out_of_fold():
     texts = [f"only{i} common" for i in range(60)]
     s = sample_of(texts, False)
     y = np.array([[i % 2, i % 2] for i in range(60)])
-    m = toxicity.fit_chain(s, y)
+    m = toxicity.fit_chain(s, y, np.arange(len(y)) % toxicity.FOLDS)
     p = m.predict(np.array([v @ m.weights[i] for i, v in (features(t, False) for t in texts)]))
     assert ((p[:, 0] > 0.5) == (y[:, 0] == 1)).all() and abs(m.links[1, 0]) < 1
 
@@ -105,3 +105,18 @@ def test_sample_is_settled(spark):
         got = hashed_text.training_sample(d, lab, [F.col("quality")], 10, True)
         assert [(r.id, r.t0) for r in got] == [(1, 0), (2, 1), (3, 1)]
         assert np.frombuffer(got[0].i, np.int32).tolist() == features("", True)[0].astype(np.int32).tolist()
+
+
+def test_sample_takes_documents_before_its_bound(spark):
+    """Labels without a document take no place, and copies of a text share a hash, by which folds go."""
+    labels = spark.range(20000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality", "CAST(id % 3 = 0 AS INT) AS toxic")
+    docs = spark.range(300).selectExpr("id * 61 AS doc_id", "concat('text ', id % 100) AS text")
+    for bound in (100, 300, 6000):
+        got = hashed_text.training_sample(docs, labels, [F.col("quality")], bound, False)
+        assert len(got) == min(300, bound) and {r.id % 61 for r in got} == {0}
+    by = {}
+    for r in got:
+        by.setdefault(r.id // 61 % 100, set()).add(r.h)
+    assert len(by) == 100 and all(len(h) == 1 for h in by.values()) and len({h for s in by.values() for h in s}) == 100
+    with pytest.warns(UserWarning, match="no labelled documents"):
+        assert not hashed_text.training_sample(docs, labels.where("doc_id < 0"), [F.col("quality")], 10, False)
