@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civiclake.functions.scalars import code_list, entity_id, fiscal_month, fiscal_quarter, fiscal_year, spend_tier, supplier_key, uuid5, ward_label
+from civiclake.operators import history
 from civiclake.operators.dedup import most_complete
 from civiclake.sources.scratch import materialize
 
@@ -77,10 +78,25 @@ def geography_key(ward: Column, zip_code: Column) -> Column:
 
 def current_rows(dimension: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Rows that are current, or that were on ``as_of`` by their effective and expiration dates."""
-    if as_of is None:
-        return dimension.where("is_current")
-    day = F.lit(as_of)
-    return dimension.where((F.col("effective_date") <= day) & (F.col("expiration_date").isNull() | (F.col("expiration_date") > day)))
+    return dimension.where("is_current") if as_of is None else history.as_of(dimension, as_of)
+
+
+#: What makes a version of a dimension's row.
+SUPPLIER_VERSION = ("supplier_name", "is_cbe")
+CONTRACT_VERSION = ("contract_title", "contract_type", "procurement_method", "nigp_codes", "naics_codes", "agency_code", "agency_name")
+
+
+def load_dimension(dimension: DataFrame, path: str, key: str, tracked: tuple[str, ...], effective: Column, load: str) -> dict[str, int] | None:
+    """Put a built dimension into its history below ``path``: rows that say something new open versions from the day ``effective``.
+
+    The first load creates the history. See ``history.merge_history`` for what is read and written, and for late rows.
+    """
+    spark = dimension.sparkSession
+    rows = dimension.select(key, *tracked, effective.cast("date").alias("effective_date"))
+    if history.exists(spark, path):
+        return history.merge_history(spark, path, rows, [key], list(tracked), load)
+    history.create_history(rows, path, [key], list(tracked), load=load)
+    return None
 
 
 def fact_spend(payments: DataFrame, names: DataFrame, contracts: DataFrame) -> DataFrame:

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from civiclake.functions import scalars as S
 from civiclake.functions import sql as sql_functions
-from civiclake.operators import dedup, features, gold, ingest, order, places, quality, text, validate, warehouse
+from civiclake.operators import dedup, features, gold, history, ingest, order, places, quality, text, validate, warehouse
 from civiclake.plans import semantic
 from civiclake.plans.bindings import duck, table, view
-from civiclake.sources import io
+from civiclake.sources import io, keyed
+from civiclake.sources.scratch import materialize, shared_folder
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -758,6 +759,47 @@ def dim_contract(spark, sf):
     return warehouse.current_rows(_contracts(spark, sf)).withColumns({c: F.array_join(c, "|") for c in ("nigp_codes", "naics_codes")})
 
 
+def _versions(obs: str, key: str, tracked: str) -> str:
+    """DuckDB: versions of the rows ``obs`` (load, key, tracked columns, day), later loads winning on a day."""
+    cells = ", ".join(f"{c} := {c}" for c in tracked.split(", "))
+    return f"""o AS (SELECT *, struct_pack({cells}) AS s, row_number() OVER (PARTITION BY {key}, day ORDER BY load DESC) AS r FROM ({obs})),
+c AS (SELECT * FROM (SELECT *, lag(s) OVER (PARTITION BY {key} ORDER BY day) AS last, row_number() OVER (PARTITION BY {key} ORDER BY day) AS i FROM o WHERE r = 1) WHERE i = 1 OR s IS DISTINCT FROM last)
+SELECT {key}, {tracked}, day AS effective_date, CAST(lead(day) OVER (PARTITION BY {key} ORDER BY day) AS VARCHAR) AS expiration_date, lead(day) OVER (PARTITION BY {key} ORDER BY day) IS NULL AS is_current FROM c"""
+
+
+def _history(spark, path: str, columns: tuple[str, ...]) -> DataFrame:
+    rows = history.read_history(spark, path)
+    return rows.select(*columns, "effective_date", F.col("expiration_date").cast("string").alias("expiration_date"), "is_current")
+
+
+@query("!" + _DIM + ", " + _versions("""SELECT 1 AS load, supplier_id, supplier_name, false AS is_cbe, DATE '1998-01-01' AS day FROM dim
+  UNION ALL SELECT 2, supplier_id, CASE WHEN priority = 2 THEN supplier_name || ' (before)' ELSE supplier_name END, is_cbe, CASE WHEN priority = 2 THEN DATE '1997-06-01' ELSE DATE '1999-01-01' END FROM dim""", "supplier_id", "supplier_name, is_cbe"), "cbe_businesses", "contracts", "payments")
+def dim_supplier_history(spark, sf):
+    """Two loads: all uncertified, then certifications (changes), old names of contract suppliers (late) and the rest as before."""
+    dim, path = materialize(_suppliers(spark, sf)), shared_folder(spark)
+    late = F.col("priority") == 2
+    warehouse.load_dimension(dim.withColumn("is_cbe", F.lit(False)), path, "supplier_id", warehouse.SUPPLIER_VERSION, F.lit(dt.date(1998, 1, 1)), "1")
+    second = dim.withColumn("supplier_name", F.when(late, F.concat("supplier_name", F.lit(" (before)"))).otherwise(F.col("supplier_name")))
+    warehouse.load_dimension(second, path, "supplier_id", warehouse.SUPPLIER_VERSION, F.when(late, F.lit(dt.date(1997, 6, 1))).otherwise(F.lit(dt.date(1999, 1, 1))), "2")
+    return _history(spark, path, ("supplier_id", *warehouse.SUPPLIER_VERSION))
+
+
+_AMENDED = "CASE WHEN contract_number % 4 = 0 THEN 'amended' ELSE contract_type END"
+
+
+@query("!" + _CONTRACTS + ", " + _versions(f"""SELECT 1 AS load, contract_key, contract_title, contract_type, agency_name, DATE '1996-01-01' AS day FROM dc
+  UNION ALL SELECT 2, contract_key, CASE WHEN contract_number % 4 = 2 THEN NULL ELSE contract_title END, {_AMENDED}, agency_name, CASE WHEN contract_number % 8 = 0 THEN DATE '1996-01-01' WHEN contract_number % 4 = 2 THEN DATE '1995-01-01' ELSE DATE '1997-01-01' END FROM dc WHERE contract_number % 4 <> 3""", "contract_key", "contract_title, contract_type, agency_name"), "contracts")
+def dim_contract_history(spark, sf):
+    """Two loads: every contract, then amendments, corrections on the day itself, late rows without a title, confirmations."""
+    dim, path, n = materialize(_contracts(spark, sf)), shared_folder(spark), F.col("contract_number")
+    tracked = ("contract_title", "contract_type", "agency_name")
+    warehouse.load_dimension(dim, path, "contract_key", tracked, F.lit(dt.date(1996, 1, 1)), "1")
+    second = dim.where(n % 4 != 3).withColumns({"contract_title": F.when(n % 4 == 2, None).otherwise(F.col("contract_title")), "contract_type": F.when(n % 4 == 0, "amended").otherwise(F.col("contract_type"))})
+    day = F.when(n % 8 == 0, F.lit(dt.date(1996, 1, 1))).when(n % 4 == 2, F.lit(dt.date(1995, 1, 1))).otherwise(F.lit(dt.date(1997, 1, 1)))
+    warehouse.load_dimension(second, path, "contract_key", tracked, day, "2")
+    return _history(spark, path, ("contract_key", *tracked))
+
+
 _GEO = """ge AS (SELECT left(md5(coalesce(w, 'Unknown') || '_' || coalesce(z, '')), 16) AS geography_key, CASE WHEN w IS NOT NULL THEN 'Ward ' || w END AS ward, CASE WHEN z LIKE '20%' THEN left(z, 5) END AS zip_code,
   min_by(latitude, o) FILTER (latitude IS NOT NULL) AS latitude, min_by(longitude, o) FILTER (latitude IS NOT NULL) AS longitude, min_by(n, o) FILTER (n IS NOT NULL) AS neighborhood
 FROM (SELECT place_id + 1000000000 * (place_id % 2) AS o, ward AS w, zip_code AS z, latitude, longitude, CASE WHEN place_id % 2 = 0 THEN neighborhood END AS n FROM places) WHERE w IS NOT NULL OR z IS NOT NULL GROUP BY w, z)"""
@@ -847,6 +889,27 @@ def first_with_url(spark, sf):
     return dedup.first_with_url(c, "k", "url", "contract_number").select("k", "contract_number", "url")
 
 
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'moved' ELSE c_mktsegment END AS c_mktsegment, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 5 <> 0 OR c_custkey % 3 = 0")
+def upserted_customers(spark, sf):
+    """A stored table without every fifth customer, then a load of every third one."""
+    c, path = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal"), shared_folder(spark)
+    keyed.write_keyed(c.where("c_custkey % 5 <> 0"), path, ["c_custkey"], 16)
+    keyed.upsert_keyed(spark, path, c.where("c_custkey % 3 = 0").withColumns({"c_mktsegment": F.lit("moved"), "c_acctbal": F.col("c_acctbal") + 1}), ["c_custkey"])
+    return keyed.read_keyed(spark, path)
+
+
+@query("SELECT nullif(c_custkey % 40, 7) AS slot, min(c_nationkey) AS c_nationkey FROM customer GROUP BY 1 UNION ALL SELECT 100 + n_nationkey, n_nationkey FROM nation")
+def inserted_if_absent(spark, sf):
+    """Keys, one of them null, that a second load repeats in part: the first rows stay."""
+    path = shared_folder(spark)
+    first = table(spark, sf, "customer").groupBy(F.nullif(F.col("c_custkey") % 40, F.lit(7)).alias("slot")).agg(F.min("c_nationkey").alias("c_nationkey"))
+    keyed.write_keyed(first, path, ["slot"], 16)
+    repeated = first.withColumn("c_nationkey", F.lit(-1).cast(dict(first.dtypes)["c_nationkey"]))
+    news = table(spark, sf, "nation").select((100 + F.col("n_nationkey")).cast(dict(first.dtypes)["slot"]).alias("slot"), F.col("n_nationkey").cast(dict(first.dtypes)["c_nationkey"]).alias("c_nationkey"))
+    keyed.insert_keyed(spark, path, repeated.unionByName(news), ["slot"])
+    return keyed.read_keyed(spark, path)
+
+
 @query("SELECT DISTINCT agency_name FROM payments WHERE agency_name IS NOT NULL", "payments")
 def distinct_agencies(spark, sf):
     return dedup.distinct_values(view(spark, sf, "payments"), "agency_name")

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """``df`` written below ``spark.checkpoint.dir`` and read back, so that several readers compute it once.
+def shared_folder(spark: SparkSession) -> str:
+    """The path of a new folder below ``spark.checkpoint.dir``.
 
     Without that setting a session that runs on this machine alone takes a temporary folder; a cluster raises an error.
     """
-    spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
@@ -21,6 +20,11 @@ def materialize(df: DataFrame) -> DataFrame:
 
         base = tempfile.mkdtemp(prefix="spark-civiclake-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/civiclake/{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/civiclake/{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """``df`` written to a shared folder and read back, so that several readers compute it once."""
+    path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
