@@ -15,6 +15,7 @@ from civiclake.plans import semantic
 from civiclake.plans.bindings import duck, table, view
 from civiclake.sources import io, keyed
 from civiclake.sources.scratch import materialize, shared_folder
+from civiclake.streaming import recent, stream
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +36,7 @@ MONEY = {
     "category_spend": "spend",
     "spend_by_ward": "spend",
     "spend_by_year": "spend",
+    "stream_monthly_spend": "spend",
     "last_12_months": "spend running",
     "supplier_overview": "spend",
     "supplier_activity": "spend weekend_spend",
@@ -759,6 +761,77 @@ def dim_contract(spark, sf):
     return warehouse.current_rows(_contracts(spark, sf)).withColumns({c: F.array_join(c, "|") for c in ("nigp_codes", "naics_codes")})
 
 
+def _streamed(spark, sf, name: str, files: int = 1) -> DataFrame:
+    """A table as a stream of files in the shared folder."""
+    rows, path = table(spark, sf, name), shared_folder(spark)
+    rows.repartition(files).write.parquet(path)
+    return stream.stream_of(spark, path, rows, files)
+
+
+def _taken(spark, df: DataFrame) -> DataFrame:
+    """What a stream writes until nothing is left."""
+    out = shared_folder(spark)
+    stream.run_available(df, f"{out}/rows", f"{out}/checkpoint")
+    return spark.read.schema(df.schema).parquet(f"{out}/rows")
+
+
+@query("""WITH d AS (SELECT date_trunc('day', ts) AS d, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS s, count(*) AS n FROM events GROUP BY 1)
+SELECT strftime(d, '%Y-%m') AS month, CAST(sum(s) AS DECIMAL(28,2)) AS spend, CAST(sum(n) AS BIGINT) AS payments FROM d WHERE d + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 DAY FROM events) GROUP BY 1""")
+def stream_monthly_spend(spark, sf):
+    """Days that the watermark has closed, added to months."""
+    days = stream.monthly_spend(_streamed(spark, sf, "events").withColumns({"ts": F.col("ts").cast("timestamp"), "amount": F.col("value").cast("decimal(18,2)")}), "ts", "amount", "2 days")
+    return stream.months_of(_taken(spark, days)).withColumn("spend", F.col("spend").cast("decimal(28,2)"))
+
+
+@query("SELECT event_type, user_id FROM events GROUP BY 1, 2")
+def stream_recent_users(spark, sf):
+    """Users of each kind of event, by bounded state that none outgrows."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    recent.with_rocksdb(spark)
+    try:
+        rows = _streamed(spark, sf, "events").select("event_type", F.col("user_id").cast("string").alias("digest"))
+        return _taken(spark, recent.dedup_recent(rows, "event_type", "digest", slots=4)).select("event_type", F.col("digest").cast(dict(table(spark, sf, "events").dtypes)["user_id"]).alias("user_id"))
+    finally:
+        spark.conf.set(key, before)
+
+
+@query("SELECT user_id, event_type FROM events GROUP BY 1, 2")
+def stream_distinct(spark, sf):
+    rows = _streamed(spark, sf, "events", 3).select(F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    return _taken(spark, stream.dedup_stream(rows, "ts", ["user_id", "event_type"], "3650 days")).select("user_id", "event_type")
+
+
+@query("SELECT event_type, count(*) FILTER (value >= 10) AS good, count(*) FILTER (NOT value >= 10) AS bad FROM events GROUP BY 1")
+def stream_routed(spark, sf):
+    """Micro-batches routed by a rule to rows and quarantine."""
+    out = shared_folder(spark)
+    rule = validate.Rule("value", F.col("value") >= 10, F.lit("value is below 10"))
+    stream.route_stream(_streamed(spark, sf, "events", 2), [rule], "events", f"{out}/good", f"{out}/bad", f"{out}/checkpoint")
+    good = spark.read.schema("event_type string").parquet(f"{out}/good").select("event_type", F.lit(1).alias("g"))
+    bad = spark.read.schema("original string").json(f"{out}/bad").select(F.get_json_object("original", "$.event_type").alias("event_type"), F.lit(0).alias("g"))
+    return good.unionByName(bad).groupBy("event_type").agg(F.sum("g").alias("good"), F.sum(1 - F.col("g")).alias("bad"))
+
+
+@query("""WITH o AS (SELECT event_type, max(ts) AS high FROM events WHERE event_id % 2 = 0 AND event_type <> 'click' GROUP BY 1)
+SELECT 'newer' AS step, e.event_type AS source, count(*) AS n, CAST(max(ts) AS VARCHAR) AS high FROM events e LEFT JOIN o ON o.event_type = e.event_type WHERE event_id % 2 = 1 AND (high IS NULL OR ts > high) GROUP BY 2 UNION ALL SELECT 'mark', event_type, 1, CAST(max(ts) AS VARCHAR) FROM events WHERE event_id % 2 = 1 OR event_type <> 'click' GROUP BY 2""")
+def watermarks(spark, sf):
+    """Stored watermarks of half the rows, without those of one source; what of the other half is newer, and the watermarks after it."""
+    e = table(spark, sf, "events")
+    state = e.where("event_id % 2 = 0 AND event_type <> 'click'").groupBy(F.col("event_type").alias("source")).agg(F.max("ts").alias("high"))
+    rest = e.where("event_id % 2 = 1")
+    newer = stream.newer_rows(rest, state, "event_type", "ts").groupBy(F.lit("newer").alias("step"), F.col("event_type").alias("source")).agg(F.count(F.lit(1)).alias("n"), F.max("ts").cast("string").alias("high"))
+    return newer.unionByName(stream.advance_watermark(state, rest, "event_type", "ts").select(F.lit("mark").alias("step"), "source", F.lit(1).cast("long").alias("n"), F.col("high").cast("string").alias("high")))
+
+
+@query("SELECT event_type AS kind, k AS url, h AS content_hash FROM (SELECT DISTINCT event_type, CAST(user_id % 7 AS VARCHAR) AS k, md5(props) AS h FROM events) x WHERE NOT EXISTS (SELECT 1 FROM events o WHERE o.event_id % 3 = 0 AND o.event_type = x.event_type AND CAST(o.user_id % 7 AS VARCHAR) = k AND md5(o.props) = h)")
+def unchanged_payloads(spark, sf):
+    """Payloads whose signature isn't that of a third of them, which are stored."""
+    rows = table(spark, sf, "events").select(F.col("event_type").alias("kind"), (F.col("user_id") % 7).cast("string").alias("url"), F.md5("props").alias("content_hash"), "event_id")
+    seen = rows.where("event_id % 3 = 0").select(S.content_signature(F.col("kind"), F.col("url"), F.col("content_hash")).alias("signature"))
+    return stream.unchanged_skipped(rows, seen).select("kind", "url", "content_hash")
+
+
 def _versions(obs: str, key: str, tracked: str) -> str:
     """DuckDB: versions of the rows ``obs`` (load, key, tracked columns, day), later loads winning on a day."""
     cells = ", ".join(f"{c} := {c}" for c in tracked.split(", "))
