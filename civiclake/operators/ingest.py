@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from civiclake.functions.scalars import (
     bathrooms, clean_phone, clean_zip, code_list, composite_id, entity_id, extras, fiscal_year_text, is_local_zip, lot_address, lot_area, price_reduced, record_hash, safe_bool, safe_date, safe_decimal, safe_float, safe_int, safe_string, state_of_zip, structure_type, use_code_type, ward, zip_plus_four,
 )
-from civiclake.operators.validate import route, rules_for
+from civiclake.operators.validate import quarantined, route, rules_for
 
 CAST = {"string": safe_string, "int": safe_int, "float": safe_float, "money": safe_decimal, "date": safe_date, "zip": clean_zip, "phone": clean_phone, "bool": safe_bool, "codes": code_list, "fiscal": fiscal_year_text, "ward": ward}
 SCHEMA_VERSION, PARSER_VERSION = "1", "1"
@@ -21,13 +22,14 @@ Raw = Callable[[str], Column]
 
 @dataclass(frozen=True)
 class Source:
-    """A canonical schema: target -> (kind, raw aliases); values derived from raw fields (null where absent); the id; rules."""
+    """A canonical schema: target -> (kind, raw aliases); values derived from raw fields (null where absent); the id; rules; fields without which a row is no record."""
 
     name: str
     fields: dict[str, tuple]
     derived: dict[str, Callable[[Raw], Column]] = field(default_factory=dict)
     id: tuple = ()
     rules: str | None = None
+    needed: tuple[str, ...] = ()
 
 
 def normalize(df: DataFrame, source: Source, run_id: str = "batch", url: str | None = None, scraped_at=None) -> DataFrame:
@@ -53,13 +55,32 @@ def normalize(df: DataFrame, source: Source, run_id: str = "batch", url: str | N
     )
 
 
-def ingest(df: DataFrame, source: Source, transform: Callable[[DataFrame], DataFrame] | None = None, **lineage) -> tuple[DataFrame, DataFrame]:
-    """Canonical records and quarantined rows of raw rows, by the source's rules; ``transform`` is a user's own step on the records."""
-    good, bad = route(df, rules_for(source.rules or source.name, df.columns), source.name)
+def ingest(df: DataFrame, source: Source, transform: Callable[[DataFrame], DataFrame] | None = None, as_of: dt.date | None = None, **lineage) -> tuple[DataFrame, DataFrame]:
+    """Canonical records and quarantined rows of raw rows, by the source's rules; ``transform`` is a user's own step on the records.
+
+    A row that holds the rules but lacks a needed field once it is cast is quarantined as a normalization error.
+    ``as_of`` is the day of rules that depend on one.
+    """
+    good, bad = route(df, rules_for(source.rules or source.name, df.columns, as_of), source.name)
+    if source.needed:
+        have = set(df.columns)
+        lacks = F.array_compact(F.array(*(F.when(_cast(source, n, have).isNull(), F.lit(n)) for n in source.needed)))
+        message = F.concat(F.lit("no value for "), F.array_join(lacks, ", "))
+        bad = bad.unionByName(quarantined(good.where(F.size(lacks) > 0), df.columns, source.name, "normalization_error", message))
+        good = good.where(F.size(lacks) == 0)
     records = normalize(good, source, **lineage)
     return (records.transform(transform) if transform else records), bad
 
 
+def _cast(source: Source, target: str, have: set[str]) -> Column:
+    """A canonical field of a raw row."""
+    raw = lambda c: (F.col(c) if c in have else F.lit(None)).cast("string")
+    if target in source.derived:
+        return source.derived[target](raw)
+    kind, *aliases = source.fields[target]
+    return CAST[kind](F.coalesce(F.lit(None).cast("string"), *(raw(a) for a in aliases if a in have)))
+
+
 def month_of(raw: Raw, c: str) -> Column:
     return F.substring(raw(c), 1, 7)
 
@@ -117,10 +138,32 @@ def metric_rows(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> Dat
     return df.select(*keys, F.inline(F.filter(pairs, lambda p: p["metric_value"].isNotNull())))
 
 
-def listing_rows(payloads: DataFrame, column: str, schema: str, paths: tuple[str, ...] = ("data.home_search.results", "data.results", "results")) -> DataFrame:
-    """The listings of a JSON reply, from the first of ``paths`` that holds an array."""
-    found = F.coalesce(*(F.from_json(F.get_json_object(column, f"$.{p}"), f"array<struct<{schema}>>") for p in paths))
-    return payloads.select(F.inline(found))
+#: Fields of a listing with their types and the paths that replies give them under, the first that is there.
+LISTING = {
+    "property_id": ("string", "property_id", "listing_id"), "status": ("string", "status"), "list_price": ("double", "list_price", "price.list"), "sold_price": ("double", "sold_price", "price.sold"),
+    "line": ("string", "location.address.line", "address.line"), "city": ("string", "location.address.city", "address.city"), "state_code": ("string", "location.address.state_code", "address.state_code", "address.state"),
+    "postal_code": ("string", "location.address.postal_code", "address.postal_code"), "county": ("string", "location.address.county", "address.county"), "neighborhood": ("string", "location.address.neighborhood", "address.neighborhood_name"),
+    "lat": ("double", "location.address.coordinate.lat", "address.lat"), "lon": ("double", "location.address.coordinate.lon", "address.lon"),
+    "beds": ("int", "description.beds", "beds"), "baths": ("double", "description.baths", "baths"), "sqft": ("double", "description.sqft", "building_size.size"), "lot_sqft": ("double", "description.lot_sqft", "lot_size.size"),
+    "year_built": ("int", "description.year_built", "year_built"), "stories": ("int", "description.stories"), "garage": ("int", "description.garage"), "type": ("string", "description.type", "prop_type"),
+    "price_per_sqft": ("double", "price_per_sqft"), "original_price": ("double", "original_price"), "list_date": ("string", "list_date"), "sold_date": ("string", "sold_date"), "last_update": ("string", "last_update"),
+    "photo_count": ("int", "photo_count"), "days_on_market": ("int", "days_on_market"),
+}
+#: Where a reply holds its listings; the last is a reply that is a list itself.
+LISTINGS = ("home_search.results", "data.home_search.results", "data.results", "results", "properties", "")
+
+
+def listing_rows(payloads: DataFrame, column: str, fields: dict[str, tuple] = LISTING, arrays: tuple[str, ...] = LISTINGS) -> DataFrame:
+    """The listings of JSON replies, flattened: the other columns of ``payloads`` and one column a field.
+
+    A reply is parsed once, into a variant. Its listings are those of the first of ``arrays`` that holds an array, and
+    each field is the value of the first of its paths that is there and of its type. Replies that are no JSON give none.
+    """
+    at = lambda v, path, kind: F.try_variant_get(v, f"$.{path}" if path else "$", kind)
+    kept = [c for c in payloads.columns if c != column]
+    rows = payloads.select(*kept, F.try_parse_json(column).alias("_reply"))
+    rows = rows.select(*kept, F.explode(F.coalesce(*(at(F.col("_reply"), p, "array<variant>") for p in arrays))).alias("_listing"))
+    return rows.select(*kept, *(F.coalesce(*(at(F.col("_listing"), p, kind) for p in paths)).alias(n) for n, (kind, *paths) in fields.items()))
 
 
 def latest_metric(df: DataFrame, entity: str, metric: str, date: str, *tie: str) -> DataFrame:

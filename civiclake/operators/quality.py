@@ -97,6 +97,11 @@ def layer_report(datasets: dict[str, DataFrame]) -> DataFrame:
     return each.unionByName(whole.select(F.lit("all").alias("dataset"), "*"))
 
 
+def with_unreadable(report: DataFrame, dataset: str, bad: DataFrame) -> DataFrame:
+    """A layer's report with what can't be read: ``bad`` has the dataset, unreadable (files) and more; datasets without any have 0."""
+    return report.join(bad, dataset, "left").fillna({"unreadable": 0})
+
+
 def check_sla(df: DataFrame, dataset: str, sla: dict) -> DataFrame:
     """dataset, check, failures, passed: required columns, least rows and the average null rate of a dataset's SLA."""
     have = set(df.columns)

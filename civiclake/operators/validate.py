@@ -80,12 +80,18 @@ def validated(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.withColumn("validation_errors", errors).withColumn("is_valid", F.size("validation_errors") == 0)
 
 
+def quarantined(rows: DataFrame, columns: list[str], source: str, error_type: str, message: Column) -> DataFrame:
+    """Quarantine rows: an id (the hash of source and original, so equal originals share it), source, the original as JSON, kind and message of the error."""
+    original = F.to_json(F.struct(*columns))
+    return rows.select(F.lit(source).alias("source"), original.alias("original"), F.lit(error_type).alias("error_type"), message.alias("error_message")).withColumn(
+        "quarantine_id", F.substring(F.sha2(F.concat_ws("|", "source", "original"), 256), 1, 32)
+    )
+
+
 def route(df: DataFrame, rules: list[Rule], source: str) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and the quarantine rows of the others (the original as JSON)."""
     marked = validated(df, rules)
-    bad = marked.where("NOT is_valid").select(
-        F.lit(source).alias("source"), F.to_json(F.struct(*df.columns)).alias("original"), F.lit("validation_error").alias("error_type"), F.array_join("validation_errors", "; ").alias("error_message")
-    )
+    bad = quarantined(marked.where("NOT is_valid"), df.columns, source, "validation_error", F.array_join("validation_errors", "; "))
     return marked.where("is_valid").drop("validation_errors", "is_valid"), bad
 
 
@@ -94,5 +100,10 @@ def quarantine_summary(quarantine: DataFrame) -> DataFrame:
 
 
 def requeue(quarantine: DataFrame, ids: DataFrame, schema: str) -> DataFrame:
-    """The originals of chosen quarantine ids."""
-    return quarantine.join(ids, "quarantine_id", "left_semi").select(F.from_json("original", schema).alias("o")).select("o.*")
+    """The originals of chosen quarantine ids (column quarantine_id), as rows of ``schema``; equal originals come as often as they were quarantined."""
+    return quarantine.join(ids.select("quarantine_id").distinct(), "quarantine_id", "left_semi").select(F.from_json("original", schema).alias("o")).select("o.*")
+
+
+def pending(quarantine: DataFrame, requeued: DataFrame) -> DataFrame:
+    """Quarantine rows whose ids were not requeued."""
+    return quarantine.join(requeued.select("quarantine_id").distinct(), "quarantine_id", "left_anti")

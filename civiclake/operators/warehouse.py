@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civiclake.functions.scalars import code_list, entity_id, fiscal_month, fiscal_quarter, fiscal_year, spend_tier, supplier_key, uuid5, ward_label
@@ -115,10 +115,17 @@ def fact_spend(payments: DataFrame, names: DataFrame, contracts: DataFrame) -> D
     )
 
 
-def load_counters(payments: DataFrame, facts: DataFrame) -> DataFrame:
-    a = payments.agg(F.count(F.lit(1)).alias("raw"), F.count_if(F.col("payment_date").isNull()).alias("no_date"))
-    b = facts.agg(F.count(F.lit(1)).alias("transformed"), F.count_if(F.col("supplier_id").isNull()).alias("no_supplier"), F.count_if(F.col("contract_key").isNull()).alias("no_contract"))
-    return a.crossJoin(b)
+def load_facts(payments: DataFrame, names: DataFrame, contracts: DataFrame, path: str, mode: str = "overwrite") -> dict[str, int]:
+    """Write ``fact_spend`` below ``path`` and count on the way: raw, no_date, transformed, no_supplier, no_contract.
+
+    The counts are taken as rows pass by, so nothing is read twice. They are those of the write that succeeded.
+    """
+    raw, made = Observation("raw"), Observation("made")
+    seen = payments.observe(raw, F.count(F.lit(1)).alias("raw"), F.count_if(F.col("payment_date").isNull()).alias("no_date"))
+    facts = fact_spend(seen, names, contracts)
+    facts = facts.observe(made, F.count(F.lit(1)).alias("transformed"), F.count_if(F.col("supplier_id").isNull()).alias("no_supplier"), F.count_if(F.col("contract_key").isNull()).alias("no_contract"))
+    facts.write.mode(mode).parquet(path)
+    return {**raw.get, **made.get}
 
 
 def monthly_trend(payments: DataFrame) -> DataFrame:

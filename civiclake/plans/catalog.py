@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +50,7 @@ MONEY = {
     "property_features": "ward sale_month sale_year sale_quarter days_since_sale",
     "union_sources": "length size",
     "first_with_url": "k",
+    "inserted_if_absent": "slot",
     "top_suppliers": "spend",
     "contracts_page": "contract_amount",
     "semantic_measures": "total",
@@ -222,6 +224,16 @@ def dim_date(spark, sf):
     return warehouse.dim_date(spark, r[0], r[1])
 
 
+@query("""WITH b AS (SELECT CAST(date_trunc('month', min(o_orderdate)) AS DATE) AS lo, CAST(date_trunc('month', max(o_orderdate)) AS DATE) AS hi FROM orders), d AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM b)
+SELECT CAST(year(d + INTERVAL 3 MONTH) AS INTEGER) AS fiscal_year, count(*) AS days, count(*) FILTER (isodow(d) >= 6) AS weekend_days, min(CAST(strftime(d, '%Y%m%d') AS INTEGER)) AS first_key, count(DISTINCT monthname(d)) AS months, max(CAST(make_date(CAST(year(d + INTERVAL 3 MONTH) AS INTEGER), 9, 30) AS DATE)) AS last_day FROM d GROUP BY 1""")
+def dim_date_function(spark, sf):
+    """The day table and the table of fiscal years, called from SQL over the orders' first and last month."""
+    sql_functions.register(spark)
+    r = table(spark, sf, "orders").agg(F.min(F.trunc("o_orderdate", "month")), F.max(F.trunc("o_orderdate", "month"))).first()
+    return spark.sql("""SELECT d.fiscal_year, count(*) AS days, count_if(is_weekend) AS weekend_days, min(date_key) AS first_key, count(DISTINCT month_name) AS months, max(y.last_day) AS last_day
+      FROM dim_date(DATE :lo, DATE :hi) d JOIN fiscal_years(1990, 2010) y ON y.fiscal_year = d.fiscal_year GROUP BY d.fiscal_year""".replace(":lo", f"'{r[0]}'").replace(":hi", f"'{r[1]}'"))
+
+
 _FACT = _DIM + f""", h AS (SELECT *, sha1(unhex('{S.NAMESPACE_DNS}') || encode(concat_ws(':', 'payments', contract_number, line, supplier_name, payment_amount, payment_date))) AS h FROM payments WHERE payment_date IS NOT NULL),
 fact AS (SELECT concat_ws('-', left(h, 8), substr(h, 9, 4), '5' || substr(h, 14, 3), substr('89ab', (strpos('0123456789abcdef', substr(h, 17, 1)) - 1) % 4 + 1, 1) || substr(h, 18, 3), substr(h, 21, 12)) AS fact_id,
   CAST(strftime(payment_date, '%Y%m%d') AS INTEGER) AS date_key, supplier_id, contract_key, payment_amount AS spend_amount, agency_name, {_fy('payment_date')} AS fiscal_year, CAST(quarter(payment_date + INTERVAL 3 MONTH) AS INTEGER) AS fiscal_quarter,
@@ -233,6 +245,13 @@ def _facts(spark, sf):
     return warehouse.fact_spend(view(spark, sf, "payments"), _names(spark, sf), view(spark, sf, "contracts"))
 
 
+@query("!" + _FACT + "SELECT (SELECT count(*) FROM payments) AS raw, (SELECT count(*) FROM payments WHERE payment_date IS NULL) AS no_date, count(*) AS transformed, count(*) FILTER (supplier_id IS NULL) AS no_supplier, count(*) FILTER (contract_key IS NULL) AS no_contract FROM fact", "cbe_businesses", "contracts", "payments")
+def fact_load(spark, sf):
+    """What the load of the fact table counted while it wrote."""
+    counts = warehouse.load_facts(view(spark, sf, "payments"), _names(spark, sf), view(spark, sf, "contracts"), shared_folder(spark))
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{n} long" for n in counts))
+
+
 @query("!" + _FACT + "SELECT * FROM fact", "cbe_businesses", "contracts", "payments")
 def fact_spend(spark, sf):
     return _facts(spark, sf)
@@ -283,10 +302,12 @@ def contracts_page(spark, sf):
     return warehouse.page(view(spark, sf, "contracts"), "status = 'O'", [F.desc("contract_amount"), "contract_number"], 50, 25).select("contract_number", "supplier_name", "contract_amount")
 
 
-@query("SELECT agency_name, payment_type, CAST(sum(payment_amount) AS DECIMAL(28,2)) AS total, count(DISTINCT supplier_name) AS suppliers, round(avg(CAST(payment_amount AS DOUBLE)), 4) AS mean, quantile_cont(CAST(payment_amount AS DOUBLE), 0.5) AS median FROM payments GROUP BY 1, 2", "payments")
+@query("SELECT agency_name, payment_type, CAST(sum(payment_amount) AS DECIMAL(28,2)) AS total, count(DISTINCT supplier_name) AS suppliers, round(CAST(sum(payment_amount) AS DOUBLE) / count(payment_amount), 4) AS mean, quantile_cont(CAST(payment_amount AS DOUBLE), 0.5) AS median FROM payments GROUP BY 1, 2", "payments")
 def semantic_measures(spark, sf):
-    named = {"total": "cast(sum(payment_amount) as decimal(28,2))", "suppliers": "count(distinct supplier_name)", "mean": "cast(round(avg(cast(payment_amount as decimal(22,8))), 4) as double)", "median": "percentile(cast(payment_amount as double), 0.5)"}
-    return warehouse.measures(view(spark, sf, "payments"), ["agency_name", "payment_type"], named)
+    m = semantic.Measure
+    figures = {"total": m("sum", "payment_amount"), "suppliers": m("count_distinct", "supplier_name"), "mean": m("average", "payment_amount"), "median": m("median", "payment_amount")}
+    model = semantic.Model("payments", "payments", {d: ("payments", d) for d in ("agency_name", "payment_type")}, figures)
+    return model.query({"payments": view(spark, sf, "payments")}, list(figures), list(model.dimensions))
 
 
 _DAY = f"DATE '{AS_OF}'"
@@ -458,6 +479,29 @@ def quarantine_summary(spark, sf):
     return validate.quarantine_summary(ingest.ingest(_raw(spark, sf), ingest.sources()["contracts"])[1])
 
 
+@query(f"""WITH r AS ({_RAW}), b AS (SELECT * FROM r WHERE AGENCY_NAME IS NULL OR CONTRACTAMOUNT = 'n/a?' OR FISCALYEAR = 1066), f AS (SELECT * FROM b WHERE CONTRACT_NUMBER % 2 = 0)
+SELECT 'waiting' AS state, CAST(NULL AS VARCHAR) AS contract_number, count(*) AS n FROM b WHERE CONTRACT_NUMBER % 2 <> 0 UNION ALL SELECT 'mended', CAST(CONTRACT_NUMBER AS VARCHAR), 1 FROM f WHERE FISCALYEAR <> 1066 UNION ALL SELECT 'bad again', NULL, count(*) FROM f WHERE FISCALYEAR = 1066""")
+def requeued_contracts(spark, sf):
+    """Quarantined rows of even contracts are sent back with agency and amount mended; those of an odd year fail again, the others wait."""
+    base, raw = shared_folder(spark), _raw(spark, sf)
+    io.write_quarantine(ingest.ingest(raw, ingest.sources()["contracts"])[1], base)
+    ids = io.read_quarantine(spark, base).where("get_json_object(original, '$.CONTRACT_NUMBER') % 2 = 0").select("quarantine_id")
+    back = io.requeue_stored(spark, base, ids, ", ".join(f"{n} {t}" for n, t in raw.dtypes))
+    mended = back.withColumns({"AGENCY_NAME": F.coalesce("AGENCY_NAME", F.lit("known")), "CONTRACTAMOUNT": F.when(F.col("CONTRACTAMOUNT") == "n/a?", "1").otherwise(F.col("CONTRACTAMOUNT"))})
+    good, bad = ingest.ingest(mended, ingest.sources()["contracts"])
+    count = lambda df, state: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(state).alias("state"), F.lit(None).cast("string").alias("contract_number"), "n")
+    return count(io.read_quarantine(spark, base), "waiting").unionByName(good.select(F.lit("mended").alias("state"), "contract_number", F.lit(1).cast("long").alias("n"))).unionByName(count(bad, "bad again"))
+
+
+@query(f"""WITH r AS ({_RAW}) SELECT 'validation_error' AS error_type, count(*) AS n FROM r WHERE AGENCY_NAME IS NULL OR CONTRACTAMOUNT = 'n/a?' OR FISCALYEAR = 1066
+UNION ALL SELECT 'normalization_error', count(*) FROM r WHERE NOT (AGENCY_NAME IS NULL OR CONTRACTAMOUNT = 'n/a?' OR FISCALYEAR = 1066) AND CONTRACT_NUMBER % 5 = 0""")
+def normalization_errors(spark, sf):
+    """Rows that hold the rules but whose day can't be read, where a source needs it."""
+    raw = _raw(spark, sf).withColumn("STARTDATE", F.when(F.col("CONTRACT_NUMBER") % 5 == 0, "soon").otherwise(F.col("STARTDATE")))
+    bad = ingest.ingest(raw, replace(ingest.sources()["contracts"], needed=("contract_number", "start_date")))[1]
+    return bad.groupBy("error_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _flat(df: DataFrame) -> DataFrame:
     """Maps and arrays as text, the time columns that are null here left out."""
     pairs = F.array_sort(F.transform(F.map_entries("extra"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
@@ -562,13 +606,21 @@ def rent_metric_rows(spark, sf):
     return ingest.metric_rows(p, ["p_partkey"], dict(zip(ingest.RENT_METRICS.values(), values, strict=True)))
 
 
-@query("SELECT CAST(p_partkey AS BIGINT) AS property_id, p_name AS address, CAST(p_size AS BIGINT) AS beds FROM part")
+@query("""SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS property_id, CASE WHEN p_partkey % 4 <> 3 THEN CAST(p_retailprice AS DOUBLE) END AS list_price, p_name AS line, CAST(p_partkey % 5 AS VARCHAR) AS state_code, CAST(p_size AS DOUBLE) AS lat, CASE WHEN p_partkey % 4 <> 3 THEN CAST(p_size AS VARCHAR) END AS beds, CASE WHEN p_partkey % 4 = 1 THEN CAST(p_size * 10 AS DOUBLE) WHEN p_partkey % 4 <> 3 THEN CAST(p_size AS DOUBLE) END AS sqft
+FROM part WHERE p_partkey % 7 <> 0""")
 def listing_rows(spark, sf):
-    """Replies of three shapes, by the part's number."""
-    one = F.struct(F.col("p_partkey").alias("property_id"), F.col("p_name").alias("address"), F.struct(F.col("p_size").alias("beds")).alias("description"))
-    shapes = [F.to_json(F.struct(F.struct(F.struct(F.array(one).alias("results")).alias("home_search")).alias("data"))), F.to_json(F.struct(F.struct(F.array(one).alias("results")).alias("data"))), F.to_json(F.struct(F.array(one).alias("results")))]
-    payloads = table(spark, sf, "part").select(F.element_at(F.array(*shapes), (F.col("p_partkey") % 3 + 1).cast("int")).alias("payload"))
-    return ingest.listing_rows(payloads, "payload", "property_id long, address string, description struct<beds: long>").select("property_id", "address", F.col("description.beds").alias("beds"))
+    """Replies of four shapes by the part's number, each with its own paths of fields; some numbers as text, some replies cut off."""
+    p = table(spark, sf, "part")
+    c = lambda n, t="string": F.col(n).cast(t)
+    nested = F.struct(c("p_partkey").alias("property_id"), c("p_retailprice", "double").alias("list_price"), F.struct(F.struct(F.col("p_name").alias("line"), (F.col("p_partkey") % 5).cast("string").alias("state_code"), F.struct(c("p_size", "double").alias("lat")).alias("coordinate")).alias("address")).alias("location"), F.struct(F.col("p_size").alias("beds"), F.col("p_size").alias("sqft")).alias("description"))
+    flat = F.struct(F.col("p_partkey").alias("listing_id"), F.struct(c("p_retailprice").alias("list")).alias("price"), F.struct(F.col("p_name").alias("line"), (F.col("p_partkey") % 5).alias("state"), c("p_size").alias("lat")).alias("address"), c("p_size").alias("beds"), F.struct((F.col("p_size") * 10).alias("size")).alias("building_size"))
+    bare = F.struct(c("p_partkey").alias("property_id"), F.lit("on request").alias("list_price"), F.struct(F.struct(F.col("p_name").alias("line"), (F.col("p_partkey") % 5).alias("state_code"), F.struct(c("p_size", "double").alias("lat")).alias("coordinate")).alias("address")).alias("location"))
+    of = lambda name, x: F.struct(x.alias(name))
+    shapes = [F.to_json(of("home_search", of("results", F.array(nested)))), F.to_json(of("properties", F.array(flat))), F.to_json(of("data", of("results", F.array(nested)))), F.to_json(F.array(bare))]
+    reply = F.element_at(F.array(*shapes), (F.col("p_partkey") % 4 + 1).cast("int"))
+    payloads = p.select("p_partkey", F.when(F.col("p_partkey") % 7 == 0, F.substring(reply, 1, 40)).otherwise(reply).alias("reply"))
+    rows = ingest.listing_rows(payloads, "reply")
+    return rows.select("p_partkey", "property_id", "list_price", "line", "state_code", "lat", F.col("beds").cast("string").alias("beds"), "sqft")
 
 
 @query("SELECT event_type, user_id, value, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) AS r FROM events) WHERE r = 1")
@@ -761,6 +813,20 @@ def dim_contract(spark, sf):
     return warehouse.current_rows(_contracts(spark, sf)).withColumns({c: F.array_join(c, "|") for c in ("nigp_codes", "naics_codes")})
 
 
+@query("SELECT event_type AS source, count(*) AS rows, CASE WHEN event_type IN ('click', 'view') THEN 1 ELSE 0 END AS unreadable, CAST(CASE WHEN event_type IN ('click', 'view') THEN 7 END AS DOUBLE) AS bad_bytes FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY 1")
+def unreadable_files(spark, sf):
+    """A layer of events with a broken file in two sources: rows that are read, and the files that are not."""
+    base = shared_folder(spark)
+    rows = table(spark, sf, "events").where("ts < TIMESTAMP_NTZ '2024-01-20'").select(F.col("event_type").alias("source"), F.lit(dt.date(2024, 1, 1)).alias("date"), "user_id")
+    io.append(rows, base)
+    for source in ("click", "view"):
+        spark.createDataFrame([("broken",)], "value string").coalesce(1).write.mode("append").text(f"{base}/source={source}/date=2024-01-02")
+    bad = io.unreadable_files(spark, base).groupBy(F.regexp_extract("path", "source=([^/]*)", 1).alias("name")).agg(F.count(F.lit(1)).alias("unreadable"), F.max("n_bytes").alias("bad_bytes"))
+    read = reduce(DataFrame.unionByName, (io.scan(spark, base, s, dt.date(2023, 1, 1)).select("source") for s in sorted(r[0] for r in rows.select("source").distinct().collect())))
+    counts = read.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
+    return quality.with_unreadable(counts, "source", bad.withColumnRenamed("name", "source")).withColumn("bad_bytes", F.col("bad_bytes").cast("double"))
+
+
 def _streamed(spark, sf, name: str, files: int = 1) -> DataFrame:
     """A table as a stream of files in the shared folder."""
     rows, path = table(spark, sf, name), shared_folder(spark)
@@ -997,13 +1063,26 @@ def _star(spark, sf):
 @query("!" + _FACT + ", " + _CONTRACTS + """ SELECT contract_type, is_cbe, CAST(sum(spend_amount) AS DOUBLE) AS total_spend, count(*) AS payment_count, count(DISTINCT fact.supplier_id) AS vendor_count, round(CAST(sum(spend_amount) AS DOUBLE) / count(spend_amount), 4) AS average_payment, quantile_cont(CAST(spend_amount AS DOUBLE), 0.5) AS median_payment
 FROM fact LEFT JOIN dim ON dim.supplier_id = fact.supplier_id LEFT JOIN dc ON dc.contract_number = fact.contract_key WHERE fiscal_year >= 1995 GROUP BY 1, 2""", "cbe_businesses", "contracts", "payments")
 def semantic_query(spark, sf):
-    exact = {**semantic.PROCUREMENT.measures, "average_payment": "round(try_divide(cast(sum(spend_amount) as double), count(spend_amount)), 4)"}
-    model = semantic.Model("procurement", "fact_spend", semantic.PROCUREMENT.dimensions, exact, semantic.PROCUREMENT.relations)
-    return model.query(_star(spark, sf), ["total_spend", "payment_count", "vendor_count", "average_payment", "median_payment"], ["contract_type", "is_cbe"], "fiscal_year >= 1995")
+    figures = ["total_spend", "payment_count", "vendor_count", "average_payment", "median_payment"]
+    return semantic.PROCUREMENT.query(_star(spark, sf), figures, ["contract_type", "is_cbe"], "fiscal_year >= 1995")
+
+
+@query("!" + _FACT + """ SELECT agency_name AS agency, fiscal_year, count(DISTINCT contract_key) AS contract_count, CAST(coalesce(sum(CASE WHEN is_cbe THEN spend_amount ELSE 0 END), 0) AS DOUBLE) AS cbe_spend, round(coalesce(CAST(sum(spend_amount) FILTER (is_cbe) AS DOUBLE) * 100 / CAST(sum(spend_amount) AS DOUBLE), 0), 4) AS cbe_share
+FROM fact LEFT JOIN dim ON dim.supplier_id = fact.supplier_id GROUP BY 1, 2""", "cbe_businesses", "contracts", "payments")
+def semantic_certified(spark, sf):
+    """Measures whose expressions alone say that suppliers are joined."""
+    return semantic.PROCUREMENT.query(_star(spark, sf), ["contract_count", "cbe_spend", "cbe_share"], ["agency", "fiscal_year"])
+
+
+@query(f"""SELECT ward, bedrooms AS bedroom_count, count(*) AS property_count, CAST(sum(price) AS DOUBLE) AS total_assessed_value, round(CAST(sum(price) AS DOUBLE) / count(price), 4) AS avg_assessed_value, quantile_cont(CAST(price AS DOUBLE), 0.5) AS median_assessed_value,
+  round(CAST(sum(CAST(CAST(price AS DOUBLE) / nullif(sqft, 0) AS DECIMAL(28,8))) AS DOUBLE) / count(sqft), 4) AS avg_price_per_sqft, CAST(sum(sqft) AS DOUBLE) AS total_square_footage, round(CAST(sum({AS_OF.year} - year_built) AS DOUBLE) / count(year_built), 4) AS avg_property_age FROM properties WHERE ward <= 8 GROUP BY 1, 2""", "properties")
+def semantic_real_estate(spark, sf):
+    model = semantic.real_estate(AS_OF)
+    return model.query({"properties": view(spark, sf, "properties")}, list(model.measures), ["ward", "bedroom_count"], "ward <= 8")
 
 
 @query("!" + _FACT + """, b AS (SELECT fact.*, supplier_name, is_cbe FROM fact LEFT JOIN dim ON dim.supplier_id = fact.supplier_id), s AS (SELECT supplier_name, CAST(sum(spend_amount) AS DOUBLE) AS v FROM b WHERE supplier_name IS NOT NULL GROUP BY 1 ORDER BY v DESC, supplier_name LIMIT 10)
-SELECT 'kpi' AS section, 'total_spend' AS label, CAST(sum(spend_amount) AS DOUBLE) AS value FROM b UNION ALL SELECT 'kpi', 'payment_count', CAST(count(*) AS DOUBLE) FROM b UNION ALL SELECT 'kpi', 'vendor_count', CAST(count(DISTINCT supplier_id) AS DOUBLE) FROM b
+SELECT 'kpi' AS section, 'total_spend' AS label, CAST(sum(spend_amount) AS DOUBLE) AS value FROM b UNION ALL SELECT 'kpi', 'payment_count', CAST(count(*) AS DOUBLE) FROM b UNION ALL SELECT 'kpi', 'vendor_count', CAST(count(DISTINCT supplier_id) AS DOUBLE) FROM b UNION ALL SELECT 'kpi', 'average_payment', round(CAST(sum(spend_amount) AS DOUBLE) / count(spend_amount), 4) FROM b
 UNION ALL SELECT 'year', CAST(fiscal_year AS VARCHAR), CAST(sum(spend_amount) AS DOUBLE) FROM b GROUP BY fiscal_year UNION ALL SELECT 'agency', agency_name, CAST(sum(spend_amount) AS DOUBLE) FROM b GROUP BY agency_name UNION ALL SELECT 'cbe', CAST(coalesce(is_cbe, false) AS VARCHAR), CAST(sum(spend_amount) AS DOUBLE) FROM b GROUP BY coalesce(is_cbe, false) UNION ALL SELECT 'supplier', supplier_name, v FROM s""", "cbe_businesses", "contracts", "payments")
 def dashboard(spark, sf):
-    return semantic.dashboard(_star(spark, sf)).where("label <> 'average_payment'")
+    return semantic.dashboard(_star(spark, sf))

@@ -8,9 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from civiclake.operators.validate import pending, requeue
+from civiclake.sources.scratch import materialize
+
 
 def scan(spark: SparkSession, base: str, source: str, start: dt.date | None = None, end: dt.date | None = None, limit: int | None = None) -> DataFrame:
-    """One source of a layer partitioned by source and date; both ends count, schemas merge, partitions are pruned, unreadable files are skipped."""
+    """One source of a layer partitioned by source and date; both ends count, schemas merge, partitions are pruned.
+
+    Unreadable files are left out; ``unreadable_files`` names them, so that none goes unseen.
+    """
     df = spark.read.options(mergeSchema="true", ignoreCorruptFiles="true").parquet(base).where(F.col("source") == source)
     if start:
         df = df.where(F.col("date") >= F.lit(start))
@@ -19,6 +25,42 @@ def scan(spark: SparkSession, base: str, source: str, start: dt.date | None = No
     return df.limit(limit) if limit else df
 
 
+#: Bytes of an unreadable file that are looked at for the reason; of longer ones only that they can't be read is said.
+LOOK = 64 << 20
+
+
+def unreadable_files(spark: SparkSession, base: str) -> DataFrame:
+    """path, n_bytes, reason of the files of a Parquet layer that a scan leaves out.
+
+    All files are listed, and their footers are read in tasks by a scan without columns. Those that gave no rows are
+    opened for the reason; sound files without rows are no failure. Files of no bytes, which readers skip, are not listed.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+    listed = files.select(F.col("path"), F.col("length").alias("n_bytes"))
+    footers = spark.read.schema(StructType([])).options(ignoreCorruptFiles="true", recursiveFileLookup="true").parquet(base)
+    sound = footers.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    # One form of each address, as the two readers write it.
+    plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+    odd = listed.join(sound.select(plain(F.col("path")).alias("_sound")), plain(F.col("path")) == F.col("_sound"), "left_anti")
+    content = F.when(F.col("length") <= LOOK, F.col("content"))
+    opened = files.select(F.col("path").alias("_path"), content.alias("content")).join(odd, F.col("_path") == F.col("path")).select("path", "n_bytes", "content")
+
+    def reasons(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for b in batches:
+            out = []
+            for c in b.column("content"):
+                try:
+                    out.append("too long to look at" if not c.is_valid else None if pq.read_metadata(pa.BufferReader(c.as_buffer())).num_rows == 0 else "no row could be read")
+                except Exception as e:
+                    out.append(str(e).split(".")[0][:200])
+            yield pa.RecordBatch.from_arrays([b.column("path"), b.column("n_bytes"), pa.array(out, pa.string())], ["path", "n_bytes", "reason"])
+
+    return opened.mapInArrow(reasons, "path string, n_bytes long, reason string").where("reason IS NOT NULL")
+
+
 def append(df: DataFrame, base: str, rows_per_file: int = 10_000, schema: StructType | None = None) -> None:
     """Add rows to a layer; with ``schema`` its fields are enforced by safe casts first."""
     df = conform(df, schema) if schema else df
@@ -32,15 +74,39 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*fields, *[c for c in df.columns if c not in set(schema.names)])
 
 
+QUARANTINE = "quarantine_id string, original string, error_type string, error_message string, source string"
+
+
 def write_quarantine(bad: DataFrame, base: str) -> None:
-    bad.write.partitionBy("source").mode("append").json(base)
+    bad.write.partitionBy("source").mode("append").json(f"{base}/rows")
 
 
-def read_quarantine(spark: SparkSession, base: str, error_type: str | None = None) -> DataFrame:
-    df = spark.read.json(base)
+def read_quarantine(spark: SparkSession, base: str, error_type: str | None = None, requeued: bool = False) -> DataFrame:
+    """Stored quarantine rows that wait, of one kind of error or all; with ``requeued`` those too that were sent back."""
+    df = spark.read.schema(QUARANTINE).json(f"{base}/rows")
+    done = _requeued(spark, base)
+    df = df if requeued or done is None else pending(df, done)
     return df.where(F.col("error_type") == error_type) if error_type else df
 
 
+def _requeued(spark: SparkSession, base: str) -> DataFrame | None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/requeued")
+    there = p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return spark.read.schema("quarantine_id string").json(f"{base}/requeued") if there else None
+
+
+def requeue_stored(spark: SparkSession, base: str, ids: DataFrame, schema: str) -> DataFrame:
+    """The originals of stored quarantine rows that wait, by id; from then on they wait no more.
+
+    Stored rows stay as they are: the ids are noted beside them. The originals are stored before that, so nothing is
+    lost on the way; a run that is repeated gives none.
+    """
+    chosen = ids.select("quarantine_id").distinct()
+    rows = materialize(requeue(read_quarantine(spark, base), chosen, schema))
+    chosen.write.mode("append").json(f"{base}/requeued")
+    return rows
+
+
 def raw_files(spark: SparkSession, path: str) -> DataFrame:
     """Any files as payload rows: path, size, digest, records of a JSON array."""
     df = spark.read.format("binaryFile").load(path)
