@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import secrets
 from itertools import count
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, scratch, store, text_of
@@ -12,23 +13,30 @@ from .common import fresh, scratch, store, text_of
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _HEX = "[0-9A-Fa-f]{1,4}"
 #: Forms of address, which names are found after, by gender.
-MALE = ("Mr", "Herr", "Monsieur", "Señor", "Господин")
-FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа")
-EITHER = ("Dr", "Prof", "Mx", "Доктор")
+MALE = ("Mr", "Sir", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Don", "Господин", "Господина", "Господину")
+FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Fräulein", "Madame", "Mme", "Mademoiselle", "Mlle", "Señora", "Sra", "Señorita", "Srta", "Doña", "Госпожа", "Госпожи", "Госпоже")
+EITHER = ("Dr", "Dra", "Prof", "Professor", "Mx", "Доктор")
+#: Those that are a form of address with a full stop only; behind a single capital they are an initial.
+DOTTED_MALE, DOTTED_FEMALE = ("M", "Hr"), ("Fr",)
 TITLES = tuple(sorted(MALE + FEMALE + EITHER, key=len, reverse=True))
 #: Small words inside a name, which stay.
 PARTICLES = ("de", "la", "le", "del", "della", "di", "da", "do", "dos", "du", "van", "von", "der", "den", "ter", "zu", "zur", "af", "al", "bin", "ibn", "y")
-_ADDRESS = rf"(?:(?:{'|'.join(TITLES)})\.? )+"
+_DOTTED = rf"(?<!\p{{Lu}}\. )(?:{'|'.join(DOTTED_MALE + DOTTED_FEMALE)})\. (?=\p{{Lu}}[\p{{L}}'’]{{2}})"
+_ADDRESS = rf"(?:(?:{'|'.join(TITLES)})\.? |{_DOTTED})+"
+#: Country codes of one and two digits; all others have three.
+_COUNTRY = "(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 _INNER = rf"(?:\p{{Lu}}\. ?|(?:{'|'.join(PARTICLES)}) |[dDlL]['’])*"
-_NAME_WORD = r"\p{Lu}[\p{L}\p{M}]*+(?:['’]\p{Lu}[\p{L}\p{M}]+|-[\p{L}\p{M}]+)*+"
+#: A form of address behind a name begins the next one.
+_NAME_WORD = rf"(?!(?:{'|'.join(TITLES + DOTTED_MALE + DOTTED_FEMALE)})\.? )" + r"\p{Lu}[\p{L}\p{M}]*+(?:['’]\p{Lu}[\p{L}\p{M}]+|-[\p{L}\p{M}]+)*+"
 #: What is found, in order of precedence.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
     "ipv6": rf"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]*[0-9])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{2,6}}(?::{_HEX}){{1,6}}|{_HEX}:(?::{_HEX}){{2,6}}|(?:{_HEX}:){{3,7}}:)(?![0-9A-Za-z:])",
     "card": r"(?<![0-9-])[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9-])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])",
+    "ssn": r"(?<![0-9-])(?<![0-9] )[0-9]{3}(?:-[0-9]{2}-| [0-9]{2} )[0-9]{4}(?![0-9-]| [0-9])",
+    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z+])(?<![0-9] )[0-9]{3} [0-9]{3} [0-9]{4}(?![0-9]| [0-9])",
+    "intl": r"(?<![0-9A-Za-z+])(?<![0-9] )(?:\+[1-9][0-9]{0,2}(?:[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})){2,6}|0[1-9](?:[ .-][0-9]{2}){4})(?![0-9]|[ .-][0-9])",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
     "name": rf"(?<!\p{{L}}){_ADDRESS}{_INNER}{_NAME_WORD}(?: {_INNER}{_NAME_WORD}){{0,3}}",
@@ -39,7 +47,7 @@ ANY_OR_WORD = ANY + r"|(?<![\p{L}\p{M}@._%+-])\p{Lu}[\p{L}\p{M}]+(?![\p{L}\p{M}]
 #: The words of a name; a letter with its apostrophe goes by itself.
 LETTERS = r"\p{L}['’](?=\p{Lu})|[\p{L}\p{M}]+"
 #: A text without any of these holds no entity; a plain scan for them is cheap.
-HINT = "[0-9@]|" + "|".join(TITLES) + "|[a-fA-F]{32}"
+HINT = "[0-9@]|" + "|".join(TITLES + tuple(rf"{t}\." for t in DOTTED_MALE + DOTTED_FEMALE)) + "|[a-fA-F]{32}"
 #: Syllables that surrogate names are made of, by script; the last one tells the gender: male, female, either.
 SYLLABLES = {
     "latin": ("ba be bo da de di fa fe ga go ha ho ja jo ka ke ko la le li lo ma me mi mo na ne ni no pa pe ra re ri ro sa se ta te to va ve vi wa we".split(), "n l r s".split(), "na la ra sa".split(), "k m t x".split()),
@@ -50,11 +58,13 @@ DRAWS = 2
 
 
 def kind_of(entity: Column) -> Column:
-    """The kind of an entity; null where an account number's check digits don't fit."""
+    """The kind of an entity; null where an account number's check digits, or the length of a number with a country code, don't fit."""
     out = F.when(entity.rlike(f"^(?:{PATTERNS['email']})$"), "email")
     for kind, pattern in list(PATTERNS.items())[1:]:
         out = out.when(entity.rlike(f"^(?:{pattern})$"), kind)
     account = F.regexp_replace(entity, " ", "")
+    n_digits = F.length(F.regexp_replace(entity, "[^0-9]", ""))
+    out = F.when((out == "intl") & ~n_digits.between(8, 15), None).otherwise(out)
     return F.when((out == "iban") & (_mod97(F.concat(F.substring(account, F.lit(5), F.length(account)), F.substring(account, 1, 4))) != 1), None).otherwise(out)
 
 
@@ -66,17 +76,17 @@ def name_class(entity: Column) -> Column:
     """m, f or n by the forms of address in front of a name."""
     title = F.regexp_extract(entity, f"^{_ADDRESS}", 0)
     has = lambda names: title.rlike(rf"(?<!\p{{L}})(?:{'|'.join(names)})(?!\p{{L}})")
-    return F.when(has(MALE), "m").when(has(FEMALE), "f").otherwise("n")
+    return F.when(has(MALE + DOTTED_MALE), "m").when(has(FEMALE + DOTTED_FEMALE), "f").otherwise("n")
 
 
 def _stays(word: Column) -> Column:
     """Words of a name that are no names: forms of address, particles, O' and d', and single small letters."""
-    return word.isin(*TITLES, *PARTICLES) | word.rlike("['’]$") | ((F.length(word) == 1) & (word == F.lower(word)))
+    return word.isin(*TITLES, *DOTTED_MALE, *DOTTED_FEMALE, *PARTICLES) | word.rlike("['’]$") | ((F.length(word) == 1) & (word == F.lower(word)))
 
 
 def canonical(kind: Column, entity: Column) -> Column:
     """What is the same number or key in all its written forms."""
-    return F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(entity, "[^0-9]", "")).when(kind == "iban", F.regexp_replace(entity, " ", "")).otherwise(F.lower(entity))
+    return F.when(kind.isin("phone", "intl", "card", "ssn"), F.regexp_replace(entity, "[^0-9]", "")).when(kind == "iban", F.regexp_replace(entity, " ", "")).otherwise(F.lower(entity))
 
 
 def _chars(s: Column, change) -> Column:
@@ -125,6 +135,8 @@ def surrogate(kind: Column, canon: Column, key: str, attempt: int) -> Column:
     lead = lambda at: (_byte(h, F.lit(at)) % 8 + 2).cast("string")
     middle = F.when((F.substring(canon, n - 6, F.lit(3)) == "555") & F.lit(not grown), F.lit("555")).otherwise(F.concat(lead(20), F.substring(digits, 5, 2)))
     phone = F.concat(F.substring(canon, F.lit(1), n - 10), lead(10), F.substring(digits, 3, 2), middle, F.substring(digits, 7, 4))
+    country = F.regexp_extract(canon, f"^(0[1-9]|{_COUNTRY})", 1) if grown < 4 else F.substring(canon, 1, 1)
+    intl = F.substring(F.concat(country, lead(12), F.substring(digits, 17, 15)), F.lit(1), n)
     body = F.concat(F.substring(canon, 1, 1), F.substring(digits, 1, 14))
     offset = F.substring(canon, 16, 1).cast("int") - luhn(F.substring(canon, 1, 15)) + 10
     card = F.concat(body, ((luhn(body) + offset) % 10).cast("string"))
@@ -155,7 +167,7 @@ def surrogate(kind: Column, canon: Column, key: str, attempt: int) -> Column:
         return F.concat(pick(0, 1), pick(0, 2), *longer, F.when(canon.startswith("m:"), pick(1, 3)).when(canon.startswith("f:"), pick(2, 3)).otherwise(pick(3, 3)))
 
     person = F.when(canon.rlike(r"[Ѐ-ӿ]"), name("cyrillic")).otherwise(name("latin"))
-    out = F.when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", ssn).when(kind == "ip", ip).when(kind == "ipv6", ipv6)
+    out = F.when(kind == "phone", phone).when(kind == "intl", intl).when(kind == "card", card).when(kind == "ssn", ssn).when(kind == "ip", ip).when(kind == "ipv6", ipv6)
     return out.when(kind == "email", email).when(kind == "secret", secret).when(kind == "iban", iban).otherwise(person)
 
 
@@ -166,7 +178,7 @@ def render(kind: Column, entity: Column, new: Column) -> Column:
         return _chars(entity, lambda c, i: F.when(c.rlike(sign), F.substring(new, F.length(F.regexp_replace(F.substring(entity, F.lit(1), i), f"[^{sign[1:]}", "")), F.lit(1))).otherwise(c))
 
     cased = F.when((entity == F.upper(entity)) & (entity != F.lower(entity)), F.upper(new)).otherwise(new)
-    return F.when(kind.isin("phone", "card", "ssn"), spread("[0-9]")).when(kind == "iban", spread("[0-9A-Z]")).when(kind.isin("ip", "name"), new).otherwise(cased)
+    return F.when(kind.isin("phone", "intl", "card", "ssn"), spread("[0-9]")).when(kind == "iban", spread("[0-9A-Z]")).when(kind.isin("ip", "name"), new).otherwise(cased)
 
 
 def surrogate_table(entities: DataFrame, key: str, folder: str) -> DataFrame:
@@ -203,7 +215,20 @@ def _initial(letter: Column, key: str) -> Column:
     return F.translate(letter, "".join(alphabets), "".join(moved))
 
 
-def replace_entities(docs: DataFrame, key: str = "corpus", text_col: str = "text", count_col: str | None = None) -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The secret that replacements depend on: the session's setting ``spark.civiclake.pii.key``.
+
+    Who has it can redo the table of replacements, so it is in no source. A session without it gets a random one, which
+    it keeps: its replacements agree with one another and with those of no other session.
+    """
+    key = spark.conf.get("spark.civiclake.pii.key", None)
+    if not key:
+        key = secrets.token_hex(16)
+        spark.conf.set("spark.civiclake.pii.key", key)
+    return key
+
+
+def replace_entities(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with each detected entity of ``text_col`` replaced; ``count_col`` adds the number of replacements.
 
     Same entity, same replacement, in all documents and written forms; different entities, different replacements.
@@ -256,7 +281,7 @@ def replace_entities(docs: DataFrame, key: str = "corpus", text_col: str = "text
     return clean.unionByName(changed.drop(row, ents, has, map_))
 
 
-def surrogate_documents(docs: DataFrame, key: str = "corpus") -> DataFrame:
+def surrogate_documents(docs: DataFrame, key: str) -> DataFrame:
     """Per document: doc_id, text with replacements, n_entities, text_sha256. Rows as in ``replace_entities``."""
     out = replace_entities(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), key, count_col="n_entities")
     return out.withColumn("text_sha256", F.sha2(text_of(), 256))

@@ -67,9 +67,9 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .pii import surrogate_documents
+    from .pii import session_key, surrogate_documents
 
-    return surrogate_documents(documents(spark, sf_dir))
+    return surrogate_documents(documents(spark, sf_dir), session_key(spark))
 
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

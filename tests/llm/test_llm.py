@@ -233,7 +233,7 @@ def test_topk_repeated_rows(spark):
 
 def test_surrogates(spark, empty):
     texts = ["Mail ab.12@mail8.example.com or AB.12@MAIL8.EXAMPLE.COM, +1 (988) 555-2485. Mr. Smith and Mrs Jones met Mr Smith", "4111 1111 1111 1111 ip 8.8.8.8 and 8.8.4.4", None, "", "clean 4.0. text", "call +1 (988) 555-2485"]
-    out = [r.text for r in pii.surrogate_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    out = [r.text for r in pii.surrogate_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "corpus").orderBy("doc_id").collect()]
     assert out[2:5] == texts[2:5]
     mails = re.findall(r"\S+@[\w.]+\w", out[0])
     assert mails[0] != "ab.12@mail8.example.com" and mails[1] == mails[0].upper()
@@ -245,13 +245,13 @@ def test_surrogates(spark, empty):
     assert card[0] == "4" and sum(sum(divmod(int(c) * (2 - k % 2), 10)) for k, c in enumerate(card)) % 10 == 0
     ips = re.findall(r"\d+\.\d+\.\d+\.\d+", out[1])
     assert len(set(ips)) == 2 and not {"8.8.8.8", "8.8.4.4"} & set(ips)
-    assert pii.surrogate_documents(empty).count() == 0
+    assert pii.surrogate_documents(empty, "corpus").count() == 0
 
 
 def test_surrogates_stay_distinct(spark):
     """More entities than a first draw keeps apart: every replacement is still its own."""
     texts = [(i, f"+1 (212) 555-{i:04d}") for i in range(3000)]
-    out = pii.surrogate_documents(spark.createDataFrame(texts, "doc_id long, text string"))
+    out = pii.surrogate_documents(spark.createDataFrame(texts, "doc_id long, text string"), "corpus")
     assert out.select("text").distinct().count() == 3000
     assert out.join(spark.createDataFrame(texts, "n long, text string"), "text").count() == 0
 
@@ -261,7 +261,7 @@ def test_surrogates_of_full_pools(spark, monkeypatch):
     monkeypatch.setitem(pii.SYLLABLES, "latin", (["ba", "be"], ["n"], ["na"], ["k"]))
     names = [f"Mr {a}{b}" for a in "BCDF" for b in ("oxo", "uxu", "ixi")]
     found = [f"192.168.{a}.{b}" for a in range(1, 132) for b in range(1, 255)] + [f"{c}@ab.com" for c in "abcdefghijklmnopqrstuvwxyz"] + names
-    out = [r.text for r in pii.surrogate_documents(spark.createDataFrame(list(enumerate(found)), "doc_id long, text string")).collect()]
+    out = [r.text for r in pii.surrogate_documents(spark.createDataFrame(list(enumerate(found)), "doc_id long, text string"), "corpus").collect()]
     assert len(out) == len(set(out)) == len(found) and not set(out) & set(found)
 
 

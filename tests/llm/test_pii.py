@@ -13,8 +13,8 @@ PLAIN = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9-])[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9-])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])",
+    "ssn": r"(?<![0-9-])(?<![0-9] )[0-9]{3}(?:-[0-9]{2}-| [0-9]{2} )[0-9]{4}(?![0-9-]| [0-9])",
+    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z+])(?<![0-9] )[0-9]{3} [0-9]{3} [0-9]{4}(?![0-9]| [0-9])",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])",
 }
 
@@ -47,7 +47,7 @@ def luhn_sum(digits):
 def test_against_plain(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     old = {r.doc_id: r.text or "" for r in docs.collect()}
-    new = {r.doc_id: r for r in pii.surrogate_documents(docs).collect()}
+    new = {r.doc_id: r for r in pii.surrogate_documents(docs, "corpus").collect()}
     table, back, n = {}, {}, 0
     for i, text in old.items():
         out, at, left = new[i].text or "", 0, 0
@@ -71,7 +71,7 @@ def test_against_plain(spark):
 
 
 def one(spark, *texts):
-    return [r.text for r in pii.surrogate_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    return [r.text for r in pii.surrogate_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "corpus").orderBy("doc_id").collect()]
 
 
 def test_whole_names(spark):
@@ -110,7 +110,7 @@ def test_accounts_and_addresses(spark):
 def test_every_private_address(spark):
     """All 65,536 addresses of a closed range: more than the range has replacements for."""
     df = spark.range(65_536).select(F.col("id").alias("doc_id"), F.concat(F.lit("host 192.168."), F.floor(F.col("id") / 256), F.lit("."), F.col("id") % 256).alias("text"))
-    out = pii.surrogate_documents(df)
+    out = pii.surrogate_documents(df, "corpus")
     assert out.select("text").distinct().count() == 65_536 and out.join(df.select("text"), "text").isEmpty()
 
 
@@ -119,5 +119,33 @@ def test_many_names(spark, n):
     rnd = random.Random(2)
     names = sorted({"".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=7)).capitalize() for _ in range(n)})
     df = spark.createDataFrame([(i, f"Mr. {x}") for i, x in enumerate(names)], "doc_id long, text string")
-    out = pii.surrogate_documents(df)
+    out = pii.surrogate_documents(df, "corpus")
     assert out.select("text").distinct().count() == len(names) and out.join(df.select("text"), "text").isEmpty()
+
+
+def test_short_forms_of_address(spark):
+    texts = ["M. Dupont et Mme Curie.", "El Sr. García y la Srta. López.", "Mit Herrn Müller, Fr. Weber und Hr. Braun.", "J. M. Barrie. Fr. Is no name. Sra de la Torre", "Sir Newton, Mlle Lenoir, Госпоже Ивановой"]
+    out = one(spark, *texts)
+    for gone in ("Dupont", "Curie", "García", "López", "Müller", "Weber", "Braun", "Torre", "Newton", "Lenoir", "Ивановой"):
+        assert not any(gone in t for t in out), gone
+    for stays in ("M. ", " et Mme ", "El Sr. ", "Srta. ", "Mit Herrn ", "Fr. ", "Hr. ", "J. M. Barrie", "Sra de la "):
+        assert any(stays in t for t in out), stays
+    assert out[4].startswith("Sir ") and regex.search("Госпоже [А-Я][а-я]+а$", out[4])
+
+
+def test_numbers_with_spaces_and_country_codes(spark):
+    texts = ["SSN 123 45 6789", "call 555 123 4567", "+33 1 23 45 67 89 or 01 23 45 67 89", "+49 (30) 1234567, +34 912 345 678, +353 1 234 5678", "in 2020 12 3456 78 rows 1 234 567 of 100 200 3000 400; +1 2", "+33123456789"]
+    out = one(spark, *texts)
+    shape = lambda t: regex.sub("[0-9]", "9", t)
+    assert [shape(t) for t in out] == [shape(t) for t in texts]
+    assert out[4] == texts[4] and all(a != b for k, (a, b) in enumerate(zip(texts, out, strict=True)) if k != 4)
+    assert out[2].startswith("+33 ") and " or 01 " in out[2] and out[3].startswith("+49 (") and "+34 9" not in out[3][:0] and ", +34 " in out[3] and ", +353 " in out[3]
+    assert regex.sub("[^0-9]", "", out[2].split(" or ")[0]) == out[5][1:]
+
+
+def test_the_key_is_the_session_s(spark):
+    df = spark.createDataFrame([(1, "Mr Brown, 555-123-4567")], "doc_id long, text string")
+    a, b, c = (pii.surrogate_documents(df, k).first().text for k in ("one", "two", "one"))
+    assert a == c != b
+    key = pii.session_key(spark)
+    assert len(key) >= 32 and pii.session_key(spark) == key
