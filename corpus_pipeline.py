@@ -21,23 +21,27 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text, the smallest id's. Null texts count as empty; repeated rows and rows without an id leave one each; an empty table stays empty."""
+    """One document of each text, the smallest id's. Null texts count as empty, long ones are compared in whole; repeated rows, ties and rows
+    without an id leave one each; other columns ride along, whatever their names; an empty table stays empty."""
     return exact_dedup.exact_unique(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the smallest id's. Null and empty texts, rows without an id and repeated rows of a kept id stay; an empty table stays empty."""
+    """One document of each group of near duplicates, the smallest id's. Null and empty texts, rows without an id and repeated rows of a kept id
+    stay; long texts are compared in whole; other columns ride along, whatever their names; an empty table stays empty."""
     return near_dedup.near_unique(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, detected entities replaced; n_chars follows the new text. Null texts keep theirs; repeated rows get the same text; an empty table stays empty."""
-    out = pii.replace_entities(docs)
+    """Every document, detected entities replaced; n_chars follows the new text. Null texts keep theirs; long ones are searched in whole;
+    repeated rows and ties get the same text; other columns ride along, whatever their names; an empty table stays empty."""
+    out = pii.replace_entities(docs, pii.session_key(spark))
     return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training sequences of at most 2048 tokens, one row a piece. Null and empty texts are their end id alone; repeated rows are packed like any other; an empty table gives no pieces."""
+    """Training sequences of at most 2048 tokens, one row a piece. Null and empty texts are their end id alone, long ones are cut into pieces;
+    repeated rows are packed like any other; other columns are left; an empty table gives no pieces."""
     import public_tokenizers
 
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 1)
