@@ -105,16 +105,99 @@ def sources() -> dict[str, Source]:
     series = {"region_name": ("string", "region_name", "zip_code"), "metric_name": ("string", "metric_name"), "metric_date": ("date", "metric_date"), "metric_value": ("float", "metric_value")}
     full_price = lambda raw: F.concat(F.lit("$"), F.format_number(safe_decimal(raw("POTOTAL")), 2))
     made = [
-        Source("contracts", {"contract_number": ("string", "CONTRACT_NUMBER", "CONTRACTNUMBER"), "title": ("string", "TITLE", "CONTRACT_TITLE"), "agency_name": ("string", "AGENCY_NAME", "AGENCY"), "supplier_name": ("string", "SUPPLIER", "SUPPLIERNAME"), "contract_amount": ("money", "CONTRACTAMOUNT"), "fiscal_year": ("fiscal", "FISCALYEAR"), "start_date": ("date", "STARTDATE"), "end_date": ("date", "ENDDATE"), "nigp_codes": ("codes", "NIGP_CODES")}, id=("CONTRACT_NUMBER",)),
+        Source(
+            "contracts",
+            {
+                "contract_number": ("string", "CONTRACT_NUMBER", "CONTRACTNUMBER"),
+                "title": ("string", "TITLE", "CONTRACT_TITLE"),
+                "description": ("string", "DESCRIPTION"),
+                "agency_name": ("string", "AGENCY_NAME", "AGENCY"),
+                "agency_code": ("string", "AGENCY_ACRONYM"),
+                "supplier_name": ("string", "SUPPLIER", "SUPPLIERNAME"),
+                "contract_amount": ("money", "CONTRACTAMOUNT"),
+                "contract_status": ("string", "CONTRACTSTATUS"),
+                "contract_type": ("string", "MARKETTYPE", "CONTRACTTYPEDESCRIPTION"),
+                "procurement_method": ("string", "PROCUREMENTMETHODDESCRIPTION"),
+                "fiscal_year": ("fiscal", "FISCALYEAR"),
+                "start_date": ("date", "STARTDATE"),
+                "end_date": ("date", "ENDDATE"),
+                "contract_url": ("string", "CONTRACT_DETAILS_LINK"),
+                "nigp_codes": ("codes", "NIGP_CODES", "COMMODITYCODE"),
+                "naics_codes": ("codes", "NAICS_CODES"),
+                **place,
+            },
+            id=("CONTRACT_NUMBER",),
+        ),
         Source("payments", {"supplier_name": ("string", "SUPPLIERNAME", "SUPPLIER"), "agency_name": ("string", "AGENCY_NAME", "AGENCY"), "payment_amount": ("money", "PAYMENTAMOUNT"), "payment_date": ("date", "PAYMENTDATE"), "fiscal_year": ("fiscal", "FISCALYEAR"), "contract_number": ("string", "CONTRACT_NUMBER")}, id=("PAYMENTID",)),
         Source("purchase_orders", {"agency_name": ("string", "AGENCY_NAME"), "supplier_name": ("string", "SUPPLIER"), "amount_min": ("money", "POTOTAL"), "amount_max": ("money", "POTOTAL"), "order_date": ("date", "ORDERDATE"), "fiscal_year": ("fiscal", "FISCALYEAR")}, {"amount_label": full_price}, ("PONUMBER",)),
-        Source("appraisals", {"ssl": ("string", "SSL"), "bedrooms": ("int", "BEDRM"), "price": ("money", "PRICE"), "sale_date": ("date", "SALEDATE"), "year_built": ("int", "AYB"), "sqft": ("float", "GBA")}, {"bathrooms": lambda raw: bathrooms(safe_float(raw("BATHRM")), safe_float(raw("HF_BATHRM"))), "property_type": lambda raw: structure_type(F.coalesce(raw("STRUCT_D"), F.lit("")))}, ("SSL",)),
+        Source(
+            "appraisals",
+            {
+                "ssl": ("string", "SSL"),
+                "bedrooms": ("int", "BEDRM"),
+                "half_bathrooms": ("float", "HF_BATHRM"),
+                "rooms": ("int", "ROOMS"),
+                "stories": ("float", "STORIES"),
+                "price": ("money", "PRICE"),
+                "sale_date": ("date", "SALEDATE"),
+                "sale_number": ("int", "SALE_NUM"),
+                "year_built": ("int", "AYB"),
+                "effective_year_built": ("int", "EYB"),
+                "year_remodeled": ("int", "YR_RMDL"),
+                "sqft": ("float", "GBA"),
+                "lot_sqft": ("float", "LANDAREA"),
+                "num_units": ("int", "NUM_UNITS"),
+                "kitchens": ("int", "KITCHENS"),
+                "fireplaces": ("int", "FIREPLACES"),
+                "heating_type": ("string", "HEAT_D"),
+                "has_ac": ("string", "AC"),
+                "style": ("string", "STYLE_D"),
+                "structure": ("string", "STRUCT_D"),
+                "grade": ("string", "GRADE_D"),
+                "condition": ("string", "CNDTN_D"),
+                "exterior_wall": ("string", "EXTWALL_D"),
+                "roof_type": ("string", "ROOF_D"),
+                "interior_wall": ("string", "INTWALL_D"),
+                "use_code": ("int", "USECODE"),
+            },
+            {
+                "bathrooms": lambda raw: bathrooms(safe_float(raw("BATHRM")), safe_float(raw("HF_BATHRM"))),
+                "property_type": lambda raw: structure_type(F.coalesce(raw("STRUCT_D"), F.lit(""))),
+                "qualified": lambda raw: F.coalesce(F.upper(raw("QUALIFIED")).isin("Q", "Y", "QUALIFIED"), F.lit(False)),
+                "price_per_sqft": lambda raw: F.round(F.try_divide(F.nullif(safe_decimal(raw("PRICE")), F.lit(0)), F.nullif(safe_decimal(raw("GBA")), F.lit(0))), 2).cast("double"),
+            },
+            ("SSL",),
+        ),
         Source("assessments", {"ssl": ("string", "SSL"), "ward": ("ward", "WARD", "ASSESSWARD"), "property_tax": ("money", "ASSESSMENT", "NEWTOTAL"), "land_area": ("float", "LANDAREA"), "address": ("string", "PREMISEADD")}, {"property_type": lambda raw: use_code_type(raw("USECODE"), raw("TAXCLASS"), USE_CODES, TAX_CLASSES)}, ("SSL",)),
         Source("sales", {"ssl": ("string", "SSL"), "price": ("money", "SALEPRICE", "PRICE"), "sale_date": ("date", "SALEDATE")}, {"qualified": lambda raw: F.coalesce(F.upper(raw("QUALIFIED")).isin("Q", "Y", "QUALIFIED"), F.lit(False))}, ("SSL", "SALEDATE")),
         Source("lots", {"ssl": ("string", "SSL"), "zip": ("zip", "ZIP", "ZIPCODE")}, {"lot_area": lambda raw: lot_area(safe_float(raw("RECORD_AREA")), safe_float(raw("COMPUTED_AREA"))), "address": lambda raw: lot_address(raw("ADDRNUM"), raw("STNAME"), raw("QUADRANT")), "zip_plus_four": lambda raw: zip_plus_four(F.coalesce(raw("ZIP"), raw("ZIPCODE")), raw("ZIP4"))}, ("SSL",)),
         Source("wards", {"region_name": ("string", "NAME"), "ward": ("ward", "WARD"), "metric_value": ("float", "POP100")}, id=("WARD",)),
         Source("businesses", {"business_name": ("string", "BUSINESS_NAME", "ENTITY_NAME"), "license": ("string", "LICENSE_NUMBER"), "solicitation": ("string", "SOLICITATION_NUMBER"), "categories": ("codes", "CERTIFICATION_CATEGORIES"), "phone": ("phone", "PHONE"), "ward": ("ward", "WARD"), **place}, id=("LICENSE_NUMBER", "SOLICITATION_NUMBER")),
-        Source("housing", {"project_name": ("string", "PROJECT_NAME"), "units": ("int", "UNITS"), "ward": ("ward", "WARD"), **place}, id=("OBJECTID",)),
+        Source(
+            "housing",
+            {
+                "project_name": ("string", "PROJECT_NAME", "SITENAME"),
+                "address": ("string", "FULLADDRESS", "ADDRESS"),
+                "units": ("int", "TOTAL_AFFORDABLE_UNITS", "UNITS"),
+                "units_0_30_ami": ("int", "AFFORDABLE_UNITS_AT_0_30_AMI"),
+                "units_31_50_ami": ("int", "AFFORDABLE_UNITS_AT_31_50_AMI"),
+                "units_51_60_ami": ("int", "AFFORDABLE_UNITS_AT_51_60_AMI"),
+                "units_61_80_ami": ("int", "AFFORDABLE_UNITS_AT_61_80_AMI"),
+                "units_81_ami": ("int", "AFFORDABLE_UNITS_AT_81_AMI"),
+                "ward": ("ward", "MAR_WARD", "WARD"),
+                "status": ("string", "STATUS_PUBLIC"),
+                "agency": ("string", "AGENCY_CALCULATED", "AGENCY"),
+                "ownership_type": ("string", "OWNERSHIP_TYPE"),
+                "building_use": ("string", "BUILDING_USE"),
+                "owner_name": ("string", "OWNERNAME"),
+                "zoning": ("string", "ZONING"),
+                "anc": ("string", "ANC"),
+                "mar_id": ("string", "MAR_ID"),
+                **place,
+            },
+            {"property_type": lambda raw: F.lit("multi_family"), "listing_type": lambda raw: F.lit("for_rent")},
+            ("OBJECTID",),
+        ),
         Source("market", series, id=("region_name", "zip_code", "metric_name", lambda raw: month_of(raw, "metric_date"))),
         Source("rent_metrics", {"region_name": ("string", "zip_code", "region_name"), **{k: v for k, v in series.items() if k != "region_name"}}, {"state": lambda raw: state_of_zip(raw("zip_code"))}, ("zip_code", "property_type", "metric_name", lambda raw: month_of(raw, "metric_date")), "market"),
         Source("listings", {"listing_id": ("string", "listing_id"), "address": ("string", "address"), "price": ("money", "price"), "sqft": ("float", "sqft"), "zip": ("zip", "zip_code"), **place}, {"price_per_sqft": lambda raw: F.round(F.try_divide(safe_decimal(raw("price")), safe_decimal(raw("sqft"))), 2).cast("double"), "state": lambda raw: state_of_zip(raw("zip_code")), "price_reduced": lambda raw: price_reduced(safe_float(raw("price")), safe_float(raw("list_price")))}, ("listing_id",)),

@@ -182,11 +182,11 @@ def search_tokens(docs: DataFrame, stopwords: tuple[str, ...] = STOPWORDS) -> Da
     return docs.select("doc_id", F.explode(tokens(F.col("text"), stopwords)).alias("token")).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("uses"))
 
 
-def document_table(docs: DataFrame, parent: str | None = None, most_tokens: int = 10_000, most_sentences: int = 1000) -> DataFrame:
-    """One row a document: its id and parent's, digest, sizes, and its first tokens and sentences, as stored."""
+def document_table(docs: DataFrame, parent: str | None = None, most_tokens: int | None = 10_000, most_sentences: int | None = 1000) -> DataFrame:
+    """One row a document: its id and parent's, digest, sizes, and its first tokens and sentences, as stored; None keeps all."""
     t, s = tokens(F.col("text")), sentences(F.col("text"))
     rows = docs.select("doc_id", (F.col(parent) if parent else F.lit(None).cast("string")).alias("parent_id"), F.sha2("text", 256).alias("content_hash"), F.length("text").alias("n_chars"), t.alias("t"), s.alias("s"))
-    return rows.select("doc_id", "parent_id", "content_hash", "n_chars", F.size("t").alias("n_tokens"), F.size("s").alias("n_sentences"), F.slice("t", 1, most_tokens).alias("tokens"), F.slice("s", 1, most_sentences).alias("sentences"))
+    return rows.select("doc_id", "parent_id", "content_hash", "n_chars", F.size("t").alias("n_tokens"), F.size("s").alias("n_sentences"), (F.slice("t", 1, most_tokens) if most_tokens else F.col("t")).alias("tokens"), (F.slice("s", 1, most_sentences) if most_sentences else F.col("s")).alias("sentences"))
 
 
 def file_type(content: Column) -> Column:

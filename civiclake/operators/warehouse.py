@@ -47,11 +47,12 @@ def dim_supplier(certified: DataFrame, contracts: DataFrame, payments: DataFrame
 
 
 def dim_contract(contracts: DataFrame, fields: list[str], *tie: str) -> DataFrame:
-    """One contract per number: its most complete record, title or else description, code lists as arrays, current from today on."""
+    """One contract per number: its most complete record, title or else description, code lists (texts or arrays) as arrays, current from today on."""
     rows = most_complete(contracts.where("contract_number IS NOT NULL"), "contract_number", fields, *tie)
     have = set(rows.columns)
     text = lambda c: F.col(c) if c in have else F.lit(None).cast("string")
-    codes = lambda c: F.coalesce(code_list(text(c)), F.array().cast("array<string>")).alias(c)
+    lists = {n for n, t in rows.dtypes if t == "array<string>"}
+    codes = lambda c: F.coalesce(F.col(c) if c in lists else code_list(text(c)), F.array().cast("array<string>")).alias(c)
     return rows.select(
         entity_id(F.col("contract_number").cast("string")).alias("contract_key"), "contract_number", F.coalesce(F.nullif(text("title"), F.lit("")), text("description")).alias("contract_title"), text("contract_type").alias("contract_type"),
         text("procurement_method").alias("procurement_method"), codes("nigp_codes"), codes("naics_codes"), text("agency_code").alias("agency_code"), text("agency_name").alias("agency_name"), F.lit(True).alias("is_current"),

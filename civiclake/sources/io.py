@@ -138,7 +138,7 @@ def swap(df: DataFrame, path: str, run_id: str | None = None) -> None:
 
 #: Declared schemas by record type; others register theirs.
 SCHEMAS: dict[str, str] = {
-    "contract": "record_id string, contract_number string, agency_name string, supplier_name string, contract_amount decimal(18,2), fiscal_year int, start_date date, lineage_source string, lineage_run_id string, lineage_raw_hash string",
+    "contract": "record_id string, contract_number string, title string, description string, agency_name string, agency_code string, supplier_name string, contract_amount decimal(18,2), contract_status string, contract_type string, procurement_method string, fiscal_year int, start_date date, end_date date, contract_url string, nigp_codes array<string>, naics_codes array<string>, latitude double, longitude double, lineage_source string, lineage_run_id string, lineage_raw_hash string",
     "payment": "record_id string, supplier_name string, agency_name string, payment_amount decimal(18,2), payment_date date, fiscal_year int, contract_number string, lineage_source string, lineage_run_id string, lineage_raw_hash string",
     "purchase_order": "record_id string, agency_name string, supplier_name string, amount_min decimal(18,2), amount_max decimal(18,2), order_date date, fiscal_year int",
     "property": "record_id string, ssl string, ward int, price decimal(18,2), sqft double, bedrooms int, bathrooms double, year_built int, property_type string, sold_date date",
