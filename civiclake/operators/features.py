@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civiclake.functions.scalars import log_or_null, property_type_flags
@@ -133,6 +133,18 @@ def feature_schema(features: DataFrame, descriptions: dict[str, str] | None = No
     return features.sparkSession.createDataFrame(rows, "column string, type string, description string")
 
 
+def feature_sets(spark: SparkSession, base: str) -> DataFrame:
+    """feature_set, column, type of the sets stored in the folders below ``base``; no folder gives no rows.
+
+    Only folders and one schema a set are looked at, on whichever store they lie.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in fs.listStatus(root) if f.isDirectory()] if fs.exists(root) else []
+    rows = [(p.getName(), f.name, f.dataType.simpleString()) for p in found if not p.getName().startswith(("_", ".")) for f in spark.read.parquet(p.toString()).schema]
+    return spark.createDataFrame(rows, "feature_set string, column string, type string")
+
+
 def dataset_metadata(df: DataFrame, name: str, as_of: dt.datetime) -> DataFrame:
     """One row: dataset, row count, field names, time."""
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("dataset"), "row_count", F.array(*map(F.lit, df.columns)).alias("fields"), F.lit(as_of).alias("computed_at"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclake.operators.order import index_percentile
@@ -185,7 +186,43 @@ def schema_drift(df: DataFrame, declared: list[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, change string")
 
 
-def alerts(metrics: DataFrame, rules: list[tuple[str, str, str, str]]) -> DataFrame:
-    """Rows of metrics (name, value) that meet a rule (metric, SQL condition on value, severity, message)."""
-    out = F.array_compact(F.array(*(F.when((F.col("name") == m) & F.expr(c), F.struct(F.lit(s).alias("severity"), F.lit(t).alias("message"))) for m, c, s, t in rules)))
+#: From the least to the gravest.
+SEVERITIES = ("info", "warning", "error", "critical")
+
+
+def alerts(metrics: DataFrame, rules: list[tuple[str, str, str, str]], least: str = SEVERITIES[0]) -> DataFrame:
+    """Rows of metrics (name, value) that meet a rule (metric, SQL condition on value, severity, message), of ``least`` severity at least."""
+    grave = SEVERITIES[SEVERITIES.index(least) :]
+    kept = [r for r in rules if r[2] in grave]
+    if unknown := {r[2] for r in rules} - set(SEVERITIES):
+        raise ValueError(f"no severity: {', '.join(sorted(unknown))}")
+    kind = "array<struct<severity: string, message: string>>"
+    out = F.array_compact(F.array(*(F.when((F.col("name") == m) & F.expr(c), F.struct(F.lit(s).alias("severity"), F.lit(t).alias("message"))) for m, c, s, t in kept))).cast(kind)
     return metrics.select("name", "value", F.inline(out))
+
+
+@dataclass(frozen=True)
+class Threshold:
+    """Values from which on a metric is of concern: where ``low`` it is too low below them, else too high above them."""
+
+    warning: float
+    critical: float
+    target: float | None = None
+    low: bool = False
+
+    def level(self, value: Column) -> Column:
+        past = lambda t: value < t if self.low else value > t
+        met = F.lit(True) if self.target is None else ~past(self.target)
+        return F.when(value.isNull(), "unknown").when(past(self.critical), "critical").when(past(self.warning), "warning").when(met, "met").otherwise("below target" if self.low else "above target")
+
+
+#: Percent of spend with certified suppliers, and of an agency's spend with one supplier.
+THRESHOLDS = {"cbe_spend_goal": Threshold(40, 30, 50, low=True), "vendor_concentration": Threshold(10, 20)}
+
+
+def threshold_levels(metrics: DataFrame, thresholds: dict[str, Threshold] = THRESHOLDS) -> DataFrame:
+    """``metrics`` (name, value and more) of the named thresholds with their level: critical, warning, met, below or above target, unknown."""
+    level = F.lit(None).cast("string")
+    for n, t in thresholds.items():
+        level = F.when(F.col("name") == n, t.level(F.col("value"))).otherwise(level)
+    return metrics.where(F.col("name").isin(*thresholds)).withColumn("level", level)

@@ -184,10 +184,11 @@ def dedup_by_content(spark, sf):
     return dedup.dedup_by_hash(table(spark, sf, "documents").select("doc_id", F.md5("text").alias("digest")), "digest", "doc_id")
 
 
-@query("SELECT DISTINCT user_id FROM events e WHERE ts >= TIMESTAMP '2024-01-20' AND NOT EXISTS (SELECT 1 FROM events o WHERE o.user_id = e.user_id AND o.ts < TIMESTAMP '2024-01-10')")
+@query("""WITH e AS (SELECT user_id + event_id % 3 * 1000 AS user_id, ts FROM events) SELECT DISTINCT user_id FROM e WHERE ts >= TIMESTAMP '2024-01-20' AND NOT EXISTS (SELECT 1 FROM e o WHERE o.user_id = e.user_id AND o.ts < TIMESTAMP '2024-01-10' AND o.user_id < 2000)""")
 def unseen_users(spark, sf):
-    e = table(spark, sf, "events")
-    return dedup.not_seen(e.where("ts >= TIMESTAMP_NTZ '2024-01-20'"), e.where("ts < TIMESTAMP_NTZ '2024-01-10'"), "user_id").select("user_id").distinct()
+    """Users of three groups; those of the third are not stored yet."""
+    e = table(spark, sf, "events").withColumn("user_id", F.col("user_id") + F.col("event_id") % 3 * 1000)
+    return dedup.not_seen(e.where("ts >= TIMESTAMP_NTZ '2024-01-20'"), e.where("ts < TIMESTAMP_NTZ '2024-01-10' AND user_id < 2000"), "user_id").select("user_id").distinct()
 
 
 @query("""SELECT contract_number, supplier_name, line FROM (SELECT *, row_number() OVER (PARTITION BY contract_number ORDER BY (CASE WHEN pt IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN pa IS NOT NULL THEN 1 ELSE 0 END) DESC, line, supplier_name, payment_amount) AS r
@@ -885,13 +886,16 @@ def point_in_polygon(spark, sf):
     return places.locate(points, diamonds.unionByName(bands), ["diamond", "band"], 10.0).drop("x", "y")
 
 
-@query(r"""WITH l AS (SELECT doc_id, x, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS i FROM (SELECT doc_id, regexp_replace(s[i], '^\s+|\s+$', '', 'g') AS x, i FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents), unnest(range(1, len(s) + 1)) AS r(i)) WHERE x <> ''),
+@query(r"""WITH l AS (SELECT doc_id, x, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS i FROM (SELECT doc_id, regexp_replace(s[i], '^\s+|\s+$', '', 'g') AS x, i FROM (SELECT doc_id, string_split('before' || chr(10) || 'SECTION ' || doc_id % 7 || ': ' || lang || chr(10) || coalesce(text, '') || chr(10) || 'NOTHING BELOW' || chr(10) || '2. Closing Words' || chr(10) || ' ' || source, chr(10)) AS s FROM documents), unnest(range(1, len(s) + 1)) AS r(i)) WHERE x <> ''),
 h AS (SELECT *, length(x) < 100 AND regexp_full_match(x, '[A-Z][A-Z\s]{2,50}|\d+\.?\s+[A-Z][A-Za-z\s]+|SECTION\s+\d+[:\s].+|ARTICLE\s+\d+[:\s].+|PART\s+[A-Z0-9]+[:\s].+') AS head FROM l),
 g AS (SELECT *, sum(CAST(head AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM h),
 s AS (SELECT doc_id, g, max(x) FILTER (head) AS heading, string_agg(x, chr(10) ORDER BY i) FILTER (NOT head) AS content FROM g WHERE g > 0 GROUP BY 1, 2)
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY g) - 1 AS INTEGER) AS place, heading, content FROM s WHERE content IS NOT NULL""")
 def doc_sections(spark, sf):
-    return text.sections(table(spark, sf, "documents"), body=None, most=None)
+    """Documents with headings of three kinds put around their texts; one of them has nothing below it."""
+    line = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x for x in parts))
+    whole = line("before\nSECTION ", (F.col("doc_id") % 7).cast("string"), ": ", F.col("lang"), "\n", F.coalesce("text", F.lit("")), "\nNOTHING BELOW\n2. Closing Words\n ", F.col("source"))
+    return text.sections(table(spark, sf, "documents").select("doc_id", whole.alias("text")), body=None, most=None)
 
 
 @query("WITH RECURSIVE " + _LINKS + """, seeds AS (SELECT min(url) AS url FROM pages_ GROUP BY regexp_extract(url, '^[a-z]+://[^/?]*', 0)),
@@ -1085,6 +1089,17 @@ def category_spend(spark, sf):
     return warehouse.category_spend(facts, _contracts(spark, sf))
 
 
+@query("!" + _DIM + f""", s AS (SELECT agency_name, supplier_name, CAST(sum(payment_amount) AS DOUBLE) AS s FROM payments GROUP BY 1, 2), j AS (SELECT s.*, coalesce(is_cbe, false) AS c FROM s LEFT JOIN dim ON supplier_key = {_supplier('s.supplier_name')}),
+m AS (SELECT agency_name, 'cbe_spend_goal' AS name, round(coalesce(sum(s) FILTER (c), 0) * 100 / sum(s), 2) AS value FROM j GROUP BY 1 UNION ALL SELECT agency_name, 'vendor_concentration', round(max(s) * 100 / sum(s), 2) FROM j GROUP BY 1)
+SELECT *, CASE WHEN name = 'cbe_spend_goal' THEN CASE WHEN value < 30 THEN 'critical' WHEN value < 40 THEN 'warning' WHEN value >= 50 THEN 'met' ELSE 'below target' END ELSE CASE WHEN value > 20 THEN 'critical' WHEN value > 10 THEN 'warning' ELSE 'met' END END AS level FROM m""", "cbe_businesses", "contracts", "payments")
+def business_thresholds(spark, sf):
+    """Each agency's certified share and its largest supplier's share against the thresholds."""
+    sums = view(spark, sf, "payments").groupBy("agency_name", "supplier_name").agg(F.sum("payment_amount").cast("double").alias("s"))
+    rows = sums.join(_names(spark, sf).select(F.col("name").alias("supplier_name"), "is_cbe"), "supplier_name", "left").groupBy("agency_name").agg(F.sum("s").alias("all"), F.coalesce(F.sum(F.when(F.col("is_cbe"), F.col("s"))), F.lit(0.0)).alias("cbe"), F.max("s").alias("most"))
+    share = lambda name, c: F.struct(F.lit(name).alias("name"), F.round(F.col(c) * 100 / F.col("all"), 2).alias("value"))
+    return quality.threshold_levels(rows.select("agency_name", F.inline(F.array(share("cbe_spend_goal", "cbe"), share("vendor_concentration", "most")))))
+
+
 @query(f"SELECT {_fy('payment_date')} AS fiscal_year, CAST(sum(payment_amount) AS DECIMAL(28,2)) AS spend, count(*) AS payments, round(CAST(CAST(sum(payment_amount) AS DECIMAL(28,2)) AS DOUBLE) / 1e6, 2) AS millions FROM payments WHERE payment_date IS NOT NULL GROUP BY 1", "payments")
 def spend_by_year(spark, sf):
     return warehouse.spend_by_year(view(spark, sf, "payments"))

@@ -9,7 +9,7 @@ from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from civiclake.functions import sql as sql_functions
-from civiclake.operators import ingest, validate, warehouse
+from civiclake.operators import features, ingest, quality, validate, warehouse
 from civiclake.plans import semantic
 from civiclake.sources import io
 
@@ -113,3 +113,28 @@ def test_errors_of_rules_come_with_their_rows(spark):
     df = spark.createDataFrame([("A", "x")], "AGENCY_NAME string, CONTRACTAMOUNT string")
     bad = validate.route(df, validate.rules_for("contracts", df.columns), "contracts")[1].first()
     assert (bad.error_type, bad.source, json.loads(bad.original)) == ("validation_error", "contracts", {"AGENCY_NAME": "A", "CONTRACTAMOUNT": "x"}) and len(bad.quarantine_id) == 32
+
+
+def test_severities_have_an_order(spark):
+    metrics = spark.createDataFrame([("a", 5.0), ("b", None)], "name string, value double")
+    rules = [("a", "value > 1", "info", "i"), ("a", "value > 2", "critical", "c"), ("a", "value > 3", "warning", "w"), ("b", "value IS NULL", "error", "e")]
+    got = lambda least: {r.message for r in quality.alerts(metrics, rules, least).collect()}
+    assert [got(s) for s in quality.SEVERITIES] == [{"i", "c", "w", "e"}, {"c", "w", "e"}, {"c", "e"}, {"c"}]
+    assert quality.alerts(metrics, rules[:1], "critical").count() == 0
+    with pytest.raises(ValueError, match="loud"):
+        quality.alerts(metrics, [("a", "true", "loud", "x")])
+
+
+def test_levels_of_thresholds(spark):
+    rows = [(n, v) for n in ("cbe_spend_goal", "vendor_concentration", "other") for v in (29.9, 30.0, 39.9, 40.0, 49.9, 50.0, 10.0, 10.1, 20.1, None)]
+    got = {(r["name"], r.value): r.level for r in quality.threshold_levels(spark.createDataFrame(rows, "name string, value double")).collect()}
+    assert [got["cbe_spend_goal", v] for v in (29.9, 30.0, 39.9, 40.0, 49.9, 50.0, None)] == ["critical", "warning", "warning", "below target", "below target", "met", "unknown"]
+    assert [got["vendor_concentration", v] for v in (10.0, 10.1, 20.1)] == ["met", "warning", "critical"] and not any(n == "other" for n, _ in got)
+
+
+def test_stored_feature_sets_are_listed(spark, tmp_path):
+    base = str(tmp_path / "features")
+    assert features.feature_sets(spark, base).count() == 0
+    spark.range(3).write.parquet(f"{base}/one")
+    spark.range(3).selectExpr("id AS k", "array('a') AS names").write.parquet(f"{base}/two")
+    assert {tuple(r) for r in features.feature_sets(spark, base).collect()} == {("one", "id", "bigint"), ("two", "k", "bigint"), ("two", "names", "array<string>")}
