@@ -224,6 +224,21 @@ def test_topk(spark):
     assert topk.exact_topk(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0, 5).count() == 0
 
 
+def test_topk_over_many_blocks_and_groups(spark, monkeypatch):
+    """Blocks of 16 and groups of 7 queries, with ties across blocks, give what one block gives: the plain ranking."""
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "GROUP", 7)
+    rnd = np.random.default_rng(9)
+    v = rnd.integers(-3, 4, size=(300, 8)) / 256
+    got = topk.exact_topk(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, 5)
+    whole = np.floor(256 * v).astype(int)
+    want = []
+    for q in range(0, 300, 20):
+        best = sorted((-int(whole[q] @ whole[i]), i) for i in range(300) if i != q)[:5]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert rows_of(got, "query_id", "rank", "vec_id", "score") == sorted(want, key=str)
+
+
 def test_topk_repeated_rows(spark):
     """Copies of one candidate, and vectors of one id with one score, take one place of the k."""
     vec = [(0, [1.0, 0.0])] + [(1, [0.9, 0.0])] * 6 + [(2, [0.8, 0.1 * j]) for j in range(6)] + [(i, [1.0 / i, 0.0]) for i in range(3, 9)]
