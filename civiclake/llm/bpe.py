@@ -170,20 +170,28 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
 
 def decode_column(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id and the decoded bytes of an ``ids`` column."""
+    """doc_id and the decoded bytes of an ``ids`` column.
+
+    Null ids decode to null, no ids to no bytes; ids of any number, repeated rows, ties and null doc_ids need no care;
+    other columns are ignored; an empty table gives no rows.
+    """
 
     def run(batches):
         import pyarrow as pa
 
         c = codec(path, pattern)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([c.decode(x) for x in b.column("ids").to_pylist()], pa.binary())], ["doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([None if x is None else c.decode(x) for x in b.column("ids").to_pylist()], pa.binary())], ["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text binary")
 
 
 def digest_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes, decodes the ids again and digests both."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes, decodes the ids again and digests both.
+
+    A null text counts as empty; texts of any length are encoded in whole; repeated rows and null doc_ids have rows of
+    their own; other columns, whatever their names, are ignored; an empty table gives no rows.
+    """
     return _mapped(docs, path, pattern, id_col, text_col, True)
 
 

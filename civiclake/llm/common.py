@@ -2,31 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civiclake.sources.scratch import shared_folder
+
 #: ASCII white space as the contracts define it; bytes.split() of Python uses the same six bytes.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``.
-
-    Without that setting a session that runs on this machine alone gets a temporary folder; a cluster raises an error,
-    as its executors wouldn't share one.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="spark-civiclake-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/civiclake/{uuid.uuid4().hex}"
+    """A new folder that driver and executors share, below the application's (see ``sources.scratch``)."""
+    return shared_folder(spark)
 
 
 def store(df: DataFrame, folder: str, name: str) -> DataFrame:

@@ -13,7 +13,9 @@ def components(links: DataFrame, folder: str) -> DataFrame | None:
 
     Each round points every node at its neighbour that comes first in hash order, where that comes before itself,
     then joins the pointed-at nodes only. Hash order makes long chains shrink by a constant factor a round. Both
-    steps are a grouped minimum and equi joins, so hubs are pre-aggregated and skewed keys can be split.
+    steps are a grouped minimum and equi joins, so hubs are pre-aggregated and skewed keys can be split. Repeated links
+    and links in both directions count once; a link of a node with itself or with null is left out; other columns are
+    ignored.
     """
     current = store(links.select("a", "b").where(F.col("a") != F.col("b")).distinct(), folder, "links0")
     parents: list[DataFrame] = []

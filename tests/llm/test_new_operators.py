@@ -267,3 +267,27 @@ def test_mixed_rows_and_edge_cases(spark):
     assert taken == Counter({k: plan[k] * n for k, n in times.items() if plan[k]})
     assert mixing.mixing_plan(rows(spark, [])).count() == 0 and mixing.mix_documents(rows(spark, [])).count() == 0
     assert [r.taken for r in mixing.mixing_plan(rows(spark, [(1, None, None), (2, "", "a")])).collect()] == [0, 0]
+
+
+# --- odd rows of earlier operators ---
+
+
+def test_decoding_of_null_ids(spark):
+    from civiclake.llm import bpe
+
+    public = pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.encode_documents(rows(spark, [(1, "a b", "s"), (None, None, "s")]), path, public.PATTERN)
+    odd = ids.unionByName(spark.createDataFrame([(2, None)], "doc_id long, ids binary"))
+    got = {r.doc_id: None if r.text is None else bytes(r.text) for r in bpe.decode_column(odd, path, public.PATTERN).collect()}
+    assert got == {1: b"a b", None: b"", 2: None}
+
+
+def test_links_with_null_and_itself(spark):
+    from civiclake.llm.common import scratch
+    from civiclake.llm.components import components
+
+    links = spark.createDataFrame([(1, 2), (2, 1), (2, 3), (3, 3), (4, None), (None, 5), (7, 8), (7, 8)], "a long, b long")
+    roots = {r.node: r.root for r in components(links, scratch(spark)).collect()}
+    assert set(roots) == {1, 2, 3, 7, 8} and roots[1] == roots[2] == roots[3] != roots[7] == roots[8]
+    assert components(links.where("a = b"), scratch(spark)) is None
