@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclake.llm import exact_dedup, near_dedup, pii, quality
-from civiclake.llm.common import scratch, store
+from civiclake.llm.common import discard, scratch, store
 from civiclake.llm.packing import pack_documents
 
 
@@ -61,8 +61,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written to the shared folder before the next stage reads it."""
-    folder = scratch(spark)
+    folder, before = scratch(spark), None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = store(stage(spark, docs, sf_dir), folder, name)
+        if before:
+            discard(spark, folder, before)
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
