@@ -23,7 +23,9 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey
     "cbe_businesses": "SELECT concat(upper(s_name), ' LLC') AS business_name, n_name AS certification FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0",
     "properties": """SELECT CAST(p_partkey AS BIGINT) AS property_id, p_size AS ward, CAST(p_retailprice AS DECIMAL(18,2)) AS price, p_size * 20 + 400 AS sqft, p_type AS property_type,
   CAST(p_partkey % 6 AS INT) AS bedrooms, CAST(p_partkey % 4 AS INT) AS bathrooms, CAST(1900 + p_partkey % 120 AS INT) AS year_built,
-  CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(p_size * 100 + p_partkey % 1000 AS DOUBLE) END AS lot_sqft, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE DATE '1995-01-01' + CAST(p_partkey % 2500 AS INT) END AS sold_date, p_brand AS city FROM part""",
+  CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(p_size * 100 + p_partkey % 1000 AS DOUBLE) END AS lot_sqft, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE DATE '1995-01-01' + CAST(p_partkey % 2500 AS INT) END AS sold_date, p_brand AS city,
+  concat('S', CAST(p_partkey AS VARCHAR(20))) AS ssl, concat('R', CAST(p_partkey AS VARCHAR(20))) AS source_record_id, CASE WHEN p_partkey % 3 <> 0 THEN CAST(p_size AS DOUBLE) + CAST(0.5 AS DOUBLE) END AS latitude, CAST(-p_size AS DOUBLE) AS longitude,
+  CASE WHEN p_partkey % 4 <> 0 THEN CAST(p_size AS DOUBLE) * 1000 END AS assessed_value, CASE WHEN p_partkey % 2 = 0 THEN 'DC' END AS state FROM part""",
     "places": """SELECT CAST(p_partkey AS BIGINT) AS place_id, CASE WHEN p_size % 9 = 0 THEN NULL ELSE CAST(p_size % 9 AS VARCHAR(9)) END AS ward, CASE WHEN p_partkey % 4 = 0 THEN NULL WHEN p_partkey % 4 = 1 THEN '99501' ELSE CAST(20000 + p_partkey % 3 AS VARCHAR(9)) END AS zip_code,
   CASE WHEN p_partkey % 3 = 0 THEN CAST(p_partkey AS DOUBLE) END AS latitude, CASE WHEN p_partkey % 3 = 0 THEN CAST(-p_partkey AS DOUBLE) END AS longitude, CASE WHEN p_partkey % 5 = 0 THEN p_brand END AS neighborhood FROM part""",
     "market_stats": """SELECT n_name AS region_name, o_orderpriority AS metric_name, CAST(date_trunc('month', o_orderdate) AS DATE) AS metric_date,

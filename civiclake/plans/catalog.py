@@ -161,13 +161,15 @@ def agency_top_vendors(spark, sf):
     return gold.top_vendors(view(spark, sf, "payments"))
 
 
-@query("""!v AS (SELECT *, CAST(metric_value AS DOUBLE) AS v FROM market_stats), r AS (SELECT *, row_number() OVER b AS place, round((v - lag(v, 1) OVER s) / nullif(lag(v, 1) OVER s, 0) * 100, 2) AS m, round((v - lag(v, 11) OVER s) / nullif(lag(v, 11) OVER s, 0) * 100, 2) AS y
+@query("""!v AS (SELECT region_name, metric_date, metric_value, CASE left(metric_name, 1) WHEN '1' THEN 'Median Rent ' WHEN '2' THEN 'ZORI ' WHEN '3' THEN 'inventory ' ELSE '' END || metric_name AS metric_name, CAST(metric_value AS DOUBLE) AS v FROM market_stats), r AS (SELECT *, row_number() OVER b AS place, round((v - lag(v, 1) OVER s) / nullif(lag(v, 1) OVER s, 0) * 100, 2) AS m, round((v - lag(v, 11) OVER s) / nullif(lag(v, 11) OVER s, 0) * 100, 2) AS y
   FROM v WINDOW s AS (PARTITION BY region_name, metric_name ORDER BY metric_date, metric_value), b AS (PARTITION BY region_name, metric_name ORDER BY metric_date DESC, metric_value DESC))
 SELECT region_name, metric_name, max(metric_date) FILTER (place = 1) AS latest_date, max(v) FILTER (place = 1) AS latest_value, max(m) FILTER (place = 1) AS mom_change, max(y) FILTER (place = 1) AS yoy_change, count(*) FILTER (place <= 24) AS points, string_agg(CAST(metric_date AS VARCHAR) || '=' || CAST(metric_value AS VARCHAR), ';' ORDER BY metric_date, metric_value) FILTER (place <= 24) AS history,
-  CASE WHEN max(y) FILTER (place = 1) > 2 THEN 'up' WHEN max(y) FILTER (place = 1) < -2 THEN 'down' ELSE 'stable' END AS trend, 'sale' AS category FROM r GROUP BY 1, 2""", "market_stats")
+  CASE WHEN max(y) FILTER (place = 1) > 2 THEN 'up' WHEN max(y) FILTER (place = 1) < -2 THEN 'down' ELSE 'stable' END AS trend, CASE left(regexp_extract(metric_name, '[0-9]', 0), 1) WHEN '1' THEN 'rent' WHEN '2' THEN 'rent' WHEN '3' THEN 'inventory' ELSE 'sale' END AS category FROM r GROUP BY 1, 2""", "market_stats")
 def market_trends(spark, sf):
     point = lambda x: F.concat(x["metric_date"].cast("string"), F.lit("="), x["metric_value"].cast("string"))
-    return gold.market_trends(view(spark, sf, "market_stats")).withColumn("history", F.array_join(F.transform("history", point), ";"))
+    kind = F.when(F.col("metric_name").startswith("1"), "Median Rent ").when(F.col("metric_name").startswith("2"), "ZORI ").when(F.col("metric_name").startswith("3"), "inventory ").otherwise("")
+    stats = view(spark, sf, "market_stats").withColumn("metric_name", F.concat(kind, "metric_name"))
+    return gold.market_trends(stats).withColumn("history", F.array_join(F.transform("history", point), ";"))
 
 
 @query(f"SELECT n_name AS k, {_PLACE.format('c_acctbal', 50)} AS p50, {_PLACE.format('c_acctbal', 99)} AS p99 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
@@ -338,8 +340,8 @@ _WARD_SQL = "SELECT ward, avg(CAST(price AS DOUBLE)) AS a, quantile_cont(CAST(pr
 _SCALED = "CASE WHEN {0} IS NOT NULL THEN CASE WHEN {2} > {1} THEN (least(greatest({0}, {1}), {2}) - {1}) / ({2} - {1}) ELSE 0 END END"
 
 
-@query(f"""!p AS (SELECT CAST(property_id AS VARCHAR) AS property_id, CAST(NULL AS VARCHAR) AS source_record_id, CAST(NULL AS VARCHAR) AS ssl, CAST(sqft AS DOUBLE) AS sqft, bedrooms, CAST(bathrooms AS DOUBLE) AS bathrooms, year_built, lot_sqft, ward, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude,
-  lower(property_type) AS kind, CAST(NULL AS DOUBLE) AS assessed_value, CAST(price AS DOUBLE) AS price, sold_date, city, CAST(NULL AS VARCHAR) AS state, CAST(price AS DOUBLE) / nullif(CAST(sqft AS DOUBLE), 0) AS pps FROM properties),
+@query(f"""!p AS (SELECT CAST(property_id AS VARCHAR) AS property_id, source_record_id, ssl, CAST(sqft AS DOUBLE) AS sqft, bedrooms, CAST(bathrooms AS DOUBLE) AS bathrooms, year_built, lot_sqft, ward, latitude, longitude,
+  lower(property_type) AS kind, assessed_value, CAST(price AS DOUBLE) AS price, sold_date, city, state, CAST(price AS DOUBLE) / nullif(CAST(sqft AS DOUBLE), 0) AS pps FROM properties),
 w AS ({_WARD_SQL}), i AS (SELECT max(v) FILTER (r = 1) AS v, max(y) FILTER (r = 1) AS y FROM (SELECT v, round((v - lag(v, 11) OVER b) / nullif(lag(v, 11) OVER b, 0) * 100, 2) AS y, row_number() OVER (ORDER BY metric_date DESC, metric_value DESC) AS r
   FROM (SELECT *, CAST(metric_value AS DOUBLE) AS v FROM market_stats WHERE region_name = 'CHINA' AND metric_name = '1-URGENT') WINDOW b AS (ORDER BY metric_date, metric_value))),
 z AS (SELECT {_share('price', 1, 'p')} AS lo, {_share('price', 99, 'p')} AS hi, {_share('pps', 1, 'p')} AS pps_lo, {_share('pps', 99, 'p')} AS pps_hi, {_share('sqft', 99, 'p')} AS sqft_p99, {_share('lot_sqft', 99, 'p')} AS lot_p99)
