@@ -172,7 +172,11 @@ def metrics_text(metrics: DataFrame, path: str) -> None:
 
 
 def prometheus_lines(metrics: DataFrame) -> DataFrame:
-    return metrics.select(F.format_string("%s{source=\"%s\"} %s", "name", "source", F.col("value").cast("string")).alias("value"))
+    """One line of text a metric (name, source, value); backslashes, quotes and line ends of the label are escaped."""
+    label = F.col("source")
+    for sign, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n")):
+        label = F.replace(label, F.lit(sign), F.lit(escaped))
+    return metrics.select(F.format_string("%s{source=\"%s\"} %s", "name", label, F.col("value").cast("string")).alias("value"))
 
 
 def features_of(payload: Column, schema: str) -> Column:
