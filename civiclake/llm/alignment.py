@@ -365,8 +365,8 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
     link each link's id pair, summed), groups_sha256.
 
     Null and empty texts, and those that the tokens of either side don't spell, have zeros and an empty digest. Repeated
-    rows and ids count as documents of their own; a null id stays null; other columns are ignored; an empty table gives
-    no rows. A text of any length is aligned in whole, in one task; so are runs of short ones. Documents are tokenized
+    rows and ids count as documents of their own; a null id stays null; other columns, whatever their names, are ignored;
+    an empty table gives no rows. A text of any length is aligned in whole, in one task; so are runs of short ones. Documents are tokenized
     once, what they link is stored, and the corpus-wide counts are read back from there.
     """
     spark = docs.sparkSession

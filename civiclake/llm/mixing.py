@@ -93,8 +93,9 @@ def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
 
     As no rate is above ``most``, no document is taken more often. Texts are read once and never shuffled; their sizes
     are stored. The join with the sources is left to size estimates; where it shuffles, a hot source, null included, is
-    a key that adaptive execution splits. Null and empty texts have size 0; rows with a null id share one coin, as
-    repeated rows of an id do; other columns are ignored; an empty table gives no rows.
+    a key that adaptive execution splits. Null and empty texts have size 0, long ones count in whole; rows with a null
+    id share one coin, as repeated rows of an id do; other columns, whatever their names, are ignored; an empty table
+    gives no rows.
     """
     folder = scratch(docs.sparkSession)
     sizes = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), text_words(text_of(text_col)).alias("size"))

@@ -221,8 +221,8 @@ def spelling_variants(docs: DataFrame, shortest: int = SHORTEST, rarest: int = R
     its commonest near word (ties: the first by code points) if that is ``commoner`` times as common at least; its root
     is where the forms lead. All words of the corpus are compared with all, through keys that no pair can miss; a cell
     of the grid holds 2 * BLOCK words at most, and pairs are folded to one row a word in the cell. Null texts have no
-    words; a null id counts as the empty string; repeated rows and repeated ids count each time; other columns are
-    ignored; an empty table gives no rows.
+    words; texts and words of any length are read in whole; a null id counts as the empty string; repeated rows and
+    repeated ids count each time; other columns, whatever their names, are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
     folder = scratch(spark)
