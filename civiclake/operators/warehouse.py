@@ -43,7 +43,12 @@ def supplier_names(certified: DataFrame, contracts: DataFrame, payments: DataFra
 
 def dim_supplier(certified: DataFrame, contracts: DataFrame, payments: DataFrame) -> DataFrame:
     """One supplier per normalized name: certified businesses first, then contract and payment names (smallest of each)."""
-    return supplier_names(certified, contracts, payments).where(F.col("name") == F.col("supplier_name")).drop("name")
+    return suppliers_of(supplier_names(certified, contracts, payments))
+
+
+def suppliers_of(names: DataFrame) -> DataFrame:
+    """The dimension's rows of a table of ``supplier_names``; who also loads facts stores that table and makes both from it."""
+    return names.where(F.col("name") == F.col("supplier_name")).drop("name")
 
 
 def dim_contract(contracts: DataFrame, fields: list[str], *tie: str) -> DataFrame:

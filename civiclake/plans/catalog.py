@@ -1126,7 +1126,8 @@ def table_counts(spark, sf):
 
 @query("!" + _FACT + "SELECT dim.supplier_id, supplier_name, is_cbe, CAST(coalesce(sum(spend_amount), 0) AS DECIMAL(28,2)) AS spend, count(fact_id) AS payments FROM dim LEFT JOIN fact f ON f.supplier_id = dim.supplier_id GROUP BY 1, 2, 3", "cbe_businesses", "contracts", "payments")
 def supplier_overview(spark, sf):
-    return warehouse.supplier_overview(_suppliers(spark, sf), _facts(spark, sf))
+    star = _star(spark, sf)
+    return warehouse.supplier_overview(star["dim_supplier"], star["fact_spend"])
 
 
 @query("!" + _FACT + """, a AS (SELECT supplier_id, CAST(sum(spend_amount) AS DECIMAL(28,2)) AS spend, min(d) AS first_day, max(d) AS last_day, CAST(coalesce(sum(spend_amount) FILTER (isodow(d) >= 6), 0) AS DECIMAL(28,2)) AS weekend_spend FROM (SELECT *, CAST(strptime(CAST(date_key AS VARCHAR), '%Y%m%d') AS DATE) AS d FROM fact WHERE date_key BETWEEN 19920101 AND 19981231) GROUP BY 1)
@@ -1188,9 +1189,11 @@ def distinct_agencies(spark, sf):
 
 
 def _star(spark, sf):
-    suppliers = warehouse.current_rows(_suppliers(spark, sf).withColumn("is_current", F.lit(True)))
+    names = materialize(_names(spark, sf))
+    suppliers = warehouse.current_rows(warehouse.suppliers_of(names).withColumn("is_current", F.lit(True)))
     contracts = _contracts(spark, sf).withColumn("contract_key", F.col("contract_number"))
-    return {"fact_spend": _facts(spark, sf), "dim_supplier": suppliers, "dim_contract": contracts}
+    facts = warehouse.fact_spend(view(spark, sf, "payments"), names, view(spark, sf, "contracts"))
+    return {"fact_spend": facts, "dim_supplier": suppliers, "dim_contract": contracts}
 
 
 @query("!" + _FACT + ", " + _CONTRACTS + """ SELECT contract_type, is_cbe, CAST(sum(spend_amount) AS DOUBLE) AS total_spend, count(*) AS payment_count, count(DISTINCT fact.supplier_id) AS vendor_count, round(CAST(sum(spend_amount) AS DOUBLE) / count(spend_amount), 4) AS average_payment, quantile_cont(CAST(spend_amount AS DOUBLE), 0.5) AS median_payment

@@ -174,7 +174,7 @@ def dashboard(tables: dict[str, DataFrame], top: int = 10) -> DataFrame:
     """section, label, value: key figures, spend by year, agency and certification, top suppliers; the payload as one long table.
 
     The facts are read once, into spend by year, agency and supplier, which is stored; all sections come from it. Names
-    and certification join its suppliers alone. Runs that job when called.
+    and certification join its suppliers alone, which are stored too. Runs those jobs when called.
     """
     fact = tables["fact_spend"]
     base = materialize(fact.groupBy("fiscal_year", "agency_name", "supplier_id").agg(F.sum("spend_amount").alias("s"), F.count(F.lit(1)).alias("n"), F.count("spend_amount").alias("paid")))
@@ -187,7 +187,8 @@ def dashboard(tables: dict[str, DataFrame], top: int = 10) -> DataFrame:
     ).select(F.inline("rows"))
     by = lambda section, c: base.groupBy(c).agg(total.alias("v")).select(row(section, F.coalesce(F.col(c).cast("string"), F.lit("Unknown")), F.col("v")).alias("r")).select("r.*")
     named = one_a_key(tables["dim_supplier"], "dim_supplier", "supplier_id", ["supplier_name", "is_cbe"])
-    suppliers = base.groupBy("supplier_id").agg(F.sum("s").alias("s")).join(named, "supplier_id", "left")
+    # Stored, as two sections read it and a dimension may be dear to make.
+    suppliers = materialize(base.groupBy("supplier_id").agg(F.sum("s").alias("s")).join(named, "supplier_id", "left"))
     names = suppliers.where("supplier_name IS NOT NULL").groupBy("supplier_name").agg(total.alias("v"))
     best = names.orderBy(F.desc("v"), "supplier_name").limit(top).select(row("supplier", F.col("supplier_name"), F.col("v")).alias("r")).select("r.*")
     cbe = suppliers.groupBy(F.coalesce("is_cbe", F.lit(False)).alias("c")).agg(total.alias("v")).select(row("cbe", F.col("c"), F.col("v")).alias("r")).select("r.*")
