@@ -618,7 +618,7 @@ def dim_contract_from_records(spark, sf):
 
 
 @query(f"""WITH r AS (SELECT *, CAST(p_partkey AS VARCHAR) AS ssl, CAST(p_retailprice AS DECIMAL(18,2)) AS m FROM part WHERE p_partkey % 6 <> 0 AND 1900 + p_partkey % 120 <= {AS_OF.year + 1})
-SELECT {_ID.format('ssl')}, ssl, p_size AS bedrooms, CASE WHEN p_size % 2 = 0 THEN 1.0::DOUBLE END AS half_bathrooms, CAST(m AS DOUBLE) AS price, 1900 + p_partkey % 120 AS year_built, CAST(p_size * 100 AS DOUBLE) AS sqft, p_size % 3 + CASE WHEN p_size % 2 = 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS bathrooms, p_brand AS style,
+SELECT {_ID.format('ssl')}, ssl, CAST(p_size AS BIGINT) AS bedrooms, CASE WHEN p_size % 2 = 0 THEN 1.0::DOUBLE END AS half_bathrooms, CAST(m AS DOUBLE) AS price, 1900 + p_partkey % 120 AS year_built, CAST(p_size * 100 AS DOUBLE) AS sqft, p_size % 3 + CASE WHEN p_size % 2 = 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS bathrooms, p_brand AS style,
   CASE p_partkey % 5 WHEN 0 THEN 'townhouse' WHEN 1 THEN 'semi_detached' WHEN 2 THEN 'condo' ELSE 'single_family' END AS property_type, p_size % 4 = 0 AS qualified, CASE WHEN m <> 0 THEN CAST((CAST(m * 100 AS BIGINT) * 2 + p_size * 100) // (2 * p_size * 100) AS DOUBLE) / 100 END AS price_per_sqft FROM r""")
 def normalized_appraisals(spark, sf):
     """Rows without an id or with a building year in the future are spoiled."""
@@ -935,7 +935,7 @@ def dim_contract(spark, sf):
     return warehouse.current_rows(_contracts(spark, sf)).withColumns({c: F.array_join(c, "|") for c in ("nigp_codes", "naics_codes")})
 
 
-@query("SELECT event_type AS source, count(*) AS rows, CASE WHEN event_type IN ('click', 'view') THEN 1 ELSE 0 END AS unreadable, CAST(CASE WHEN event_type IN ('click', 'view') THEN 7 END AS DOUBLE) AS bad_bytes FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY 1")
+@query("SELECT event_type AS source, count(*) AS rows, CAST(CASE WHEN event_type IN ('click', 'view') THEN 1 ELSE 0 END AS BIGINT) AS unreadable, CAST(CASE WHEN event_type IN ('click', 'view') THEN 7 END AS DOUBLE) AS bad_bytes FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY 1")
 def unreadable_files(spark, sf):
     """A layer of events with a broken file in two sources: rows that are read, and the files that are not."""
     base = shared_folder(spark)

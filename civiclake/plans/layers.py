@@ -123,7 +123,7 @@ def null_reports(spark, sf):
     return out.unionByName(quality.null_drift(full, rates).select(F.lit("drift").alias("what"), F.col("column").alias("field"), "rate", "change"))
 
 
-@query(f"WITH {_NULLS} SELECT CAST(n AS BIGINT) AS rows, 3 AS files, 1 AS partitions, round((half / n + few / n) / 3, 4) AS avg_null_rate, 'fresh' AS soon, 'critical' AS late FROM n")
+@query(f"WITH {_NULLS} SELECT CAST(n AS BIGINT) AS rows, CAST(3 AS BIGINT) AS files, CAST(1 AS BIGINT) AS partitions, round((half / n + few / n) / 3, 4) AS avg_null_rate, 'fresh' AS soon, 'critical' AS late FROM n")
 def dataset_state(spark, sf):
     """Statistics of a stored dataset of three files, and its age against a limit it keeps and one it misses."""
     path = shared_folder(spark)
@@ -199,7 +199,7 @@ def feature_reads(spark, sf):
     return features.features_of(p, "property_id", p.where("property_id % 10 = 3").select("property_id"), ["price", "city"])
 
 
-@query("SELECT 'properties' AS dataset, count(*) AS row_count, 17 AS n_fields, 'bigint' AS id_type, 'a key' AS id_text FROM properties", "properties")
+@query("SELECT 'properties' AS dataset, count(*) AS row_count, CAST(17 AS BIGINT) AS n_fields, 'bigint' AS id_type, 'a key' AS id_text FROM properties", "properties")
 def feature_docs(spark, sf):
     p = view(spark, sf, "properties")
     meta = features.dataset_metadata(p, "properties", dt.datetime(2024, 1, 1)).select("dataset", "row_count", F.size("fields").cast("long").alias("n_fields"))
