@@ -14,6 +14,7 @@ from civiclake.functions.scalars import (
     bathrooms, clean_phone, clean_zip, code_list, composite_id, entity_id, extras, fiscal_year_text, is_local_zip, lot_address, lot_area, price_reduced, record_hash, safe_bool, safe_date, safe_decimal, safe_float, safe_int, safe_string, state_of_zip, structure_type, use_code_type, ward, zip_plus_four,
 )
 from civiclake.operators.validate import quarantined, route, rules_for
+from civiclake.sources.io import dealt
 
 CAST = {"string": safe_string, "int": safe_int, "float": safe_float, "money": safe_decimal, "date": safe_date, "zip": clean_zip, "phone": clean_phone, "bool": safe_bool, "codes": code_list, "fiscal": fiscal_year_text, "ward": ward}
 SCHEMA_VERSION, PARSER_VERSION = "1", "1"
@@ -59,8 +60,10 @@ def ingest(df: DataFrame, source: Source, transform: Callable[[DataFrame], DataF
     """Canonical records and quarantined rows of raw rows, by the source's rules; ``transform`` is a user's own step on the records.
 
     A row that holds the rules but lacks a needed field once it is cast is quarantined as a normalization error.
-    ``as_of`` is the day of rules that depend on one.
+    ``as_of`` is the day of rules that depend on one. Rows are dealt out before the rules are checked: no filter moves
+    below the generator.
     """
+    df = dealt(df).select(F.inline(F.array(F.struct(*(F.col(f"`{c}`") for c in df.columns)))))
     good, bad = route(df, rules_for(source.rules or source.name, df.columns, as_of), source.name)
     if source.needed:
         have = set(df.columns)

@@ -195,6 +195,27 @@ def location_reply(payload: Column, tags: tuple[str, ...]) -> list[Column]:
     return [F.xpath_string(payload, F.lit(f"//{t}")).alias(t.lower()) for t in tags]
 
 
+def location_rows(replies: DataFrame, payload: str, tags: tuple[str, ...]) -> DataFrame:
+    """A row a reply with the columns of ``location_reply``. Replies are dealt out, and each is parsed once, in Arrow batches, not once a tag and use."""
+    names = [t.lower() for t in tags]
+
+    def run(batches):
+        import pyarrow as pa
+
+        from civiclake.functions.markup import first_texts
+
+        for b in batches:
+            found = [first_texts(x, tags) for x in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.string()) for k in range(len(tags))], names)
+
+    return dealt(replies.select(payload)).mapInArrow(run, ", ".join(f"`{n}` string" for n in names))
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` in as many parts as a shuffle has. For costly work on each row: a compressed file of a few MB holds a million rows that one task would read."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def warehouse_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     """Those of ``columns`` that ``df`` has, in their order; arrays, maps and structs as JSON text."""
     nested = {f.name for f in df.schema if isinstance(f.dataType, (ArrayType, MapType, StructType))}

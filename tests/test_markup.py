@@ -101,3 +101,24 @@ def test_parts_of_odd_pages(spark):
     assert [(x.place, x.link, x.told) for x in rows] == [(i, f"http://a.gov/{i}", str(i)) for i in range(3)]
     assert page("<a href=x>" * 5)[4] == [{"href": "x", "told": ""}] * 5
     assert text.page_parts(pages.where(F.lit(False))).count() == 0
+
+
+def test_xml_replies_are_parsed_once_and_dealt_out(spark):
+    from civiclake.sources import io
+
+    texts = ["<r><t><SSL>7 <b>x</b>&amp;</SSL><WARD>Ward 2</WARD></t><SSL>8</SSL></r>", "<SSL><![CDATA[<1>]]><!-- no --></SSL>", '<r xmlns="u" xmlns:p="v"><p:SSL>1</p:SSL><SSL> 2 </SSL><WARD/></r>', None]
+    tags = ("SSL", "WARD", "ZIP")
+    rows = spark.createDataFrame([(x,) for x in texts * 20], "x string").coalesce(1)
+    got = io.location_rows(rows, "x", tags)
+    want = rows.select(*io.location_reply(F.col("x"), tags))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.columns == ["ssl", "ward", "zip"]
+    # One task no longer holds all rows of a small file.
+    assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
+def test_records_are_made_in_several_tasks(spark):
+    from civiclake.operators import ingest
+
+    rows = spark.range(400).select(F.col("id").alias("SSL"), F.lit("20001").alias("ZIPCODE"), F.lit("Ward 3").alias("WARD")).coalesce(1)
+    good = ingest.ingest(rows, ingest.sources()["locations"])[0]
+    assert good.count() == 400 and good.select(F.spark_partition_id().alias("p")).distinct().count() > 1
