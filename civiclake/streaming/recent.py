@@ -17,7 +17,8 @@ class RecentHashes(StatefulProcessor):
     """Lets a row through whose hash is not among the last ``most`` that were let through; the oldest is forgotten first.
 
     State is a ring: the place of a remembered hash, the hash at each place, and the next place. A batch costs a look-up
-    for each of its distinct hashes and three writes for each new one, however many are remembered. With ``idle_ms`` a
+    for each of its distinct hashes and two writes for each new one, however many are remembered: places that it has met
+    are held in the task, twice ``most`` at the most, so a row that repeats one asks no store. With ``idle_ms`` a
     group that has seen nothing for so long forgets all, by a timer.
     """
 
@@ -32,6 +33,8 @@ class RecentHashes(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         at = self.next.get()[0] if self.next.exists() else 0
+        # Places of hashes met in this call; the last ``most`` places are remembered, older ones are forgotten.
+        met: dict[str, int] = {}
         for part in rows:
             fresh = []
             for h in part[self.digest]:
@@ -39,14 +42,21 @@ class RecentHashes(StatefulProcessor):
                 if h is None or h != h or h == "":
                     fresh.append(True)
                     continue
-                new = not self.place.containsKey((h,))
+                known = met.get(h)
+                if known is None:
+                    known = self.place.getValue((h,))
+                    known = met[h] = known[0] if known else -1
+                new = known < 0 or known < at - self.most
                 fresh.append(new)
                 if new:
                     if at >= self.most:
                         self.place.removeKey(self.ring.getValue((at % self.most,)))
                     self.ring.updateValue((at % self.most,), (h,))
                     self.place.updateValue((h,), (at,))
+                    met[h] = at
                     at += 1
+                if len(met) > 2 * self.most:
+                    met = {k: p for k, p in met.items() if p >= at - self.most}
             yield part.loc[fresh, self.columns]
         self.next.update((at,))
         if self.idle_ms:

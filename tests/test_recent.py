@@ -59,3 +59,40 @@ def test_one_more_than_the_bound_evicts_the_first(spark, tmp_path):
 def test_slots_keep_every_duplicate_together(spark, tmp_path):
     batches = [[(k, "a", f"h{k % 40}") for k in range(200)]]
     assert len(run(spark, tmp_path, batches, most=400, slots=4)) == 40
+
+
+def test_repeats_ask_no_store():
+    """The ring over a plain store that counts what it is asked: rows that repeat a hash cost nothing, evictions hold."""
+    import random
+
+    import pandas as pd
+
+    asked = []
+
+    class Store(dict):
+        def getValue(self, k):
+            asked.append(k)
+            return self.get(k)
+
+        def containsKey(self, k):
+            asked.append(k)
+            return k in self
+
+        updateValue, removeKey = dict.__setitem__, dict.pop
+
+    class One:
+        def exists(self):
+            return False
+
+        def update(self, v):
+            self.v = v
+
+    for hashes, most in ((3, 10), (40, 7), (9, 8)):
+        made = recent.RecentHashes(most, None, "h", ["n"])
+        made.place, made.ring, made.next = Store(), Store(), One()
+        rows = [(k, "a", f"h{random.Random(k).randrange(hashes)}") for k in range(1000)]
+        asked.clear()
+        parts = [pd.DataFrame(rows[k : k + 90], columns=["n", "s", "h"]) for k in range(0, 1000, 90)]
+        got = sorted(n for out in made.handleInputRows(("a",), iter(parts), None) for n in out["n"])
+        assert got == plain([rows], most)
+        assert hashes > most or len(asked) == hashes
