@@ -98,14 +98,15 @@ def locate(points: DataFrame, polygons: DataFrame, layers: list[str], cell: floa
 
     ``polygons``: layer, place (order within the layer), name, rings array<array<struct<x, y>>> (holes are further
     rings). They are covered by cells of several levels, of width ``cell`` at level 0 (see ``covering``); points meet the
-    cells of each level that occurs, a few, by an equi join and are neither multiplied nor grouped. A cell's row holds
-    the edges that touch it and no more. Points without coordinates and repeated points stay.
+    cells of each level that occurs, a few, by an equi join and are not multiplied. A cell's row holds the edges that
+    touch it and no more. Equal points are located once, which is stored, and all points meet their place again by an
+    equi join, whose hot keys adaptive execution splits. Points without coordinates and repeated points stay.
     """
     from civiclake.functions.cover import FAN, SPOT_X, SPOT_Y
 
     grid = covering(polygons.where(F.col("layer").isin(*layers)), cell)
     levels = sorted(r[0] for r in grid.select("level").distinct().collect())
-    met, x, y = points, F.col("x"), F.col("y")
+    met, x, y = points.select("x", "y").where("x IS NOT NULL AND y IS NOT NULL").distinct(), F.col("x"), F.col("y")
     found: dict[str, list[Column]] = {n: [] for n in layers}
     for k, level in enumerate(levels):
         size = F.lit(cell / float(FAN) ** level)
@@ -119,4 +120,5 @@ def locate(points: DataFrame, polygons: DataFrame, layers: list[str], cell: floa
             for column in (F.col(f"__inner{k}"), held):
                 found[n].append(F.array_min(F.transform(F.filter(column, lambda p: p["layer"] == n), named)))  # noqa: B023
     least = {n: F.array_min(F.array_compact(F.array(*c)))["name"] if c else F.lit(None).cast("string") for n, c in found.items()}
-    return met.select(*points.columns, *(c.alias(n) for n, c in least.items()))
+    spots = materialize(met.select(x.alias("__x"), y.alias("__y"), *(c.alias(n) for n, c in least.items())))
+    return points.join(spots, (x == F.col("__x")) & (y == F.col("__y")), "left").select(*points.columns, *layers)

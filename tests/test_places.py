@@ -78,3 +78,12 @@ def test_points_on_borders_and_odd_polygons(spark):
     for r in got:
         assert r.a == ("square" if holds([square], r.x, r.y) else None) and r.b == ("other" if holds(polygons[3][3], r.x, r.y) else None) and r.c is None
     assert np.isclose(cover.start_level(cover.edges_of([[{"x": 0, "y": 0}, {"x": 1, "y": 0}]]), 10.0, 4), 1)
+
+
+def test_equal_points_are_located_once(spark):
+    square = [("state", 1, "A", [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)]])]
+    df = spark.createDataFrame([(k, *p) for k, p in enumerate([(1.0, 1.0), (9.0, 9.0), (None, 1.0), (-0.0, 2.0)] * 50)], "id long, x double, y double")
+    out = places.locate(df, frame(spark, square), ["state"], 10.0)
+    assert [r.state for r in out.orderBy("id").collect()][:3] == ["A", None, None] and out.count() == 200
+    # What a point's cell tells is stored: no row of the result looks through a polygon's edges again.
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
