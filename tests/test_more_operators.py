@@ -252,3 +252,22 @@ def test_plans_of_spend(spark):
     df = gold.spend_by_vendor(*(view(spark, sf, v) for v in ("contracts", "purchase_orders", "payments", "cbe_businesses")))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.split("== Initial Plan ==")[-1].count("lineitem.parquet") <= 6
+
+
+def test_top_ngrams_shuffle_ids_alone(spark):
+    docs = [(1, "b a b a b c"), (2, None), (3, "one"), (4, ""), (5, "x y x y"), (5, "x y"), (None, "p q"), (None, "p q p")]
+    df = spark.createDataFrame(docs, "doc_id int, text string")
+    got = {(r.doc_id, r.gram, r.uses) for r in text.top_ngrams(df.withColumn("text", F.regexp_replace("text", r"(\w+)", "$1$1")), 2, 2).collect()}
+    assert got == {(1, "aa bb", 2), (1, "bb aa", 2), (5, "xx yy", 3), (5, "yy xx", 1), (None, "pp qq", 2), (None, "qq pp", 1)}
+    # Ids that no other row has: counted within the row.
+    plan = text.top_ngrams(df.where("doc_id < 4"), 2, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and {r.uses for r in text.top_ngrams(df.where("doc_id = 3"), 2, 2).collect()} == set()
+
+
+def test_pages_are_handed_on_in_small_batches():
+    import pyarrow as pa
+
+    pages = pa.RecordBatch.from_pydict({"page_id": list(range(500)), "url": ["http://a.b/"] * 500, "html": ["<title>t</title>", None] * 250})
+    out = list(text.page_batches(iter([pages])))
+    assert max(b.num_rows for b in out) <= text.PAGES and [i for b in out for i in b.column("page_id").to_pylist()] == list(range(500))
+    assert out[0].column("title").to_pylist()[:2] == ["t", None]
