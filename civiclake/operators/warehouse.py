@@ -34,9 +34,10 @@ def supplier_names(certified: DataFrame, contracts: DataFrame, payments: DataFra
     Names are folded before they are normalized. Of the names with one key the certified ones come first, then those
     of contracts and of payments, the smallest of each.
     """
-    pick = lambda df, col, flag, rank: df.select(F.col(col).alias("name"), F.lit(flag).alias("is_cbe"), F.lit(rank).alias("priority"))
-    rows = pick(certified, "business_name", True, 1).unionByName(pick(contracts, "supplier_name", False, 2)).unionByName(pick(payments, "supplier_name", False, 3))
-    rows = rows.groupBy("name").agg(F.min(F.struct("priority", "is_cbe")).alias("p")).select("name", "p.*", supplier_key(F.col("name")).alias("supplier_key")).where("supplier_key IS NOT NULL")
+    pick = lambda df, col, rank: df.select(F.col(col).alias("name"), F.lit(rank).alias("priority"))
+    rows = pick(certified, "business_name", 1).unionByName(pick(contracts, "supplier_name", 2)).unionByName(pick(payments, "supplier_name", 3))
+    # A number, as a least struct would sort every row of a task first; certified names alone come first.
+    rows = rows.groupBy("name").agg(F.min("priority").alias("priority")).select("name", "priority", (F.col("priority") == 1).alias("is_cbe"), supplier_key(F.col("name")).alias("supplier_key")).where("supplier_key IS NOT NULL")
     first = F.min(F.struct("priority", F.col("name").alias("supplier_name"), "is_cbe")).over(Window.partitionBy("supplier_key"))
     return rows.select("name", "supplier_key", first.alias("f")).select("name", entity_id(F.col("supplier_key")).alias("supplier_id"), "f.supplier_name", "supplier_key", "f.is_cbe", "f.priority")
 

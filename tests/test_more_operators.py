@@ -271,3 +271,13 @@ def test_pages_are_handed_on_in_small_batches():
     out = list(text.page_batches(iter([pages])))
     assert max(b.num_rows for b in out) <= text.PAGES and [i for b in out for i in b.column("page_id").to_pylist()] == list(range(500))
     assert out[0].column("title").to_pylist()[:2] == ["t", None]
+
+
+def test_supplier_names_fold_by_hash(spark):
+    frame = lambda c, *names: spark.createDataFrame([(n,) for n in names], f"{c} string")
+    made = warehouse.supplier_names(frame("business_name", "ACME LLC"), frame("supplier_name", "Acme LLC", "Bolt"), frame("supplier_name", "Bolt", "Acme", None))
+    got = {r.name: (r.supplier_name, r.is_cbe, r.priority) for r in made.collect()}
+    assert got == {"ACME LLC": ("ACME LLC", True, 1), "Acme LLC": ("ACME LLC", True, 1), "Acme": ("ACME LLC", True, 1), "Bolt": ("Bolt", False, 2)}
+    # Names fold before anything is sorted: no sort below the first exchange.
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
