@@ -169,11 +169,17 @@ def cbe_split(payments: DataFrame, names: DataFrame) -> DataFrame:
 def category_spend(facts: DataFrame, contracts: DataFrame) -> DataFrame:
     """Spend by code of the contract and fiscal year, its percent of the year and distinct contracts; without a code 'Uncategorized'.
 
-    Facts fold by contract and year before the codes are unnested; a fact of several codes counts for each.
+    Facts fold by contract and year before the codes are unnested; a fact counts for each code as often as its contract
+    lists it. ``contracts`` has one row a number, so a contract is told apart within its row: its first mention of a
+    code counts, and no contract is held or shuffled by category.
     """
     sums = facts.groupBy("contract_number", "fiscal_year").agg(F.sum("spend_amount").cast(MONEY).alias("s"))
-    rows = sums.join(contracts.select("contract_number", "nigp_codes"), "contract_number", "left").select("contract_number", "fiscal_year", "s", F.explode_outer("nigp_codes").alias("code"))
-    out = rows.groupBy(F.coalesce("code", F.lit("Uncategorized")).alias("category"), "fiscal_year").agg(F.sum("s").cast(MONEY).alias("spend"), F.count_distinct("contract_number").alias("contracts"))
+    none = F.lit("Uncategorized")
+    codes = F.when(F.size("nigp_codes") > 0, F.transform("nigp_codes", lambda c: F.coalesce(c, none))).otherwise(F.array(none))
+    rows = sums.join(contracts.select("contract_number", "nigp_codes"), "contract_number", "left").select("contract_number", "fiscal_year", "s", codes.alias("codes"))
+    rows = rows.select("*", F.posexplode("codes").alias("at", "category"))
+    first = F.col("contract_number").isNotNull() & (F.array_position("codes", F.col("category")) == F.col("at") + 1)
+    out = rows.groupBy("category", "fiscal_year").agg(F.sum("s").cast(MONEY).alias("spend"), F.count_if(first).alias("contracts"))
     total = F.sum(F.col("spend").cast("double")).over(Window.partitionBy("fiscal_year"))
     return out.withColumn("percent", F.round(F.try_divide(F.col("spend").cast("double") * 100, total), 4))
 
