@@ -1,8 +1,13 @@
-"""Steps that keep what one task holds small: the same rows by hand, and the plan without the operator that held them."""
+"""Steps that keep small what one task holds or runs: the same rows by hand, and the plan without what was costly."""
 
+import datetime as dt
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
-from civiclake.operators import warehouse
+from civiclake.functions import scalars as S
+from civiclake.operators import ingest, warehouse
 
 
 def plan(df) -> str:
@@ -18,3 +23,28 @@ def test_category_spend_tells_contracts_apart_within_their_row(spark):
     # A code that a contract lists twice doubles its spend, not its contracts; unknown contracts have no code, facts without a number no contract.
     assert got == {("a", 2020): (34, 2), ("b", 2020): (12, 1), ("a", 2021): (2, 1), ("b", 2021): (1, 1), ("Uncategorized", 2020): (160, 3)}
     assert "distinct" not in plan(out)
+
+
+def test_numbers_of_raw_rows_stay_small_code(spark):
+    """HotSpot leaves a method of more than 8,000 bytes uncompiled, so its rows are interpreted."""
+    raw = spark.range(3).selectExpr("id AS SSL", "id AS BEDRM", "id AS BATHRM", "id AS HF_BATHRM", "CAST(id AS decimal(18,2)) AS PRICE", "1900 + id AS AYB", "id * 100 AS GBA", "'CONDO' AS STRUCT_D", "'s' AS STYLE_D", "'q' AS QUALIFIED")
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = ingest.ingest(raw, ingest.sources()["appraisals"], as_of=dt.date(2002, 1, 1))[0].select("record_id", "ssl", "bedrooms", "half_bathrooms", "price", "year_built", "sqft", "bathrooms", "property_type", "price_per_sqft")
+        code = rows._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+    assert 0 < max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
+
+
+@pytest.mark.parametrize(
+    "text, number, whole, money",
+    [
+        ("$1,234.50", 1234.5, 1234, "1234.50"), (" na,n ", None, None, None), ("NaN", None, None, None), ("-Infinity", None, None, None), ("$-", None, None, None), ("n/a", None, None, None), ("", None, None, None), (None, None, None, None),
+        ("9007199254740993", 9007199254740992.0, 9007199254740993, "9007199254740993.00"), ("\t9007199254740993", 9007199254740992.0, 9007199254740993, "9007199254740993.00"), ("-12.7", -12.7, -12, "-12.70"), ("1 2", None, None, None),
+    ],
+)
+def test_odd_numbers(spark, text, number, whole, money):
+    r = spark.createDataFrame([(text,)], "x string").select(S.safe_float(F.col("x")), S.safe_int(F.col("x")), S.safe_decimal(F.col("x")).cast("string")).first()
+    assert tuple(r) == (number, whole, money)
