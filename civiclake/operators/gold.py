@@ -105,22 +105,27 @@ def agency_spend(contracts: DataFrame, orders: DataFrame, payments: DataFrame, t
     """Per agency: sums of positive amounts, contract count, distinct vendors with a positive amount, shown name, the
     ``top`` vendors by positive spend (raw names) and positive spend by fiscal year, both as arrays of structs.
 
-    The folded union is stored, so the sources are read once: it is folded by agency and vendor, then by agency, and by year.
+    The tagged union is stored, so the sources are read once. Figures of an agency fold to agency and year within each
+    task, whatever the number of vendors; vendors fold once, by agency and raw name, and only rows above zero do. Names
+    are counted and ranked from that, each task handing on its first ``top`` names of an agency. An agency without such
+    a vendor has null vendors.
     """
-    rows = folded_spend(contracts, orders, payments).where("agency IS NOT NULL").withColumn("agency_key", F.lower(F.trim("agency")))
-    rows = materialize(rows)
-    vendors = rows.groupBy("agency_key", "vendor").agg(
-        F.min("agency").alias("agency"), *_totals(), F.sum("n_positive").alias("n_positive"), F.sum("amount").cast(MONEY).alias("spend"),
-    )
-    place = F.row_number().over(Window.partitionBy("agency_key").orderBy(F.desc("spend"), "vendor"))
-    best = F.collect_list(F.when((F.col("place") <= top) & F.col("vendor").isNotNull() & (F.col("n_positive") > 0), F.struct("place", "vendor", "spend")))
-    out = vendors.withColumn("place", place).groupBy("agency_key").agg(
-        F.min("agency").alias("agency_name"), *(F.sum(a).cast(MONEY).alias(a) for a, _ in KINDS.values()), F.sum("contract_count").alias("contract_count"),
-        F.count_distinct(F.when(F.col("n_positive") > 0, F.lower(F.trim("vendor")))).alias("vendor_count"), F.transform(F.array_sort(best), lambda x: F.struct(x["vendor"].alias("vendor"), x["spend"].alias("spend"))).alias("top_vendors"),
-    )
-    years = rows.where("year IS NOT NULL AND n_positive > 0").groupBy("agency_key", "year").agg(F.sum("amount").cast(MONEY).alias("spend"))
+    rows = materialize(tagged_spend(contracts, orders, payments).where("agency IS NOT NULL").select("kind", "vendor", "agency", "amount", fiscal_year(F.col("day")).alias("year")))
+    key, amount = F.lower(F.trim("agency")).alias("agency_key"), F.col("amount")
+    paid = F.when(amount > 0, amount)
+    sums = [F.sum(_of(k, paid)).alias(total) for k, (total, _) in KINDS.items()]
+    parts = rows.groupBy("agency", "year").agg(*sums, F.count_if(F.col("kind") == "contract").alias("contract_count"), F.sum(paid).cast(MONEY).alias("spend"))
+    years = parts.where("year IS NOT NULL AND spend IS NOT NULL").groupBy(key, "year").agg(F.sum("spend").cast(MONEY).alias("spend"))
     years = years.groupBy("agency_key").agg(F.array_sort(F.collect_list(F.struct("year", "spend"))).alias("spend_by_year"))
-    return out.join(years, "agency_key", "left")
+    totals = [F.coalesce(F.sum(total), F.lit(0)).cast(MONEY).alias(total) for total, _ in KINDS.values()]
+    out = parts.groupBy(key).agg(F.min("agency").alias("agency_name"), *totals, F.sum("contract_count").alias("contract_count"))
+    vendors = materialize(rows.where((amount > 0) & F.col("vendor").isNotNull()).groupBy(key, "vendor").agg(F.sum("amount").cast(MONEY).alias("spend")))
+    names = vendors.groupBy("agency_key").agg(F.count_distinct(F.lower(F.trim("vendor"))).alias("vendor_count"))
+    place = F.row_number().over(Window.partitionBy("agency_key").orderBy(F.desc("spend"), "vendor"))
+    best = vendors.withColumn("place", place).where(F.col("place") <= top).groupBy("agency_key").agg(F.array_sort(F.collect_list(F.struct("place", "vendor", "spend"))).alias("best"))
+    best = best.select("agency_key", F.transform("best", lambda x: F.struct(x["vendor"].alias("vendor"), x["spend"].alias("spend"))).alias("top_vendors"))
+    out = out.join(names, "agency_key", "left").join(best, "agency_key", "left").join(years, "agency_key", "left")
+    return out.select("agency_key", "agency_name", *(total for total, _ in KINDS.values()), "contract_count", F.coalesce("vendor_count", F.lit(0)).alias("vendor_count"), "top_vendors", "spend_by_year")
 
 
 def top_vendors(payments: DataFrame, n: int = 10) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from civiclake.functions import scalars as S
-from civiclake.operators import ingest, warehouse
+from civiclake.operators import gold, ingest, warehouse
 
 
 def plan(df) -> str:
@@ -48,3 +48,18 @@ def test_numbers_of_raw_rows_stay_small_code(spark):
 def test_odd_numbers(spark, text, number, whole, money):
     r = spark.createDataFrame([(text,)], "x string").select(S.safe_float(F.col("x")), S.safe_int(F.col("x")), S.safe_decimal(F.col("x")).cast("string")).first()
     assert tuple(r) == (number, whole, money)
+
+
+def test_agency_spend_ranks_names_above_zero_alone(spark):
+    """Rows without a name take no place, spellings of an agency are one, and an agency without a paid name has null vendors."""
+    schema = "supplier_name string, agency_name string, payment_amount int, payment_date date"
+    day = dt.date(2020, 11, 1)
+    rows = [(None, "A", 900, day), ("x", "A", 5, day), ("y", " a", 7, day), ("X ", "A", 6, None), ("z", "A", -3, day), ("x", "A", 4, day), ("w", "B", 0, day), ("v", None, 50, day)]
+    payments = spark.createDataFrame(rows, schema).withColumn("payment_amount", F.col("payment_amount").cast("decimal(18,2)"))
+    contracts = payments.where("supplier_name = 'x' AND payment_amount = 5").selectExpr("supplier_name", "agency_name", "payment_amount AS contract_amount", "payment_date AS start_date")
+    orders = payments.where("false").selectExpr("supplier_name", "agency_name", "payment_amount AS amount_min", "payment_amount AS amount_max")
+    got = {r.agency_key: r for r in gold.agency_spend(contracts, orders, payments, 2).collect()}
+    a, b = got["a"], got["b"]
+    assert set(got) == {"a", "b"} and (a.agency_name, a.contract_count, a.vendor_count, int(a.total_payments), int(a.total_contract_value)) == (" a", 1, 2, 922, 5)
+    assert [(v.vendor, int(v.spend)) for v in a.top_vendors] == [("x", 14), ("y", 7)] and [(y.year, int(y.spend)) for y in a.spend_by_year] == [(2021, 921)]
+    assert (b.agency_name, b.vendor_count, int(b.total_payments), b.top_vendors, b.spend_by_year) == ("B", 0, 0, None, None)
