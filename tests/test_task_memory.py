@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from civiclake.functions import scalars as S
 from civiclake.operators import gold, ingest, warehouse
+from civiclake.plans import catalog
 
 
 def plan(df) -> str:
@@ -63,3 +64,16 @@ def test_agency_spend_ranks_names_above_zero_alone(spark):
     assert set(got) == {"a", "b"} and (a.agency_name, a.contract_count, a.vendor_count, int(a.total_payments), int(a.total_contract_value)) == (" a", 1, 2, 922, 5)
     assert [(v.vendor, int(v.spend)) for v in a.top_vendors] == [("x", 14), ("y", 7)] and [(y.year, int(y.spend)) for y in a.spend_by_year] == [(2021, 921)]
     assert (b.agency_name, b.vendor_count, int(b.total_payments), b.top_vendors, b.spend_by_year) == ("B", 0, 0, None, None)
+
+
+def test_contract_history_stores_what_its_loads_read(spark, monkeypatch):
+    class Stored(Exception):
+        pass
+
+    def stop(df):
+        raise Stored(df.columns)
+
+    monkeypatch.setattr(catalog, "materialize", stop)
+    with pytest.raises(Stored) as e:
+        catalog.dim_contract_history(spark, "/root/testdata/sf0.001")
+    assert e.value.args[0] == ["contract_key", "contract_number", "contract_title", "contract_type", "agency_name"]
