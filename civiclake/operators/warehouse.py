@@ -160,7 +160,11 @@ def tier_totals(payments: DataFrame) -> DataFrame:
 
 def cbe_split(payments: DataFrame, names: DataFrame) -> DataFrame:
     """Certified against other spend, with its share of the total; payments fold by raw name before they meet ``names``."""
-    sums = payments.groupBy("supplier_name").agg(F.count(F.lit(1)).alias("n"), F.sum("payment_amount").alias("s"))
+    return cbe_split_of(payments.groupBy("supplier_name").agg(F.count(F.lit(1)).alias("n"), F.sum("payment_amount").alias("s")), names)
+
+
+def cbe_split_of(sums: DataFrame, names: DataFrame) -> DataFrame:
+    """``cbe_split`` of payments that are folded already: supplier_name, n, s, a name in any number of rows."""
     rows = sums.join(names.select(F.col("name").alias("supplier_name"), "is_cbe"), "supplier_name", "left")
     rows = rows.groupBy(F.coalesce("is_cbe", F.lit(False)).alias("is_cbe")).agg(F.sum("n").alias("payments"), F.sum("s").cast(MONEY).alias("spend"))
     return rows.withColumn("share", F.round(F.try_divide(F.col("spend").cast("double") * 100, F.sum(F.col("spend").cast("double")).over(Window.partitionBy())), 4))
