@@ -123,3 +123,11 @@ def test_supplier_queries_match_their_sql_and_sort_no_lines(spark, tmp_path, nam
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet/*.parquet'")
     assert got == sorted(map(str, db.execute(f"SELECT {', '.join(df.columns)} FROM ({catalog.ORACLES[name]})").fetchall()))
     assert "ShuffledHashJoin [l_orderkey" in made and "Sort [l_orderkey" not in made
+
+
+def test_cbe_participation_folds_payments_once(spark, tmp_path, monkeypatch):
+    stored = []
+    monkeypatch.setattr(catalog, "materialize", lambda df: stored.append(df.columns) or df.limit(0))
+    # Sums and names both read what is stored: without its rows no payment is left.
+    assert catalog.cbe_participation(spark, tables(spark, tmp_path, "C")).count() == 0
+    assert stored == [["supplier_name", "n", "s"]]
