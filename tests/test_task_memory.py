@@ -131,3 +131,21 @@ def test_cbe_participation_folds_payments_once(spark, tmp_path, monkeypatch):
     # Sums and names both read what is stored: without its rows no payment is left.
     assert catalog.cbe_participation(spark, tables(spark, tmp_path, "C")).count() == 0
     assert stored == [["supplier_name", "n", "s"]]
+
+
+def test_supplier_history_sorts_no_lines(spark, tmp_path, monkeypatch):
+    class Stored(Exception):
+        pass
+
+    def stop(df):
+        raise Stored(df._jdf.queryExecution().executedPlan().toString())
+
+    monkeypatch.setattr(catalog, "materialize", stop)
+    sf, kept = tables(spark, tmp_path, "C"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pytest.raises(Stored) as e:
+            catalog.dim_supplier_history(spark, sf)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "ShuffledHashJoin [l_orderkey" in e.value.args[0] and "Sort [l_orderkey" not in e.value.args[0]
