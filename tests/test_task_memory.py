@@ -149,3 +149,22 @@ def test_supplier_history_sorts_no_lines(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     assert "ShuffledHashJoin [l_orderkey" in e.value.args[0] and "Sort [l_orderkey" not in e.value.args[0]
+
+
+def test_folded_views_deal_lines_out_before_they_fold_by_order(spark, tmp_path, monkeypatch):
+    sf, kept = tables(spark, tmp_path, "C"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(bindings, "TASK_LINES", 2, raising=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = {v: bindings.view(spark, sf, v) for v in ("contract_names", "payment_sums")}
+        plans = {v: df._jdf.queryExecution().executedPlan().toString() for v, df in made.items()}
+        assert {r.supplier_name for r in made["contract_names"].collect()} == {"A LLC", "B LLC", "E LLC"}
+        assert sum(r.n for r in made["payment_sums"].collect()) == bindings.view(spark, sf, "payments").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    for text in plans.values():
+        # 15 lines, two a task: parts follow the lines, beyond the 4 of the session, and both sides have them.
+        assert re.search(r"hashpartitioning\(l_orderkey#\d+L?, 8\)", text) and re.search(r"hashpartitioning\(o_orderkey#\d+L?, 8\)", text)
+        assert not re.search(r"hashpartitioning\([lo]_orderkey#\d+L?, 4\)", text)
+    # The fold by order stands on the exchange, in the task of its part, not on the scan.
+    assert re.search(r"partial_min\(l_suppkey#\d+L?\)\].*\n[^\n]*Exchange hashpartitioning\(l_orderkey", plans["contract_names"])
